@@ -17,13 +17,16 @@ def _c(x) -> Column:
 def parse_date(c, fmt: str = "yyyyMMdd", strict: bool = False) -> Column:
     """PARSE_DATE('%Y%m%d', c).  ``strict`` raises on bad input (ANSI);
     the default returns NULL for it."""
-    return F.to_date(_c(c), fmt) if strict else F.try_to_date(_c(c), F.lit(fmt))
+    return F.to_date(_c(c), fmt) if strict else F.try_to_date(_c(c), fmt)
 
 
-def date_from_parts(y, m, d) -> Column:
-    """DATE(y, m, d) (NULL for an impossible date under try semantics)."""
-    return F.try_make_date(_c(y).cast("int"), _c(m).cast("int"), _c(d).cast("int")) \
-        if hasattr(F, "try_make_date") else F.make_date(_c(y), _c(m), _c(d))
+def date_from_parts(y, m, d, strict: bool = False) -> Column:
+    """DATE(y, m, d).  ``strict`` raises on an impossible date (ANSI);
+    the default gives NULL for it and for NULL parts."""
+    if strict:
+        return F.make_date(_c(y), _c(m), _c(d))
+    parts = F.concat_ws("-", _c(y).cast("string"), _c(m).cast("string"), _c(d).cast("string"))
+    return F.try_to_date(parts, "y-M-d")
 
 
 def to_int64(c, strict: bool = False) -> Column:

@@ -201,7 +201,7 @@ def with_serial(df: DataFrame, name: str = "id", start: int | Column = 1) -> Dat
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
     base = start if isinstance(start, Column) else F.lit(int(start))
     out = tagged.join(F.broadcast(offsets), "_pid").withColumn(
-        name, base + F.col("_off") + F.bitwise_and(F.col("_mid"), F.lit((1 << 33) - 1)))
+        name, base + F.col("_off") + F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1)))
     return out.drop("_mid", "_pid", "_off")
 
 

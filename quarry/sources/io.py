@@ -81,8 +81,10 @@ def scan_files(spark: SparkSession, root: str, include: str | None = None,
     same files).  Files are read whole (``wholetext``) so detectors see
     every line of every file; the path comes from ``_metadata`` and the
     filters on it run before any content is decoded further."""
-    reader = spark.read.option("recursiveFileLookup", "true").option("wholetext", whole_file)
-    df = reader.text(root).select(F.col("_metadata.file_path").alias("path"),
+    # ``wholetext`` must go through text(): its keyword default overrides
+    # an option() of the same name.
+    reader = spark.read.option("recursiveFileLookup", "true")
+    df = reader.text(root, wholetext=whole_file).select(F.col("_metadata.file_path").alias("path"),
                                   F.col("value").alias("text"))
     cond = F.lit(True)
     if include:
