@@ -222,14 +222,14 @@ def j6_reconcile(spark, d):
 
 
 @register("j7_cross_param", """
-SELECT p_partkey, p_retailprice, round(p_retailprice * (1 - discount), 2) AS sale_price
+SELECT p_partkey, p_retailprice, p_retailprice * (1 - discount) AS sale_price
 FROM part CROSS JOIN (SELECT CAST(0.05 AS DOUBLE) AS discount) promotion""")
 def j7_cross_param(spark, d):
     from quarry.sources.io import constant
     promo = constant(spark, discount=0.05)
     out = R.cross_param(t(spark, d, "part").select("p_partkey", "p_retailprice"), promo)
     return out.select("p_partkey", "p_retailprice",
-                      F.round(F.col("p_retailprice") * (1 - F.col("discount")), 2).alias("sale_price"))
+                      (F.col("p_retailprice") * (1 - F.col("discount"))).alias("sale_price"))
 
 
 ORDER_LINES_SQL = """
