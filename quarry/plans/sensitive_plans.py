@@ -198,7 +198,7 @@ def x8_redact_files(spark, d):
                                         F.concat(F.lit("<!--page-->"), F.regexp_replace("html", "\n", " "))
                                         .alias("html"))
     src = scratch_path(spark, "files", "pages")
-    io.write_files(pages.repartition("lang"), src, by="lang")   # one file per language
+    io.write_files(pages, src, by="lang")
     out = scratch_path(spark, "files", "pages_redacted")
     X.redact_files(spark, src, out, ["EMAIL_ADDRESS"], exclude=r"/lang=de/", file_types=["txt"],
                    partition_from_path=r"/lang=([a-z]+)/")

@@ -247,25 +247,26 @@ def j8_unnest(spark, d):
 
 
 @register("j9_unnest_chain", """
-WITH per_status AS (
-  SELECT o.o_orderstatus AS status,
-         list({'orderkey': o.o_orderkey,
-               'quantities': (SELECT list(l.l_quantity) FROM lineitem l WHERE l.l_orderkey = o.o_orderkey)})
-           AS orders_arr
-  FROM orders o GROUP BY o.o_orderstatus)
-SELECT status, CAST(count(*) AS BIGINT) AS n_lines, round(sum(q), 2) AS total_qty
-FROM (SELECT status, unnest(x.quantities) AS q
-      FROM (SELECT status, unnest(orders_arr) AS x FROM per_status))
-GROUP BY status""")
+WITH per_order AS (
+  SELECT l_orderkey,
+         list({'linenumber': l_linenumber, 'splits': [l_quantity, l_extendedprice]}) AS lines
+  FROM lineitem GROUP BY l_orderkey),
+flat AS (
+  SELECT o.o_orderstatus AS status, unnest(x.splits) AS v
+  FROM (SELECT l_orderkey, unnest(lines) AS x FROM per_order) p JOIN orders o ON o.o_orderkey = p.l_orderkey)
+SELECT status, CAST(count(*) AS BIGINT) AS n_values, round(sum(v), 2) AS total
+FROM flat GROUP BY status""")
 def j9_unnest_chain(spark, d):
-    # array (per order) inside array of struct (per status group): two levels
-    li = t(spark, d, "lineitem").groupBy("l_orderkey").agg(F.collect_list("l_quantity").alias("quantities"))
-    o = t(spark, d, "orders").join(li, F.col("o_orderkey") == F.col("l_orderkey"), "left")
-    nested = o.groupBy(F.col("o_orderstatus").alias("status")).agg(
-        F.collect_list(F.struct(F.col("o_orderkey").alias("orderkey"), "quantities")).alias("orders_arr"))
-    flat = R.unnest_chain(nested, "orders_arr", "x", "quantities", "q", keep=["status"])
-    return flat.groupBy("status").agg(F.count(F.lit(1)).alias("n_lines"),
-                                      F.round(F.sum("q"), 2).alias("total_qty"))
+    # array (per line) inside an array of structs (per order): two levels,
+    # each bounded by the size of one order
+    li = t(spark, d, "lineitem")
+    nested = li.groupBy("l_orderkey").agg(F.collect_list(F.struct(
+        F.col("l_linenumber").alias("linenumber"),
+        F.array("l_quantity", "l_extendedprice").alias("splits"))).alias("lines"))
+    flat = R.unnest_chain(nested, "lines", "x", "splits", "v", keep=["l_orderkey"])
+    o = t(spark, d, "orders").select("o_orderkey", F.col("o_orderstatus").alias("status"))
+    j = flat.join(o, flat["l_orderkey"] == o["o_orderkey"])
+    return j.groupBy("status").agg(F.count(F.lit(1)).alias("n_values"), F.round(F.sum("v"), 2).alias("total"))
 
 
 @register("j10_lookup_one", """

@@ -61,11 +61,14 @@ def scan_family(spark: SparkSession, base: str, suffix_pred: Callable[[Column],
 
 
 def write_family(df: DataFrame, base: str, suffix: Column, suffix_col: str = "suffix",
-                 mode: str = "overwrite") -> str:
-    """Lay a family out as ``base/suffix=<s>/``.  Rows are clustered on the
-    suffix first, so each task writes few, large files per member."""
+                 mode: str = "overwrite", max_records_per_file: int = 5_000_000) -> str:
+    """Lay a family out as ``base/suffix=<s>/``.  Rows are *not* shuffled by
+    the suffix: a member holding a third of all rows would then be written
+    by a single task.  Each task writes its own rows of every member it
+    holds (the dynamic-partition writer sorts within the task), and
+    ``maxRecordsPerFile`` bounds the file size."""
     out = df.withColumn(suffix_col, suffix.cast("string"))
-    (out.repartition(suffix_col).write.mode(mode)
+    (out.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(suffix_col).parquet(base))
     return base
 
@@ -123,12 +126,13 @@ def ctas_partitioned(spark: SparkSession, df: DataFrame, name: str, by: str,
                      replace: bool = True) -> str:
     """CTAS partitioned by a DATE column, with a description and a
     partition-TTL property (enforced by ``tables.expire_partitions``).
-    Rows are clustered by the partition column before the write so that a
-    partition is written by few tasks, not by every task."""
+    Rows are not shuffled by the partition column (a hot date would land in
+    one task); each task writes its rows of each date, and
+    ``spark.sql.files.maxRecordsPerFile`` bounds the file size."""
     if replace:
         spark.sql(f"DROP TABLE IF EXISTS {name}")
     view = f"_ctas_src_{abs(hash(name))}"
-    df.repartition(by).createOrReplaceTempView(view)
+    df.createOrReplaceTempView(view)
     props = []
     if ttl_days is not None:
         props.append(f"'partition_expiration_days' = '{int(ttl_days)}'")
@@ -209,9 +213,10 @@ def append_rows(spark: SparkSession, name: str, rows: Sequence[Sequence], column
 
 
 def write_files(df: DataFrame, out: str, by: str | None = None, fmt: str = "text",
-                mode: str = "overwrite") -> str:
-    """Transformed-files sink; one folder per ``by`` value."""
-    w = df.write.mode(mode)
+                mode: str = "overwrite", max_records_per_file: int = 1_000_000) -> str:
+    """Transformed-files sink; one folder per ``by`` value, written by
+    every task that holds rows of it (no shuffle on ``by``)."""
+    w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
     if by:
         w = w.partitionBy(by)
     if fmt == "text":
