@@ -51,45 +51,40 @@ class Detector:
 
 
 # --------------------------------------------------------------------------
-# Checksums as native expressions over a quote ``q``
+# Checksums as native SQL expressions over a quote (a lambda variable)
 # --------------------------------------------------------------------------
 
 
-def _digits(q: Column) -> Column:
-    return F.regexp_replace(q, r"[^0-9]", "")
+def sql_str(v: str) -> str:
+    """A Spark SQL string literal (backslash and quote escaped)."""
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def _luhn(q: Column) -> Column:
-    d = _digits(q)
-    return F.call_function("luhn_check", d) & (F.length(d) >= 2)
+def _digits(q: str) -> str:
+    return f"regexp_replace({q}, '[^0-9]', '')"
 
 
-def _weighted_mod(d: Column, weights: list[int], mod: int) -> Column:
-    """sum(digit_i * weight_i) % mod over the first len(weights) digits."""
-    w = F.array(*[F.lit(x) for x in weights])
-    total = F.aggregate(F.sequence(F.lit(1), F.lit(len(weights))), F.lit(0),
-                        lambda acc, i: acc + F.substring(d, i, 1).cast("int") * F.element_at(w, i))
-    return total % mod
+def _luhn(q: str) -> str:
+    return f"(luhn_check({_digits(q)}) AND length({_digits(q)}) >= 2)"
 
 
-def _aba(q: Column) -> Column:
+def _aba(q: str) -> str:
     d = _digits(q)
-    return (F.length(d) == 9) & (_weighted_mod(d, [3, 7, 1, 3, 7, 1, 3, 7, 1], 10) == 0)
+    return (f"(length({d}) = 9 AND aggregate(sequence(1, 9), 0, (_acc, _i) -> _acc + "
+            f"CAST(substring({d}, _i, 1) AS INT) * element_at(array(3, 7, 1, 3, 7, 1, 3, 7, 1), _i)) % 10 = 0)")
 
 
-def _npi(q: Column) -> Column:
-    return F.call_function("luhn_check", F.concat(F.lit("80840"), _digits(q)))
+def _npi(q: str) -> str:
+    return f"luhn_check(concat('80840', {_digits(q)}))"
 
 
-def _iban(q: Column) -> Column:
-    s = F.upper(F.regexp_replace(q, r"\s", ""))
-    moved = F.concat(F.substring(s, 5, 64), F.substring(s, 1, 4))
-    chars = F.filter(F.split(moved, ""), lambda c: c != "")
-    vals = F.transform(chars, lambda c: F.when(c.rlike("^[0-9]$"), c.cast("int"))
-                       .otherwise(F.ascii(c) - 55).cast("long"))
-    rem = F.aggregate(vals, F.lit(0).cast("long"),
-                      lambda acc, v: F.when(v >= 10, (acc * 100 + v) % 97).otherwise((acc * 10 + v) % 97))
-    return rem == 1
+def _iban(q: str) -> str:
+    s = f"upper(regexp_replace({q}, {sql_str(chr(92) + 's')}, ''))"
+    moved = f"concat(substring({s}, 5, 64), substring({s}, 1, 4))"
+    vals = (f"transform(filter(split({moved}, ''), _c -> _c != ''), _c -> CAST(CASE WHEN _c RLIKE '^[0-9]$' "
+            f"THEN CAST(_c AS INT) ELSE ascii(_c) - 55 END AS BIGINT))")
+    return (f"(aggregate({vals}, CAST(0 AS BIGINT), (_acc, _v) -> CASE WHEN _v >= 10 "
+            f"THEN (_acc * 100 + _v) % 97 ELSE (_acc * 10 + _v) % 97 END) = 1)")
 
 
 # VIN transliteration (letters -> digits) and position weights.
@@ -98,19 +93,14 @@ VIN_VALUES = "12345678123457923456789"
 VIN_WEIGHTS = [8, 7, 6, 5, 4, 3, 2, 10, 0, 9, 8, 7, 6, 5, 4, 3, 2]
 
 
-def _vin(q: Column) -> Column:
-    s = F.upper(q)
-    w = F.array(*[F.lit(x) for x in VIN_WEIGHTS])
-
-    def val(i):
-        ch = F.substring(s, i, 1)
-        return F.when(ch.rlike("^[0-9]$"), ch.cast("int")).otherwise(
-            F.substring(F.lit(VIN_VALUES), F.instr(F.lit(VIN_LETTERS), ch), 1).cast("int"))
-    total = F.aggregate(F.sequence(F.lit(1), F.lit(17)), F.lit(0),
-                        lambda acc, i: acc + val(i) * F.element_at(w, i))
-    r = total % 11
-    check = F.when(r == 10, F.lit("X")).otherwise(r.cast("string"))
-    return F.substring(s, 9, 1) == check
+def _vin(q: str) -> str:
+    ch = f"substring(upper({q}), _i, 1)"
+    val = (f"CASE WHEN {ch} RLIKE '^[0-9]$' THEN CAST({ch} AS INT) ELSE "
+           f"CAST(substring('{VIN_VALUES}', instr('{VIN_LETTERS}', {ch}), 1) AS INT) END")
+    w = ", ".join(str(x) for x in VIN_WEIGHTS)
+    total = f"aggregate(sequence(1, 17), 0, (_acc, _i) -> _acc + {val} * element_at(array({w}), _i))"
+    return (f"(substring(upper({q}), 9, 1) = "
+            f"CASE WHEN {total} % 11 = 10 THEN 'X' ELSE CAST({total} % 11 AS STRING) END)")
 
 
 CHECKSUMS = {"luhn": _luhn, "aba": _aba, "npi": _npi, "iban": _iban, "vin": _vin}
@@ -261,6 +251,71 @@ ALL_TYPES = [d.name for d in DETECTORS]
 PATTERN_TYPES = [d.name for d in DETECTORS if d.tier < 4]
 assert len(DETECTORS) == 81 and len(BY_NAME) == 81
 
+# Necessary conditions (exact, never lossy): a detector's shape cannot match
+# a text unless these hold, so the regex only runs where they do.
+#   digit  -- the text holds a digit
+#   any    -- one of these literals occurs
+#   any_ci -- one of these lower-case literals occurs in the lower-cased text
+NEEDS: dict[str, dict] = {
+    "CREDIT_CARD_NUMBER": {"digit": True},
+    "IMEI_HARDWARE_ID": {"digit": True},
+    "IBAN_CODE": {"digit": True},
+    "US_BANK_ROUTING_MICR": {"digit": True},
+    "US_HEALTHCARE_NPI": {"digit": True},
+    "CANADA_SOCIAL_INSURANCE_NUMBER": {"digit": True},
+    "EMAIL_ADDRESS": {"any": ("@",)},
+    "PHONE_NUMBER": {"digit": True},
+    "MAC_ADDRESS": {"any": (":", "-")},
+    "CREDIT_CARD_TRACK_NUMBER": {"digit": True, "any": ("%B", "=")},
+    "US_SOCIAL_SECURITY_NUMBER": {"digit": True, "any": ("-",)},
+    "US_EMPLOYER_IDENTIFICATION_NUMBER": {"digit": True, "any": ("-",)},
+    "US_INDIVIDUAL_TAXPAYER_IDENTIFICATION_NUMBER": {"digit": True, "any": ("-",)},
+    "ADVERTISING_ID": {"any": ("-",)},
+    "STORAGE_SIGNED_URL": {"any": ("X-Goog-Signature=",)},
+    "WEAK_PASSWORD_HASH": {"any": ("$1$", "$apr1$")},
+    "AUTH_TOKEN": {"any": ("oken", "OKEN", "earer")},
+    "AWS_CREDENTIALS": {"any": ("AKIA", "ASIA")},
+    "AZURE_AUTH_TOKEN": {"any": ("eyJ0eXAiOiJKV1Qi",)},
+    "BASIC_AUTH_HEADER": {"any_ci": ("authorization",)},
+    "ENCRYPTION_KEY": {"any": ("-----BEGIN ",)},
+    "GCP_API_KEY": {"any": ("AIza",)},
+    "GCP_CREDENTIALS": {"any": ('"service_account"',)},
+    "JSON_WEB_TOKEN": {"any": ("eyJ",)},
+    "HTTP_COOKIE": {"any_ci": ("cookie",)},
+    "XSRF_TOKEN": {"any_ci": ("srf",)},
+}
+# every tier-3 shape holds a digit except these two
+for _d in DETECTORS:
+    if _d.tier == 3 and _d.name not in ("PASSPORT", "GERMANY_IDENTITY_CARD_NUMBER"):
+        NEEDS.setdefault(_d.name, {"digit": True})
+
+
+def signals(text: Column, detectors: list[Detector]) -> dict[str, Column]:
+    """Per-text signals the gates read, to be computed once per row:
+    ``digit`` (holds a digit) and, if a case-insensitive gate is used,
+    ``lower`` (the lower-cased text)."""
+    out = {"digit": text.rlike("[0-9]")}
+    if any("any_ci" in NEEDS.get(d.name, {}) for d in detectors):
+        out["lower"] = F.lower(text)
+    return out
+
+
+def gate_sql(text: str, det: Detector, sig: dict[str, str] | None) -> str | None:
+    """The necessary condition of ``det`` as SQL over the text column and
+    the signal columns (None: no gate)."""
+    need = NEEDS.get(det.name)
+    if not need or sig is None:
+        return None
+    parts = []
+    if need.get("digit"):
+        parts.append(sig["digit"])
+    if need.get("any"):
+        parts.append("(" + " OR ".join(f"contains({text}, {sql_str(x)})" for x in need["any"]) + ")")
+    if need.get("any_ci") and "lower" in sig:
+        parts.append("(" + " OR ".join(f"contains({sig['lower']}, {sql_str(x)})" for x in need["any_ci"]) + ")")
+    return " AND ".join(parts) if parts else None
+
+
 # Categories that make a column "high" sensitivity when found at LIKELY+.
 HIGH_CATEGORIES = ("credential", "financial", "national_id")
 
@@ -279,41 +334,56 @@ def context_words_found(text: Column, detectors: list[Detector] | None = None) -
     return F.array_distinct(F.transform(found, lambda w: F.regexp_replace(w, r"\s+", " ")))
 
 
-def _has_context(ctx: Column | None, det: Detector) -> Column:
-    if ctx is None:
-        return F.lit(True)
-    return F.arrays_overlap(ctx, F.array(*[F.lit(w) for w in det.context]))
+EMPTY_SQL = "CAST(array() AS array<struct<info_type:string,quote:string,rank:int>>)"
 
 
-def _empty() -> Column:
-    return F.array().cast("array<struct<info_type:string,quote:string,rank:int>>")
+def _has_context_sql(ctx: str | None, det: Detector) -> str | None:
+    if ctx is None:
+        return None
+    return f"arrays_overlap({ctx}, array({', '.join(sql_str(w) for w in det.context)}))"
 
 
-def detector_findings(text: Column, det: Detector, ctx: Column | None = None) -> Column:
-    """``array<struct<info_type, quote, rank>>`` of one detector over one
-    text value: every occurrence, in text order.  ``ctx`` is the column of
-    ``context_words_found``; with it, context scans run only where one of
-    the detector's words occurs."""
+def detector_sql(text: str, det: Detector, ctx: str | None = None, sig: dict[str, str] | None = None) -> str:
+    """``array<struct<info_type, quote, rank>>`` of one detector over the
+    text column ``text`` (SQL text): every occurrence, in text order.
+    ``ctx`` names the ``context_words_found`` column: context scans run only
+    where one of the detector's words occurs.  ``sig`` names the
+    ``signals`` columns: the regex runs only where the detector's necessary
+    condition holds."""
     if det.tier == 4:
         raise ValueError("dictionary types are matched by a join, not a pattern")
+    name = sql_str(det.name)
 
-    def item(q, rank):
-        return F.struct(F.lit(det.name).alias("info_type"), q.alias("quote"), rank.alias("rank"))
+    def item(rank: str) -> str:
+        return f"named_struct('info_type', {name}, 'quote', _q, 'rank', {rank})"
 
+    shape = f"regexp_extract_all({text}, {sql_str('(' + det.shape + ')')}, 1)"
     if det.tier == 1:
-        chk = CHECKSUMS[det.checksum]
-        matches = F.regexp_extract_all(text, F.lit(f"({det.shape})"), 1)
-        return F.transform(matches, lambda q: item(
-            q, F.when(chk(q), F.lit(RANK["VERY_LIKELY"])).otherwise(F.lit(RANK["UNLIKELY"]))))
-    if det.tier == 3:
-        hits = F.regexp_extract_all(text, F.lit(det.context_regex()), 1)
-        found = F.transform(hits, lambda q: item(q, F.lit(RANK["LIKELY"])))
-        return F.when(_has_context(ctx, det), found).otherwise(_empty())
-    matches = F.regexp_extract_all(text, F.lit(f"({det.shape})"), 1)
-    base = RANK[det.base]
-    if det.context and base < RANK["LIKELY"]:
-        hits = F.when(_has_context(ctx, det), F.regexp_extract_all(text, F.lit(det.context_regex()), 1)) \
-                .otherwise(F.array().cast("array<string>"))
-        return F.transform(matches, lambda q: item(
-            q, F.when(F.array_contains(hits, q), F.lit(RANK["LIKELY"])).otherwise(F.lit(base))))
-    return F.transform(matches, lambda q: item(q, F.lit(base)))
+        chk = CHECKSUMS[det.checksum]("_q")
+        found = f"transform({shape}, _q -> {item(f'CASE WHEN {chk} THEN {RANK[chr(86) + "ERY_LIKELY"]} ELSE {RANK["UNLIKELY"]} END')})"
+    elif det.tier == 3:
+        hits = f"regexp_extract_all({text}, {sql_str(det.context_regex())}, 1)"
+        found = f"transform({hits}, _q -> {item(str(RANK['LIKELY']))})"
+        has = _has_context_sql(ctx, det)
+        if has:
+            found = f"CASE WHEN {has} THEN {found} ELSE {EMPTY_SQL} END"
+    elif det.context and RANK[det.base] < RANK["LIKELY"]:
+        hits = f"regexp_extract_all({text}, {sql_str(det.context_regex())}, 1)"
+        has = _has_context_sql(ctx, det)
+        if has:
+            hits = f"CASE WHEN {has} THEN {hits} ELSE CAST(array() AS array<string>) END"
+        # the context hits are computed once per text, outside the per-match lambda
+        rank = f"CASE WHEN array_contains(_h, _q) THEN {RANK['LIKELY']} ELSE {RANK[det.base]} END"
+        found = f"element_at(transform(array({hits}), _h -> transform({shape}, _q -> {item(rank)})), 1)"
+    else:
+        found = f"transform({shape}, _q -> {item(str(RANK[det.base]))})"
+    g = gate_sql(text, det, sig)
+    return found if g is None else f"CASE WHEN {g} THEN {found} ELSE {EMPTY_SQL} END"
+
+
+def findings_sql(text: str, detectors: list[Detector], ctx: str | None = None,
+                 sig: dict[str, str] | None = None) -> str:
+    """All findings of ``detectors`` over one text column, as one array
+    (SQL text, parsed once by the JVM)."""
+    parts = [detector_sql(text, d, ctx, sig) for d in detectors]
+    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"

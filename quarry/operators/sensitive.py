@@ -32,10 +32,19 @@ def _types(types: Iterable[str] | None) -> list[str]:
     return [t for t in names if I.BY_NAME[t].tier < 4]
 
 
-def findings_array(text: Column, types: Iterable[str] | None = None, ctx: Column | None = None) -> Column:
-    """All findings of ``types`` in one text value, as one array."""
-    arrays = [I.detector_findings(text, I.BY_NAME[t], ctx) for t in _types(types)]
-    return F.concat(*arrays) if len(arrays) > 1 else arrays[0]
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def findings_array(text: str, types: Iterable[str] | None = None, ctx: str | None = None,
+                   sig: dict[str, str] | None = None) -> Column:
+    """All findings of ``types`` in the text column ``text`` as one array.
+    ``ctx`` / ``sig`` name precomputed context-word and signal columns.
+    The expression is handed to the JVM as one SQL text, so building it
+    costs one call however many detectors there are."""
+    dets = [I.BY_NAME[t] for t in _types(types)]
+    return F.expr(I.findings_sql(_q(text), dets, _q(ctx) if ctx else None,
+                                 {k: _q(v) for k, v in sig.items()} if sig else None))
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -55,9 +64,12 @@ def inspect(df: DataFrame, id_cols: str | Sequence[str], text_col: str,
     threshold of single info types (a template override)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     ty = _types(types)
+    dets = [I.BY_NAME[t] for t in ty]
+    sig = I.signals(F.col(text_col), dets)
     pre = spread(df.select(*ids, text_col)).select(
-        *ids, text_col, I.context_words_found(F.col(text_col), [I.BY_NAME[t] for t in ty]).alias("_ctx"))
-    arr = findings_array(F.col(text_col), ty, F.col("_ctx"))
+        *ids, text_col, I.context_words_found(F.col(text_col), dets).alias("_ctx"),
+        *[c.alias(f"_sig_{k}") for k, c in sig.items()])
+    arr = findings_array(text_col, ty, "_ctx", {k: f"_sig_{k}" for k in sig})
     rows = pre.select(*ids, F.inline(arr))
     thr = F.lit(I.RANK[min_likelihood])
     if overrides:
@@ -186,17 +198,43 @@ def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,
             min_likelihood: str = "POSSIBLE", distinct: bool = True) -> DataFrame:
     """One row per column -- rows, NULLs, approximate distinct count,
     min/max as text and, for text columns, the number of values with a
-    finding at or above ``min_likelihood`` split into high-category and
-    other findings.  One aggregation pass over the table (partial
-    aggregates map-side), then a tiny unpivot."""
+    high-category finding at LIKELY or above and with any other finding at
+    ``min_likelihood`` or above.
+
+    Per text value the detectors run once (gated by the shared context-word
+    scan and the necessary-condition signals) in a projection, two flags
+    are derived from that array in the next one, then a single aggregation
+    pass (partial aggregates map-side) and a tiny unpivot."""
     thr = I.RANK[min_likelihood]
     ty = _types(types)
     high = [t for t in ty if I.BY_NAME[t].category in I.HIGH_CATEGORIES]
-    other = [t for t in ty if t not in high]
+    hi_thr = max(thr, I.RANK["LIKELY"])
+    fields = list(df.schema.fields)
+    text_idx = [i for i, f in enumerate(fields) if isinstance(f.dataType, StringType)]
+    base = [F.col(f"_c{i}") for i in range(len(fields))]
+    src = df.select(*[F.col(f"`{f.name}`").alias(f"_c{i}") for i, f in enumerate(fields)])
+    if text_idx and ty:
+        dets = [I.BY_NAME[t] for t in ty]
+        src = spread(src)
+        pre = []
+        for i in text_idx:
+            pre.append(I.context_words_found(F.col(f"_c{i}"), dets).alias(f"_x{i}"))
+            pre += [c.alias(f"_s{i}_{k}") for k, c in I.signals(F.col(f"_c{i}"), dets).items()]
+        src = src.select("*", *pre)
+        sig_keys = [c.split("_", 2)[2] for c in src.columns if c.startswith(f"_s{text_idx[0]}_")]
+        src = src.select(*base, *[findings_array(f"_c{i}", ty, f"_x{i}",
+                                                 {k: f"_s{i}_{k}" for k in sig_keys}).alias(f"_f{i}")
+                                  for i in text_idx])
+        high_arr = F.array(*[F.lit(x) for x in high]) if high else F.array().cast("array<string>")
+        src = src.select(*base, *[x for i in text_idx for x in (
+            F.exists(f"_f{i}", lambda x: F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= hi_thr))
+            .alias(f"_hf{i}"),
+            F.exists(f"_f{i}", lambda x: ~F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= thr))
+            .alias(f"_of{i}"))])
     aggs, specs = [F.count(F.lit(1)).alias("_rows")], []
-    for i, f in enumerate(df.schema.fields):
-        c = F.col(f"`{f.name}`")
-        is_text = isinstance(f.dataType, StringType)
+    for i, f in enumerate(fields):
+        c = F.col(f"_c{i}")
+        is_text = i in text_idx
         orderable = is_text or isinstance(f.dataType, NumericType) or f.dataType.typeName() in (
             "date", "timestamp", "timestamp_ntz", "boolean")
         aggs.append(F.count(c).alias(f"_nn{i}"))
@@ -205,16 +243,13 @@ def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,
         if orderable:
             aggs += [F.min(c).cast("string").alias(f"_mn{i}"), F.max(c).cast("string").alias(f"_mx{i}")]
         if is_text:
-            likely = I.RANK["LIKELY"]
-
-            def hits_at(names, r):
-                if not names:
-                    return F.lit(0).cast("long")
-                arr = F.filter(findings_array(c, names), lambda x: x["rank"] >= r)
-                return F.sum(F.when(F.size(arr) > 0, 1).otherwise(0)).cast("long")
-            aggs += [hits_at(high, max(thr, likely)).alias(f"_h{i}"), hits_at(other, thr).alias(f"_o{i}")]
+            if ty:
+                aggs += [F.sum(F.col(f"_hf{i}").cast("long")).alias(f"_h{i}"),
+                         F.sum(F.col(f"_of{i}").cast("long")).alias(f"_o{i}")]
+            else:
+                aggs += [F.lit(0).cast("long").alias(f"_h{i}"), F.lit(0).cast("long").alias(f"_o{i}")]
         specs.append((i, f.name, f.dataType.simpleString(), is_text, orderable))
-    one = df.agg(*aggs)
+    one = src.agg(*aggs)
     rows = []
     for i, name, dtype, is_text, orderable in specs:
         rows.append(F.struct(
@@ -224,8 +259,10 @@ def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,
             (F.col(f"_mn{i}") if orderable else F.lit(None).cast("string")).alias("min_value"),
             (F.col(f"_mx{i}") if orderable else F.lit(None).cast("string")).alias("max_value"),
             F.lit(is_text).alias("is_text"),
-            (F.col(f"_h{i}") if is_text else F.lit(None).cast("long")).alias("n_high_findings"),
-            (F.col(f"_o{i}") if is_text else F.lit(None).cast("long")).alias("n_other_findings")))
+            (F.coalesce(F.col(f"_h{i}"), F.lit(0).cast("long")) if is_text else F.lit(None).cast("long"))
+            .alias("n_high_findings"),
+            (F.coalesce(F.col(f"_o{i}"), F.lit(0).cast("long")) if is_text else F.lit(None).cast("long"))
+            .alias("n_other_findings")))
     return one.select(F.inline(F.array(*rows)))
 
 
