@@ -169,8 +169,12 @@ def expire_partitions(spark: SparkSession, table: str, as_of: str | _dt.date, da
         spec = dict(p.split("=", 1) for p in row[0].split("/"))
         col = by or next(iter(spec))
         if _dt.date.fromisoformat(spec[col]) < cutoff:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({col} = DATE'{spec[col]}')")
-            dropped.append(spec[col])
+            dropped.append((col, spec[col]))
+    # one catalog call for all expired partitions
+    for i in range(0, len(dropped), 500):
+        specs = ", ".join(f"PARTITION ({c} = DATE'{v}')" for c, v in dropped[i:i + 500])
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
+    dropped = [v for _, v in dropped]
     return dropped
 
 

@@ -225,3 +225,27 @@ def p11_stream_label_filter(spark, d):
     s = label_filter(_event_stream(spark, d), eq={"event_type": "error"}, has={"props": "9"})
     out = ST.run_available_now(s.select("event_id", "user_id", "props"))
     return spark.read.parquet(out)
+
+
+@register("s18_stream_files", """
+SELECT event_type, CAST(count(*) AS BIGINT) AS n_rows, CAST(count(DISTINCT event_id) AS BIGINT) AS n_events
+FROM events GROUP BY event_type""")
+def s18_stream_files(spark, d):
+    s = _event_stream(spark, d).select("event_id", "event_type", "_file")
+    out = ST.run_available_now(s)
+    return spark.read.parquet(out).groupBy("event_type").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct("event_id").alias("n_events"))
+
+
+@register("s19_stream_messages", """
+SELECT event_id AS message_id, ts AS publish_time, props AS payload FROM events""")
+def s19_stream_messages(spark, d):
+    from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, LongType
+    msgs = _events(spark, d).select(F.col("event_id").alias("message_id"), F.col("ts").alias("publish_time"),
+                                    F.base64(F.encode("props", "UTF-8")).alias("data"))
+    root = ST.stage_files(spark, msgs, "publish_time", 3)
+    schema = StructType([StructField("message_id", LongType()), StructField("publish_time", TimestampNTZType()),
+                         StructField("data", StringType())])
+    s = io.stream_messages(spark, root, schema).select(
+        "message_id", "publish_time", F.decode(F.unbase64("data"), "UTF-8").alias("payload"))
+    return spark.read.parquet(ST.run_available_now(s))

@@ -325,3 +325,20 @@ def x12_visible_assets(spark, d):
     assets = docs.select(F.col("doc_id").alias("asset"), "source")
     v = X.visible_assets(assets, tags, F.broadcast(grants))
     return v.select("principal", F.col("asset").alias("doc_id"), "source")
+
+
+@register("s16_write_redacted_files", """
+SELECT source, CAST(sum(len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'))) AS BIGINT)
+         AS n_redacted,
+       CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_newlines
+FROM documents GROUP BY source""")
+def s16_write_redacted_files(spark, d):
+    # transformed files written one folder per source, read back whole
+    docs = X.redact_text(t(spark, d, "documents").select("source", "text"), "text", ["EMAIL_ADDRESS"])
+    out = scratch_path(spark, "files", "documents_redacted")
+    io.write_files(docs, out, by="source")
+    back = spark.read.text(out, wholetext=True).select(
+        F.regexp_extract(F.col("_metadata.file_path"), r"/source=([^/]+)/", 1).alias("source"), "value")
+    return back.groupBy("source").agg(
+        F.sum(F.regexp_count("value", F.lit(r"\[EMAIL_ADDRESS\]"))).cast("bigint").alias("n_redacted"),
+        F.sum(F.length("value") - F.length(F.regexp_replace("value", "\n", ""))).cast("bigint").alias("n_newlines"))
