@@ -249,3 +249,20 @@ def s19_stream_messages(spark, d):
     s = io.stream_messages(spark, root, schema).select(
         "message_id", "publish_time", F.decode(F.unbase64("data"), "UTF-8").alias("payload"))
     return spark.read.parquet(ST.run_available_now(s))
+
+
+@register("t7_stream_sustained", f"""
+WITH b AS (SELECT *, CAST(epoch(window_start) / 3600 AS BIGINT) AS idx FROM {HOURLY_BREACH_SQL}
+           WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '7200 seconds'),
+i AS (SELECT *, idx - row_number() OVER (PARTITION BY event_type ORDER BY idx) AS island FROM b),
+r AS (SELECT *, row_number() OVER (PARTITION BY event_type, island ORDER BY idx) AS run_length FROM i)
+SELECT window_start, window_end, event_type, value, CAST(run_length AS BIGINT) AS run_length
+FROM r WHERE run_length >= 2""")
+def t7_stream_sustained(spark, d):
+    from quarry.streaming.alerts import stream_sustained
+    a = ST.stream_align(_event_stream(spark, d), 3600, ["event_type"], "count")
+    br = a.filter(F.col("value") > 4).drop("w")
+    out = ST.run_available_now(stream_sustained(br, 7200, 3600, ["event_type"]))
+    return spark.read.parquet(out).select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "value", "run_length")
