@@ -194,47 +194,14 @@ def block_guard(df: DataFrame, col: str, rules: Sequence[tuple[str, str]], out:
 # --------------------------------------------------------------------------
 
 
-def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,
-            min_likelihood: str = "POSSIBLE", distinct: bool = True) -> DataFrame:
-    """One row per column -- rows, NULLs, approximate distinct count,
-    min/max as text and, for text columns, the number of values with a
-    high-category finding at LIKELY or above and with any other finding at
-    ``min_likelihood`` or above.
-
-    Per text value the detectors run once (gated by the shared context-word
-    scan and the necessary-condition signals) in a projection, two flags
-    are derived from that array in the next one, then a single aggregation
-    pass (partial aggregates map-side) and a tiny unpivot."""
-    thr = I.RANK[min_likelihood]
-    ty = _types(types)
-    high = [t for t in ty if I.BY_NAME[t].category in I.HIGH_CATEGORIES]
-    hi_thr = max(thr, I.RANK["LIKELY"])
+def _column_stats(df: DataFrame, table: str, distinct: bool) -> tuple[DataFrame, list[str]]:
+    """Rows, NULLs, approximate distinct count and min/max per column, in
+    one aggregation pass (partial aggregates map-side), unpivoted."""
     fields = list(df.schema.fields)
-    text_idx = [i for i, f in enumerate(fields) if isinstance(f.dataType, StringType)]
-    base = [F.col(f"_c{i}") for i in range(len(fields))]
-    src = df.select(*[F.col(f"`{f.name}`").alias(f"_c{i}") for i, f in enumerate(fields)])
-    if text_idx and ty:
-        dets = [I.BY_NAME[t] for t in ty]
-        src = spread(src)
-        pre = []
-        for i in text_idx:
-            pre.append(I.context_words_found(F.col(f"_c{i}"), dets).alias(f"_x{i}"))
-            pre += [c.alias(f"_s{i}_{k}") for k, c in I.signals(F.col(f"_c{i}"), dets).items()]
-        src = src.select("*", *pre)
-        sig_keys = [c.split("_", 2)[2] for c in src.columns if c.startswith(f"_s{text_idx[0]}_")]
-        src = src.select(*base, *[findings_array(f"_c{i}", ty, f"_x{i}",
-                                                 {k: f"_s{i}_{k}" for k in sig_keys}).alias(f"_f{i}")
-                                  for i in text_idx])
-        high_arr = F.array(*[F.lit(x) for x in high]) if high else F.array().cast("array<string>")
-        src = src.select(*base, *[x for i in text_idx for x in (
-            F.exists(f"_f{i}", lambda x: F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= hi_thr))
-            .alias(f"_hf{i}"),
-            F.exists(f"_f{i}", lambda x: ~F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= thr))
-            .alias(f"_of{i}"))])
     aggs, specs = [F.count(F.lit(1)).alias("_rows")], []
     for i, f in enumerate(fields):
-        c = F.col(f"_c{i}")
-        is_text = i in text_idx
+        c = F.col(f"`{f.name}`")
+        is_text = isinstance(f.dataType, StringType)
         orderable = is_text or isinstance(f.dataType, NumericType) or f.dataType.typeName() in (
             "date", "timestamp", "timestamp_ntz", "boolean")
         aggs.append(F.count(c).alias(f"_nn{i}"))
@@ -242,28 +209,73 @@ def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,
             aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
         if orderable:
             aggs += [F.min(c).cast("string").alias(f"_mn{i}"), F.max(c).cast("string").alias(f"_mx{i}")]
-        if is_text:
-            if ty:
-                aggs += [F.sum(F.col(f"_hf{i}").cast("long")).alias(f"_h{i}"),
-                         F.sum(F.col(f"_of{i}").cast("long")).alias(f"_o{i}")]
-            else:
-                aggs += [F.lit(0).cast("long").alias(f"_h{i}"), F.lit(0).cast("long").alias(f"_o{i}")]
         specs.append((i, f.name, f.dataType.simpleString(), is_text, orderable))
-    one = src.agg(*aggs)
-    rows = []
-    for i, name, dtype, is_text, orderable in specs:
-        rows.append(F.struct(
-            F.lit(table).alias("table_name"), F.lit(name).alias("column_name"), F.lit(dtype).alias("data_type"),
-            F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_nn{i}")).alias("n_nulls"),
-            (F.col(f"_d{i}") if distinct else F.lit(None).cast("long")).alias("approx_distinct"),
-            (F.col(f"_mn{i}") if orderable else F.lit(None).cast("string")).alias("min_value"),
-            (F.col(f"_mx{i}") if orderable else F.lit(None).cast("string")).alias("max_value"),
-            F.lit(is_text).alias("is_text"),
-            (F.coalesce(F.col(f"_h{i}"), F.lit(0).cast("long")) if is_text else F.lit(None).cast("long"))
-            .alias("n_high_findings"),
-            (F.coalesce(F.col(f"_o{i}"), F.lit(0).cast("long")) if is_text else F.lit(None).cast("long"))
-            .alias("n_other_findings")))
-    return one.select(F.inline(F.array(*rows)))
+    one = df.agg(*aggs)
+    rows = [F.struct(
+        F.lit(table).alias("table_name"), F.lit(name).alias("column_name"), F.lit(dtype).alias("data_type"),
+        F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_nn{i}")).alias("n_nulls"),
+        (F.col(f"_d{i}") if distinct else F.lit(None).cast("long")).alias("approx_distinct"),
+        (F.col(f"_mn{i}") if orderable else F.lit(None).cast("string")).alias("min_value"),
+        (F.col(f"_mx{i}") if orderable else F.lit(None).cast("string")).alias("max_value"),
+        F.lit(is_text).alias("is_text")) for i, name, dtype, is_text, orderable in specs]
+    return one.select(F.inline(F.array(*rows))), [n for _, n, _, t, _ in specs if t]
+
+
+def profile_tables(tables: Mapping[str, DataFrame], types: Iterable[str] | None = None,
+                   min_likelihood: str = "POSSIBLE", distinct: bool = True) -> DataFrame:
+    """X10 over several tables: one row per (table, column) -- rows, NULLs,
+    approximate distinct count, min/max as text and, for text columns, the
+    number of values with a high-category finding at LIKELY or above and
+    with any other finding at ``min_likelihood`` or above.
+
+    The text columns of all tables are unpivoted into one long
+    ``(table_name, column_name, value)`` stream, so the detectors are one
+    expression evaluated once per value (gated by the shared context-word
+    scan and the necessary-condition signals); flags are then summed per
+    (table, column) with partial aggregation.  The per-column statistics and
+    the finding counts are joined on (table, column): both sides hold one
+    row per column."""
+    thr = I.RANK[min_likelihood]
+    ty = _types(types)
+    high = [t for t in ty if I.BY_NAME[t].category in I.HIGH_CATEGORIES]
+    hi_thr = max(thr, I.RANK["LIKELY"])
+    stats, longs = None, None
+    for name, df in tables.items():
+        st, text_cols = _column_stats(df, name, distinct)
+        stats = st if stats is None else stats.unionByName(st)
+        if text_cols:
+            lg = df.select(F.inline(F.array(*[
+                F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
+                         F.col(f"`{c}`").alias("value")) for c in text_cols])))
+            longs = lg if longs is None else longs.unionByName(lg)
+    if longs is None or not ty:
+        return stats.select("*", *[F.when(F.col("is_text"), F.lit(0)).cast("long").alias(c)
+                                   for c in ("n_high_findings", "n_other_findings")])
+    dets = [I.BY_NAME[t] for t in ty]
+    sig = I.signals(F.col("value"), dets)
+    pre = spread(longs).select("table_name", "column_name", "value",
+                               I.context_words_found(F.col("value"), dets).alias("_ctx"),
+                               *[c.alias(f"_sig_{k}") for k, c in sig.items()])
+    arr = pre.select("table_name", "column_name",
+                     findings_array("value", ty, "_ctx", {k: f"_sig_{k}" for k in sig}).alias("_f"))
+    high_arr = F.array(*[F.lit(x) for x in high]) if high else F.array().cast("array<string>")
+    flags = arr.select(
+        "table_name", "column_name",
+        F.exists("_f", lambda x: F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= hi_thr))
+        .cast("long").alias("_hf"),
+        F.exists("_f", lambda x: ~F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= thr))
+        .cast("long").alias("_of"))
+    counts = flags.groupBy("table_name", "column_name").agg(F.sum("_hf").alias("_h"), F.sum("_of").alias("_o"))
+    out = stats.join(counts, ["table_name", "column_name"], "left")
+    return out.select(*stats.columns,
+                      F.when(F.col("is_text"), F.coalesce("_h", F.lit(0))).cast("long").alias("n_high_findings"),
+                      F.when(F.col("is_text"), F.coalesce("_o", F.lit(0))).cast("long").alias("n_other_findings"))
+
+
+def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,
+            min_likelihood: str = "POSSIBLE", distinct: bool = True) -> DataFrame:
+    """X10 for one table (see ``profile_tables``)."""
+    return profile_tables({table: df}, types, min_likelihood, distinct)
 
 
 def classify(profiles: DataFrame) -> DataFrame:

@@ -272,14 +272,9 @@ def x10_profile_documents(spark, d):
 @register("x10_profile_all_tables")
 def x10_profile_all_tables(spark, d):
     # every supplied table, with approximate distinct counts (rows-only check)
-    from quarry.plans.registry import t as table
     names = ("region nation customer supplier part orders lineitem events documents "
              "embeddings pages benchmark labels conversations").split()
-    out = None
-    for n in names:
-        p = X.profile(table(spark, d, n), n)
-        out = p if out is None else out.unionByName(p)
-    return out
+    return X.profile_tables({n: t(spark, d, n) for n in names})
 
 
 @register("x11_classify_columns", f"""
