@@ -52,6 +52,8 @@ def spread(df: DataFrame) -> DataFrame:
     splits than there are task slots (a few large files), spread the rows
     round-robin so every core works; with many splits (the large-scale
     case) the scan parallelism is kept and nothing is shuffled."""
+    if df.isStreaming:
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 

@@ -20,13 +20,15 @@ from quarry.session import scratch_path
 from quarry.streaming.metrics import _secs, with_watermark
 
 
-def stage_files(spark: SparkSession, df: DataFrame, ts: str, n: int, root: str | None = None) -> str:
+def stage_files(spark: SparkSession, df: DataFrame, ts: str, n: int, root: str | None = None,
+                prefix: str = "part", mtime_base: int = 1_700_000_000_000) -> str:
     """Test fixture for file streams: split ``df`` into ``n`` time-ordered
     parts, one file each, with distinct increasing modification times (the
     file source takes files in modification-time order)."""
     root = root or scratch_path(spark, "stream_in")
     edges = df.select(F.percentile_approx(F.col(ts).cast("timestamp").cast("double"),
-                                          [i / n for i in range(1, n)], 10000).alias("q")).first()["q"]
+                                          [i / n for i in range(1, n)], 10000).alias("q")).first()["q"] \
+        if n > 1 else []
     jvm = spark._jvm
     hconf = spark._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(root)
@@ -34,7 +36,7 @@ def stage_files(spark: SparkSession, df: DataFrame, ts: str, n: int, root: str |
     fs.mkdirs(dst)
     t = F.col(ts).cast("timestamp").cast("double")
     bounds = [None] + list(edges) + [None]
-    mtime = 1_700_000_000_000
+    mtime = mtime_base
     for i in range(n):
         cond = F.lit(True)
         if bounds[i] is not None:
@@ -46,7 +48,7 @@ def stage_files(spark: SparkSession, df: DataFrame, ts: str, n: int, root: str |
         for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp)):
             name = st.getPath().getName()
             if name.endswith(".parquet"):
-                target = jvm.org.apache.hadoop.fs.Path(f"{root}/part-{i:05d}.parquet")
+                target = jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}-{i:05d}.parquet")
                 fs.rename(st.getPath(), target)
                 fs.setTimes(target, mtime + i * 60_000, -1)
     return root
