@@ -22,6 +22,30 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# The 81 info-type names of the inspection jobs, in alphabetical order.
+INFO_TYPES = [
+    "ADVERTISING_ID", "AGE", "ARGENTINA_DNI_NUMBER", "AUSTRALIA_TAX_FILE_NUMBER", "AUTH_TOKEN",
+    "AWS_CREDENTIALS", "AZURE_AUTH_TOKEN", "BASIC_AUTH_HEADER", "BELGIUM_NATIONAL_ID_CARD_NUMBER",
+    "BRAZIL_CPF_NUMBER", "CANADA_SOCIAL_INSURANCE_NUMBER", "CHILE_CDI_NUMBER", "CHINA_RESIDENT_ID_NUMBER",
+    "COLOMBIA_CDC_NUMBER", "CREDIT_CARD_NUMBER", "CREDIT_CARD_TRACK_NUMBER", "DATE_OF_BIRTH",
+    "DENMARK_CPR_NUMBER", "EMAIL_ADDRESS", "ENCRYPTION_KEY", "ETHNIC_GROUP", "FDA_CODE",
+    "FINLAND_NATIONAL_ID_NUMBER", "FRANCE_CNI", "FRANCE_NIR", "FRANCE_TAX_IDENTIFICATION_NUMBER",
+    "GCP_API_KEY", "GCP_CREDENTIALS", "GENDER", "GERMANY_IDENTITY_CARD_NUMBER",
+    "GERMANY_TAXPAYER_IDENTIFICATION_NUMBER", "HONG_KONG_ID_NUMBER", "HTTP_COOKIE", "IBAN_CODE",
+    "IMEI_HARDWARE_ID", "INDIA_AADHAAR_INDIVIDUAL", "INDIA_GST_INDIVIDUAL", "INDIA_PAN_INDIVIDUAL",
+    "INDONESIA_NIK_NUMBER", "IRELAND_PPSN", "ISRAEL_IDENTITY_CARD_NUMBER", "JAPAN_INDIVIDUAL_NUMBER",
+    "JSON_WEB_TOKEN", "KOREA_RRN", "MAC_ADDRESS", "MEXICO_CURP_NUMBER", "NETHERLANDS_BSN_NUMBER",
+    "NORWAY_NI_NUMBER", "PARAGUAY_CIC_NUMBER", "PASSPORT", "PERSON_NAME", "PERU_DNI_NUMBER", "PHONE_NUMBER",
+    "POLAND_NATIONAL_ID_NUMBER", "PORTUGAL_CDC_NUMBER", "SCOTLAND_COMMUNITY_HEALTH_INDEX_NUMBER",
+    "SINGAPORE_NATIONAL_REGISTRATION_ID_NUMBER", "SPAIN_CIF_NUMBER", "SPAIN_DNI_NUMBER", "SPAIN_NIE_NUMBER",
+    "SPAIN_NIF_NUMBER", "SPAIN_SOCIAL_SECURITY_NUMBER", "STORAGE_SIGNED_URL", "STREET_ADDRESS",
+    "SWEDEN_NATIONAL_ID_NUMBER", "SWIFT_CODE", "THAILAND_NATIONAL_ID_NUMBER", "TURKEY_ID_NUMBER",
+    "UK_NATIONAL_HEALTH_SERVICE_NUMBER", "UK_NATIONAL_INSURANCE_NUMBER", "UK_TAXPAYER_REFERENCE",
+    "URUGUAY_CDI_NUMBER", "US_BANK_ROUTING_MICR", "US_EMPLOYER_IDENTIFICATION_NUMBER", "US_HEALTHCARE_NPI",
+    "US_INDIVIDUAL_TAXPAYER_IDENTIFICATION_NUMBER", "US_SOCIAL_SECURITY_NUMBER",
+    "VEHICLE_IDENTIFICATION_NUMBER", "VENEZUELA_CDI_NUMBER", "WEAK_PASSWORD_HASH", "XSRF_TOKEN",
+]
+
 # The likelihood scale, lowest first.
 LIKELIHOODS = ["VERY_UNLIKELY", "UNLIKELY", "POSSIBLE", "LIKELY", "VERY_LIKELY"]
 RANK = {name: i for i, name in enumerate(LIKELIHOODS)}
@@ -249,7 +273,7 @@ DETECTORS: list[Detector] = [
 BY_NAME = {d.name: d for d in DETECTORS}
 ALL_TYPES = [d.name for d in DETECTORS]
 PATTERN_TYPES = [d.name for d in DETECTORS if d.tier < 4]
-assert len(DETECTORS) == 81 and len(BY_NAME) == 81
+assert sorted(BY_NAME) == INFO_TYPES, "detector catalog must cover exactly the 81 info types"
 
 # Necessary conditions (exact, never lossy): a detector's shape cannot match
 # a text unless these hold, so the regex only runs where they do.

@@ -164,6 +164,11 @@ def t11_alert_policy(spark, d):
 # --------------------------------------------------------------------------
 
 
+def _slots(spark) -> int:
+    """State partitions for the test streams: the cluster's task slots."""
+    return spark.sparkContext.defaultParallelism
+
+
 def _event_stream(spark, d):
     ev = _events(spark, d)
     root = ST.stage_files(spark, ev, "ts", 3)
@@ -175,7 +180,7 @@ SELECT * FROM (SELECT {_bucket(600)}, event_type, round(sum(value), 4) AS value
 WHERE window_end <= (SELECT max(ts) FROM events) - INTERVAL '1200 seconds'""")
 def t2_stream_align_600s(spark, d):
     a = ST.stream_align(_event_stream(spark, d), 600, ["event_type"], "sum")
-    out = ST.run_available_now(a.drop("w"))
+    out = ST.run_available_now(a.drop("w"), state_partitions=_slots(spark))
     return spark.read.parquet(out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type",
@@ -191,7 +196,7 @@ def t2_stream_align_600s(spark, d):
 def t10_stream_incidents(spark, d):
     a = ST.stream_align(_event_stream(spark, d), 3600, ["event_type"], "count")
     inc = ST.stream_incidents(a, 4, 3600, auto_close=7200, series=["event_type"])
-    out = ST.run_available_now(inc)
+    out = ST.run_available_now(inc, state_partitions=_slots(spark))
     return spark.read.parquet(out).select(
         "event_type", F.col("opened_at").cast("timestamp_ntz").alias("opened_at"),
         F.col("last_breach_end").cast("timestamp_ntz").alias("last_breach_end"), "n_windows",
@@ -262,7 +267,7 @@ def t7_stream_sustained(spark, d):
     from quarry.streaming.alerts import stream_sustained
     a = ST.stream_align(_event_stream(spark, d), 3600, ["event_type"], "count")
     br = a.filter(F.col("value") > 4).drop("w")
-    out = ST.run_available_now(stream_sustained(br, 7200, 3600, ["event_type"]))
+    out = ST.run_available_now(stream_sustained(br, 7200, 3600, ["event_type"]), state_partitions=_slots(spark))
     return spark.read.parquet(out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "value", "run_length")

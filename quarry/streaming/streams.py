@@ -55,14 +55,27 @@ def stage_files(spark: SparkSession, df: DataFrame, ts: str, n: int, root: str |
 
 
 def run_available_now(stream: DataFrame, out: str | None = None, mode: str = "append",
-                      checkpoint: str | None = None) -> str:
+                      checkpoint: str | None = None, state_partitions: int | None = None) -> str:
     """Run a streaming query over everything available now into a Parquet
-    sink, then stop.  Checkpoint and output live under the shared folder."""
+    sink, then stop.  Checkpoint and output live under the shared folder.
+
+    ``state_partitions`` sizes the state store of stateful operators (fixed
+    in the checkpoint at the first run; the session's shuffle-partition
+    setting otherwise).  The query clones the session conf when it starts,
+    so the setting is restored right after."""
     spark = stream.sparkSession
     out = out or scratch_path(spark, "stream_out")
     checkpoint = checkpoint or scratch_path(spark, "stream_ckpt")
-    q = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
-         .outputMode(mode).trigger(availableNow=True).start())
+    w = (stream.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
+         .outputMode(mode).trigger(availableNow=True))
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(int(state_partitions)))
+    try:
+        q = w.start()
+    finally:
+        spark.conf.set(key, before)
     q.awaitTermination()
     if q.exception():
         raise q.exception()
