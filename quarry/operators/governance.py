@@ -6,6 +6,7 @@ small rule tables whose size is checked before they are broadcast.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -97,25 +98,26 @@ def project_unprotected(df: DataFrame, mode: str = "drop", tag: str = "protected
 def discover(spark: SparkSession, zone_dir: str) -> DataFrame:
     """Q6: list the assets of a zone (one sub-folder per asset, format from
     the file extension), infer each schema and return one row per column.
-    Only folder listings and schemas (metadata) reach the driver."""
-    jvm = spark._jvm
-    hconf = spark._jsc.hadoopConfiguration()
-    path = jvm.org.apache.hadoop.fs.Path(zone_dir)
-    fs = path.getFileSystem(hconf)
+
+    The listing is a DataFrame over the ``binaryFile`` source that selects
+    only paths (file contents are never read), reduced to one row per
+    (asset, format) before it reaches the driver; schemas are metadata."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(zone_dir) \
+        .select(F.col("path"))
+    root = zone_dir.rstrip("/").split(":", 1)[-1].lstrip("/")
+    rel = F.regexp_extract("path", r"^[a-z0-9]+:/*" + re.escape(root) + r"/([^/]+)/(.+)$", 1)
+    ext = F.lower(F.regexp_extract("path", r"/[^/_.][^/]*\.([A-Za-z0-9]+)$", 1))
+    assets = files.select(rel.alias("asset"), ext.alias("ext")).filter(
+        (F.col("asset") != "") & F.col("ext").isin("parquet", "json", "csv", "orc")).distinct().collect()
+    by_asset: dict[str, str] = {}
+    for r in sorted(assets, key=lambda r: (r.asset, ("parquet", "json", "csv", "orc").index(r.ext))):
+        by_asset.setdefault(r.asset, r.ext)
     rows = []
-    for st in fs.listStatus(path):
-        if not st.isDirectory():
-            continue
-        asset = st.getPath().getName()
-        files = [f.getPath().getName() for f in fs.listStatus(st.getPath()) if f.isFile()]
-        exts = {n.rsplit(".", 1)[-1] for n in files if not n.startswith(("_", ".")) and "." in n}
-        fmt = next((e for e in ("parquet", "json", "csv", "orc") if e in exts), None)
-        if fmt is None:
-            continue
+    for asset, fmt in sorted(by_asset.items()):
         reader = spark.read
         if fmt == "csv":
             reader = reader.option("header", "true").option("inferSchema", "true")
-        schema = reader.format(fmt).load(st.getPath().toString()).schema
+        schema = reader.format(fmt).load(f"{zone_dir.rstrip('/')}/{asset}").schema
         for pos, f in enumerate(schema.fields):
             rows.append((asset, fmt, pos, f.name, f.dataType.simpleString(), f.nullable))
     return spark.createDataFrame(rows, "asset string, format string, position int, column_name string, "

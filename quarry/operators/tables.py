@@ -183,7 +183,8 @@ def expire_partitions(spark: SparkSession, table: str, as_of: str | _dt.date, da
 # --------------------------------------------------------------------------
 
 
-def with_serial(df: DataFrame, name: str = "id", start: int | Column = 1) -> DataFrame:
+def with_serial(df: DataFrame, name: str = "id", start: int | Column = 1,
+                input_is_stable: bool = False) -> DataFrame:
     """Dense surrogate keys ``start, start+1, ...`` with no global sort
     and no single-task window.
 
@@ -193,8 +194,10 @@ def with_serial(df: DataFrame, name: str = "id", start: int | Column = 1) -> Dat
     those counts give each partition's offset, and that table -- bounded by
     the number of partitions, not by the data -- is broadcast back.  The
     input is counted and numbered by two passes over the same plan, so it
-    must be deterministic (a scan); anything else is checkpointed first."""
-    if not _is_stable(df):
+    must give the same rows in the same partitions twice: the caller says so
+    with ``input_is_stable`` (a scan with filters and projections);
+    otherwise the input is checkpointed to the shared folder first."""
+    if not input_is_stable:
         shared_dir(df.sparkSession)
         df = df.checkpoint(eager=True)
     mid = F.monotonically_increasing_id()
@@ -214,16 +217,6 @@ def next_serial_start(existing: DataFrame, col: str = "id") -> Column:
     return F.coalesce(existing.agg(F.max(col).alias("_m")).select("_m").scalar() + 1, F.lit(1))
 
 
-_UNSTABLE_NODES = ("Repartition", "Aggregate", "Join", "Sample", "Window", "Sort", "Deduplicate")
-
-
-def _is_stable(df: DataFrame) -> bool:
-    """True when re-running the plan yields the same rows in the same
-    partitions: scans, filters and projections only (no shuffle)."""
-    plan = df._jdf.queryExecution().optimizedPlan().toString()
-    return not any(n in plan for n in _UNSTABLE_NODES)
-
-
 # --------------------------------------------------------------------------
 # Retention eligibility
 # --------------------------------------------------------------------------

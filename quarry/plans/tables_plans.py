@@ -395,7 +395,7 @@ FROM orders WHERE o_orderpriority = '1-URGENT'""")
 def d8_serial_keys(spark, d):
     existing = t(spark, d, "customer")
     new_rows = t(spark, d, "orders").filter(F.col("o_orderpriority") == "1-URGENT").select("o_orderkey")
-    ids = D.with_serial(new_rows, "id", start=D.next_serial_start(existing, "c_custkey"))
+    ids = D.with_serial(new_rows, "id", start=D.next_serial_start(existing, "c_custkey"), input_is_stable=True)
     return ids.agg(F.count(F.lit(1)).alias("n_rows"), F.min("id").alias("min_id"), F.max("id").alias("max_id"),
                    F.count_distinct("id").alias("n_distinct_ids"))
 

@@ -47,8 +47,11 @@ def test_insert_if_absent_and_upsert(spark):
 
 def test_with_serial_dense(spark):
     df = spark.range(0, 1000, numPartitions=7).select((F.col("id") * 3).alias("x"))
-    ids = sorted(r.id for r in D.with_serial(df, "id", start=100).collect())
+    ids = sorted(r.id for r in D.with_serial(df, "id", start=100, input_is_stable=True).collect())
     assert ids == list(range(100, 1100))
+    shuffled = df.repartition(5, "x")          # not stable: checkpointed first
+    ids = sorted(r.id for r in D.with_serial(shuffled, "id", start=1).collect())
+    assert ids == list(range(1, 1001))
 
 
 def test_deletable(spark):
