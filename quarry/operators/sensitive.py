@@ -176,6 +176,28 @@ def redact_files(spark, root: str, out: str, types: Iterable[str], exclude: str
     return redaction_log(files, "path", ["text"], types)
 
 
+def redact_csv_files(spark, root: str, out: str, columns: Iterable[str] = (), text_columns: Iterable[str] = (),
+                     types: Iterable[str] = (), exclude: str | None = None, by: str | None = None,
+                     value: str = "[redacted]") -> DataFrame:
+    """X8 for structured files: CSV files with a header are read (quoted
+    multi-line fields allowed), ``columns`` are replaced by ``value`` (X5),
+    ``text_columns`` have every match of ``types`` replaced by its
+    ``[INFO_TYPE]`` (X6), and the result is written as CSV under ``out``,
+    one folder per ``by`` value (S16).  Returns the de-identified rows."""
+    df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
+        .option("recursiveFileLookup", "true").csv(root)
+    if exclude:
+        df = df.filter(~F.col("_metadata.file_path").rlike(exclude))
+    red = redact_columns(df, columns, value)
+    for c in text_columns:
+        red = red.withColumn(c, redact_text_expr(F.col(c), types))
+    w = red.write.mode("overwrite").option("header", "true").option("escape", '"')
+    if by:
+        w = w.partitionBy(by)
+    w.csv(out)
+    return red
+
+
 def block_guard(df: DataFrame, col: str, rules: Sequence[tuple[str, str]], out: str | None = None) -> DataFrame:
     """Rules ``(info_type or regex, notice)``: when a blocked type is
     found the whole text becomes the notice; with several matches the last

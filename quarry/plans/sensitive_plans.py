@@ -337,3 +337,40 @@ def s16_write_redacted_files(spark, d):
     return back.groupBy("source").agg(
         F.sum(F.regexp_count("value", F.lit(r"\[EMAIL_ADDRESS\]"))).cast("bigint").alias("n_redacted"),
         F.sum(F.length("value") - F.length(F.regexp_replace("value", "\n", ""))).cast("bigint").alias("n_newlines"))
+
+
+CSV_TYPES = ["EMAIL_ADDRESS", "AUTH_TOKEN", "CREDIT_CARD_NUMBER"]
+
+
+@register("x8_redact_csv_files", f"""
+WITH f AS (
+  SELECT doc_id, source, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}') AS email,
+         {_duck_redact('text', CSV_TYPES)} AS message
+  FROM documents WHERE source NOT IN ('src0', 'src1'))
+SELECT source, CAST(count(*) AS BIGINT) AS n_rows,
+       CAST(count(*) FILTER (WHERE email = '[redacted]' OR email IS NOT NULL) AS BIGINT) AS n_email_redacted,
+       CAST(sum(len(regexp_extract_all(message, '\\[(EMAIL_ADDRESS|AUTH_TOKEN|CREDIT_CARD_NUMBER)\\]'))) AS BIGINT)
+         AS n_tokens,
+       md5(string_agg(md5(message), ',' ORDER BY doc_id)) AS messages_md5
+FROM f GROUP BY source""")
+def x8_redact_csv_files(spark, d):
+    # "sensitive files": one CSV folder per source with an email column and
+    # a free-text message column, de-identified and written out
+    docs = t(spark, d, "documents").select(
+        "doc_id", "source",
+        F.regexp_extract("text", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 0).alias("email"),
+        F.col("text").alias("message"))
+    src = scratch_path(spark, "files", "sensitive_csv")
+    docs.write.option("header", "true").option("escape", '"').partitionBy("source").csv(src)
+    out = scratch_path(spark, "files", "sensitive_csv_redacted")
+    X.redact_csv_files(spark, src, out, columns=["email"], text_columns=["message"], types=CSV_TYPES,
+                       exclude=r"/source=src[01]/", by="source")
+    back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(out)
+    return back.groupBy("source").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count(F.when(F.col("email") == "[redacted]", 1)).alias("n_email_redacted"),
+        F.sum(F.regexp_count("message", F.lit(r"\[(EMAIL_ADDRESS|AUTH_TOKEN|CREDIT_CARD_NUMBER)\]")))
+         .cast("bigint").alias("n_tokens"),
+        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("doc_id").cast("long").alias("k"),
+                                                                              F.md5("message").alias("h")))),
+                                       lambda x: x["h"]), ",")).alias("messages_md5"))
