@@ -150,8 +150,9 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int =
                             .mapInArrow(_suspects(shared, bits, min_chars), "doc_id long, key binary"))
     # ordered with null last; the smallest and the largest differ if there are two documents or more
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    repeats = (suspects.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-               .filter(F.col("first") != F.col("last")).select("key", "first"))
+    # a table of its own, so that Spark can split a common line's side of the join
+    repeats = checkpointed(suspects.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                           .filter(F.col("first") != F.col("last")).select("key", "first"))
     drops = (suspects.join(repeats, "key").filter(place != F.col("first"))
              .groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("__drops")))
     joined = docs.join(drops, docs["doc_id"].cast("long").eqNullSafe(drops["__id"]), "left").drop(drops["__id"])
