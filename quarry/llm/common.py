@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.session import shared_dir
+from quarry.session import scratch_path, shared_dir
 
 CHUNK_BYTES = 1 << 20
 WHITE = b" \t\n\x0b\x0c\r"
@@ -48,6 +48,15 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a Parquet table in the shared folder.  Unlike a
+    checkpoint it carries over no constraints of the plan, which grow from step
+    to step of an iteration, and has a known size; it doesn't keep partitions."""
+    path = scratch_path(df.sparkSession, "llm")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """The finaliser of splitmix64: a bijection that spreads all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

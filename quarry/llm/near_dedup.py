@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import buffers, checkpointed, mix64, runs, table, words
+from quarry.llm.common import buffers, written, mix64, runs, table, words
 
 SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
@@ -183,13 +183,13 @@ def components(edges: DataFrame) -> DataFrame:
 
     Each step takes the smallest label among a node and its neighbours, then
     the label of that label."""
-    edges = checkpointed(edges.select("a", "b").union(edges.select("b", "a")).distinct())
-    label = checkpointed(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
+    edges = written(edges.select("a", "b").union(edges.select("b", "a")).distinct())
+    label = written(edges.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")))
     while True:
         near = (edges.join(label.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near")))
         least = label.join(near, "node").select("node", F.least("label", "near").alias("label"), F.col("label").alias("old"))
         jump = least.select(F.col("node").alias("label"), F.col("label").alias("next"))
-        new = checkpointed(least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"), "old"))
+        new = written(least.join(jump, "label", "left").select("node", F.least("label", "next").alias("label"), "old"))
         changed = new.filter(F.col("label") != F.col("old")).limit(1).count()
         label = new.drop("old")
         if not changed:
@@ -205,7 +205,7 @@ def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
     hubs = [F.min(F.struct((F.xxhash64(F.lit(s), "node") if s else F.lit(0)).alias("h"), "node", "label")).alias(f"h{s}") for s in seeds]
     bucket = keys.groupBy("key").agg(*hubs, F.min("label").alias("lo"), F.max("label").alias("hi")).filter(F.col("lo") < F.col("hi"))
     # a table of its own, so that a large bucket's side of the join can be split
-    bucket = checkpointed(bucket.select("key", F.array_distinct(F.array(*(f"h{s}" for s in seeds))).alias("hubs")))
+    bucket = written(bucket.select("key", F.array_distinct(F.array(*(f"h{s}" for s in seeds))).alias("hubs")))
     met = keys.join(bucket, "key")
     pairs = met.select("node", "label", F.explode(F.filter("hubs", lambda x: x["label"] != F.col("label"))).alias("hub"))
     return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
@@ -214,26 +214,26 @@ def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
 def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(node, label) of all texts that are near another one; a node is the digest of a text."""
     texts = docs.select(digest().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = checkpointed(texts.mapInArrow(_signed, "node binary, keys array<long>").groupBy("node").agg(F.first("keys").alias("keys")))
+    signed = written(texts.mapInArrow(_signed, "node binary, keys array<long>").groupBy("node").agg(F.first("keys").alias("keys")))
     keys = signed.select("node", F.explode("keys").alias("key"))
     # a key that one text alone holds links nothing
-    shared = checkpointed(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter(F.col("lo") < F.col("hi")).select("key"))
-    keys = checkpointed(keys.join(shared, "key").select("key", "node", F.col("node").alias("label")))
+    shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter(F.col("lo") < F.col("hi")).select("key"))
+    keys = written(keys.join(shared, "key").select("key", "node", F.col("node").alias("label")))
     wanted = keys.select("node").distinct()
-    texts = checkpointed(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
+    texts = written(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
             texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
-        return checkpointed(joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a binary, b binary"))
+        return written(joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a binary, b binary"))
 
-    tested = checkpointed(_candidates(keys, [0]))
+    tested = written(_candidates(keys, [0]))
     links = verified(tested)
     label = components(links)
     for k in range(1, MAX_ROUNDS + 1):
         # labels change only for nodes that a link reached
         now = keys.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        pairs = checkpointed(_candidates(now, [k * HUBS + i for i in range(HUBS)]).join(tested, ["a", "b"], "left_anti"))
+        pairs = written(_candidates(now, [k * HUBS + i for i in range(HUBS)]).join(tested, ["a", "b"], "left_anti"))
         if not pairs.limit(1).count():
             break
         found = verified(pairs)
@@ -255,15 +255,15 @@ def classed(docs: DataFrame) -> DataFrame:
     """(doc_id, node, label, class_id, class_size, n_same), a row for each distinct doc_id and text."""
     place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
     ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest().alias("node")).groupBy("doc_id", "node").agg(F.count("*").alias("n_same"))
-    own = checkpointed(ids.join(classes(docs), "node", "left").withColumn("label", F.coalesce("label", "node")))
-    size = checkpointed(own.groupBy("label").agg(F.min(F.struct(place.alias("place"), "node")).alias("first"), F.sum("n_same").alias("class_size")))
+    own = written(ids.join(classes(docs), "node", "left").withColumn("label", F.coalesce("label", "node")))
+    size = written(own.groupBy("label").agg(F.min(F.struct(place.alias("place"), "node")).alias("first"), F.sum("n_same").alias("class_size")))
     return own.join(size, "label").select("doc_id", "node", "label", F.col("first.place.id").alias("class_id"), "class_size", "n_same",
                                           (F.struct(place, F.col("node")) == F.struct(F.col("first.place"), F.col("first.node"))).alias("first"))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
     """``docs`` with one row of each class: its smallest ``doc_id``."""
-    found = checkpointed(classed(docs))
+    found = written(classed(docs))
     kept = found.filter("first").select(F.col("doc_id").alias("__id"), F.col("node").alias("__node"), (F.col("n_same") > 1).alias("__again"))
     joined = docs.withColumn("__digest", digest()).join(kept, F.col("__digest").eqNullSafe(F.col("__node")) & docs["doc_id"].cast("long").eqNullSafe(F.col("__id")))
     once = joined.filter(~F.col("__again")).select(*docs.columns)
