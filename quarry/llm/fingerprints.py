@@ -49,16 +49,16 @@ def is_anchor(word: Column) -> Column:
 
 
 def spots(text: Column) -> Column:
-    """The sorted set of a text's spot signatures, as 64-bit hashes."""
+    """The sorted set of a text's spot signatures, as 32-bit hashes."""
     def chains(w):
         anchors = F.filter(F.transform(w, lambda x, i: F.when(is_anchor(x), i)), lambda i: i.isNotNull())
         content = F.filter(w, lambda x: ~is_anchor(x))
 
         def after(c):
-            return F.transform(anchors, lambda p, j: F.when(p - j < F.size(c), F.xxhash64(w[p], *(F.get(c, p - j + k) for k in range(CHAIN)))))
+            return F.transform(anchors, lambda p, j: F.when(p - j < F.size(c), F.hash(w[p], *(F.get(c, p - j + k) for k in range(CHAIN)))))
 
         found = F.array_sort(F.array_distinct(F.array_compact(let(content, after))))
-        return let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.xxhash64(w))))
+        return let(found, lambda s: F.when(F.size(s) > 0, s).otherwise(F.array(F.hash(w))))
 
     return let(words(text), chains)
 
@@ -76,34 +76,38 @@ def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
 
 
 def next_ids(docs: DataFrame) -> DataFrame:
-    """(prev, doc_id, need): each distinct doc_id once as ``prev``, with the one
-    that follows it and the characters that it may take from there."""
-    ids = docs.groupBy("doc_id").agg((F.max(F.length("text")) / 3).cast("long").alias("need"))
+    """(key, prev, need): each distinct document (key) with the one that it
+    follows (prev), and the characters that this one may take from it.
+    ``docs`` has doc_id, key (the id as text, never null) and text."""
+    ids = docs.groupBy("doc_id", "key").agg((F.max(F.length("text")) / 3).cast("int").alias("need"))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     down = F.col("doc_id").desc_nulls_last()
     part = checkpointed(ids.repartitionByRange(n, down)).withColumn("part", F.spark_partition_id())
-    follows = part.withColumn("next", F.lead(F.struct("doc_id")).over(Window.partitionBy("part").orderBy(down)))
-    # one row a partition: its first id, and the first of the partition after it
-    heads = part.groupBy("part").agg(F.struct(F.max("doc_id").alias("doc_id")).alias("head"))
+    own = Window.partitionBy("part").orderBy(down)
+    follows = part.select("part", "need", F.col("key").alias("prev"), F.lead("key").over(own).alias("next"))
+    # one row a partition: the first document of the partition after it; the last is followed by the first
+    heads = part.groupBy("part").agg(F.min(F.struct(F.col("doc_id").isNull(), -F.col("doc_id"), F.col("key").alias("key"))).alias("head"))
     order = Window.orderBy("part")
-    heads = heads.select("part", F.coalesce(F.lead("head").over(order), F.first("head").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
-    return (follows.join(F.broadcast(heads), "part")
-            .select(F.col("doc_id").alias("prev"), F.coalesce("next", "after").alias("n"), "need").select("prev", "n.doc_id", "need"))
+    after = F.coalesce(F.lead("head.key").over(order), F.first("head.key").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)))
+    heads = heads.select("part", after.alias("after"))
+    return follows.join(F.broadcast(heads), "part").select(F.coalesce("next", "after").alias("key"), "prev", "need")
 
 
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """Every row with its fingerprint, that of its edited text, and its likeness to that and to the next document."""
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
-    own = own.withColumn("spots", spots(F.col("text")))
-    follow = checkpointed(next_ids(docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))))
-    sent = own.join(follow, own["doc_id"].eqNullSafe(follow["doc_id"])).select(
-        "prev", F.struct(F.md5(F.col("text").cast("binary")).alias("digest"), F.expr("substring(text, 1, CAST(need AS INT))").alias("text"), "spots").alias("next"))
-    sent = sent.groupBy("prev").agg(F.min("next").alias("next"))
-    both = own.join(sent, own["doc_id"].eqNullSafe(sent["prev"]))
+    doc_id = F.col("doc_id").cast("long")
+    own = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id.cast("string"), F.lit("none")).alias("key"), text_or_empty().alias("text"))
+    follow = checkpointed(next_ids(own))
+    # the next document sends what the edit may take and its spots
+    sent = own.join(follow, "key").select("prev", F.struct(
+        F.md5(F.col("text").cast("binary")).alias("digest"), F.substring("text", F.lit(1), F.col("need")).alias("text"), spots(F.col("text")).alias("spots")).alias("next"))
+    sent = sent.groupBy(F.col("prev").alias("key")).agg(F.min("next").alias("next"))
     kept = F.length("text") - F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), kept), F.substring(F.col("next.text"), F.lit(1), F.length("text") - kept))
-    both = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), "spots", F.col("next.spots").alias("next_spots"), edited.alias("edited"))
-    done = both.select("doc_id", "n_chars", F.sha2("edited", 256).alias("edited_sha256"), "spots", "next_spots", F.inline(F.array(F.struct(spots(F.col("edited")).alias("edited_spots")))))
+    both = own.join(sent, "key").select("doc_id", "text", F.col("next.spots").alias("next_spots"), edited.alias("edited"))
+    # a generator holds what is made once a row
+    done = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "next_spots",
+                       F.inline(F.array(F.struct(spots(F.col("text")).alias("spots"), spots(F.col("edited")).alias("edited_spots")))))
     return done.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("spots")).alias("fingerprint"), fingerprint(F.col("edited_spots")).alias("edited_fingerprint"),
                        likeness(F.col("spots"), F.col("edited_spots")).alias("near_edited"), likeness(F.col("spots"), F.col("next_spots")).alias("near_next"))
 
