@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import LOWER, buffers, checkpointed, crc_mod, runs, table, text_or_empty, words
+from quarry.llm.common import LOWER, buffers, checkpointed, crc_mod, mix64, runs, table, text_or_empty, words
 
 CONTEXT = 5
 UPPER = 2
@@ -41,7 +41,7 @@ DISCOUNTS = (0.05, 0.2, 0.3, 0.4, 0.5, 0.6)
 STRENGTH = 1.0
 SWEEPS = 3
 #: Bytes of text in one scoring split, about.
-SPLIT_BYTES = 32_000_000
+SPLIT_BYTES = 24_000_000
 BASE_ADD = 0.1
 
 SPACE, END = 0x20, 0x0A
@@ -96,7 +96,7 @@ class Tally:
             self.keys.append(k)
             self.counts.append(n * weight)
             self.size += len(k)
-        if self.size > 4_000_000:
+        if self.size > 3_000_000:
             k, n = _tally(self.keys, self.counts)
             self.keys, self.counts, self.size = [k], [n], len(k) // 2
 
@@ -174,6 +174,31 @@ def _find(table_: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarra
     return np.where(table_[at] == keys, values[at], 0.0)
 
 
+class Lookup:
+    """Values by key for many keys in any order.  A key has one slot of a table
+    of about four times their number; the few that share theirs are searched."""
+
+    def __init__(self, keys: np.ndarray, values: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.values = keys[order], values[order]
+        self.shift = np.uint64(64 - max(10, (4 * len(keys)).bit_length()))
+        slot = self._slot(self.keys)
+        self.at = np.zeros(1 << (64 - int(self.shift)), dtype=np.int32)
+        self.at[slot] = np.arange(len(keys))
+        self.held = np.full(len(self.at), np.iinfo(np.uint64).max, dtype=np.uint64)
+        self.held[slot] = self.keys[self.at[slot]]
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix64(keys) >> self.shift).astype(np.int64)
+
+    def __call__(self, keys: np.ndarray) -> np.ndarray:
+        slot = self._slot(keys)
+        at = self.at[slot]
+        other = np.flatnonzero(self.held[slot] != keys)
+        at[other] = np.searchsorted(self.keys, keys[other])
+        return self.values[at]
+
+
 def _mask(k: int) -> np.uint64:
     return np.uint64((1 << 8 * (k + 1)) - 1)
 
@@ -273,18 +298,16 @@ def _score(n: int, v: int):
         told = {}
         for which in (RUN, WORD):
             own = kind == which
-            k, x = keys[own].view(np.uint64), np.nan_to_num(value[own])
-            order = np.argsort(k)
-            told[which] = k[order], x[order]
+            told[which] = Lookup(keys[own].view(np.uint64), np.nan_to_num(value[own]))
         raw, off = buffers(group.column("text"))
         total, base, known, count = (np.zeros(len(off) - 1) for _ in range(4))
         add = lambda c: np.log10((c + BASE_ADD) / (n + BASE_ADD * (v + 1)))
-        end = float(_find(told[WORD][0], np.array([END_WORD]), told[WORD][1])[0])
+        end = float(told[WORD](np.array([END_WORD]))[0])
         for i, j in runs(off):
             part = off[i:j + 1]
             g, owner, h, row = spelled(raw[part[0]:part[-1]], part - part[0])
-            total[i:j] = np.bincount(owner, weights=told[RUN][1][np.searchsorted(told[RUN][0], g)], minlength=j - i)
-            c = told[WORD][1][np.searchsorted(told[WORD][0], h)]
+            total[i:j] = np.bincount(owner, weights=told[RUN](g), minlength=j - i)
+            c = told[WORD](h)
             base[i:j] = np.bincount(row, weights=add(c), minlength=j - i) + add(end)
             known[i:j] = np.bincount(row, weights=c > 0, minlength=j - i) + (end > 0)
             count[i:j] = np.bincount(row, minlength=j - i) + 1

@@ -9,9 +9,10 @@ registers and thinned to the weight at hand.  Points come in ascending order,
 so a process stops as soon as it is past what any register can still take.
 
 Registers are banded.  Members of a bucket are held against one hub of it, and
-the shared multiset of both whole texts decides.  Later rounds choose other
-hubs at random in buckets that still hold several classes, until a round finds
-no further link.  Copies of a text are grouped before by a 128-bit digest and
+the shared multiset of both whole texts decides.  Later rounds bucket by two bands
+at a time, another pairing of bands each round, where mostly texts that are
+truly near meet, and hold the members against random hubs of other classes,
+until a round finds no further link or all pairings have been used.  Copies of a text are grouped before by a 128-bit digest and
 have one representative.  Links are joined into classes by label propagation
 with pointer jumping; no step gathers a bucket or a class.
 
@@ -36,9 +37,9 @@ SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
 BANDS, BAND_ROWS = 28, 5
 REGISTERS = BANDS * BAND_ROWS
-#: Hubs that a bucket has in each round after the first, and the fewest and most of these rounds.
-HUBS = 4
-MIN_ROUNDS, MAX_ROUNDS = 2, 8
+#: Hubs that a bucket has in each round after the first, and the fewest of these rounds.
+HUBS = 2
+MIN_ROUNDS = 2
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,9 +201,10 @@ def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
     """Pairs (a, b) of a bucket's hubs and its other members of other classes.
 
     ``keys`` is (key, node, label).  A hub is the member with the smallest
-    hash under a seed (the smallest node under seed 0), found by partial
+    hash under a seed and the key, so that a node meets other hubs in each of
+    its buckets (under seed 0: the smallest node), found by partial
     aggregation."""
-    hubs = [F.min(F.struct((F.xxhash64(F.lit(s), "node") if s else F.lit(0)).alias("h"), "node", "label")).alias(f"h{s}") for s in seeds]
+    hubs = [F.min(F.struct((F.xxhash64(F.lit(s), "key", "node") if s else F.lit(0)).alias("h"), "node", "label")).alias(f"h{s}") for s in seeds]
     bucket = keys.groupBy("key").agg(*hubs, F.min("label").alias("lo"), F.max("label").alias("hi")).filter(F.col("lo") < F.col("hi"))
     # a table of its own, so that a large bucket's side of the join can be split
     bucket = written(bucket.select("key", F.array_distinct(F.array(*(f"h{s}" for s in seeds))).alias("hubs")))
@@ -219,7 +221,7 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     # a key that one text alone holds links nothing
     shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter(F.col("lo") < F.col("hi")).select("key"))
     keys = written(keys.join(shared, "key").select("key", "node", F.col("node").alias("label")))
-    wanted = keys.select("node").distinct()
+    wanted = written(keys.select("node").distinct())
     texts = written(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
@@ -230,21 +232,29 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     tested = written(_candidates(keys, [0]))
     links = verified(tested)
     label = components(links)
-    for k in range(1, MAX_ROUNDS + 1):
-        # labels change only for nodes that a link reached
-        now = keys.drop("label").join(label, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    pairings = signed.join(wanted, "node", "left_semi")
+    for k in range(1, BANDS // 2 + 1):  # the pairings of all bands
+        both = F.transform("keys", lambda x, i: F.xxhash64(x, F.get("keys", (i + k) % BANDS)))
+        now = pairings.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.explode(both).alias("key"))
         pairs = written(_candidates(now, [k * HUBS + i for i in range(HUBS)]).join(tested, ["a", "b"], "left_anti"))
         if not pairs.limit(1).count():
             break
         found = verified(pairs)
-        some = found.limit(1).count()
-        if some:
+        if found.limit(1).count():
             links = links.union(found)
-            label = components(links)
-        if not some and k >= MIN_ROUNDS:
+            label = _nearer(label, found)
+        elif k >= MIN_ROUNDS:
             break
         tested = tested.union(pairs)
-    return label
+    return components(links)
+
+
+def _nearer(label: DataFrame, links: DataFrame) -> DataFrame:
+    """Labels after one step along new links: enough to leave out most pairs of one class."""
+    ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
+    near = (ends.join(label.select(F.col("node").alias("other"), "label"), "other", "left")
+            .groupBy("node").agg(F.min(F.coalesce("label", "other")).alias("near")))
+    return written(label.join(near, "node", "full").select("node", F.least(F.coalesce("label", "node"), "near").alias("label")))
 
 
 def digest():
