@@ -96,15 +96,17 @@ def next_ids(docs: DataFrame) -> DataFrame:
 def fingerprinted(docs: DataFrame) -> DataFrame:
     """Every row with its fingerprint, that of its edited text, and its likeness to that and to the next document."""
     doc_id = F.col("doc_id").cast("long")
-    own = docs.select(doc_id.alias("doc_id"), F.coalesce(doc_id.cast("string"), F.lit("none")).alias("key"), text_or_empty().alias("text"))
-    follow = checkpointed(next_ids(own))
+    # the same two columns on both sides of the joins below, so that the texts are shuffled once
+    own = docs.select(F.coalesce(doc_id.cast("string"), F.lit("none")).alias("key"), text_or_empty().alias("text"))
+    doc_id = F.when(F.col("key") != "none", F.col("key").cast("long"))
+    follow = checkpointed(next_ids(own.withColumn("doc_id", doc_id)))
     # the next document sends what the edit may take and its spots
     sent = own.join(follow, "key").select("prev", F.struct(
         F.md5(F.col("text").cast("binary")).alias("digest"), F.substring("text", F.lit(1), F.col("need")).alias("text"), spots(F.col("text")).alias("spots")).alias("next"))
     sent = sent.groupBy(F.col("prev").alias("key")).agg(F.min("next").alias("next"))
     kept = F.length("text") - F.floor(F.length("text") / 3).cast("int")
     edited = F.concat(F.substring("text", F.lit(1), kept), F.substring(F.col("next.text"), F.lit(1), F.length("text") - kept))
-    both = own.join(sent, "key").select("doc_id", "text", F.col("next.spots").alias("next_spots"), edited.alias("edited"))
+    both = own.join(sent, "key").select(doc_id.alias("doc_id"), "text", F.col("next.spots").alias("next_spots"), edited.alias("edited"))
     # a generator holds what is made once a row
     done = both.select("doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2("edited", 256).alias("edited_sha256"), "next_spots",
                        F.inline(F.array(F.struct(spots(F.col("text")).alias("spots"), spots(F.col("edited")).alias("edited_spots")))))
