@@ -12,7 +12,8 @@ Registers are banded.  Members of a bucket are held against one hub of it, and
 the shared multiset of both whole texts decides.  Later rounds bucket by two bands
 at a time, another pairing of bands each round, where mostly texts that are
 truly near meet, and hold the members against random hubs of other classes,
-until a round finds no further link or all pairings have been used.  Copies of a text are grouped before by a 128-bit digest and
+until a round finds no further link or all pairings have been used.  Only
+bands whose bucket still holds several classes take part.  Copies of a text are grouped before by a 128-bit digest and
 have one representative.  Links are joined into classes by label propagation
 with pointer jumping; no step gathers a bucket or a class.
 
@@ -40,6 +41,8 @@ REGISTERS = BANDS * BAND_ROWS
 #: Hubs that a bucket has in each round after the first, and the fewest of these rounds.
 HUBS = 2
 MIN_ROUNDS = 2
+#: Pairings of the bands in one round.
+PAIRINGS = 4
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -200,7 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
 def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
     """Pairs (a, b) of a bucket's hubs and its other members of other classes.
 
-    ``keys`` is (key, node, label).  A hub is the member with the smallest
+    ``keys`` has key, node, label.  A hub is the member with the smallest
     hash under a seed and the key, so that a node meets other hubs in each of
     its buckets (under seed 0: the smallest node), found by partial
     aggregation."""
@@ -217,10 +220,10 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(node, label) of all texts that are near another one; a node is the digest of a text."""
     texts = docs.select(digest().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
     signed = written(texts.mapInArrow(_signed, "node binary, keys array<long>").groupBy("node").agg(F.first("keys").alias("keys")))
-    keys = signed.select("node", F.explode("keys").alias("key"))
+    keys = signed.select("node", F.posexplode("keys").alias("band", "key"))
     # a key that one text alone holds links nothing
     shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter(F.col("lo") < F.col("hi")).select("key"))
-    keys = written(keys.join(shared, "key").select("key", "node", F.col("node").alias("label")))
+    keys = written(keys.join(shared, "key").select("key", "band", "node"))
     wanted = written(keys.select("node").distinct())
     texts = written(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
 
@@ -229,21 +232,29 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
             texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return written(joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a binary, b binary"))
 
-    tested = written(_candidates(keys, [0]))
+    tested = written(_candidates(keys.withColumn("label", F.col("node")), [0]))
     links = verified(tested)
     label = components(links)
-    pairings = signed.join(wanted, "node", "left_semi")
-    for k in range(1, BANDS // 2 + 1):  # the pairings of all bands
-        both = F.transform("keys", lambda x, i: F.xxhash64(x, F.get("keys", (i + k) % BANDS)))
-        now = pairings.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.explode(both).alias("key"))
-        pairs = written(_candidates(now, [k * HUBS + i for i in range(HUBS)]).join(tested, ["a", "b"], "left_anti"))
+    still = keys.join(label, "node", "left").groupBy("key").agg(
+        F.min(F.coalesce("label", "node")).alias("lo"), F.max(F.coalesce("label", "node")).alias("hi")).filter(F.col("lo") < F.col("hi")).select("key")
+    held = (keys.join(written(still), "key").groupBy("node").agg(F.map_from_entries(F.collect_set(F.struct("band", "key"))).alias("held"))
+            .filter(F.size("held") > 1))  # at most a key for each band
+    held = written(held)
+    rounds = [range(k, min(k + PAIRINGS, BANDS // 2 + 1)) for k in range(1, BANDS // 2 + 1, PAIRINGS)]  # all pairings
+    for n, pairings in enumerate(rounds, 1):
+        both = [F.xxhash64(F.lit(i * BANDS + (i + k) % BANDS), F.element_at("held", F.lit(i)), F.element_at("held", F.lit((i + k) % BANDS)))
+                for k in pairings for i in range(BANDS)]
+        some = [F.map_contains_key("held", F.lit(i)) & F.map_contains_key("held", F.lit((i + k) % BANDS)) for k in pairings for i in range(BANDS)]
+        now = held.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.explode(
+            F.array_compact(F.array(*(F.when(s, b) for s, b in zip(some, both))))).alias("key"))
+        pairs = written(_candidates(now, [n * HUBS + i for i in range(HUBS)]).join(tested, ["a", "b"], "left_anti"))
         if not pairs.limit(1).count():
             break
         found = verified(pairs)
         if found.limit(1).count():
             links = links.union(found)
             label = _nearer(label, found)
-        elif k >= MIN_ROUNDS:
+        elif n >= MIN_ROUNDS:
             break
         tested = tested.union(pairs)
     return components(links)
