@@ -38,11 +38,11 @@ SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
 BANDS, BAND_ROWS = 28, 5
 REGISTERS = BANDS * BAND_ROWS
-#: Hubs that a bucket has in each round after the first, and the fewest of these rounds.
-HUBS = 2
+#: Hubs that a bucket has in each round after the first (each round has others), and the fewest of these rounds.
+HUBS = 1
 MIN_ROUNDS = 2
 #: Pairings of the bands in one round.
-PAIRINGS = 4
+PAIRINGS = 2
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
