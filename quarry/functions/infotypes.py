@@ -149,7 +149,7 @@ DETECTORS: list[Detector] = [
     D("CANADA_SOCIAL_INSURANCE_NUMBER", 1, r"\b[0-9]{3}[ -][0-9]{3}[ -][0-9]{3}\b", "national_id",
       checksum="luhn"),
     # tier 2: distinctive shape
-    D("EMAIL_ADDRESS", 2, r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", "contact", "VERY_LIKELY"),
+    D("EMAIL_ADDRESS", 2, r"[A-Za-z0-9._%+-]{1,64}@[A-Za-z0-9.-]{1,255}\.[A-Za-z]{2,}", "contact", "VERY_LIKELY"),
     D("PHONE_NUMBER", 2, r"(?:\+[0-9]{1,3}[ .-]?)?\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}\b", "contact",
       context=("phone", "tel", "mobile", "call")),
     D("MAC_ADDRESS", 2, r"\b[0-9A-Fa-f]{2}(?:[:-][0-9A-Fa-f]{2}){5}\b", "device", context=("mac",)),

@@ -15,17 +15,6 @@ from pyspark.sql import functions as F
 from quarry.functions.scalar import policy_members
 
 PROTECTED_KEY = "aspect"
-# Rule tables (mute rules, wanted bindings, grants) above this many rows are
-# joined by a shuffle instead of a broadcast.
-MAX_BROADCAST_ROWS = 1_000_000
-
-
-def bounded_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast a rule table only after checking it is small: the check is
-    a count bounded to ``limit + 1`` rows, so it stays cheap even when the
-    table turns out to be large (then the plain, shuffled side is used)."""
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
 
 
 # --------------------------------------------------------------------------
@@ -133,7 +122,7 @@ def mute(findings: DataFrame, rules: DataFrame, category: str = "category") -> D
     """Q7: static mute rules ``(category)``: findings of a listed category
     are flagged ``muted``.  The rule table is a checked-size broadcast."""
     r = rules.select(F.col(category).alias("_mute_cat")).distinct().withColumn("_m", F.lit(True))
-    j = findings.join(bounded_broadcast(r), F.col(category) == F.col("_mute_cat"), "left")
+    j = findings.join(r, F.col(category) == F.col("_mute_cat"), "left")
     return j.withColumn("muted", F.coalesce(F.col("_m"), F.lit(False))).drop("_mute_cat", "_m")
 
 
@@ -157,4 +146,4 @@ def has_binding(policies: DataFrame, wanted: DataFrame, id_col: str = "policy_id
     yields no row)."""
     b = policy_bindings(policies, id_col, doc)
     w = wanted.select("role", "member").distinct()
-    return b.join(bounded_broadcast(w), ["role", "member"], "left_semi")
+    return b.join(w, ["role", "member"], "left_semi")

@@ -138,13 +138,13 @@ def reconcile(a: DataFrame, b: DataFrame, a_key: str, b_key: str) -> DataFrame:
 def cross_param(df: DataFrame, params: DataFrame) -> DataFrame:
     """Attach the columns of a one-row parameter table to every row.
 
-    Written as scalar subqueries rather than a cross join: Spark evaluates
-    each once and fails if the parameter table has more than one row, so
-    the size bound is enforced, not assumed."""
-    out = df
-    for c in params.columns:
-        out = out.withColumn(c, params.select(c).scalar())
-    return out
+    Written as one scalar subquery rather than a cross join: Spark evaluates
+    it once and fails if the parameter table has more than one row, so the
+    size bound is enforced, not assumed.  A parameter table without a row
+    gives no rows."""
+    row = params.select(F.struct(*params.columns).alias("p")).scalar()
+    out = df.withColumn("_params", row).filter(F.col("_params").isNotNull())
+    return out.select(*df.columns, *(F.col("_params")[c].alias(c) for c in params.columns))
 
 
 def unnest(df: DataFrame, array_col: str, alias: str, keep: Sequence[str] | None = None) -> DataFrame:
@@ -223,13 +223,14 @@ def string_agg_distinct(df: DataFrame, key: str, val: str, n: int, name: str,
     smallest values, ascending).  Distinct first, rank second: the rank
     filter becomes a WindowGroupLimit that cuts every map task to n rows per
     key before the window shuffle, so heavy keys stay cheap."""
-    pairs = df.select(key, val).filter(F.col(val).isNotNull())
+    pairs = df.select(key, val)
     if not deduped:
         pairs = pairs.distinct()
-    w = Window.partitionBy(key).orderBy(F.col(val).asc())
+    w = Window.partitionBy(key).orderBy(F.col(val).asc_nulls_last())
     top = pairs.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= n)
-    return top.groupBy(key).agg(
-        F.array_join(F.array_sort(F.collect_list(val)), sep).alias(name))
+    text = F.array_join(F.array_sort(F.collect_list(val)), sep)
+    # a group with only NULLs stays, with NULL
+    return top.groupBy(key).agg(F.when(F.count(val) > 0, text).alias(name))
 
 
 def having(df: DataFrame, cond: Column) -> DataFrame:
@@ -252,22 +253,22 @@ def avg_by(df: DataFrame, keys: Sequence[str], cols: Mapping[str, str]) -> DataF
 
 def array_agg(df: DataFrame, keys: Sequence[str], col: str | Column, name: str,
               distinct: bool = False, sort: bool = True) -> DataFrame:
-    """ARRAY_AGG (NULLs dropped).  The result row holds the whole
+    """ARRAY_AGG (NULLs dropped; NULL for a group with only NULLs).  The result row holds the whole
     group, so use it where the group is bounded (order lines, products of a
     visit).  With ``distinct`` the (keys, value) pairs are deduplicated by a
     shuffle on both before collecting, so only distinct values are held."""
     c = F.col(col) if isinstance(col, str) else col
-    src = df.select(*keys, c.alias("_v")).filter(F.col("_v").isNotNull())
+    src = df.select(*keys, c.alias("_v"))
     if distinct:
         src = src.distinct()
     agg = F.collect_list("_v")
-    return src.groupBy(*keys).agg((F.array_sort(agg) if sort else agg).alias(name))
+    return src.groupBy(*keys).agg(F.when(F.count("_v") > 0, F.array_sort(agg) if sort else agg).alias(name))
 
 
 def pick_one(df: DataFrame, keys: Sequence[str], col: str, name: str) -> DataFrame:
-    """ARRAY_AGG(DISTINCT x LIMIT 1) with a fixed choice: ``[min(x)]``."""
-    return df.groupBy(*keys).agg(F.array(F.min(col)).alias(name)).filter(
-        F.col(name)[0].isNotNull())
+    """ARRAY_AGG(DISTINCT x LIMIT 1) with a fixed choice: ``[min(x)]``
+    (NULL for a group with only NULLs)."""
+    return df.groupBy(*keys).agg(F.when(F.count(col) > 0, F.array(F.min(col))).alias(name))
 
 
 def array_size_agg(df: DataFrame, keys: Sequence[str], col: str, name: str,

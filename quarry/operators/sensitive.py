@@ -20,8 +20,6 @@ from pyspark.sql.types import NumericType, StringType
 
 from quarry.functions import infotypes as I
 
-# A term list above this many rows is joined by a shuffle, not broadcast.
-MAX_BROADCAST_TERMS = 2_000_000
 
 
 def _types(types: Iterable[str] | None) -> list[str]:
@@ -47,17 +45,6 @@ def findings_array(text: str, types: Iterable[str] | None = None, ctx: str | Non
                                  {k: _q(v) for k, v in sig.items()} if sig else None))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Inspection is CPU-bound per row.  When the scan yields fewer input
-    splits than there are task slots (a few large files), spread the rows
-    round-robin so every core works; with many splits (the large-scale
-    case) the scan parallelism is kept and nothing is shuffled."""
-    if df.isStreaming:
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 def inspect(df: DataFrame, id_cols: str | Sequence[str], text_col: str,
             types: Iterable[str] | None = None, min_likelihood: str = "POSSIBLE",
             overrides: Mapping[str, str] | None = None, field: str | None = None) -> DataFrame:
@@ -68,7 +55,7 @@ def inspect(df: DataFrame, id_cols: str | Sequence[str], text_col: str,
     ty = _types(types)
     dets = [I.BY_NAME[t] for t in ty]
     sig = I.signals(F.col(text_col), dets)
-    pre = spread(df.select(*ids, text_col)).select(
+    pre = df.select(*ids, text_col).select(
         *ids, text_col, I.context_words_found(F.col(text_col), dets).alias("_ctx"),
         *[c.alias(f"_sig_{k}") for k, c in sig.items()])
     arr = findings_array(text_col, ty, "_ctx", {k: f"_sig_{k}" for k in sig})
@@ -92,15 +79,13 @@ def dictionary_findings(df: DataFrame, id_cols: str | Sequence[str], text_col: s
                         terms: DataFrame, field: str | None = None) -> DataFrame:
     """Tier 4: single-word terms ``(info_type, term)`` matched against the
     lower-cased word tokens of each text.  The term list is broadcast only
-    when its row count is under ``MAX_BROADCAST_TERMS``; beyond that it is a
+    by Spark's own choice from its size; else it is a
     shuffle join (AQE splits a hot token)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     toks = df.select(*ids, F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")).alias("tok")) \
              .filter(F.col("tok") != "")
     t = terms.select("info_type", F.lower("term").alias("tok")).distinct()
-    n_terms = t.count()
-    side = F.broadcast(t) if n_terms <= MAX_BROADCAST_TERMS else t
-    j = toks.join(side, "tok")
+    j = toks.join(t, "tok")
     return j.select(*ids, F.lit(field or text_col).alias("field"), "info_type",
                     F.lit("LIKELY").alias("likelihood"), F.col("tok").alias("quote"))
 
@@ -142,7 +127,7 @@ def redact_text_expr(text: Column, types: Iterable[str]) -> Column:
 def redact_text(df: DataFrame, col: str, types: Iterable[str]) -> DataFrame:
     """X6 (CPU-bound per row: spread over the task slots when the input has
     fewer splits than slots)."""
-    return spread(df).withColumn(col, redact_text_expr(F.col(col), types))
+    return df.withColumn(col, redact_text_expr(F.col(col), types))
 
 
 def redaction_log(df: DataFrame, id_cols: str | Sequence[str], fields: Sequence[str],
@@ -185,7 +170,7 @@ def redact_csv_files(spark, root: str, out: str, columns: Iterable[str] = (), te
     ``[INFO_TYPE]`` (X6), and the result is written as CSV under ``out``,
     one folder per ``by`` value (S16).  Returns the de-identified rows."""
     df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
-        .option("recursiveFileLookup", "true").csv(root)
+        .option("basePath", root).csv(root)
     if exclude:
         df = df.filter(~F.col("_metadata.file_path").rlike(exclude))
     red = redact_columns(df, columns, value)
@@ -277,7 +262,7 @@ def profile_tables(tables: Mapping[str, DataFrame], types: Iterable[str] | None
                                    for c in ("n_high_findings", "n_other_findings")])
     dets = [I.BY_NAME[t] for t in ty]
     sig = I.signals(F.col("value"), dets)
-    pre = spread(longs).select("table_name", "column_name", "value",
+    pre = longs.select("table_name", "column_name", "value",
                                I.context_words_found(F.col("value"), dets).alias("_ctx"),
                                *[c.alias(f"_sig_{k}") for k, c in sig.items()])
     arr = pre.select("table_name", "column_name",

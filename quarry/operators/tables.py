@@ -167,12 +167,13 @@ def expire_partitions(spark: SparkSession, table: str, as_of: str | _dt.date, da
     dropped = []
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():
         spec = dict(p.split("=", 1) for p in row[0].split("/"))
-        col = by or next(iter(spec))
-        if _dt.date.fromisoformat(spec[col]) < cutoff:
-            dropped.append((col, spec[col]))
+        value = spec[by or next(iter(spec))]
+        # a partition without a date never expires
+        if value not in ("__HIVE_DEFAULT_PARTITION__", "null") and _dt.date.fromisoformat(value) < cutoff:
+            dropped.append((spec, value))
     # one catalog call for all expired partitions
     for i in range(0, len(dropped), 500):
-        specs = ", ".join(f"PARTITION ({c} = DATE'{v}')" for c, v in dropped[i:i + 500])
+        specs = ", ".join("PARTITION (" + ", ".join(f"`{c}` = '{v}'" for c, v in spec.items()) + ")" for spec, _ in dropped[i:i + 500])
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {specs}")
     dropped = [v for _, v in dropped]
     return dropped

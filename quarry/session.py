@@ -64,6 +64,8 @@ def shared_dir(spark: SparkSession) -> str:
             sc.setCheckpointDir(d)
             d = sc.getCheckpointDir()
     if not d:
+        if not (sc.master or "").startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("spark.checkpoint.dir names no folder that the cluster shares")
         d = tempfile.mkdtemp(prefix="quarry-ckpt-")  # local / test sessions only
         sc.setCheckpointDir(d)
         d = sc.getCheckpointDir()

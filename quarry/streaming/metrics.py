@@ -17,6 +17,8 @@ two periods; later rows are dropped.
 
 from __future__ import annotations
 
+import re
+
 import math
 from collections.abc import Mapping, Sequence
 
@@ -26,14 +28,25 @@ from pyspark.sql import functions as F
 from quarry.operators.relational import label_predicate
 
 
+_UNITS = {"ms": 0.001, "s": 1, "sec": 1, "second": 1, "m": 60, "min": 60, "minute": 60, "h": 3600, "hour": 3600,
+          "d": 86400, "day": 86400}
+
+
 def _secs(period) -> int:
+    """Whole seconds of a period: a number of seconds, or text such as
+    "300s", "5 minutes", "1 hour".  Anything else, or a part of a second,
+    is an error."""
     if isinstance(period, (int, float)):
-        return int(period)
-    p = str(period).strip().lower()
-    for suf, mul in (("ms", 0.001), ("s", 1), ("m", 60), ("h", 3600), ("d", 86400)):
-        if p.endswith(suf) and p[: -len(suf)].strip().replace(".", "", 1).isdigit():
-            return int(float(p[: -len(suf)]) * mul)
-    return int(p.split()[0]) if p.split()[0].isdigit() else int(p)
+        secs = float(period)
+    else:
+        m = re.fullmatch(r"\s*(\d+(?:\.\d+)?)\s*([a-z]*)\s*", str(period).lower())
+        unit = _UNITS.get(m[2]) or _UNITS.get(m[2].removesuffix("s")) if m and m[2] else 1
+        if not m or unit is None:
+            raise ValueError(f"not a period: {period!r}")
+        secs = float(m[1]) * unit
+    if secs < 1 or secs != int(secs):
+        raise ValueError(f"a period has whole seconds, one at least: {period!r}")
+    return int(secs)
 
 
 def event_time(df: DataFrame, ts: str = "ts") -> DataFrame:

@@ -24,7 +24,9 @@ def test_every_oracle_has_a_query():
 
 @pytest.mark.parametrize("name", ["w2_top_n_per_group", "j6_reconcile", "a4_string_agg_distinct",
                                   "d2_update_from", "x1_inspect_documents", "t7_sustained",
-                                  "t2_stream_align_600s", "q1_dq_scan", "s9_refresh"])
+                                  "t2_stream_align_600s", "q1_dq_scan", "s9_refresh",
+                                  "a9_array_agg", "a10_array_agg_distinct", "a11_pick_one", "j7_cross_param",
+                                  "x8_redact_csv_files", "x8_redact_files"])
 def test_oracle_small(spark, name):
     status = compare(spark, duck(SF), name, E.queries()[name], E.oracle_sql()[name], SF)
     assert status[0] == "ok", status
