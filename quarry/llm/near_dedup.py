@@ -8,8 +8,11 @@ occurrences (1, 2, 3-4, 5-8, ...), whose points are dealt at random to the
 registers and thinned to the weight at hand.  Points come in ascending order,
 so a process stops as soon as it is past what any register can still take.
 
-Registers are banded.  Members of a bucket are held against one hub of it, and
-the shared multiset of both whole texts decides.  Later rounds bucket by two bands
+Registers are banded.  Members of a bucket are held against one hub of it.  A
+byte of each register tells first how many of two texts agree; a pair at the
+least similarity has too few of them once in ten thousand times (a byte can only
+agree too often).  The shared multiset of both whole texts decides about the
+others, so texts move for pairs alone that are near by their signatures.  Later rounds bucket by two bands
 at a time, another pairing of bands each round, where mostly texts that are
 truly near meet, and hold the members against random hubs of other classes,
 until a round finds no further link or all pairings have been used.  Only
@@ -25,6 +28,7 @@ words as one shingle; empty texts match only each other.  Rows that share a
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -43,6 +47,8 @@ HUBS = 1
 MIN_ROUNDS = 2
 #: Pairings of the bands in one round.
 PAIRINGS = 2
+#: Chance that a pair at the least similarity is passed over for its signatures.
+MISS = 1e-4
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -136,17 +142,43 @@ def band_keys(sig: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def sketch(sig: np.ndarray) -> np.ndarray:
+    """A byte of every register."""
+    return (mix64(sig.view(np.uint64)) >> np.uint64(56)).astype(np.uint8)
+
+
+def fewest_agreeing(least: float, registers: int = REGISTERS, miss: float = MISS) -> int:
+    """The most registers that a pair of similarity ``least`` falls short of with a chance of ``miss`` at most."""
+    below = 0.0
+    for k in range(registers + 1):
+        below += math.comb(registers, k) * least ** k * (1 - least) ** (registers - k)
+        if below > miss:
+            return k
+    return registers
+
+
+def _agreeing(fewest: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, REGISTERS) for k in (2, 3))
+            own = (a == b).sum(axis=1) >= fewest
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], ["a", "b"]).filter(pa.array(own))
+
+    return run
+
+
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         raw, off = buffers(batch.column(1))
         for i, j in runs(off):
             part = off[i:j + 1]
             row, s, w = bags(raw[part[0]:part[-1]], part - part[0])
-            keys = band_keys(signatures(row, s, w, j - i))
+            sig = signatures(row, s, w, j - i)
+            keys, own = band_keys(sig), sketch(sig)
             some = np.bincount(row, minlength=j - i) > 0
             size = np.where(some, BANDS, 0)
             lists = pa.ListArray.from_arrays(pa.array(np.append(0, np.cumsum(size)), pa.int32()), pa.array(keys[some].reshape(-1)))
-            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], lists], ["node", "keys"])
+            yield pa.RecordBatch.from_arrays([batch.column(0)[i:j], lists, pa.array([x.tobytes() for x in own], pa.binary())], ["node", "keys", "sketch"])
 
 
 def similarities(a: pa.Array, b: pa.Array) -> np.ndarray:
@@ -219,16 +251,21 @@ def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
 def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(node, label) of all texts that are near another one; a node is the digest of a text."""
     texts = docs.select(digest().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
-    signed = written(texts.mapInArrow(_signed, "node binary, keys array<long>").groupBy("node").agg(F.first("keys").alias("keys")))
+    signed = written(texts.mapInArrow(_signed, "node binary, keys array<long>, sketch binary").groupBy("node").agg(
+        F.first("keys").alias("keys"), F.first("sketch").alias("sketch")))
     keys = signed.select("node", F.posexplode("keys").alias("band", "key"))
     # a key that one text alone holds links nothing
     shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter(F.col("lo") < F.col("hi")).select("key"))
     keys = written(keys.join(shared, "key").select("key", "band", "node"))
     wanted = written(keys.select("node").distinct())
     texts = written(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
+    sketches = signed.select("node", "sketch").join(wanted, "node", "left_semi")
 
     def verified(pairs: DataFrame) -> DataFrame:
-        joined = pairs.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
+        signs = pairs.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b").join(
+            sketches.select(F.col("node").alias("a"), F.col("sketch").alias("sketch_a")), "a")
+        near = written(signs.select("a", "b", "sketch_a", "sketch_b").mapInArrow(_agreeing(fewest_agreeing(least)), "a binary, b binary"))
+        joined = near.join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b").join(
             texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return written(joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a binary, b binary"))
 
