@@ -259,7 +259,7 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     keys = written(keys.join(shared, "key").select("key", "band", "node"))
     wanted = written(keys.select("node").distinct())
     texts = written(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
-    sketches = signed.select("node", "sketch").join(wanted, "node", "left_semi")
+    sketches = written(signed.select("node", "sketch").join(wanted, "node", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         signs = pairs.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b").join(
