@@ -32,8 +32,9 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm.common import buffers, written, mix64, runs, table, words
@@ -49,6 +50,8 @@ MIN_ROUNDS = 2
 PAIRINGS = 2
 #: Chance that a pair at the least similarity is passed over for its signatures.
 MISS = 1e-4
+#: Bits of the filter of texts that share a bucket (8 MB, whatever the input; a full one only lets more texts through).
+FILTER_BITS = 1 << 26
 
 _GOLD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -248,6 +251,25 @@ def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
     return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
 
 
+def _among(nodes: DataFrame) -> Column:
+    """True for all of ``nodes`` and few others: a Bloom filter over the column ``node``, so that other texts don't move."""
+    spots = [F.xxhash64(F.lit(k), "node").bitwiseAND(F.lit(FILTER_BITS - 1)) for k in (1, 2, 3)]
+    set_bits = nodes.select(F.explode(F.array(*spots)).alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, cast(at & 63 AS int)))").alias("bits")).toArrow()  # FILTER_BITS / 64 rows at most
+    words = np.zeros(FILTER_BITS // 64, dtype=np.int64)
+    words[set_bits.column("word").to_numpy()] = set_bits.column("bits").to_numpy()
+    shared = nodes.sparkSession.sparkContext.broadcast(words)
+
+    @F.pandas_udf("boolean")
+    def found(a: pd.Series, b: pd.Series, c: pd.Series) -> pd.Series:
+        hit = np.ones(len(a), dtype=bool)
+        for at in (a, b, c):
+            hit &= (shared.value[at.to_numpy() >> 6] >> (at.to_numpy() & 63)) & 1 == 1
+        return pd.Series(hit)
+
+    return found(*spots)
+
+
 def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     """(node, label) of all texts that are near another one; a node is the digest of a text."""
     texts = docs.select(digest().alias("node"), F.coalesce("text", F.lit("")).alias("text"))
@@ -258,7 +280,7 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     shared = written(keys.groupBy("key").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).filter(F.col("lo") < F.col("hi")).select("key"))
     keys = written(keys.join(shared, "key").select("key", "band", "node"))
     wanted = written(keys.select("node").distinct())
-    texts = written(texts.dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
+    texts = written(texts.filter(_among(wanted)).dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
     sketches = written(signed.select("node", "sketch").join(wanted, "node", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
