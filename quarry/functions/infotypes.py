@@ -272,6 +272,8 @@ DETECTORS: list[Detector] = [
 
 BY_NAME = {d.name: d for d in DETECTORS}
 ALL_TYPES = [d.name for d in DETECTORS]
+#: Other names that block rules use.
+SYNONYMS = {"US_VEHICLE_IDENTIFICATION_NUMBER": "VEHICLE_IDENTIFICATION_NUMBER"}
 PATTERN_TYPES = [d.name for d in DETECTORS if d.tier < 4]
 assert sorted(BY_NAME) == INFO_TYPES, "detector catalog must cover exactly the 81 info types"
 

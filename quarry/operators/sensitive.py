@@ -12,6 +12,7 @@ aggregation or a size-checked broadcast of the term list.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,7 +28,10 @@ def _types(types: Iterable[str] | None) -> list[str]:
     unknown = [t for t in names if t not in I.BY_NAME]
     if unknown:
         raise ValueError(f"unknown info types: {unknown}")
-    return [t for t in names if I.BY_NAME[t].tier < 4]
+    terms = [t for t in names if I.BY_NAME[t].tier == 4]
+    if terms:
+        raise ValueError(f"info types without a pattern, see dictionary_findings: {terms}")
+    return names
 
 
 def _q(name: str) -> str:
@@ -186,11 +190,13 @@ def redact_csv_files(spark, root: str, out: str, columns: Iterable[str] = (), te
 def block_guard(df: DataFrame, col: str, rules: Sequence[tuple[str, str]], out: str | None = None) -> DataFrame:
     """Rules ``(info_type or regex, notice)``: when a blocked type is
     found the whole text becomes the notice; with several matches the last
-    rule wins (the chain is built in reverse)."""
+    rule wins (the chain is built in reverse).  A name in capitals that is no
+    info type is an error, not a regex."""
     expr = F.col(col)
     chain = None
     for what, notice in reversed(list(rules)):
-        pat = I.BY_NAME[what].shape if what in I.BY_NAME else what
+        what = I.SYNONYMS.get(what, what)
+        pat = I.BY_NAME[_types([what])[0]].shape if re.fullmatch("[A-Z0-9_]+", what) else what
         cond = F.col(col).rlike(pat)
         chain = F.when(cond, F.lit(notice)) if chain is None else chain.when(cond, F.lit(notice))
     if chain is not None:

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import sensitive as X
@@ -68,6 +69,17 @@ def test_block_guard_last_rule_wins(spark):
     assert out == {1: "C", 2: "fine"}
 
 
+def test_block_guard_names(spark):
+    df = spark.createDataFrame([(1, "vin 1M8GDM9AXKP042788"), (2, "fine")], "id int, text string")
+    out = {r.id: r.text for r in X.block_guard(df, "text", [("US_VEHICLE_IDENTIFICATION_NUMBER", "V")]).collect()}
+    assert out == {1: "V", 2: "fine"}
+    for name in ("PERSON_NAME", "NO_SUCH_TYPE"):
+        with pytest.raises(ValueError):
+            X.block_guard(df, "text", [(name, "N")])
+    with pytest.raises(ValueError):
+        X.inspect(df, "id", "text", types=["PERSON_NAME"])
+
+
 def test_profile_and_classify(spark):
     df = docs(spark).withColumn("empty", F.lit(None).cast("string"))
     p = {r.column_name: r for r in X.classify(X.profile(df, "t")).collect()}
