@@ -105,6 +105,20 @@ def test_signature_agreement_is_the_weighted_similarity():
     assert abs((sig[0] == sig[1]).mean() - near_dedup.similarities(pa.array([a]), pa.array([b]))[0]) < 0.03
 
 
+def test_signatures_pass_pairs_at_the_least_similarity():
+    k = near_dedup.fewest_agreeing(0.8)
+    draws = np.random.default_rng(7).binomial(near_dedup.REGISTERS, 0.8, 200_000)
+    assert (draws < k).mean() <= 3 * near_dedup.MISS
+    assert (np.random.default_rng(7).binomial(near_dedup.REGISTERS, 0.5, 10_000) < k).mean() > 0.99
+
+
+def test_text_filter_keeps_all_wanted(spark):
+    ids = spark.range(3000).select(F.unhex(F.md5(F.col("id").cast("string").cast("binary"))).alias("node"), "id")
+    kept = [r.id for r in ids.filter(near_dedup._among(ids.filter("id < 1000").select("node"))).collect()]
+    assert set(range(1000)) <= set(kept) and len(kept) < 1010
+    assert ids.filter(near_dedup._among(ids.filter("id < 0").select("node"))).count() == 0
+
+
 @pytest.mark.parametrize("bits", [1 << 19, 1 << 22])
 def test_line_dedup(odd, empty, bits):
     got = {}
