@@ -8,15 +8,17 @@ occurrences (1, 2, 3-4, 5-8, ...), whose points are dealt at random to the
 registers and thinned to the weight at hand.  Points come in ascending order,
 so a process stops as soon as it is past what any register can still take.
 
-Registers are banded.  Members of a bucket are held against one hub of it.  A
-byte of each register tells first how many of two texts agree; a pair at the
-least similarity has too few of them once in ten thousand times (a byte can only
-agree too often).  The shared multiset of both whole texts decides about the
-others, so texts move for pairs alone that are near by their signatures.  Later rounds bucket by two bands
-at a time, another pairing of bands each round, where mostly texts that are
-truly near meet, and hold the members against random hubs of other classes,
-until a round finds no further link or all pairings have been used.  Only
-bands whose bucket still holds several classes take part.  Copies of a text are grouped before by a 128-bit digest and
+Registers are banded.  Members of a bucket are first held against one hub of
+it, which joins most copies of a text.  A byte of each register tells how many
+of two texts agree; a pair at the least similarity has too few of them once in
+ten thousand times (a byte can only agree too often).  The shared multiset of
+both whole texts decides about the others.  Then all members of a bucket that
+still holds several classes are held against each other, class by class: the
+bucket is cut into blocks, a task has two blocks at a time, and a pair counts
+in the first band that it shares.  Signatures are compared first; texts move
+only for members with a pair that passes, and a task gives verified links that
+join two classes, so its output grows with its members and not with the pairs.
+The work in a task does grow with the square of a block.  Copies of a text are grouped before by a 128-bit digest and
 have one representative.  Links are joined into classes by label propagation
 with pointer jumping; no step gathers a bucket or a class.
 
@@ -43,11 +45,10 @@ SHINGLE_WORDS = 5
 MIN_SIMILARITY = 0.8
 BANDS, BAND_ROWS = 28, 5
 REGISTERS = BANDS * BAND_ROWS
-#: Hubs that a bucket has in each round after the first (each round has others), and the fewest of these rounds.
-HUBS = 1
-MIN_ROUNDS = 2
-#: Pairings of the bands in one round.
-PAIRINGS = 2
+#: Members of a block; a task compares the members of two blocks at a time.
+BLOCK = 512
+#: Pairs whose signatures are compared at once.
+PAIRS_AT_ONCE = 1 << 14
 #: Chance that a pair at the least similarity is passed over for its signatures.
 MISS = 1e-4
 #: Bits of the filter of texts that share a bucket (8 MB, whatever the input; a full one only lets more texts through).
@@ -235,20 +236,150 @@ def components(edges: DataFrame) -> DataFrame:
             return label
 
 
-def _candidates(keys: DataFrame, seeds: list[int]) -> DataFrame:
-    """Pairs (a, b) of a bucket's hubs and its other members of other classes.
-
-    ``keys`` has key, node, label.  A hub is the member with the smallest
-    hash under a seed and the key, so that a node meets other hubs in each of
-    its buckets (under seed 0: the smallest node), found by partial
-    aggregation."""
-    hubs = [F.min(F.struct((F.xxhash64(F.lit(s), "key", "node") if s else F.lit(0)).alias("h"), "node", "label")).alias(f"h{s}") for s in seeds]
-    bucket = keys.groupBy("key").agg(*hubs, F.min("label").alias("lo"), F.max("label").alias("hi")).filter(F.col("lo") < F.col("hi"))
+def _candidates(keys: DataFrame) -> DataFrame:
+    """Pairs (a, b) of a bucket's hub, its smallest node, and its other members.  ``keys`` has key, node."""
     # a table of its own, so that a large bucket's side of the join can be split
-    bucket = written(bucket.select("key", F.array_distinct(F.array(*(f"h{s}" for s in seeds))).alias("hubs")))
-    met = keys.join(bucket, "key")
-    pairs = met.select("node", "label", F.explode(F.filter("hubs", lambda x: x["label"] != F.col("label"))).alias("hub"))
-    return pairs.select(F.least("node", "hub.node").alias("a"), F.greatest("node", "hub.node").alias("b")).distinct()
+    hubs = written(keys.groupBy("key").agg(F.min("node").alias("a")))
+    return keys.join(hubs, "key").filter(F.col("node") > F.col("a")).select("a", F.col("node").alias("b")).distinct()
+
+
+PLACE = "key long, i int, j int, band int, block int, node binary, label binary"
+
+
+def _blocks(keys: DataFrame, label: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes besides the hub, once for each two blocks (i, j) that they are compared in."""
+    hubs = keys.groupBy("key").agg(F.min("node").alias("hub"), F.count("*").alias("n")).filter(F.col("n") > 2)
+    own = written(keys.join(written(hubs.select("key", "hub")), "key").filter(F.col("node") != F.col("hub"))
+                  .join(label, "node", "left").select("key", "band", "node", F.coalesce("label", "node").alias("label")))
+    several = own.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi"), F.count("*").alias("n")).filter(F.col("lo") < F.col("hi"))
+    several = written(several.select("key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks")))
+    met = own.join(several, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    met = met.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    return met.select("key", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "band", "block", "node", "label")
+
+
+def _together(members: DataFrame) -> DataFrame:
+    """The members of two blocks one after the other in one task."""
+    return members.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j")
+
+
+def _starts(t: pa.Table) -> np.ndarray:
+    """True where a row begins another two blocks."""
+    out = np.ones(t.num_rows, dtype=bool)
+    out[1:] = False
+    for c in ("key", "i", "j"):
+        v = t.column(c).to_numpy()
+        out[1:] |= v[1:] != v[:-1]
+    return out
+
+
+def _whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The batches, cut where two blocks end."""
+    rest = None
+    for batch in batches:
+        t = pa.Table.from_batches([batch])
+        t = t if rest is None else pa.concat_tables([rest, t])
+        if not t.num_rows:
+            continue
+        last = int(np.flatnonzero(_starts(t))[-1])
+        if last:
+            yield t.slice(0, last).combine_chunks()
+        rest = t.slice(last)
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks()
+
+
+def _passing(t: pa.Table, label: np.ndarray, fewest: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows (a, b) of pairs of different classes whose signatures agree enough, each pair in the first band that it shares."""
+    n, pad = t.num_rows, -REGISTERS % 8
+    sign = np.zeros((n, REGISTERS + pad), np.uint8)
+    sign[:, :REGISTERS] = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint8).reshape(n, REGISTERS)
+    keys = t.column("keys").combine_chunks().flatten().to_numpy().reshape(n, BANDS)
+    block, band = t.column("block").to_numpy(), t.column("band").to_numpy()
+    one = t.column("i").to_numpy() == t.column("j").to_numpy()
+    start = np.flatnonzero(_starts(t))
+    size = np.diff(np.append(start, n))
+    end = np.repeat(start + size, size)
+    at, step = np.arange(n), 0
+    while True:
+        step += 1
+        at = at[at + step < end[at]]
+        if not len(at):
+            return
+        for k in range(0, len(at), PAIRS_AT_ONCE):
+            a = at[k:k + PAIRS_AT_ONCE]
+            b = a + step
+            own = (label[a] != label[b]) & (one[a] | (block[a] != block[b]))
+            a, b = a[own], b[own]
+            # eight bytes at a time: no lane of the sums reaches 256
+            lanes = (sign[a] == sign[b]).view(np.uint64).sum(axis=1, dtype=np.uint64)
+            own = (lanes * np.uint64(0x0101010101010101) >> np.uint64(56)).astype(np.int64) - pad >= fewest
+            a, b = a[own], b[own]
+            own = (keys[a] == keys[b]).argmax(axis=1) == band[a]
+            if own.any():
+                yield a[own], b[own]
+
+
+def _codes(t: pa.Table) -> np.ndarray:
+    return t.column("label").combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _with_pairs(fewest: int):
+    """Members that have a pair that passes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole(batches):
+            some = np.zeros(t.num_rows, dtype=bool)
+            for a, b in _passing(t, _codes(t), fewest):
+                some[a] = some[b] = True
+            yield from t.filter(pa.array(some)).to_batches()
+
+    return run
+
+
+def occurrences(text: pa.Array) -> np.ndarray:
+    """A hash of every occurrence of a shingle in one text, ascending; the n-th one of a shingle is the same in all texts."""
+    raw, off = buffers(text)
+    _, s, n = bags(raw, off)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    return np.sort(mix64(np.repeat(s, n) + nth.astype(np.uint64) * _GOLD))
+
+
+def _joining(least: float):
+    """Links that join two classes, by the whole texts."""
+    fewest = fewest_agreeing(least)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _whole(batches):
+            label, text, node = _codes(t), t.column("text").combine_chunks(), t.column("node").combine_chunks()
+            root, known, links = list(range(int(label.max()) + 1)), {}, []
+
+            def find(x: int) -> int:
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                return x
+
+            def bag(k: int) -> np.ndarray:
+                if k not in known:
+                    known[k] = occurrences(text.slice(k, 1))
+                return known[k]
+
+            for a, b in _passing(t, label, fewest):
+                for x, y in zip(a.tolist(), b.tolist()):
+                    p, q = find(label[x]), find(label[y])
+                    if p == q:
+                        continue
+                    u, v = sorted((bag(x), bag(y)), key=len)
+                    if len(u) < (least - 1e-12) * len(v):
+                        continue
+                    shared = int((v[np.minimum(np.searchsorted(v, u), len(v) - 1)] == u).sum())
+                    if shared >= (least - 1e-12) * (len(u) + len(v) - shared):
+                        root[p] = q
+                        links.append((x, y))
+            if links:
+                x, y = (node.take(pa.array(k)) for k in zip(*links))
+                yield pa.RecordBatch.from_arrays([x, y], ["a", "b"])
+
+    return run
 
 
 def _among(nodes: DataFrame) -> Column:
@@ -281,7 +412,7 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
     keys = written(keys.join(shared, "key").select("key", "band", "node"))
     wanted = written(keys.select("node").distinct())
     texts = written(texts.filter(_among(wanted)).dropDuplicates(["node"]).join(wanted, "node", "left_semi"))
-    sketches = written(signed.select("node", "sketch").join(wanted, "node", "left_semi"))
+    sketches = written(signed.select("node", "sketch", "keys").join(wanted, "node", "left_semi"))
 
     def verified(pairs: DataFrame) -> DataFrame:
         signs = pairs.join(sketches.select(F.col("node").alias("b"), F.col("sketch").alias("sketch_b")), "b").join(
@@ -291,40 +422,13 @@ def classes(docs: DataFrame, least: float = MIN_SIMILARITY) -> DataFrame:
             texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
         return written(joined.select("a", "b", "text_a", "text_b").mapInArrow(_verify(least), "a binary, b binary"))
 
-    tested = written(_candidates(keys.withColumn("label", F.col("node")), [0]))
-    links = verified(tested)
-    label = components(links)
-    still = keys.join(label, "node", "left").groupBy("key").agg(
-        F.min(F.coalesce("label", "node")).alias("lo"), F.max(F.coalesce("label", "node")).alias("hi")).filter(F.col("lo") < F.col("hi")).select("key")
-    held = (keys.join(written(still), "key").groupBy("node").agg(F.map_from_entries(F.collect_set(F.struct("band", "key"))).alias("held"))
-            .filter(F.size("held") > 1))  # at most a key for each band
-    held = written(held)
-    rounds = [range(k, min(k + PAIRINGS, BANDS // 2 + 1)) for k in range(1, BANDS // 2 + 1, PAIRINGS)]  # all pairings
-    for n, pairings in enumerate(rounds, 1):
-        both = [F.xxhash64(F.lit(i * BANDS + (i + k) % BANDS), F.element_at("held", F.lit(i)), F.element_at("held", F.lit((i + k) % BANDS)))
-                for k in pairings for i in range(BANDS)]
-        some = [F.map_contains_key("held", F.lit(i)) & F.map_contains_key("held", F.lit((i + k) % BANDS)) for k in pairings for i in range(BANDS)]
-        now = held.join(label, "node", "left").select("node", F.coalesce("label", "node").alias("label"), F.explode(
-            F.array_compact(F.array(*(F.when(s, b) for s, b in zip(some, both))))).alias("key"))
-        pairs = written(_candidates(now, [n * HUBS + i for i in range(HUBS)]).join(tested, ["a", "b"], "left_anti"))
-        if not pairs.limit(1).count():
-            break
-        found = verified(pairs)
-        if found.limit(1).count():
-            links = links.union(found)
-            label = _nearer(label, found)
-        elif n >= MIN_ROUNDS:
-            break
-        tested = tested.union(pairs)
-    return components(links)
-
-
-def _nearer(label: DataFrame, links: DataFrame) -> DataFrame:
-    """Labels after one step along new links: enough to leave out most pairs of one class."""
-    ends = links.select(F.col("a").alias("node"), F.col("b").alias("other")).union(links.select("b", "a"))
-    near = (ends.join(label.select(F.col("node").alias("other"), "label"), "other", "left")
-            .groupBy("node").agg(F.min(F.coalesce("label", "other")).alias("near")))
-    return written(label.join(near, "node", "full").select("node", F.least(F.coalesce("label", "node"), "near").alias("label")))
+    links = verified(written(_candidates(keys)))
+    members = _blocks(keys, components(links)).join(sketches, "node")
+    columns = "key", "i", "j", "band", "block", "node", "label", "sketch", "keys"
+    schema = f"{PLACE}, sketch binary, keys array<long>"
+    near = written(_together(members.select(*columns)).mapInArrow(_with_pairs(fewest_agreeing(least)), schema))
+    joined = near.join(texts, "node").select(*columns, "text")
+    return components(links.union(written(_together(joined).mapInArrow(_joining(least), "a binary, b binary"))))
 
 
 def digest():

@@ -97,6 +97,29 @@ def test_near_dedup_finds_all_links(spark, odd, empty):
     assert near_dedup.keep_first(empty).count() == 0
 
 
+@pytest.mark.parametrize("block", [None, 64])
+def test_near_dedup_finds_links_in_a_family_of_alike_texts(spark, monkeypatch, block):
+    if block:
+        monkeypatch.setattr(near_dedup, "BLOCK", block)
+    # 1,200 texts of a likeness of about 0.78 share buckets; three of them have a near copy
+    texts = [[*(f"t{k}" for k in range(176)), *(f"m{i}_{k}" for k in range(24))] for i in range(1200)]
+    for i in range(3):
+        texts.append([*texts[390 * i + 40][:179], *(f"c{i}_{k}" for k in range(21))])
+    docs = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {x["doc_id"]: x["class_id"] for x in near_dedup.classed(docs).collect()}
+    bags = [{tuple(t[k:k + 5]) for k in range(len(t) - 4)} for t in texts]
+    held = Counter(g for b in bags for g in b)
+    place = {g: k for k, g in enumerate(g for g, n in held.items() if n > 1)}  # others are shared by no pair
+    has = np.zeros((len(texts), len(place)), np.float32)
+    for i, b in enumerate(bags):
+        has[i, [place[g] for g in b if g in place]] = 1
+    shared, size = has @ has.T, np.array([len(b) for b in bags])
+    alike = shared / (size[:, None] + size[None, :] - shared)
+    links = [(a, b) for a, b in zip(*np.where(alike >= 0.8)) if a < b]
+    assert len(links) == 3 and np.median(alike) > 0.7  # each near pair a class of its own
+    assert got == {i: i for i in range(len(texts))} | {int(b): int(a) for a, b in links}
+
+
 def test_signature_agreement_is_the_weighted_similarity():
     a = " ".join(f"w{i}" for i in range(300)) + " x" * 60
     b = " ".join(f"w{i}" for i in range(30, 330)) + " x" * 20
