@@ -9,8 +9,9 @@ bounds.  All of it is SQL functions over one scan: nothing is shuffled but
 the one row of the references.
 
 Cases: a null or empty text has no words and fails the base rules.  Rows that
-share a ``doc_id`` are judged one by one.  A histogram without entries, or of
-a text under the minimum length, is not compared.  A document in a language
+share a ``doc_id`` are judged one by one.  A histogram without entries isn't compared.
+Neither are the common words of a text under ``MIN_COMPARED_WORDS``, of which
+few words tell little; its characters are.  A document in a language
 without a reference is compared with all of them as well.  On an empty table,
 or one without any document fit as a reference, nothing is compared.
 """
@@ -34,7 +35,7 @@ COMMON = ("the", "of", "and", "to", "in", "a", "is", "that", "it", "for", "was",
           "der", "die", "und", "den", "von", "zu", "das", "mit", "sich", "des", "auf", "ist",
           "de", "la", "le", "et", "les", "un", "une", "que", "dans", "du", "en", "est",
           "el", "y", "los", "se", "del", "las", "por", "con", "para", "no", "su", "al")
-#: Bounds on the distances, and the fewest words of a text that is compared.
+#: Bounds on the distances, and the fewest words of a text whose common words are compared.
 MAX_CLASS_DISTANCE = 0.16
 MAX_COMMON_DISTANCE = 0.45
 MIN_COMPARED_WORDS = 120
@@ -146,8 +147,8 @@ def judge(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_common: fl
     first ones are left out of the second."""
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     feats = checkpointed(features(docs)).withColumn("n_symbols", F.col("classes")[2].cast("long")).withColumn("base_failed", failed)
-    fits = (F.col("n_words") < min_words) | (F.coalesce(F.col("class_distance") <= max_class, F.lit(True))
-                                             & F.coalesce(F.col("common_distance") <= max_common, F.lit(True)))
+    fits = F.coalesce(F.col("class_distance") <= max_class, F.lit(True)) & (
+        (F.col("n_words") < min_words) | F.coalesce(F.col("common_distance") <= max_common, F.lit(True)))
     first = references(feats)
     known = references(with_distances(feats, first).filter(fits))
     return with_distances(feats, known).withColumn("kept", ~F.col("base_failed") & fits)

@@ -168,6 +168,18 @@ def test_quality_rules_base_counts(spark, odd, empty):
     assert quality_rules.judge(empty).count() == 0
 
 
+def test_quality_rules_judge_the_characters_of_short_texts(spark):
+    r = random.Random(4)
+
+    def prose(n):
+        return [r.choice(["the", "of", "and", "to"]) if r.random() < 0.4 else "".join(r.choices("etaoinshrdlu", k=6)) for _ in range(n)]
+
+    texts = [prose(300) for _ in range(20)] + [prose(n) for n in (50, 80, 119)] + [[w + "%&$#" for w in prose(n)] for n in (50, 80, 119)]
+    docs = spark.createDataFrame([(i, " ".join(t), "en") for i, t in enumerate(texts)], "doc_id long, text string, lang string")
+    got = {x["doc_id"]: (x["base_failed"], x["kept"]) for x in quality_rules.judge(docs).collect()}
+    assert got == {i: (False, i < 23) for i in range(len(texts))}
+
+
 def test_js_distance(spark):
     p, q = [0.2, 0.8, 0.0], [0.5, 0.1, 0.4]
     m = [(a + b) / 2 for a, b in zip(p, q)]
