@@ -98,8 +98,9 @@ def _power_tables(n: int) -> list[np.ndarray]:
     return _powers
 
 
-def words(raw: np.ndarray, off: np.ndarray, lower: bool = True):
-    """(hash, row, start, end) of every word, in text order.
+def words(raw: np.ndarray, off: np.ndarray, lower: bool = True, between: np.ndarray = _IS_WHITE):
+    """(hash, row, start, end) of every word, in text order; ``between`` marks
+    the bytes that aren't of words.
 
     The hash is a polynomial over the bytes (A-Z lower-cased first if
     ``lower``), taken from prefix sums, so it costs a few operations a byte
@@ -109,7 +110,7 @@ def words(raw: np.ndarray, off: np.ndarray, lower: bool = True):
     if not n:
         z = np.zeros(0, np.int64)
         return z.astype(np.uint64), z, z, z
-    white = _IS_WHITE[raw]
+    white = between[raw]
     edge = np.zeros(n + 1, dtype=bool)
     edge[off] = True
     before = edge[:-1].copy()
