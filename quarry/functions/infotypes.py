@@ -2,17 +2,21 @@
 
 Each detector is a shape (a Java regex kept to ASCII classes, no
 look-around and no back-references, so DuckDB's RE2 reads it the same way),
-an optional checksum written as a native Column expression, and optional
-context words.  Likelihood contract:
+an optional checksum written as a native SQL expression, and optional
+context words.  A context word counts when it stands at most CONTEXT_WINDOW
+characters before or after the match, with no line end between.  Likelihood
+contract:
 
 * tier 1 (``checksum``): VERY_LIKELY when the checksum holds, else UNLIKELY;
 * tier 2 (distinctive shape): the detector's base likelihood (POSSIBLE, or
-  VERY_LIKELY for self-identifying shapes), raised to LIKELY when a context
-  word precedes the match by at most 40 characters;
-* tier 3 (number shape + required context word): LIKELY with a context word
-  within 40 characters before it, otherwise not reported;
+  VERY_LIKELY for self-identifying shapes), raised to LIKELY by a context word;
+* tier 3 (number shape + required context word): LIKELY with a context word,
+  otherwise not reported;
 * tier 4 (dictionary): terms supplied by the user (see
   ``sensitive.dictionary_findings``); off by default.
+
+``findings_sql`` gives every match as a span (start, end, no, rank), ``no``
+being the detector's place in the given list.
 """
 
 from __future__ import annotations
@@ -22,6 +26,9 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quarry.functions import spans
+from quarry.functions.spans import sql_str
+
 # The 81 info-type names of the inspection jobs, in alphabetical order.
 INFO_TYPES = [
     "ADVERTISING_ID", "AGE", "ARGENTINA_DNI_NUMBER", "AUSTRALIA_TAX_FILE_NUMBER", "AUTH_TOKEN",
@@ -65,13 +72,11 @@ class Detector:
     extra: dict = field(default_factory=dict, compare=False, hash=False)
 
     def context_regex(self) -> str | None:
-        """``context word .. up to 40 chars .. (shape)``; group 1 is the
-        shape.  Context words are matched case-insensitively at a word
-        start; the gap stays on one line."""
+        """The context words, at word boundaries; letters match in either case."""
         if not self.context:
             return None
-        words = "|".join(w.replace(" ", r"\s+") for w in self.context)
-        return rf"\b(?i:{words})\b[^\n]{{0,{CONTEXT_WINDOW}}}?({self.shape})"
+        words = "|".join(w.replace(" ", "[ \\t]+") for w in sorted(self.context, key=lambda w: (-len(w), w)))
+        return rf"\b((?i:{words}))\b"
 
 
 # --------------------------------------------------------------------------
@@ -79,11 +84,6 @@ class Detector:
 # --------------------------------------------------------------------------
 
 
-def sql_str(v: str) -> str:
-    """A Spark SQL string literal (backslash and quote escaped)."""
-    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
 def _digits(q: str) -> str:
     return f"regexp_replace({q}, '[^0-9]', '')"
 
@@ -280,18 +280,20 @@ assert sorted(BY_NAME) == INFO_TYPES, "detector catalog must cover exactly the 8
 # Necessary conditions (exact, never lossy): a detector's shape cannot match
 # a text unless these hold, so the regex only runs where they do.
 #   digit  -- the text holds a digit
+#   caps   -- the text holds a run of six capitals or digits
 #   any    -- one of these literals occurs
-#   any_ci -- one of these lower-case literals occurs in the lower-cased text
 NEEDS: dict[str, dict] = {
     "CREDIT_CARD_NUMBER": {"digit": True},
     "IMEI_HARDWARE_ID": {"digit": True},
     "IBAN_CODE": {"digit": True},
+    "VEHICLE_IDENTIFICATION_NUMBER": {"caps": True},
     "US_BANK_ROUTING_MICR": {"digit": True},
     "US_HEALTHCARE_NPI": {"digit": True},
     "CANADA_SOCIAL_INSURANCE_NUMBER": {"digit": True},
     "EMAIL_ADDRESS": {"any": ("@",)},
     "PHONE_NUMBER": {"digit": True},
     "MAC_ADDRESS": {"any": (":", "-")},
+    "SWIFT_CODE": {"caps": True},
     "CREDIT_CARD_TRACK_NUMBER": {"digit": True, "any": ("%B", "=")},
     "US_SOCIAL_SECURITY_NUMBER": {"digit": True, "any": ("-",)},
     "US_EMPLOYER_IDENTIFICATION_NUMBER": {"digit": True, "any": ("-",)},
@@ -302,44 +304,35 @@ NEEDS: dict[str, dict] = {
     "AUTH_TOKEN": {"any": ("oken", "OKEN", "earer")},
     "AWS_CREDENTIALS": {"any": ("AKIA", "ASIA")},
     "AZURE_AUTH_TOKEN": {"any": ("eyJ0eXAiOiJKV1Qi",)},
-    "BASIC_AUTH_HEADER": {"any_ci": ("authorization",)},
+    "BASIC_AUTH_HEADER": {"any": (":",)},
     "ENCRYPTION_KEY": {"any": ("-----BEGIN ",)},
     "GCP_API_KEY": {"any": ("AIza",)},
     "GCP_CREDENTIALS": {"any": ('"service_account"',)},
     "JSON_WEB_TOKEN": {"any": ("eyJ",)},
-    "HTTP_COOKIE": {"any_ci": ("cookie",)},
-    "XSRF_TOKEN": {"any_ci": ("srf",)},
+    "HTTP_COOKIE": {"any": (":",)},
+    "XSRF_TOKEN": {"any": ("=", ":")},
+    "PASSPORT": {"caps": True},
+    "GERMANY_IDENTITY_CARD_NUMBER": {"caps": True},
 }
-# every tier-3 shape holds a digit except these two
+# every other tier-3 shape holds a digit
 for _d in DETECTORS:
-    if _d.tier == 3 and _d.name not in ("PASSPORT", "GERMANY_IDENTITY_CARD_NUMBER"):
+    if _d.tier == 3:
         NEEDS.setdefault(_d.name, {"digit": True})
 
 
-def signals(text: Column, detectors: list[Detector]) -> dict[str, Column]:
-    """Per-text signals the gates read, to be computed once per row:
-    ``digit`` (holds a digit) and, if a case-insensitive gate is used,
-    ``lower`` (the lower-cased text)."""
-    out = {"digit": text.rlike("[0-9]")}
-    if any("any_ci" in NEEDS.get(d.name, {}) for d in detectors):
-        out["lower"] = F.lower(text)
-    return out
+def signals(text: Column) -> dict[str, Column]:
+    """What the gates read, to be computed once per text."""
+    return {"digit": text.rlike("[0-9]"), "caps": text.rlike("[A-Z0-9]{6}")}
 
 
-def gate_sql(text: str, det: Detector, sig: dict[str, str] | None) -> str | None:
+def gate_sql(text: str, det: Detector, sig: dict[str, str]) -> str:
     """The necessary condition of ``det`` as SQL over the text column and
-    the signal columns (None: no gate)."""
-    need = NEEDS.get(det.name)
-    if not need or sig is None:
-        return None
-    parts = []
-    if need.get("digit"):
-        parts.append(sig["digit"])
+    the signal columns."""
+    need = NEEDS[det.name]
+    out = [sig[k] for k in ("digit", "caps") if need.get(k)]
     if need.get("any"):
-        parts.append("(" + " OR ".join(f"contains({text}, {sql_str(x)})" for x in need["any"]) + ")")
-    if need.get("any_ci") and "lower" in sig:
-        parts.append("(" + " OR ".join(f"contains({sig['lower']}, {sql_str(x)})" for x in need["any_ci"]) + ")")
-    return " AND ".join(parts) if parts else None
+        out.append("(" + " OR ".join(f"contains({text}, {sql_str(x)})" for x in need["any"]) + ")")
+    return " AND ".join(out)
 
 
 # Categories that make a column "high" sensitivity when found at LIKELY+.
@@ -350,66 +343,55 @@ def likelihood_name(rank: Column) -> Column:
     return F.element_at(F.array(*[F.lit(x) for x in LIKELIHOODS]), rank + 1)
 
 
-def context_words_found(text: Column, detectors: list[Detector] | None = None) -> Column:
-    """The distinct context words present in a text, from ONE scan with an
+def context_words_found(text: Column, detectors: list[Detector]) -> Column:
+    """The distinct context words present in a text, from one scan with an
     alternation of every detector's words.  Detectors whose words are
-    absent skip their own context scan entirely."""
-    words = sorted({w for d in (detectors or DETECTORS) for w in d.context}, key=lambda w: (-len(w), w))
-    alt = "|".join(w.replace(" ", r"\s+") for w in words)
-    found = F.regexp_extract_all(F.lower(text), F.lit(rf"\b({alt})\b"), 1)
-    return F.array_distinct(F.transform(found, lambda w: F.regexp_replace(w, r"\s+", " ")))
-
-
-EMPTY_SQL = "CAST(array() AS array<struct<info_type:string,quote:string,rank:int>>)"
-
-
-def _has_context_sql(ctx: str | None, det: Detector) -> str | None:
-    if ctx is None:
-        return None
-    return f"arrays_overlap({ctx}, array({', '.join(sql_str(w) for w in det.context)}))"
-
-
-def detector_sql(text: str, det: Detector, ctx: str | None = None, sig: dict[str, str] | None = None) -> str:
-    """``array<struct<info_type, quote, rank>>`` of one detector over the
-    text column ``text`` (SQL text): every occurrence, in text order.
-    ``ctx`` names the ``context_words_found`` column: context scans run only
-    where one of the detector's words occurs.  ``sig`` names the
-    ``signals`` columns: the regex runs only where the detector's necessary
-    condition holds."""
-    if det.tier == 4:
-        raise ValueError("dictionary types are matched by a join, not a pattern")
-    name = sql_str(det.name)
-
-    def item(rank: str) -> str:
-        return f"named_struct('info_type', {name}, 'quote', _q, 'rank', {rank})"
-
-    shape = f"regexp_extract_all({text}, {sql_str('(' + det.shape + ')')}, 1)"
-    if det.tier == 1:
-        chk = CHECKSUMS[det.checksum]("_q")
-        found = f"transform({shape}, _q -> {item(f'CASE WHEN {chk} THEN {RANK[chr(86) + "ERY_LIKELY"]} ELSE {RANK["UNLIKELY"]} END')})"
-    elif det.tier == 3:
-        hits = f"regexp_extract_all({text}, {sql_str(det.context_regex())}, 1)"
-        found = f"transform({hits}, _q -> {item(str(RANK['LIKELY']))})"
-        has = _has_context_sql(ctx, det)
-        if has:
-            found = f"CASE WHEN {has} THEN {found} ELSE {EMPTY_SQL} END"
-    elif det.context and RANK[det.base] < RANK["LIKELY"]:
-        hits = f"regexp_extract_all({text}, {sql_str(det.context_regex())}, 1)"
-        has = _has_context_sql(ctx, det)
-        if has:
-            hits = f"CASE WHEN {has} THEN {hits} ELSE CAST(array() AS array<string>) END"
-        # the context hits are computed once per text, outside the per-match lambda
-        rank = f"CASE WHEN array_contains(_h, _q) THEN {RANK['LIKELY']} ELSE {RANK[det.base]} END"
-        found = f"element_at(transform(array({hits}), _h -> transform({shape}, _q -> {item(rank)})), 1)"
-    else:
-        found = f"transform({shape}, _q -> {item(str(RANK[det.base]))})"
-    g = gate_sql(text, det, sig)
-    return found if g is None else f"CASE WHEN {g} THEN {found} ELSE {EMPTY_SQL} END"
-
-
-def findings_sql(text: str, detectors: list[Detector], ctx: str | None = None,
-                 sig: dict[str, str] | None = None) -> str:
-    """All findings of ``detectors`` over one text column, as one array
-    (SQL text, parsed once by the JVM)."""
-    parts = [detector_sql(text, d, ctx, sig) for d in detectors]
-    return parts[0] if len(parts) == 1 else f"concat({', '.join(parts)})"
+    absent don't search the text for their shape."""
+    words = sorted({w for d in detectors for w in d.context}, key=lambda w: (-len(w), w))
+    if not words:
+        return F.array().cast("array<string>")
+    alt = "|".join(w.replace(" ", "[ \\t]+") for w in words)
+    found = F.regexp_extract_all(text, F.lit(rf"\b((?i:{alt}))\b"), 1)
+    return F.array_distinct(F.transform(found, lambda w: F.regexp_replace(F.lower(w), r"[ \t]+", " ")))
+
+
+def _words_sql(det: Detector, detectors: list[Detector]) -> str:
+    """Words whose presence lets ``det`` have context: its own, and those of
+    others that hold one of its own (the scan finds the longest)."""
+    own = {w for w in det.context}
+    own |= {w for d in detectors for w in d.context if any(f" {x} " in f" {w} " for x in det.context)}
+    return f"array({', '.join(sql_str(w) for w in sorted(own))})"
+
+
+def _by_no(detectors: list[Detector], value) -> str:
+    return f"element_at(array({', '.join(value(d) for d in detectors)}), _h.no)"
+
+
+def findings_sql(raw: str, text: str, detectors: list[Detector], ctx: str, sig: dict[str, str]) -> str:
+    """array<struct<start, end, no, rank>> of all matches of ``detectors``, as
+    one SQL text.  ``raw`` is the text, ``text`` its searchable form, ``ctx``
+    the column of ``context_words_found``, ``sig`` those of ``signals``."""
+    hits = []
+    for no, d in enumerate(detectors, 1):
+        gate = gate_sql(raw, d, sig)
+        if d.tier == 3:
+            gate += f" AND arrays_overlap({ctx}, {_words_sql(d, detectors)})"
+        hits.append(f"CASE WHEN {gate} THEN named_struct('no', {no}, 'parts', {spans.parts(text, sql_str('(' + d.shape + ')'))}) END")
+    quote = f"substring({raw}, _v.start + 1, _v.end - _v.start)"
+    near = (f"((_w.end <= _v.start AND _v.start - _w.end <= {CONTEXT_WINDOW} AND NOT contains(substring({raw}, _w.end + 1, _v.start - _w.end), '\n'))"
+            f" OR (_w.start >= _v.end AND _w.start - _v.end <= {CONTEXT_WINDOW} AND NOT contains(substring({raw}, _v.end + 1, _w.start - _v.end), '\n')))")
+    words = _by_no(detectors, lambda d: sql_str(d.context_regex()) if d.context and RANK[d.base] < RANK["LIKELY"] and d.tier > 1 else "CAST(NULL AS STRING)")
+    base = _by_no(detectors, lambda d: "-1" if d.tier == 3 else str(RANK[d.base]))
+    checks = " ".join(f"WHEN {sql_str(kind)} THEN CASE WHEN {CHECKSUMS[kind]('_q')} THEN {RANK['VERY_LIKELY']} ELSE {RANK['UNLIKELY']} END"
+                      for kind in sorted({d.checksum for d in detectors if d.checksum}))
+    rank = f"CASE WHEN exists(_c, _w -> {near}) THEN greatest(_base, {RANK['LIKELY']}) ELSE _base END"
+    if checks:
+        kind = _by_no(detectors, lambda d: sql_str(d.checksum) if d.checksum else "CAST(NULL AS STRING)")
+        rank = f"CASE WHEN _kind IS NULL THEN {rank} ELSE {spans.let('_q', quote, f'CASE _kind {checks} END')} END"
+    item = f"named_struct('start', _v.start, 'end', _v.end, 'no', _h.no, 'rank', {rank})"
+    found = f"transform({spans.of_parts('_h.parts')}, _v -> {item})"
+    if checks:
+        found = spans.let("_kind", kind, found)
+    none = "CAST(array() AS array<struct<start:int,end:int>>)"
+    found = spans.let("_base", base, spans.let("_c", f"CASE WHEN {words} IS NULL THEN {none} ELSE {spans.of_pattern(text, words)} END", found))
+    return f"filter(flatten(transform(filter(array({', '.join(hits)}), _h -> size(_h.parts) > 1), _h -> {found})), _f -> _f.rank >= 0)"

@@ -2,25 +2,28 @@
 transformation logs, block guard, column profiles, sensitivity levels and
 tag-based visibility.
 
-Inspection is a map-only job: all detectors run as native regex and
-checksum expressions inside one projection of each text row, their
-per-row finding arrays are concatenated and exploded once.  No shuffle, no
-Python, and each text is scanned whole.  Only the summary (X4), profiles
-(X10) and the dictionary types (tier 4) shuffle, each with partial
-aggregation or a size-checked broadcast of the term list.
+All of them work on spans: where each detector's matches start and end, with
+its likelihood (``with_spans``).  Inspection reports the spans, de-identification
+replaces them (spans that overlap as one), the log counts those replacements
+and the guard decides on them, so they can't disagree.  Spans are a map-only
+job: native regex and checksum expressions in projections of each text row.  No
+shuffle, no Python, and each text is scanned whole.  Only the summary (X4),
+profiles (X10) and the dictionary types (tier 4) shuffle.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Mapping, Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType, StringType
 
 from quarry.functions import infotypes as I
-
+from quarry.functions import spans
+from quarry.sources import file_sets as FS
 
 
 def _types(types: Iterable[str] | None) -> list[str]:
@@ -38,39 +41,78 @@ def _q(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def findings_array(text: str, types: Iterable[str] | None = None, ctx: str | None = None,
-                   sig: dict[str, str] | None = None) -> Column:
-    """All findings of ``types`` in the text column ``text`` as one array.
-    ``ctx`` / ``sig`` name precomputed context-word and signal columns.
-    The expression is handed to the JVM as one SQL text, so building it
-    costs one call however many detectors there are."""
-    dets = [I.BY_NAME[t] for t in _types(types)]
-    return F.expr(I.findings_sql(_q(text), dets, _q(ctx) if ctx else None,
-                                 {k: _q(v) for k, v in sig.items()} if sig else None))
+def _spread(df: DataFrame, keys: Sequence[str], partitions: int | None) -> DataFrame:
+    """``partitions``: deal the rows by ``keys`` before the detectors run.  For
+    callers whose input has fewer splits than they have cores (one large file that
+    can't be split); by default rows stay where they were read."""
+    return df.repartition(partitions, *keys) if partitions else df
+
+
+def _unused(df: DataFrame, *names: str) -> list[str]:
+    """Column names that ``df`` doesn't have."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for n in names:
+        while n.lower() in taken:
+            n = "_" + n
+        out.append(n)
+    return out
+
+
+def with_spans(df: DataFrame, text_col: str, out: str, types: Iterable[str] | None = None, min_likelihood: str = "POSSIBLE",
+               overrides: Mapping[str, str] | None = None) -> DataFrame:
+    """``df`` with a column ``out``: array<struct<start, end, no, rank>> of the
+    findings in ``text_col`` at or above the threshold of their type; ``no`` is the
+    place of the type in ``type_order(types)``.  One projection a step and no shuffle."""
+    names = type_order(types)
+    if not names:
+        return df.withColumn(out, F.expr("CAST(array() AS array<struct<start:int,end:int,no:int,rank:int>>)"))
+    dets = [I.BY_NAME[n] for n in names]
+    safe, digit, caps, ctx = _unused(df, "_safe", "_digit", "_caps", "_ctx")
+    sig = {"digit": digit, "caps": caps}
+    own = I.signals(F.col(_q(text_col)))
+    pre = df.select("*", F.expr(spans.searchable(_q(text_col))).alias(safe), *[own[k].alias(v) for k, v in sig.items()])
+    words = I.context_words_found(F.col(safe), [d for d in dets if d.tier == 3])
+    pre = pre.select("*", F.when(F.col(digit) | F.col(caps), words).otherwise(F.array().cast("array<string>")).alias(ctx))
+    found = F.expr(I.findings_sql(_q(text_col), _q(safe), dets, _q(ctx), {k: _q(v) for k, v in sig.items()}))
+    thresholds = [I.RANK[(overrides or {}).get(n, min_likelihood)] for n in names]
+    if len(set(thresholds)) == 1:
+        kept = F.filter(found, lambda f: f["rank"] >= thresholds[0])
+    else:
+        kept = F.filter(found, lambda f: f["rank"] >= F.element_at(F.array(*[F.lit(x) for x in thresholds]), f["no"]))
+    return pre.select(*[F.col(_q(c)) for c in df.columns], F.coalesce(kept, F.expr("CAST(array() AS array<struct<start:int,end:int,no:int,rank:int>>)")).alias(out))
+
+
+def type_order(types: Iterable[str] | None = None) -> list[str]:
+    """The types in the order that numbers them and settles ties: by name."""
+    return sorted(set(_types(types)))
+
+
+def _name_of(no: Column, names: Sequence[str]) -> Column:
+    return F.element_at(F.array(*[F.lit(n) for n in names] or [F.lit("")]), no)
+
+
+def _quote(text_col: str, span: Column) -> Column:
+    return F.substring(F.col(_q(text_col)), span["start"] + 1, span["end"] - span["start"])
 
 
 def inspect(df: DataFrame, id_cols: str | Sequence[str], text_col: str,
             types: Iterable[str] | None = None, min_likelihood: str = "POSSIBLE",
-            overrides: Mapping[str, str] | None = None, field: str | None = None) -> DataFrame:
-    """Findings ``(ids..., field, info_type, likelihood, quote)`` at
-    or above ``min_likelihood``; ``overrides`` lowers or raises the
-    threshold of single info types (a template override)."""
+            overrides: Mapping[str, str] | None = None, field: str | None = None,
+            terms: DataFrame | None = None, partitions: int | None = None) -> DataFrame:
+    """Findings ``(ids..., field, info_type, likelihood, quote, start,
+    length)`` at or above ``min_likelihood``, ``start`` in code points from 0;
+    ``overrides`` lowers or raises the threshold of single info types (a template
+    override).  ``terms`` adds the dictionary types (see ``dictionary_findings``)."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    ty = _types(types)
-    dets = [I.BY_NAME[t] for t in ty]
-    sig = I.signals(F.col(text_col), dets)
-    pre = df.select(*ids, text_col).select(
-        *ids, text_col, I.context_words_found(F.col(text_col), dets).alias("_ctx"),
-        *[c.alias(f"_sig_{k}") for k, c in sig.items()])
-    arr = findings_array(text_col, ty, "_ctx", {k: f"_sig_{k}" for k in sig})
-    rows = pre.select(*ids, F.inline(arr))
-    thr = F.lit(I.RANK[min_likelihood])
-    if overrides:
-        m = F.create_map(*[x for k, v in overrides.items() for x in (F.lit(k), F.lit(I.RANK[v]))])
-        thr = F.coalesce(F.element_at(m, F.col("info_type")), thr)
-    out = rows.filter(F.col("rank") >= thr)
-    return out.select(*ids, F.lit(field or text_col).alias("field"), "info_type",
-                      I.likelihood_name(F.col("rank")).alias("likelihood"), "quote")
+    names = type_order(types)
+    own = _spread(df.select(*ids, text_col), ids, partitions)
+    (found,) = _unused(own, "_found")
+    item = lambda f: F.struct(_name_of(f["no"], names).alias("info_type"), I.likelihood_name(f["rank"]).alias("likelihood"),
+                              _quote(text_col, f).alias("quote"), f["start"].alias("start"), (f["end"] - f["start"]).alias("length"))
+    rows = with_spans(own, text_col, found, names, min_likelihood, overrides)
+    out = rows.select(*ids, F.lit(field or text_col).alias("field"), F.inline(F.transform(found, item)))
+    return out if terms is None else out.unionByName(dictionary_findings(df, ids, text_col, terms, field))
 
 
 def findings_summary(findings: DataFrame) -> DataFrame:
@@ -79,19 +121,45 @@ def findings_summary(findings: DataFrame) -> DataFrame:
     return findings.groupBy("info_type", "likelihood").agg(F.count(F.lit(1)).alias("n_findings"))
 
 
+TOKEN = r"[\p{L}\p{N}]+"
+
+
 def dictionary_findings(df: DataFrame, id_cols: str | Sequence[str], text_col: str,
                         terms: DataFrame, field: str | None = None) -> DataFrame:
-    """Tier 4: single-word terms ``(info_type, term)`` matched against the
-    lower-cased word tokens of each text.  The term list is broadcast only
-    by Spark's own choice from its size; else it is a
-    shuffle join (AQE splits a hot token)."""
+    """Tier 4: terms ``(info_type, term)`` of any number of words, matched word by
+    word (letters and digits, in lower case; what stands between doesn't count).
+
+    A term is looked up by its first word: every word of a text, with as many
+    after it as the longest term has, is joined on it, so only texts' words that
+    begin a term go on.  Spark chooses the join by the size of the terms (AQE
+    splits a hot word's side).  Of matches that lie in a longer one of the same
+    text only the longer is reported; a term of two types is reported as both."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    toks = df.select(*ids, F.explode(F.split(F.lower(F.col(text_col)), r"[^\p{L}\p{N}]+")).alias("tok")) \
-             .filter(F.col("tok") != "")
-    t = terms.select("info_type", F.lower("term").alias("tok")).distinct()
-    j = toks.join(t, "tok")
-    return j.select(*ids, F.lit(field or text_col).alias("field"), "info_type",
-                    F.lit("LIKELY").alias("likelihood"), F.col("tok").alias("quote"))
+    split = F.filter(F.split(F.lower(F.col("term")), rf"[^\p{{L}}\p{{N}}]+"), lambda w: w != "")
+    known = (terms.select("info_type", split.alias("_words")).filter(F.size("_words") > 0).distinct()
+             .select("info_type", "_words", F.col("_words")[0].alias("_first")))
+    longest = known.agg(F.max(F.size("_words")).alias("n")).first()["n"]  # one number
+    if longest is None:
+        return df.select(*ids, F.lit("").alias("field"), F.lit("").alias("info_type"), F.lit("").alias("likelihood"), F.lit("").alias("quote"),
+                                             F.lit(0).alias("start"), F.lit(0).alias("length")).limit(0)
+    safe = df.filter(F.col(text_col).isNotNull()).select(*ids, F.monotonically_increasing_id().alias("_row"), F.expr(spans.searchable(_q(text_col))).alias("_text"))
+    parted = safe.select(*ids, "_row", F.expr(spans.parts("_text", spans.sql_str(f"({TOKEN})"))).alias("_parts"))
+    placed = parted.select(*ids, "_row", "_parts", F.expr(spans.of_parts("_parts")).alias("_spans"),
+                           F.expr("transform(filter(_parts, (x, i) -> i % 2 = 1), x -> lower(x))").alias("_all"))
+    # what a row carries is a word and the few after it, never the text
+    window = F.transform(F.sequence(F.lit(1), F.size("_all")), lambda i: F.struct(
+        F.slice("_all", i, F.lit(longest)).alias("said"), F.slice("_spans", i, F.lit(longest)).alias("at"),
+        F.array_join(F.slice("_parts", 2 * i, F.lit(2 * longest - 1)), "").alias("raw")))
+    each = placed.filter(F.size("_all") > 0).select(*ids, "_row", F.inline(window)).withColumn("_first", F.col("said")[0])
+    hits = each.join(known, "_first").filter(F.slice("said", F.lit(1), F.size("_words")) == F.col("_words"))
+    start = F.col("at")[0]["start"]
+    length = F.element_at("at", F.size("_words"))["end"] - start
+    found = (hits.select(*ids, "_row", "info_type", start.alias("start"), length.alias("length"), F.substring("raw", F.lit(1), length).alias("quote"))
+             .groupBy(*ids, "_row", "start", "length", "quote").agg(F.array_sort(F.collect_set("info_type")).alias("_types")))
+    end = F.col("start") + F.col("length")
+    earlier = Window.partitionBy(*ids, "_row").orderBy("start", F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
+    kept = found.withColumn("_reach", F.max(end).over(earlier)).filter(F.col("_reach").isNull() | (F.col("_reach") < end))
+    return kept.select(*ids, F.lit(field or text_col).alias("field"), F.explode("_types").alias("info_type"), F.lit("LIKELY").alias("likelihood"), "quote", "start", "length")
 
 
 # --------------------------------------------------------------------------
@@ -105,103 +173,136 @@ def redact_columns(df: DataFrame, cols: Iterable[str], value: str = "[redacted]"
     return df.select(*[F.lit(value).alias(c) if c in cols else F.col(c) for c in df.columns])
 
 
-def _replacement_steps(types: Iterable[str]) -> list[tuple[str, str]]:
-    steps = []
-    for t in _types(types):
-        d = I.BY_NAME[t]
-        if d.tier == 3:
-            # keep the context word and the gap, replace the shape
-            ctx = d.context_regex()
-            prefix = ctx[: ctx.rindex("(" + d.shape + ")")]
-            steps.append((f"({prefix})({d.shape})", f"$1[{t}]"))
-        else:
-            steps.append((d.shape, f"[{t}]"))
-    return steps
+SPANS = "array<struct<start:int,end:int,no:int,rank:int>>"
+TERM_TYPES = sorted(d.name for d in I.DETECTORS if d.tier == 4)
 
 
-def redact_text_expr(text: Column, types: Iterable[str]) -> Column:
-    """Ordered ``regexp_replace`` fold: each match becomes ``[INFO_TYPE]``.
-    Earlier types win on overlaps because later patterns see the tokens."""
-    out = text
-    for pat, rep in _replacement_steps(types):
-        out = F.regexp_replace(out, pat, rep)
-    return out
+def with_replacements(df: DataFrame, text_col: str, out: str, types: Iterable[str] | None = None, min_likelihood: str = "POSSIBLE",
+                      overrides: Mapping[str, str] | None = None, terms: DataFrame | None = None, ids: Sequence[str] = ()) -> DataFrame:
+    """``df`` with a column ``out``: array<struct<start, end, info_type>> of what is
+    to be replaced in ``text_col``, in text order.  These are the findings that
+    ``inspect`` reports; findings that overlap are replaced as one, named by the
+    likeliest of them (then the longest, the leftmost, the first by name), so no
+    part of a finding stays.  With ``terms``, ``ids`` name the rows one by one."""
+    names = type_order(types) + TERM_TYPES
+    (found,) = _unused(df, "_found")
+    own = with_spans(df, text_col, found, types, min_likelihood, overrides)
+    spans_sql = _q(found)
+    if terms is not None:
+        no = F.array_position(F.array(*[F.lit(n) for n in names]), F.col("info_type")).cast("int")
+        said = (dictionary_findings(df, list(ids), text_col, terms)
+                .groupBy(*[F.col(i).alias(f"_k{k}") for k, i in enumerate(ids)])
+                .agg(F.collect_list(F.struct("start", (F.col("start") + F.col("length")).alias("end"), no.alias("no"), F.lit(I.RANK["LIKELY"]).alias("rank"))).alias("_said")))
+        own = own.join(said, reduce(lambda a, b: a & b, [own[i].eqNullSafe(said[f"_k{k}"]) for k, i in enumerate(ids)]), "left")
+        spans_sql = f"concat({spans_sql}, coalesce(_said, CAST(array() AS {SPANS})))"
+    merged = spans.clusters(spans_sql, "named_struct('rank', _x.rank, 'length', _x.end - _x.start, 'left', -_x.start, 'first', -_x.no)")
+    listed = f"array({', '.join(spans.sql_str(n) for n in names)})"
+    named = f"transform({merged}, _x -> named_struct('start', _x.start, 'end', _x.end, 'info_type', element_at({listed}, -_x.best.first)))"
+    return own.select(*[F.col(_q(c)) for c in df.columns], F.expr(named).alias(out))
+
 
+def _rebuilt(text_col: str, replacements: str) -> Column:
+    return F.expr(spans.replaced(_q(text_col), _q(replacements), "concat('[', _c.info_type, ']')"))
 
-def redact_text(df: DataFrame, col: str, types: Iterable[str]) -> DataFrame:
-    """X6 (CPU-bound per row: spread over the task slots when the input has
-    fewer splits than slots)."""
-    return df.withColumn(col, redact_text_expr(F.col(col), types))
 
+def redact_text(df: DataFrame, col: str, types: Iterable[str] | None = None, min_likelihood: str = "POSSIBLE",
+                overrides: Mapping[str, str] | None = None, terms: DataFrame | None = None, ids: Sequence[str] = (),
+                partitions: int | None = None) -> DataFrame:
+    """Each finding in ``col`` becomes its ``[INFO_TYPE]`` (see
+    ``with_replacements``); a NULL stays NULL."""
+    (rep,) = _unused(df, "_replaced")
+    own = with_replacements(_spread(df, list(ids), partitions), col, rep, types, min_likelihood, overrides, terms, ids)
+    return own.select(*[_rebuilt(col, rep).alias(c) if c == col else F.col(_q(c)) for c in df.columns])
 
-def redaction_log(df: DataFrame, id_cols: str | Sequence[str], fields: Sequence[str],
-                  types: Iterable[str]) -> DataFrame:
+
+def _counts(replacements: str) -> Column:
+    """array<struct<info_type, n_transformed>> of a column of replacements."""
+    labels = F.col(_q(replacements))["info_type"]
+    return F.transform(F.array_sort(F.array_distinct(labels)),
+                       lambda x: F.struct(x.alias("info_type"), F.size(F.filter(labels, lambda y: y == x)).alias("n_transformed")))
+
+
+def _detail(field: str, replacements: str) -> Column:
+    return F.transform(_counts(replacements), lambda x: F.struct(F.lit(field).alias("field"), x["info_type"].alias("info_type"), x["n_transformed"].alias("n_transformed")))
+
+
+def redaction_log(df: DataFrame, id_cols: str | Sequence[str], fields: Sequence[str], types: Iterable[str] | None = None,
+                  min_likelihood: str = "POSSIBLE", overrides: Mapping[str, str] | None = None, terms: DataFrame | None = None,
+                  partitions: int | None = None) -> DataFrame:
     """Which record, field and info type was transformed, and how many
-    times: ``regexp_count`` per (field, type) in one projection, unpivoted
-    with ``stack`` and filtered to non-zero counts."""
+    times: the replacements that ``redact_text`` makes, counted in the row."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
-    steps = [(f, t, pat) for f in fields for t, (pat, _) in zip(_types(types), _replacement_steps(types))]
-    args = []
-    for f, t, pat in steps:
-        args += [F.lit(f), F.lit(t), F.coalesce(F.regexp_count(F.col(f), F.lit(pat)), F.lit(0))]
-    stacked = df.select(*ids, F.inline(F.array(*[
-        F.struct(args[i].alias("field"), args[i + 1].alias("info_type"), args[i + 2].alias("n_transformed"))
-        for i in range(0, len(args), 3)])))
-    return stacked.filter(F.col("n_transformed") > 0)
-
-
-def redact_files(spark, root: str, out: str, types: Iterable[str], exclude: str | None = None,
-                 include: str | None = None, file_types: Iterable[str] | None = None,
-                 partition_from_path: str | None = None) -> DataFrame:
-    """A file set de-identified and written out (S15 + X6 + S16).
-    Returns the transformation log of the written files."""
-    from quarry.sources import io
-    files = io.scan_files(spark, root, include=include, exclude=exclude, types=file_types)
-    if partition_from_path:
-        files = files.withColumn("part", F.regexp_extract("path", partition_from_path, 1))
-    red = files.withColumn("text", redact_text_expr(F.col("text"), types))
-    io.write_files(red.select("text", *(["part"] if partition_from_path else [])), out,
-                   by="part" if partition_from_path else None)
-    return redaction_log(files, "path", ["text"], types)
-
-
-def redact_csv_files(spark, root: str, out: str, columns: Iterable[str] = (), text_columns: Iterable[str] = (),
-                     types: Iterable[str] = (), exclude: str | None = None, by: str | None = None,
-                     value: str = "[redacted]") -> DataFrame:
-    """X8 for structured files: CSV files with a header are read (quoted
-    multi-line fields allowed), ``columns`` are replaced by ``value`` (X5),
-    ``text_columns`` have every match of ``types`` replaced by its
-    ``[INFO_TYPE]`` (X6), and the result is written as CSV under ``out``,
-    one folder per ``by`` value (S16).  Returns the de-identified rows."""
-    df = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"') \
-        .option("basePath", root).csv(root)
-    if exclude:
-        df = df.filter(~F.col("_metadata.file_path").rlike(exclude))
-    red = redact_columns(df, columns, value)
-    for c in text_columns:
-        red = red.withColumn(c, redact_text_expr(F.col(c), types))
-    w = red.write.mode("overwrite").option("header", "true").option("escape", '"')
-    if by:
-        w = w.partitionBy(by)
-    w.csv(out)
-    return red
-
-
-def block_guard(df: DataFrame, col: str, rules: Sequence[tuple[str, str]], out: str | None = None) -> DataFrame:
-    """Rules ``(info_type or regex, notice)``: when a blocked type is
-    found the whole text becomes the notice; with several matches the last
-    rule wins (the chain is built in reverse).  A name in capitals that is no
-    info type is an error, not a regex."""
-    expr = F.col(col)
+    own = _spread(df.select(*ids, *[f for f in fields if f not in ids]), ids, partitions)
+    reps = _unused(own, *[f"_replaced{k}" for k in range(len(fields))])
+    for f, rep in zip(fields, reps):
+        own = with_replacements(own, f, rep, types, min_likelihood, overrides, terms, ids)
+    return own.select(*ids, F.inline(F.concat(*[_detail(f, rep) for f, rep in zip(fields, reps)])))
+
+
+def redact_records(files: DataFrame, columns: Iterable[str] = (), text_columns: Iterable[str] = (), types: Iterable[str] | None = None,
+                   value: str = "[redacted]", min_likelihood: str = "POSSIBLE") -> DataFrame:
+    """Rows of ``file_sets.read_files`` de-identified, with a column ``details``.
+    Of CSV and TSV rows the fields ``columns`` become ``value`` (X5) and findings in
+    ``text_columns`` their names (X6); in lines of text files all findings do.
+    Headers stay, and rows without a change are as they were read."""
+    text_columns = list(text_columns)
+    fields = ["line", *text_columns]
+    own = files.withColumns({"_new": F.col("cells"), "_v0": F.when(F.col("kind") == "text", F.col("record"))})
+    for k, c in enumerate(text_columns, 1):
+        own = own.withColumn(f"_v{k}", FS.cell(c))
+    logs = []
+    for k, name in enumerate(fields):
+        own = with_replacements(own, f"_v{k}", f"_r{k}", types, min_likelihood)
+        logs.append(_detail(name, f"_r{k}"))
+        if k:
+            own = own.withColumn("_new", FS.with_cell(F.col("_new"), name, _rebuilt(f"_v{k}", f"_r{k}")))
+    for c in columns:
+        own = own.withColumn("_new", FS.with_cell(F.col("_new"), c, F.lit(value)))
+        logs.append(F.when(FS.cell(c).isNotNull(), F.array(F.struct(F.lit(c).alias("field"), F.lit("REDACTED").alias("info_type"), F.lit(1).alias("n_transformed")))))
+    record = (F.when(F.col("kind") == "text", _rebuilt("_v0", "_r0"))
+              .when(F.col("cells").isNotNull() & ~F.col("_new").eqNullSafe(F.col("cells")), FS.encoded(F.col("_new"))).otherwise(F.col("record")))
+    none = F.array().cast("array<struct<field:string,info_type:string,n_transformed:int>>")
+    return own.select(*[record.alias(c) if c == "record" else F.col(c) for c in files.columns],
+                      F.concat(*[F.coalesce(x, none) for x in logs]).alias("details"))
+
+
+def redact_files(spark, root: str, out: str, columns: Iterable[str] = (), text_columns: Iterable[str] = (), types: Iterable[str] | None = None,
+                 include: Iterable[str] = (), exclude: Iterable[str] = (), kinds: Iterable[str] = ("text", "csv", "tsv"), percent: int = 100,
+                 details: str | None = None, value: str = "[redacted]", min_likelihood: str = "POSSIBLE", multiline: bool = False,
+                 split_bytes: int = FS.SPLIT_BYTES) -> None:
+    """The files of a set, de-identified (``redact_records``), under the same
+    names in ``out``, in one pass from scan to sink without a shuffle.  Files of
+    other kinds aren't written.  ``details``: a folder that gets, as Parquet, how
+    often each info type was transformed by file and field (sum over the rows of
+    one file: each task adds its own)."""
+    files = FS.read_files(spark, root, include, exclude, kinds, percent, split_bytes, multiline)
+    FS.write_files(redact_records(files, columns, text_columns, types, value, min_likelihood).select("path", "start", "record", "ending", "details"), out, details)
+
+
+def block_guard(df: DataFrame, col: str, rules: Sequence[tuple[str | re.Pattern, str]], out: str | None = None,
+                deidentify: Iterable[str] | None = (), min_likelihood: str = "POSSIBLE") -> DataFrame:
+    """The text with the findings of ``deidentify`` (None: all pattern types)
+    replaced by their names; but where the text as it came has a finding of a
+    blocked type, or matches a blocked pattern, the whole text becomes the rule's
+    notice.  ``rules``: (info type, or compiled pattern whose text Spark matches,
+    notice); of several that apply the last decides."""
+    rules = [(I.SYNONYMS.get(what, what) if isinstance(what, str) else what, notice) for what, notice in rules]
+    blocked = type_order([what for what, _ in rules if isinstance(what, str)])
+    rep, found = _unused(df, "_replaced", "_blocked")
+    own = with_spans(df, col, found, blocked, min_likelihood)
+    kept = F.col(_q(col))
+    if deidentify is None or list(deidentify):
+        own = with_replacements(own, col, rep, deidentify, min_likelihood)
+        kept = _rebuilt(col, rep)
     chain = None
-    for what, notice in reversed(list(rules)):
-        what = I.SYNONYMS.get(what, what)
-        pat = I.BY_NAME[_types([what])[0]].shape if re.fullmatch("[A-Z0-9_]+", what) else what
-        cond = F.col(col).rlike(pat)
+    for what, notice in reversed(rules):
+        if isinstance(what, str):
+            cond = F.array_contains(F.col(_q(found))["no"], blocked.index(what) + 1)
+        else:
+            cond = F.col(_q(col)).rlike(what.pattern)
         chain = F.when(cond, F.lit(notice)) if chain is None else chain.when(cond, F.lit(notice))
-    if chain is not None:
-        expr = chain.otherwise(F.col(col))
-    return df.withColumn(out or col, expr)
+    expr = kept if chain is None else chain.otherwise(kept)
+    return own.withColumn(out or col, expr).drop(rep, found)
 
 
 # --------------------------------------------------------------------------
@@ -266,20 +367,13 @@ def profile_tables(tables: Mapping[str, DataFrame], types: Iterable[str] | None
     if longs is None or not ty:
         return stats.select("*", *[F.when(F.col("is_text"), F.lit(0)).cast("long").alias(c)
                                    for c in ("n_high_findings", "n_other_findings")])
-    dets = [I.BY_NAME[t] for t in ty]
-    sig = I.signals(F.col("value"), dets)
-    pre = longs.select("table_name", "column_name", "value",
-                               I.context_words_found(F.col("value"), dets).alias("_ctx"),
-                               *[c.alias(f"_sig_{k}") for k, c in sig.items()])
-    arr = pre.select("table_name", "column_name",
-                     findings_array("value", ty, "_ctx", {k: f"_sig_{k}" for k in sig}).alias("_f"))
-    high_arr = F.array(*[F.lit(x) for x in high]) if high else F.array().cast("array<string>")
+    names = type_order(ty)
+    arr = with_spans(longs, "value", "_f", names, I.LIKELIHOODS[min(thr, hi_thr)])
+    is_high = F.array(*[F.lit(n in high) for n in names])
     flags = arr.select(
         "table_name", "column_name",
-        F.exists("_f", lambda x: F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= hi_thr))
-        .cast("long").alias("_hf"),
-        F.exists("_f", lambda x: ~F.array_contains(high_arr, x["info_type"]) & (x["rank"] >= thr))
-        .cast("long").alias("_of"))
+        F.exists("_f", lambda x: F.element_at(is_high, x["no"]) & (x["rank"] >= hi_thr)).cast("long").alias("_hf"),
+        F.exists("_f", lambda x: ~F.element_at(is_high, x["no"]) & (x["rank"] >= thr)).cast("long").alias("_of"))
     counts = flags.groupBy("table_name", "column_name").agg(F.sum("_hf").alias("_h"), F.sum("_of").alias("_o"))
     out = stats.join(counts, ["table_name", "column_name"], "left")
     return out.select(*stats.columns,

@@ -1,19 +1,23 @@
 """Sensitive-data queries (X1-X12) over ``documents``, ``pages``,
 ``conversations`` and ``customer``.
 
-The DuckDB oracles are written from the detector catalog: the same shapes
-and context rules, with the checksums restated as DuckDB list expressions,
-so the second engine checks the Spark regex and checksum evaluation.
+The DuckDB oracles take the shapes, words and base likelihoods from the
+detector catalog and state all rules anew as relations: every match is a row
+with its place (a running sum over the parts of the split text), context is a
+join of matches with words, overlapping findings are islands of a running
+maximum, and a text is put together by an ordered aggregate.  Checksums are
+DuckDB list expressions.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from quarry.functions import infotypes as I
 from quarry.operators import sensitive as X
 from quarry.plans.registry import register, t
-from quarry.session import scratch_path
 from quarry.sources import io
 
 # --------------------------------------------------------------------------
@@ -63,41 +67,70 @@ def _duck_checksum(kind: str, q: str) -> str:
     raise ValueError(kind)
 
 
-def _duck_has_context(text: str, det: I.Detector) -> str:
-    alt = "|".join(w.replace(" ", r"\s+") for w in det.context)
-    return f"regexp_matches(lower({text}), {_q(rf'\b({alt})\b')})"
+def _either_case(word: str) -> str:
+    """A word with its letters as classes of both cases (ASCII alone, unlike (?i))."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else "[ \\t]+" if c == " " else c for c in word)
 
 
 def duck_findings_sql(table: str, id_col: str, text: str, types, min_likelihood="POSSIBLE",
                       overrides=None, field: str | None = None) -> str:
-    """(id, field, info_type, likelihood, quote) rows, as DuckDB SQL."""
+    """(id, field, info_type, likelihood, quote, start, length) rows, as DuckDB SQL."""
     overrides = overrides or {}
-    parts = []
-    for name in types:
-        det = I.BY_NAME[name]
-        if det.tier == 4:
-            continue
-        thr = I.RANK[overrides.get(name, min_likelihood)]
-        shape = _q(f"({det.shape})")
-        if det.tier == 3:
-            src = f"unnest(regexp_extract_all({text}, {_q(det.context_regex())}, 1))"
-            rank = str(I.RANK["LIKELY"])
-        else:
-            src = f"unnest(regexp_extract_all({text}, {shape}, 1))"
-            if det.tier == 1:
-                rank = f"CASE WHEN {_duck_checksum(det.checksum, 'q')} THEN {I.RANK['VERY_LIKELY']} ELSE {I.RANK['UNLIKELY']} END"
-            elif det.context and I.RANK[det.base] < I.RANK["LIKELY"]:
-                rank = (f"CASE WHEN list_contains(regexp_extract_all({text}, {_q(det.context_regex())}, 1), q) "
-                        f"THEN {I.RANK['LIKELY']} ELSE {I.RANK[det.base]} END")
-            else:
-                rank = str(I.RANK[det.base])
-        parts.append(
-            f"SELECT {id_col}, {_q(field or text)} AS field, {_q(name)} AS info_type, rank, q AS quote FROM ("
-            f"SELECT {id_col}, q, {rank} AS rank FROM (SELECT {id_col}, {text}, {src} AS q FROM {table})) "
-            f"WHERE rank >= {thr}")
+    dets = [I.BY_NAME[n] for n in types if I.BY_NAME[n].tier < 4]
+    opened, closed = "chr(57344)", "chr(57345)"
+
+    def places(name: str, pattern: str) -> str:
+        marked = f"regexp_replace({text}, {_q(f'({pattern})')}, {opened} || '\\1' || {closed}, 'g')"
+        return (f"SELECT {id_col}, {_q(name)} AS info_type, string_split({marked}, {opened}) AS parts "
+                f"FROM {table} WHERE regexp_matches({text}, {_q(pattern)})")
+
+    def rows(named: str) -> str:
+        """Every match of ``named`` with where it starts and ends."""
+        return f"""SELECT {id_col}, info_type, s AS start, s + length(quote) AS stop, quote FROM (
+  SELECT {id_col}, info_type, k, split_part(part, {closed}, 1) AS quote,
+         CAST(sum(length(replace(part, {closed}, ''))) OVER (PARTITION BY {id_col}, info_type ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INTEGER) AS s
+  FROM (SELECT {id_col}, info_type, unnest(parts) AS part, generate_subscripts(parts, 1) AS k FROM {named})) WHERE k > 1"""
+
+    rules = ", ".join(f"({_q(d.name)}, {d.tier}, {I.RANK[d.base]}, {_q(d.checksum or '')}, {I.RANK[overrides.get(d.name, min_likelihood)]})" for d in dets)
+    words = [places(d.name, rf"\b(?:{'|'.join(_either_case(w) for w in sorted(d.context, key=lambda w: (-len(w), w)))})\b") for d in dets if d.context]
+    checks = " ".join(f"WHEN {_q(kind)} THEN CASE WHEN {_duck_checksum(kind, 'f.quote')} THEN {I.RANK['VERY_LIKELY']} ELSE {I.RANK['UNLIKELY']} END"
+                      for kind in sorted({d.checksum for d in dets if d.checksum}))
+    checked = f"WHEN r.tier = 1 THEN CASE r.checksum {checks} END" if checks else ""
+    none = f"SELECT {id_col}, '' AS info_type, CAST([] AS VARCHAR[]) AS parts FROM {table} WHERE false"
+    gap = f"substr(t.{text}, least(f.stop, w.stop) + 1, greatest(f.start, w.start) - least(f.stop, w.stop))"
     names = "[" + ", ".join(_q(x) for x in I.LIKELIHOODS) + "]"
-    return (f"SELECT {id_col}, field, info_type, {names}[rank + 1] AS likelihood, quote FROM (\n"
-            + "\nUNION ALL\n".join(parts) + "\n)")
+    return f"""SELECT {id_col}, {_q(field or text)} AS field, info_type, {names}[rank + 1] AS likelihood, quote, start, CAST(length(quote) AS INTEGER) AS length FROM (
+WITH rules(info_type, tier, base, checksum, threshold) AS (VALUES {rules}),
+marked AS ({chr(10).join([' UNION ALL '.join(places(d.name, d.shape) for d in dets)])}),
+words AS ({' UNION ALL '.join(words) or none}),
+found AS ({rows('marked')}), spoken AS ({rows('words')}),
+near AS (SELECT DISTINCT f.{id_col}, f.info_type, f.start FROM found f JOIN spoken w ON w.{id_col} = f.{id_col} AND w.info_type = f.info_type
+         JOIN {table} t ON t.{id_col} = f.{id_col}
+         WHERE (w.stop <= f.start OR w.start >= f.stop) AND greatest(f.start, w.start) - least(f.stop, w.stop) <= {I.CONTEXT_WINDOW} AND NOT contains({gap}, chr(10)))
+SELECT * FROM (SELECT f.{id_col}, f.info_type, f.quote, f.start, r.threshold,
+    CASE {checked} WHEN n.start IS NOT NULL THEN greatest(r.base, {I.RANK['LIKELY']}) WHEN r.tier = 3 THEN -1 ELSE r.base END AS rank
+  FROM found f JOIN rules r ON r.info_type = f.info_type LEFT JOIN near n ON n.{id_col} = f.{id_col} AND n.info_type = f.info_type AND n.start = f.start)
+WHERE rank >= threshold)"""
+
+
+def duck_replacements_sql(findings: str, id_col: str) -> str:
+    """(id, start, stop, info_type): findings that overlap as one, named by the likeliest, longest, leftmost, first by name."""
+    ranks = "list_position([" + ", ".join(_q(x) for x in I.LIKELIHOODS) + "], likelihood)"
+    return f"""SELECT {id_col}, min(start) AS start, max(start + length) AS stop,
+       first(info_type ORDER BY {ranks} DESC, length DESC, start, info_type) AS info_type
+FROM (SELECT *, sum(CASE WHEN reach > start THEN 0 ELSE 1 END) OVER (PARTITION BY {id_col} ORDER BY start, length, info_type, quote) AS island
+      FROM (SELECT *, coalesce(max(start + length) OVER (PARTITION BY {id_col} ORDER BY start, length, info_type, quote ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS reach
+            FROM ({findings})))
+GROUP BY {id_col}, island"""
+
+
+def duck_redacted_sql(table: str, id_col: str, text: str, types, findings: str | None = None) -> str:
+    """(id, text, r): the text with its replacements made."""
+    found = findings or duck_findings_sql(table, id_col, text, types)
+    return f"""SELECT t.{id_col}, t.{text}, coalesce(p.head || substr(t.{text}, p.last + 1), t.{text}) AS r FROM {table} t LEFT JOIN (
+  SELECT c.{id_col}, max(c.stop) AS last, string_agg(substr(d.{text}, c.before + 1, c.start - c.before) || '[' || c.info_type || ']', '' ORDER BY c.start) AS head
+  FROM (SELECT *, coalesce(lag(stop) OVER (PARTITION BY {id_col} ORDER BY start), 0) AS before FROM ({duck_replacements_sql(found, id_col)})) c
+  JOIN {table} d ON d.{id_col} = c.{id_col} GROUP BY c.{id_col}) p ON p.{id_col} = t.{id_col}"""
 
 
 # --------------------------------------------------------------------------
@@ -112,9 +145,14 @@ def _docs(spark, d):
     return t(spark, d, "documents").select("doc_id", "text")
 
 
+def _partitions(spark) -> int | None:
+    """Set by callers whose tables come as one unsplittable file."""
+    return int(spark.conf.get("quarry.inspect.partitions", "0")) or None
+
+
 @register("x1_inspect_documents", duck_findings_sql("documents", "doc_id", "text", ALL))
 def x1_inspect_documents(spark, d):
-    return X.inspect(_docs(spark, d), "doc_id", "text", min_likelihood="POSSIBLE")
+    return X.inspect(_docs(spark, d), "doc_id", "text", min_likelihood="POSSIBLE", partitions=_partitions(spark))
 
 
 @register("x2_inspect_override", duck_findings_sql("documents", "doc_id", "text", ALL, overrides=CARD_OVERRIDE))
@@ -152,82 +190,86 @@ def x5_redact_columns(spark, d):
     return X.redact_columns(c, ["c_name", "c_mktsegment"])
 
 
-REDACT_TYPES = ["EMAIL_ADDRESS", "AUTH_TOKEN", "CREDIT_CARD_NUMBER", "PHONE_NUMBER", "US_SOCIAL_SECURITY_NUMBER"]
-
-
-def _duck_redact(text: str, types) -> str:
-    out = text
-    for pat, rep in X._replacement_steps(types):
-        rep = rep.replace("$1", "\\1")
-        out = f"regexp_replace({out}, {_q(pat)}, {_q(rep)}, 'g')"
-    return out
-
-
 @register("x6_redact_text", f"""
-SELECT doc_id, md5(r) AS text_md5, CAST(length(r) AS INTEGER) AS n_chars,
-       r <> text AS changed
-FROM (SELECT doc_id, text, {_duck_redact('text', REDACT_TYPES)} AS r FROM documents)""")
+SELECT doc_id, md5(r) AS text_md5, CAST(length(r) AS INTEGER) AS n_chars, r <> text AS changed
+FROM ({duck_redacted_sql('documents', 'doc_id', 'text', ALL)})""")
 def x6_redact_text(spark, d):
-    r = X.redact_text(t(spark, d, "documents").select("doc_id", "text", F.col("text").alias("orig")),
-                      "text", REDACT_TYPES)
+    docs = _docs(spark, d).withColumn("orig", F.col("text"))
+    r = X.redact_text(docs, "text", ids=["doc_id"], partitions=_partitions(spark))
     return r.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"),
                     (F.col("text") != F.col("orig")).alias("changed"))
 
 
-def _duck_log(table, id_col, field, types):
-    parts = []
-    for name, (pat, _) in zip(types, X._replacement_steps(types)):
-        parts.append(f"SELECT {id_col}, {_q(field)} AS field, {_q(name)} AS info_type, "
-                     f"CAST(len(regexp_extract_all({field}, {_q(pat)})) AS INTEGER) AS n_transformed FROM {table}")
-    return "SELECT * FROM (" + " UNION ALL ".join(parts) + ") WHERE n_transformed > 0"
-
-
-@register("x7_redaction_log", _duck_log("documents", "doc_id", "text", REDACT_TYPES))
+@register("x7_redaction_log", f"""
+SELECT doc_id, 'text' AS field, info_type, CAST(count(*) AS INTEGER) AS n_transformed
+FROM ({duck_replacements_sql(duck_findings_sql('documents', 'doc_id', 'text', ALL), 'doc_id')}) GROUP BY doc_id, info_type""")
 def x7_redaction_log(spark, d):
-    return X.redaction_log(t(spark, d, "documents"), "doc_id", ["text"], REDACT_TYPES)
-
-
-@register("x8_redact_files", """
-SELECT lang, CAST(count(*) AS BIGINT) AS n_pages,
-       CAST(sum(len(regexp_extract_all(html, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'))) AS BIGINT)
-         AS n_redacted
-FROM (SELECT regexp_extract(url, '/([a-z]{2})/', 1) AS lang, html FROM pages)
-WHERE lang <> 'de' GROUP BY lang""")
-def x8_redact_files(spark, d):
-    pages = t(spark, d, "pages").select(F.regexp_extract("url", r"/([a-z]{2})/", 1).alias("lang"),
-                                        F.concat(F.lit("<!--page-->"), F.regexp_replace("html", "\n", " "))
-                                        .alias("html"))
-    src = scratch_path(spark, "files", "pages")
-    io.write_files(pages, src, by="lang")
-    out = scratch_path(spark, "files", "pages_redacted")
-    X.redact_files(spark, src, out, ["EMAIL_ADDRESS"], exclude=r"/lang=de/", file_types=["txt"],
-                   partition_from_path=r"/lang=([a-z]+)/")
-    back = spark.read.text(out, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"/part=([a-z]+)/", 1).alias("lang"), "value")
-    return back.groupBy("lang").agg(
-        F.sum(F.regexp_count("value", F.lit("<!--page-->"))).cast("bigint").alias("n_pages"),
-        F.sum(F.regexp_count("value", F.lit(r"\[EMAIL_ADDRESS\]"))).cast("bigint").alias("n_redacted"))
+    return X.redaction_log(_docs(spark, d), "doc_id", ["text"], partitions=_partitions(spark))
 
 
 GUARD_RULES = [("EMAIL_ADDRESS", "[blocked: contact data]"), ("AUTH_TOKEN", "[blocked: secret]"),
-               ("CREDIT_CARD_NUMBER", "[blocked: card number]")]
-
-
-@register("x9_block_guard", f"""
-SELECT conv_id, turn, md5(g) AS text_md5, g LIKE '[blocked:%' AS blocked FROM (
-  SELECT conv_id, turn,
-         CASE WHEN regexp_matches(text, {_q(I.BY_NAME['CREDIT_CARD_NUMBER'].shape)}) THEN '[blocked: card number]'
-              WHEN regexp_matches(text, {_q(I.BY_NAME['AUTH_TOKEN'].shape)}) THEN '[blocked: secret]'
-              WHEN regexp_matches(text, {_q(I.BY_NAME['EMAIL_ADDRESS'].shape)}) THEN '[blocked: contact data]'
-              ELSE text END AS g
-  FROM (SELECT conv_id, turn, text FROM conversations UNION ALL
-        SELECT doc_id + 1000000000, 0, text FROM documents))""")
+               ("CREDIT_CARD_NUMBER", "[blocked: card number]"), (re.compile("(?:[A-Z]+!! ){20}"), "[blocked: shouting]")]
+GUARDED = "(SELECT conv_id * 1000 + turn AS rid, text FROM conversations UNION ALL SELECT -1 - doc_id, text FROM documents)"
+
+
+def _duck_guard() -> str:
+    types = [what for what, _ in GUARD_RULES if isinstance(what, str)]
+    found = duck_findings_sql(GUARDED, "rid", "text", types)
+    cases = " ".join(f"WHEN {f'list_contains(f.hits, {_q(what)})' if isinstance(what, str) else f'regexp_matches(r.text, {_q(what.pattern)})'} THEN {_q(notice)}"
+                     for what, notice in reversed(GUARD_RULES))
+    return f"""
+SELECT rid, md5(g) AS text_md5, g LIKE '[blocked:%' AS blocked FROM (
+  SELECT r.rid, CASE {cases} ELSE r.r END AS g
+  FROM ({duck_redacted_sql(GUARDED, 'rid', 'text', ALL)}) r
+  LEFT JOIN (SELECT rid, list(DISTINCT info_type) AS hits FROM ({found}) GROUP BY rid) f ON f.rid = r.rid)"""
+
+
+@register("x9_block_guard", _duck_guard())
 def x9_block_guard(spark, d):
-    conv = t(spark, d, "conversations").select("conv_id", "turn", "text").unionByName(
-        t(spark, d, "documents").select((F.col("doc_id") + 1000000000).alias("conv_id"),
-                                        F.lit(0).cast("bigint").alias("turn"), "text"))
-    g = X.block_guard(conv, "text", GUARD_RULES, out="g")
-    return g.select("conv_id", "turn", F.md5("g").alias("text_md5"), F.col("g").startswith("[blocked:").alias("blocked"))
+    said = t(spark, d, "conversations").select((F.col("conv_id") * 1000 + F.col("turn")).alias("rid"), "text")
+    g = X.block_guard(said.unionByName(t(spark, d, "documents").select((-1 - F.col("doc_id")).alias("rid"), "text")), "text", GUARD_RULES, out="g", deidentify=None)
+    return g.select("rid", F.md5("g").alias("text_md5"), F.col("g").startswith("[blocked:").alias("blocked"))
+
+
+# --------------------------------------------------------------------------
+# Tier 4: terms of one to four words, taken from the benchmark's texts
+# --------------------------------------------------------------------------
+
+TERMS_SQL = f"""(SELECT DISTINCT {X.TERM_TYPES}[1 + item_id // 4 % 4] AS info_type, list_transform(words[2 : 2 + item_id % 4], lambda w: lower(w)) AS words
+ FROM (SELECT item_id, regexp_extract_all(text, '[\\p{{L}}\\p{{N}}]+') AS words FROM benchmark))"""
+
+DUCK_TERMS = f"""
+WITH parts AS (SELECT doc_id, unnest(p) AS part, generate_subscripts(p, 1) AS k
+               FROM (SELECT doc_id, string_split(regexp_replace(text, '([\\p{{L}}\\p{{N}}]+)', chr(57344) || '\\1' || chr(57345), 'g'), chr(57344)) AS p FROM documents)),
+placed AS (SELECT doc_id, k - 1 AS k, split_part(part, chr(57345), 1) AS tok,
+                  CAST(sum(length(replace(part, chr(57345), ''))) OVER (PARTITION BY doc_id ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS INTEGER) AS start FROM parts),
+toks AS (SELECT doc_id, k, lower(tok) AS tok, start, start + length(tok) AS stop FROM placed WHERE k > 0),
+docs AS (SELECT doc_id, list(tok ORDER BY k) AS words FROM toks GROUP BY doc_id),
+hits AS (SELECT DISTINCT a.doc_id, m.info_type, a.start, e.stop FROM toks a JOIN {TERMS_SQL} m ON m.words[1] = a.tok JOIN docs d ON d.doc_id = a.doc_id
+         JOIN toks e ON e.doc_id = a.doc_id AND e.k = a.k + len(m.words) - 1 WHERE d.words[a.k : a.k + len(m.words) - 1] = m.words)
+SELECT h.doc_id, 'text' AS field, h.info_type, 'LIKELY' AS likelihood, substr(t.text, h.start + 1, h.stop - h.start) AS quote, h.start, CAST(h.stop - h.start AS INTEGER) AS length
+FROM hits h JOIN documents t ON t.doc_id = h.doc_id
+WHERE NOT EXISTS (SELECT 1 FROM hits o WHERE o.doc_id = h.doc_id AND o.start <= h.start AND o.stop >= h.stop AND o.stop - o.start > h.stop - h.start)"""
+
+
+def _terms(spark, d):
+    words = F.regexp_extract_all("text", F.lit(r"([\p{L}\p{N}]+)"), 1)
+    return t(spark, d, "benchmark").select(
+        F.element_at(F.array(*[F.lit(x) for x in X.TERM_TYPES]), (1 + F.floor(F.col("item_id") / 4) % 4).cast("int")).alias("info_type"),
+        F.array_join(F.slice(words, F.lit(2), (1 + F.col("item_id") % 4).cast("int")), " ").alias("term"))
+
+
+@register("x1_inspect_terms", DUCK_TERMS)
+def x1_inspect_terms(spark, d):
+    return X.inspect(_docs(spark, d), "doc_id", "text", types=[], terms=_terms(spark, d))
+
+
+@register("x6_redact_terms", f"""
+SELECT doc_id, md5(r) AS text_md5, CAST(length(r) AS INTEGER) AS n_chars
+FROM ({duck_redacted_sql('documents', 'doc_id', 'text', [], f"SELECT * FROM ({duck_findings_sql('documents', 'doc_id', 'text', ALL)}) UNION ALL SELECT * FROM ({DUCK_TERMS})")})""")
+def x6_redact_terms(spark, d):
+    r = X.redact_text(_docs(spark, d), "text", terms=_terms(spark, d), ids=["doc_id"], partitions=_partitions(spark))
+    return r.select("doc_id", F.md5("text").alias("text_md5"), F.length("text").alias("n_chars"))
 
 
 # --------------------------------------------------------------------------
@@ -320,57 +362,3 @@ def x12_visible_assets(spark, d):
     assets = docs.select(F.col("doc_id").alias("asset"), "source")
     v = X.visible_assets(assets, tags, F.broadcast(grants))
     return v.select("principal", F.col("asset").alias("doc_id"), "source")
-
-
-@register("s16_write_redacted_files", """
-SELECT source, CAST(sum(len(regexp_extract_all(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}'))) AS BIGINT)
-         AS n_redacted,
-       CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_newlines
-FROM documents GROUP BY source""")
-def s16_write_redacted_files(spark, d):
-    # transformed files written one folder per source, read back whole
-    docs = X.redact_text(t(spark, d, "documents").select("source", "text"), "text", ["EMAIL_ADDRESS"])
-    out = scratch_path(spark, "files", "documents_redacted")
-    io.write_files(docs, out, by="source")
-    back = spark.read.text(out, wholetext=True).select(
-        F.regexp_extract(F.col("_metadata.file_path"), r"/source=([^/]+)/", 1).alias("source"), "value")
-    return back.groupBy("source").agg(
-        F.sum(F.regexp_count("value", F.lit(r"\[EMAIL_ADDRESS\]"))).cast("bigint").alias("n_redacted"),
-        F.sum(F.length("value") - F.length(F.regexp_replace("value", "\n", ""))).cast("bigint").alias("n_newlines"))
-
-
-CSV_TYPES = ["EMAIL_ADDRESS", "AUTH_TOKEN", "CREDIT_CARD_NUMBER"]
-
-
-@register("x8_redact_csv_files", f"""
-WITH f AS (
-  SELECT doc_id, source, regexp_extract(text, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{{2,}}') AS email,
-         {_duck_redact('text', CSV_TYPES)} AS message
-  FROM documents WHERE source NOT IN ('src0', 'src1'))
-SELECT source, CAST(count(*) AS BIGINT) AS n_rows,
-       CAST(count(*) FILTER (WHERE email = '[redacted]' OR email IS NOT NULL) AS BIGINT) AS n_email_redacted,
-       CAST(sum(len(regexp_extract_all(message, '\\[(EMAIL_ADDRESS|AUTH_TOKEN|CREDIT_CARD_NUMBER)\\]'))) AS BIGINT)
-         AS n_tokens,
-       md5(string_agg(md5(message), ',' ORDER BY doc_id)) AS messages_md5
-FROM f GROUP BY source""")
-def x8_redact_csv_files(spark, d):
-    # "sensitive files": one CSV folder per source with an email column and
-    # a free-text message column, de-identified and written out
-    docs = t(spark, d, "documents").select(
-        "doc_id", "source",
-        F.regexp_extract("text", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}", 0).alias("email"),
-        F.col("text").alias("message"))
-    src = scratch_path(spark, "files", "sensitive_csv")
-    docs.write.option("header", "true").option("escape", '"').partitionBy("source").csv(src)
-    out = scratch_path(spark, "files", "sensitive_csv_redacted")
-    X.redact_csv_files(spark, src, out, columns=["email"], text_columns=["message"], types=CSV_TYPES,
-                       exclude=r"/source=src[01]/", by="source")
-    back = spark.read.option("header", "true").option("multiLine", "true").option("escape", '"').csv(out)
-    return back.groupBy("source").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count(F.when(F.col("email") == "[redacted]", 1)).alias("n_email_redacted"),
-        F.sum(F.regexp_count("message", F.lit(r"\[(EMAIL_ADDRESS|AUTH_TOKEN|CREDIT_CARD_NUMBER)\]")))
-         .cast("bigint").alias("n_tokens"),
-        F.md5(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(F.col("doc_id").cast("long").alias("k"),
-                                                                              F.md5("message").alias("h")))),
-                                       lambda x: x["h"]), ",")).alias("messages_md5"))

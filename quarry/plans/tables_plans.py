@@ -261,28 +261,6 @@ def s17_ensure_database(spark, d):
     return spark.sql(f"SHOW DATABASES LIKE '{name}'").select(F.count(F.lit(1)).alias("n_databases"))
 
 
-# --------------------------------------------------------------------------
-# File sets
-# --------------------------------------------------------------------------
-
-
-@register("s15_scan_files", """
-SELECT source, CAST(sum(length(text) + 1) AS BIGINT) AS n_chars,
-       CAST(sum(length(text) - length(replace(text, chr(10), '')) + 1) AS BIGINT) AS n_newlines
-FROM documents WHERE NOT regexp_matches(source, '^src1[0-9]$') GROUP BY source""")
-def s15_scan_files(spark, d):
-    out = scratch_path(spark, "files", "documents")
-    docs = t(spark, d, "documents").select("source", "text")
-    # One folder per source, written by every task holding rows of it
-    io.write_files(docs, out, by="source")
-    files = io.scan_files(spark, out, exclude=r"/source=src1[0-9]/", types=["txt"])
-    per_file = files.select(F.regexp_extract("path", r"source=([^/]+)/", 1).alias("source"),
-                            F.length("text").alias("n"),
-                            (F.length("text") - F.length(F.regexp_replace("text", "\n", ""))).alias("nl"))
-    return per_file.groupBy("source").agg(F.sum("n").cast("bigint").alias("n_chars"),
-                                          F.sum("nl").cast("bigint").alias("n_newlines"))
-
-
 # --------------------------------------------------------------------------
 # D: rewrites on customer
 # --------------------------------------------------------------------------

@@ -1,4 +1,4 @@
-"""Sources and sinks.
+"""Sources and sinks (S1-S19; file sets are in ``file_sets``).
 
 Reads are lazy DataFrame scans so Catalyst pushes filters and column
 pruning into the Parquet reader; writes are plain DataFrameWriter calls.
@@ -9,8 +9,7 @@ a cluster is the shared folder from ``spark.checkpoint.dir`` (see
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -73,35 +72,6 @@ def write_family(df: DataFrame, base: str, suffix: Column, suffix_col: str = "su
     return base
 
 
-def scan_files(spark: SparkSession, root: str, include: str | None = None,
-               exclude: str | None = None, types: Iterable[str] | None = None,
-               percent: int = 100, whole_file: bool = True) -> DataFrame:
-    """A file set -> ``(path, text)`` rows.
-
-    ``include``/``exclude`` are regexes on the full path, ``types`` file
-    extensions, ``percent`` keeps a stable hash-chosen share of the files
-    (a sampling feature of the source, chosen by path so reruns pick the
-    same files).  Files are read whole (``wholetext``) so detectors see
-    every line of every file; the path comes from ``_metadata`` and the
-    filters on it run before any content is decoded further."""
-    # ``wholetext`` must go through text(): its keyword default overrides
-    # an option() of the same name.
-    reader = spark.read.option("recursiveFileLookup", "true")
-    df = reader.text(root, wholetext=whole_file).select(F.col("_metadata.file_path").alias("path"),
-                                  F.col("value").alias("text"))
-    cond = F.lit(True)
-    if include:
-        cond = cond & F.col("path").rlike(include)
-    if exclude:
-        cond = cond & ~F.col("path").rlike(exclude)
-    if types:
-        exts = "|".join(re.escape(t.lstrip(".")) for t in types)
-        cond = cond & F.lower(F.col("path")).rlike(rf"\.({exts})$")
-    if percent < 100:
-        cond = cond & (F.pmod(F.xxhash64("path"), F.lit(100)) < percent)
-    return df.filter(cond)
-
-
 # --------------------------------------------------------------------------
 # Catalog objects and writes
 # --------------------------------------------------------------------------
@@ -212,20 +182,6 @@ def append_rows(spark: SparkSession, name: str, rows: Sequence[Sequence], column
     return name
 
 
-def write_files(df: DataFrame, out: str, by: str | None = None, fmt: str = "text",
-                mode: str = "overwrite", max_records_per_file: int = 1_000_000) -> str:
-    """Transformed-files sink; one folder per ``by`` value, written by
-    every task that holds rows of it (no shuffle on ``by``)."""
-    w = df.write.mode(mode).option("maxRecordsPerFile", max_records_per_file)
-    if by:
-        w = w.partitionBy(by)
-    if fmt == "text":
-        w.text(out)
-    else:
-        w.format(fmt).save(out)
-    return out
-
-
 # --------------------------------------------------------------------------
 # Streams
 # --------------------------------------------------------------------------
