@@ -33,6 +33,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name`` with as many underscores before it as make it no column of ``frames``."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

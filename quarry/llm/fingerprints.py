@@ -3,10 +3,12 @@
 Words are runs of letters and digits, lower-cased.  A common word is an
 anchor, and so that texts in any language have some, one word in RARE by its
 hash is one too; with the next CHAIN content words (those that are no anchors) it makes
-a spot signature.  The set of a text's spots is its fingerprint.  Sets are
-partitioned by length: two sets can only be as like as the shorter is to the
-longer, so pairs from partitions too far apart are pruned, and the others are
-compared by Jaccard similarity.  All of it is SQL functions.  Anchors and
+a spot signature.  The set of a text's spots, in order and written as hex, is its
+fingerprint; two are compared by the Jaccard similarity of their sets.  For all
+pairs (``links``) sets are partitioned by length: two sets can only be as like as
+the shorter is to the longer, so a set is compared with its own partition and the
+next alone, within it only with sets that share one of its rarest spots, and of
+those only where the lengths allow it.  All of it is SQL functions.  Anchors and
 content words complement each other, so the words after the j-th anchor, at
 place p, start at place p - j among the content words; no text is searched
 twice.
@@ -23,6 +25,8 @@ with one doc_id has it as its own next.  Other columns are ignored.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -36,8 +40,7 @@ ANCHORS = tuple("""the of and to in a is that it for was on are as with be by th
     de la le et les un une que dans du en est pour qui au par sur pas ce il
     el y los se del las por con para no su al lo como""".split())
 RARE = 5
-#: Likeness below which the lengths alone decide (the pair's likeness is then 0).
-LEAST = 0.05
+THRESHOLD = 0.8
 
 
 def words(text: Column) -> Column:
@@ -64,15 +67,45 @@ def spots(text: Column) -> Column:
 
 
 def fingerprint(spots_: Column) -> Column:
-    """The set as text: its size and a digest."""
-    return F.concat_ws("-", F.size(spots_).cast("string"), F.md5(F.array_join(spots_.cast("array<string>"), ",").cast("binary")))
-
-
-def likeness(a: Column, b: Column, least: float = LEAST) -> Column:
-    """The Jaccard similarity of two sets; 0 if their lengths keep it under ``least``."""
-    short, long = F.least(F.size(a), F.size(b)), F.greatest(F.size(a), F.size(b))
-    jaccard = let(F.size(F.array_intersect(a, b)), lambda n: n / (short + long - n))
-    return F.when(short < least * long, 0.0).otherwise(jaccard).cast("double")
+    """The set as text: eight hex digits a spot, in order."""
+    return F.array_join(F.transform(spots_, lambda x: F.substring(F.hex(x.cast("long") + (1 << 32)), -8, 8)), "")
+
+
+def likeness(a: Column, b: Column) -> Column:
+    """The Jaccard similarity of two sets."""
+    return let(F.size(F.array_intersect(a, b)), lambda n: n / (F.size(a) + F.size(b) - n)).cast("double")
+
+
+def sets(docs: DataFrame) -> DataFrame:
+    """(digest, spots, doc_id): the distinct sets of ``docs``, each with its smallest document."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), spots(text_or_empty()).alias("spots"))
+    return (own.select("doc_id", "spots", F.md5(fingerprint(F.col("spots")).cast("binary")).alias("digest"))
+            .groupBy("digest").agg(F.first("spots").alias("spots"), F.min("doc_id").alias("doc_id")))
+
+
+def links(found: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
+    """(a, b, likeness) by digest, a < b, of all pairs of ``sets`` that are alike
+    by ``threshold`` or more (above 0)."""
+    own = checkpointed(found.select("digest", "spots"))
+    held = own.select("digest", F.explode("spots").alias("spot"))
+    often = held.groupBy("spot").agg(F.count("*").alias("n"))
+    # a set of s spots shares one of its s - ceil(t s) + 1 rarest with every set it is like
+    size = F.size("rare")
+    ranked = held.join(often, "spot").groupBy("digest").agg(F.array_sort(F.collect_list(F.struct("n", "spot"))).alias("rare"))
+    first = F.slice("rare", F.lit(1), (size - F.ceil(F.round(size * threshold, 9)) + 1).cast("int"))
+    part = F.floor(F.log(size.cast("double")) / -math.log(threshold) + 1e-9) if threshold < 1 else size
+    rows = ranked.select("digest", size.alias("size"), part.cast("int").alias("part"), F.posexplode(first["spot"]).alias("place", "spot"))
+    rows = checkpointed(rows.join(often.filter("n > 1").select("spot"), "spot", "left_semi"))  # others are shared with none
+    near = rows.select(F.explode(F.array("part", F.col("part") + 1)).alias("part"), "spot", F.col("digest").alias("a"), F.col("size").alias("a_size"),
+                       F.col("place").alias("a_place"), F.col("part").alias("a_part"))
+    met = rows.join(near, ["part", "spot"]).filter((F.col("a_part") < F.col("part")) | (F.col("a") < F.col("digest")))
+    short, long = F.least("size", "a_size"), F.greatest("size", "a_size")
+    ahead = F.least(F.col("size") - F.col("place"), F.col("a_size") - F.col("a_place"))
+    enough = F.ceil(F.round((F.col("size") + F.col("a_size")) * (threshold / (1 + threshold)), 9))
+    pairs = met.filter((short >= long * threshold - 1e-9) & (ahead + F.least("place", "a_place") >= enough)).select(
+        F.least("a", "digest").alias("a"), F.greatest("a", "digest").alias("b")).distinct()
+    both = pairs.join(own.toDF("a", "a_spots"), "a").join(own.toDF("b", "b_spots"), "b")
+    return both.select("a", "b", likeness(F.col("a_spots"), F.col("b_spots")).alias("likeness")).filter(F.col("likeness") >= threshold)
 
 
 def next_ids(docs: DataFrame) -> DataFrame:

@@ -7,11 +7,12 @@ restaurant has the restaurant of the context
 without its first byte as parent, down to a uniform base.  Customers are seated
 by the Chinese-restaurant process given the parent's predictions, tables become
 customers of the parent, and each Gibbs sweep seats all of them anew under the
-predictions of the sweep before.  The predictions of the sweeps after the first
-are averaged; their logarithms summed over a text score it.
+predictions of the parents' seating of the sweep before.  The predictions of the
+sweeps after the first are averaged; their logarithms summed over a text score it.
 
 Spark counts the (CONTEXT+1)-byte runs of the training texts.  Restaurants of
-contexts over UPPER bytes are seated in the task that holds their last bytes;
+contexts over UPPER bytes are seated in the task that holds their last bytes, about
+CHUNK_RUNS runs at a time, sweep after sweep from the seating before;
 only the tables at (UPPER+1)-byte runs, of which there are at most
 256^(UPPER+1), reach the driver, which seats the restaurants above.  For
 scoring, documents are dealt into splits of bounded size; each split asks once
@@ -41,7 +42,11 @@ DISCOUNTS = (0.05, 0.2, 0.3, 0.4, 0.5, 0.6)
 STRENGTH = 1.0
 SWEEPS = 3
 #: Bytes of text in one scoring split, about.
-SPLIT_BYTES = 24_000_000
+SPLIT_BYTES = 16_000_000
+#: Runs that a task seats at a time, about (never less than those that share UPPER + 1 bytes of context).
+CHUNK_RUNS = 500_000
+#: Keys that a task gathers before it merges equal ones.
+GATHERED = 600_000
 BASE_ADD = 0.1
 
 SPACE, END = 0x20, 0x0A
@@ -96,9 +101,9 @@ class Tally:
             self.keys.append(k)
             self.counts.append(n * weight)
             self.size += len(k)
-        if self.size > 3_000_000:
+        if self.size > GATHERED:
             k, n = _tally(self.keys, self.counts)
-            self.keys, self.counts, self.size = [k], [n], len(k) // 2
+            self.keys, self.counts, self.size = [k], [n], 0
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         return _tally(self.keys, self.counts)
@@ -176,25 +181,21 @@ def _find(table_: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarra
 
 class Lookup:
     """Values by key for many keys in any order.  A key has one slot of a table
-    of about four times their number; the few that share theirs are searched."""
+    of two to four times their number; the few that share theirs are searched."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
         order = np.argsort(keys)
         self.keys, self.values = keys[order], values[order]
-        self.shift = np.uint64(64 - max(10, (4 * len(keys)).bit_length()))
-        slot = self._slot(self.keys)
+        self.shift = np.uint64(64 - max(10, (2 * len(keys)).bit_length()))
         self.at = np.zeros(1 << (64 - int(self.shift)), dtype=np.int32)
-        self.at[slot] = np.arange(len(keys))
-        self.held = np.full(len(self.at), np.iinfo(np.uint64).max, dtype=np.uint64)
-        self.held[slot] = self.keys[self.at[slot]]
+        self.at[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         return (mix64(keys) >> self.shift).astype(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
-        slot = self._slot(keys)
-        at = self.at[slot]
-        other = np.flatnonzero(self.held[slot] != keys)
+        at = self.at[self._slot(keys)]
+        other = np.flatnonzero(self.keys[at] != keys)
         at[other] = np.searchsorted(self.keys, keys[other])
         return self.values[at]
 
@@ -213,7 +214,7 @@ def predictions(levels: list[Level], keys: np.ndarray) -> np.ndarray:
 
 def _seated(keys: np.ndarray, customers: np.ndarray, levels: list[Level], context: int, stop: int, rng) -> tuple[list[Level], np.ndarray, np.ndarray]:
     """Seat context lengths ``context`` down to ``stop`` given the predictions of
-    ``levels`` (a sweep before's, or fewer: the rest are their parents').
+    ``levels``, a sweep before's (none yet: those of the base).
     Returns the levels, longest context last, and the customers that go on."""
     out = []
     for k in range(context, stop - 1, -1):
@@ -226,37 +227,62 @@ def _seated(keys: np.ndarray, customers: np.ndarray, levels: list[Level], contex
     return out[::-1], keys, customers
 
 
-def _lower(batches: Iterator[pa.RecordBatch], upper: list[list[Level]]):
-    """The task's runs, and for every sweep its seated restaurants over UPPER bytes."""
-    found = [(b.column(0).to_numpy(), b.column(1).to_numpy()) for b in batches]
-    keys = np.concatenate([k for k, _ in found]).view(np.uint64) if found else np.zeros(0, np.uint64)
-    n = np.concatenate([n for _, n in found]) if found else np.zeros(0, np.int64)
-    order = np.argsort(keys)
-    keys, n = keys[order], n[order]
+_STEM = np.uint64(((1 << 8 * (UPPER + 2)) - 1) ^ 0xFF)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The task's runs and counts, which come in the order of their stems, about
+    CHUNK_RUNS at a time and never cut within a stem; sorted by run."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    size = 0
+    for b in batches:
+        k, n = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
+        if size >= CHUNK_RUNS and len(k):
+            stem = k & _STEM
+            at = int(np.argmax(stem != held[-1][0][-1] & _STEM)) if (stem != held[-1][0][-1] & _STEM).any() else len(k)
+            held.append((k[:at], n[:at]))
+            k, n = k[at:], n[at:]
+            if len(k):
+                yield _tally([x for x, _ in held], [x for _, x in held])
+                held, size = [], 0
+        if len(k):
+            held.append((k, n))
+            size += len(k)
+    if held:
+        yield _tally([x for x, _ in held], [x for _, x in held])
+
+
+def _lower(keys: np.ndarray, n: np.ndarray, upper: list[list[Level]]):
+    """For every sweep the seated restaurants over UPPER bytes of a chunk's runs,
+    under those of the sweep before and its upper levels, and the customers that go on."""
+    own: list[Level] = []
     for sweep, levels in enumerate(upper):
-        if len(keys):
-            rng = np.random.default_rng([sweep, int(keys[0])])
-            yield keys, levels, *_seated(keys, n, levels, CONTEXT, UPPER + 1, rng)
+        rng = np.random.default_rng([sweep, int(keys[0])])
+        own, up, customers = _seated(keys, n, [*levels, *own] if levels else [], CONTEXT, UPPER + 1, rng)
+        yield own, up, customers
 
 
 def _up(upper):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        *_, last = [None, *_lower(batches, upper.value)]
-        if last:
-            yield pa.RecordBatch.from_arrays([pa.array(last[3].view(np.int64)), pa.array(last[4])], ["key", "n"])
+        for keys, n in _chunks(batches):
+            *_, (_, up, customers) = _lower(keys, n, upper.value)
+            yield pa.RecordBatch.from_arrays([pa.array(up.view(np.int64)), pa.array(customers)], ["key", "n"])
 
     return run
 
 
 def _predicted(upper):
+    """Averages over the sweeps, each sweep's lower levels under the upper ones seated from them."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, keys, n = 0.0, None, 0
-        for k, (keys, levels, own, _, _) in enumerate(_lower(batches, upper.value)):
-            if k or len(upper.value) == 1:
-                total, n = total + predictions([*levels[:UPPER + 1], *own], keys), n + 1
-        if keys is not None:
+        sweeps = len(upper.value) - 1
+        for keys, n in _chunks(batches):
+            total, counted_ = 0.0, 0
+            for sweep, (own, _, _) in enumerate(_lower(keys, n, upper.value[:sweeps])):
+                if sweep or sweeps == 1:
+                    total, counted_ = total + predictions([*upper.value[sweep + 1], *own], keys), counted_ + 1
+            value = np.log10(total / counted_)
             for i in range(0, len(keys), 100_000):
-                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000].view(np.int64)), pa.array(np.log10(total / n)[i:i + 100_000])], ["key", "value"])
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000].view(np.int64)), pa.array(value[i:i + 100_000])], ["key", "value"])
 
     return run
 
@@ -264,8 +290,8 @@ def _predicted(upper):
 def fit(run_counts: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
     """(key, value): log10 of the averaged prediction of every run in ``run_counts`` (key, n)."""
     sc = run_counts.sparkSession.sparkContext
-    stem = F.col("key").bitwiseAND(F.lit((1 << 8 * (UPPER + 2)) - 1))
-    dealt = checkpointed(run_counts.repartition(F.shiftright(stem, 8)).select("key", "n"))
+    stem = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << 8 * (UPPER + 2)) - 1)), 8)
+    dealt = checkpointed(run_counts.repartition(stem).sortWithinPartitions(stem).select("key", "n"))
     upper: list[list[Level]] = [[]]
     for sweep in range(sweeps):
         shared = sc.broadcast(upper)
@@ -274,7 +300,7 @@ def fit(run_counts: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
         keys, n = tops["key"].to_numpy(np.int64).view(np.uint64), tops["n"].to_numpy(np.int64)
         levels, _, _ = _seated(keys, n, upper[-1][:UPPER + 1], UPPER, 0, np.random.default_rng([7, sweep]))
         upper = [*upper, levels]
-    return dealt.mapInArrow(_predicted(sc.broadcast(upper[1:])), "key long, value double")
+    return dealt.mapInArrow(_predicted(sc.broadcast(upper)), "key long, value double")
 
 
 def _ask(key: tuple[pa.Scalar, ...], group: pa.Table) -> pa.Table:
@@ -329,7 +355,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
              .unionByName(counts.filter(F.col("kind") == WORD).select("key", F.col("n").cast("double").alias("value"), "kind")))
     dealt = docs.withColumn("split", F.pmod(F.xxhash64("doc_id", "text"), F.lit(splits)))
     asked = dealt.groupBy("split").applyInArrow(_ask, "split long, kind byte, key long")
-    answers = asked.join(model.hint("shuffle_hash"), ["kind", "key"], "left").select("split", "kind", "key", "value")
+    answers = asked.join(model.hint("merge"), ["kind", "key"], "left").select("split", "kind", "key", "value")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("split").cogroup(answers.groupBy("split")).applyInArrow(_score(total["n"] or 0, total["v"] or 0), schema)
 

@@ -18,7 +18,8 @@ All of it is SQL functions.
 Cases: a null source is a source.  A null or empty text has no tokens and
 comes as often as its source's whole epochs.  Sources without any token are
 taken once.  Rows that share a ``doc_id`` and source stay together.  An empty
-table gives no rows.  Other columns pass through.
+table gives no rows.  Other columns pass through; ``epoch``,
+``mix_block`` and ``mix_order`` replace columns of these names.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quarry.llm.common import checkpointed, table
+from quarry.llm.common import checkpointed, table, unused
 from quarry.session import scratch_path
 
 MAX_REPEAT = 2.0
@@ -128,13 +129,14 @@ def mix(docs: DataFrame, group: str = "source", target_entropy: float | None = N
     plan = checkpointed(budgets(light, "source", target_entropy, max_repeat, total_tokens))
     path = scratch_path(spark, "mixing")
     # a written table has a known size, by which Spark chooses how to join it
-    cuts(light, plan, "source").select(F.col("g").alias("__g"), "whole", "c0", "c1", "c2").coalesce(1).write.parquet(path)
+    g, whole, copies_, *cut = [unused(c, docs) for c in ("__g", "__whole", "__copies", "__c0", "__c1", "__c2")]
+    cuts(light, plan, "source").toDF(g, whole, *cut).write.parquet(path)
     ends = spark.read.parquet(path)
     n = (plan.agg(F.sum(F.col("repeat") * F.col("tokens")).alias("n")).first()["n"] or 0) // MIX_BLOCK_TOKENS + 1
     k = _order(SEED)
-    copies = F.col("whole") + F.when(F.col("c0").isNotNull() & F.coalesce(_less(k, ["c0", "c1", "c2"]), F.lit(False)), 1).otherwise(0)
-    joined = docs.join(ends, docs[group].eqNullSafe(ends["__g"])).withColumn("__copies", copies)
-    spread = joined.filter("__copies > 0").select(*(docs[c] for c in own), F.explode(F.sequence(F.lit(0), F.col("__copies") - 1)).alias("epoch"))
+    copies = F.col(whole) + F.when(F.col(cut[0]).isNotNull() & F.coalesce(_less(k, cut), F.lit(False)), 1).otherwise(0)
+    joined = docs.join(ends, docs[group].eqNullSafe(ends[g])).withColumn(copies_, copies)
+    spread = joined.filter(F.col(copies_) > 0).select(*(docs[c] for c in own), F.explode(F.sequence(F.lit(0), F.col(copies_) - 1)).alias("epoch"))
     at = F.xxhash64(F.lit(SEED + 3), F.col("epoch"), F.col("doc_id").cast("long"))
     return spread.withColumn("mix_block", F.pmod(at, F.lit(int(n)))).withColumn("mix_order", F.xxhash64(F.lit(SEED + 4), at))
 

@@ -19,6 +19,7 @@ import base64
 import math
 import zlib
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -49,8 +50,9 @@ _encoders: dict[str, object] = {}
 
 def encoder(vocabulary: str):
     """The byte-level BPE of a vocabulary file in the tokenizers library's
-    JSON form; special tokens in a text are ordinary text.  ``tiktoken``
-    runs the same merges over the same vocabulary several times faster."""
+    JSON form; its special tokens in a text are one id each, as that library
+    gives them.  ``tiktoken`` runs the same merges over the same vocabulary
+    several times faster."""
     if vocabulary not in _encoders:
         import json
 
@@ -59,10 +61,10 @@ def encoder(vocabulary: str):
 
         with open(vocabulary, encoding="utf-8") as f:
             model = json.load(f)
-        special = {x["content"] for x in model.get("added_tokens", ()) if x["special"]}
+        special = {x["content"]: x["id"] for x in model.get("added_tokens", ()) if x["special"]}
         back = _byte_letters()
         ranks = {bytes(back[c] for c in piece): i for piece, i in model["model"]["vocab"].items() if piece not in special}
-        _encoders[vocabulary] = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        _encoders[vocabulary] = tiktoken.Encoding(vocabulary, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=special)
     return _encoders[vocabulary]
 
 
@@ -134,7 +136,7 @@ def _first_bin(level: int) -> int:
 
 def _local(vocabulary: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(vocabulary).encode_ordinary
+        encode = partial(encoder(vocabulary).encode, allowed_special="all")
         pieces: list[dict] = []
         at = _first_bin(1)
 

@@ -26,7 +26,8 @@ from pyspark.sql import functions as F
 from quarry.llm.common import table, text_or_empty
 
 LEAF = 64
-#: A pre-token's end depends on at most so many characters after it ("'re": two after the quote).
+#: A pre-token's end depends on at most so many characters after it ("'re": two
+#: after the quote), and on a special token that begins after it.
 LOOKAHEAD = 3
 #: Distinct pre-tokens whose counts a task remembers.
 REMEMBERED = 500_000
@@ -42,14 +43,26 @@ class Splitter:
         from quarry.llm.packing import encoder
 
         self.pattern = regex.compile(public_tokenizers.PATTERN)
-        self.encode = encoder(vocabulary).encode_ordinary
-        self.known: dict[str, int] = {}
+        encoding = encoder(vocabulary)
+        self.encode = encoding.encode_ordinary
+        special = sorted(encoding.special_tokens_set, key=lambda s: (-len(s), s))
+        self.special = regex.compile("|".join(map(regex.escape, special)) or r"(?!)")
+        self.lookahead = LOOKAHEAD + max(map(len, special), default=0)
+        self.known: dict[str, int] = dict.fromkeys(special, 1)
+
+    def pieces(self, text: str, at: int = 0) -> Iterator[tuple[int, int]]:
+        """(start, end) of the pre-tokens from ``at`` on; special tokens are found first."""
+        for s in self.special.finditer(text, at):
+            yield from (m.span() for m in self.pattern.finditer(text, at, s.start()))
+            yield s.span()
+            at = s.end()
+        yield from (m.span() for m in self.pattern.finditer(text, at))
 
     def count(self, piece: str) -> int:
         n = self.known.get(piece)
         if n is None:
             if len(self.known) >= REMEMBERED:
-                self.known.clear()
+                self.known = {k: 1 for k in self.known if self.special.fullmatch(k)}
             n = self.known[piece] = len(self.encode(piece))
         return n
 
@@ -59,7 +72,7 @@ class Document:
 
     def __init__(self, text: str, splitter: Splitter):
         self.text, self.splitter = text, splitter
-        pieces = splitter.pattern.findall(text)
+        pieces = splitter.pattern.findall(text) if not splitter.special.search(text) else [text[a:b] for a, b in splitter.pieces(text)]
         known, count = splitter.known, splitter.count
         self._plant([(len(p), known[p] if p in known else count(p)) for p in pieces])
         self.encoded = len(pieces)
@@ -123,16 +136,16 @@ class Document:
         stop = min(max(stop, start), n)
         text = self.text[:start] + new + self.text[stop:]
         moved, fresh_to = len(text) - n, start + len(new)
-        first_leaf, first_at, at = self._find(max(0, start - LOOKAHEAD - 1))
+        first_leaf, first_at, at = self._find(max(0, start - self.splitter.lookahead - 1))
         old = first_leaf, first_at, at
         found: list[tuple[int, int]] = []
-        for m in self.splitter.pattern.finditer(text, at):
-            if m.start() >= fresh_to:  # from here on both texts have the same characters
-                while old[1] < len(self.leaves[old[0]]) and old[2] < m.start() - moved:
+        for a, b in self.splitter.pieces(text, at):
+            if a >= fresh_to:  # from here on both texts have the same characters
+                while old[1] < len(self.leaves[old[0]]) and old[2] < a - moved:
                     old = self._after(*old)
-                if old[2] == m.start() - moved and old[2] >= stop:
+                if old[2] == a - moved and old[2] >= stop:
                     break
-            found.append((m.end() - m.start(), self.splitter.count(m.group())))
+            found.append((b - a, self.splitter.count(text[a:b])))
         else:
             while old[1] < len(self.leaves[old[0]]):
                 old = self._after(*old)

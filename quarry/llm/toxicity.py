@@ -27,12 +27,14 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import LOWER, buffers, crc_mod, labelled_sample, mix64, runs, scored, table
+from quarry.llm.common import LOWER, buffers, crc_mod, labelled_sample, mix64, runs, scored, table, unused
 
 #: At most so many labelled rows are learned from.
 SAMPLE_ROWS = 12_000
 ORDERS = (4, 5, 6)
 HASH_BITS = 20
+#: Odd, so that an n-gram's hash keeps all bits of its last characters.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
 FEATURES = 2048
 SMOOTHING = 1.0
 RIDGE = 2e-4
@@ -42,19 +44,20 @@ CUT = 0.7
 
 
 def ngrams(raw: np.ndarray, off: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(place of the first byte, hashed n-gram), order by order; none crosses rows."""
-    low = LOWER[raw].astype(np.uint64)
-    n = len(low)
-    if not n:
+    """(row, hashed n-gram of characters), order by order; none crosses rows."""
+    if not len(raw):
         return
-    room = np.repeat(off[1:], np.diff(off)) - np.arange(n)  # bytes to the end of the row
+    low = np.frombuffer(LOWER[raw].tobytes().decode("utf-8", "surrogatepass").encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    n, begins = len(low), np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])[off]
+    row = np.repeat(np.arange(len(off) - 1), np.diff(begins))
+    room = begins[1:][row] - np.arange(n)  # characters to the end of the row
     gram = low.copy()
     for order in range(2, max(ORDERS) + 1):
-        gram = gram[:-1] << np.uint64(8) | low[order - 1:] if n >= order else gram[:0]
+        gram = gram[:-1] * SPREAD + low[order - 1:] if n >= order else gram[:0]
         if order in ORDERS:
             at = np.flatnonzero(room[:len(gram)] >= order)
             key = gram[at] * np.uint64(len(ORDERS) + 1) + np.uint64(order - min(ORDERS))
-            yield at, (mix64(key) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
+            yield row[at], (mix64(key) >> np.uint64(64 - HASH_BITS)).astype(np.int64)
 
 
 def present(raw: np.ndarray, off: np.ndarray, column: np.ndarray) -> np.ndarray:
@@ -63,11 +66,10 @@ def present(raw: np.ndarray, off: np.ndarray, column: np.ndarray) -> np.ndarray:
     found = []
     for i, j in runs(off):
         part = off[i:j + 1]
-        for at, h in ngrams(raw[part[0]:part[-1]], part - part[0]):
+        for row, h in ngrams(raw[part[0]:part[-1]], part - part[0]):
             c = column[h]
             hit = np.flatnonzero(c >= 0)
-            rows = np.searchsorted(part - part[0], at[hit], side="right") - 1 + i
-            found.append(np.unique(rows * FEATURES + c[hit]))
+            found.append(np.unique((row[hit] + i) * FEATURES + c[hit]))
     return np.unique(np.concatenate(found)) if found else np.zeros(0, np.int64)
 
 
@@ -155,22 +157,23 @@ def fit(docs: DataFrame, labels: DataFrame, held: Column, rows: int = SAMPLE_ROW
     return Model(column, (w * ratios).astype(np.float64), b)
 
 
-def score(docs: DataFrame, model: Model) -> DataFrame:
-    """``docs`` with a column ``score`` from 0 to 1."""
+def score(docs: DataFrame, model: Model, name: str = "score") -> DataFrame:
+    """``docs`` with a column ``name`` from 0 to 1, in place of one of that name."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    docs = docs.drop("score")
+    docs = docs.drop(name)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             s = shared.value.score(batch.column(batch.schema.get_field_index("text")))
-            yield batch.append_column("score", pa.array(s, pa.float64()))
+            yield batch.append_column(name, pa.array(s, pa.float64()))
 
-    return docs.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", score double")
+    return docs.mapInArrow(run, ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + f", `{name}` double")
 
 
 def reject(docs: DataFrame, labels: DataFrame, held: Column, cut: float = CUT) -> DataFrame:
-    """The documents that score under ``cut``."""
-    return score(docs, fit(docs, labels, held)).filter(F.col("score") < cut).drop("score")
+    """The documents that score under ``cut``, with the columns they have."""
+    name = unused("toxicity", docs)
+    return score(docs, fit(docs, labels, held), name).filter(F.col(name) < cut).drop(name)
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:

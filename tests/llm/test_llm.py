@@ -44,7 +44,6 @@ def test_packing_covers_every_token_once(odd, empty):
 
     vocabulary = packing.default_vocabulary()
     hf = Tokenizer.from_file(vocabulary)
-    hf.encode_special_tokens = True
     placed = packing.placements(packing.pack(odd, vocabulary)).toPandas()
     want = Counter()
     for i, t, _ in ODD:
@@ -236,6 +235,39 @@ def test_seating_keeps_customers_and_bounds():
     assert t[0] == 0 and t[1] == 1 and (t[1:] >= 1).all() and (t <= c).all()
 
 
+def test_longer_contexts_are_seated_under_their_parents():
+    rng = np.random.default_rng(5)
+    keys, n = np.unique(np.concatenate([rng.integers(0, 3, 6) + 97 for _ in range(3000)]).reshape(-1, 6).astype(np.uint64) @ np.array([1 << 8 * k for k in range(5, -1, -1)], np.uint64), return_counts=True)
+    upper, states = [[]], []
+    for sweep in range(3):
+        *_, (own, up, customers) = language_model._lower(keys, n, upper)
+        levels, _, _ = language_model._seated(*language_model._tally([up], [customers]), upper[-1], language_model.UPPER, 0, np.random.default_rng(sweep))
+        upper.append(levels)
+        states.append([*levels, *own])
+    for state in states:
+        assert [len(np.unique(s.keys)) for s in state] == [len(np.unique(keys & language_model._mask(k))) for k in range(6)]
+        context = keys[11] >> np.uint64(8)
+        every = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
+        assert abs(language_model.predictions(state, every).sum() - 1) < 1e-9
+    # the parents' chances decide how many tables open: a level seated under uniform ones has fewer
+    assert states[1][5].open.sum() > states[0][5].open.sum()
+    # a level's customers are the tables of the level above it
+    assert all(abs(b.open.sum() - a.total.sum()) < 1e-9 for a, b in zip(states[2], states[2][1:]))
+
+
+def test_runs_are_seated_whole_stems_at_a_time(monkeypatch):
+    monkeypatch.setattr(language_model, "CHUNK_RUNS", 50)
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 1 << 36, 2000).astype(np.uint64) & np.uint64(0xFF_FF_03_03_0F_FF))
+    stem = keys & language_model._STEM
+    keys = keys[np.argsort(stem, kind="stable")]
+    batches = [pa.RecordBatch.from_arrays([pa.array(keys[i:i + 7].view(np.int64)), pa.array(np.ones(len(keys[i:i + 7]), np.int64))], ["key", "n"]) for i in range(0, len(keys), 7)]
+    chunks = list(language_model._chunks(iter(batches)))
+    assert sorted(np.concatenate([k for k, _ in chunks])) == sorted(keys) and len(chunks) > 5
+    stems = [set((k & language_model._STEM).tolist()) for k, _ in chunks]
+    assert all(not a & b for i, a in enumerate(stems) for b in stems[:i])
+
+
 def test_predictions_sum_to_one():
     keys = np.unique(np.random.default_rng(3).integers(0, 1 << 24, 500).astype(np.uint64))
     levels, _, _ = language_model._seated(keys, np.full(len(keys), 3), [], 2, 0, np.random.default_rng(0))
@@ -244,10 +276,117 @@ def test_predictions_sum_to_one():
     assert abs(language_model.predictions(levels, every).sum() - 1) < 1e-9
 
 
+SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x!!<|endoftext|><|endoftext|>  <|endoftext|>\n", "<|endoftext", "  <|endoftext|>'s"]
+
+
+def test_special_tokens_are_one_id_each():
+    from tokenizers import Tokenizer
+
+    vocabulary = packing.default_vocabulary()
+    hf, own, splitter = Tokenizer.from_file(vocabulary), packing.encoder(vocabulary), token_counts.Splitter(vocabulary)
+    for t in SPECIAL:
+        ids = hf.encode(t, add_special_tokens=False).ids
+        assert own.encode(t, allowed_special="all") == ids
+        assert token_counts.Document(t, splitter).tokens == len(ids)
+    assert own.encode(SPECIAL[0], allowed_special="all") == [64, 220, 50256, 275]
+
+
+def test_toxicity_features_are_characters():
+    texts = ["", "Abc", "aé漢😀bcdE", "ABCdef"]
+    raw, off = toxicity.buffers(pa.array(texts))
+    got = Counter((int(r), int(h)) for rows, hs in toxicity.ngrams(raw, off) for r, h in zip(rows, hs))
+    want = Counter()
+    for r, t in enumerate(texts):
+        low = t.translate(str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"))
+        for order in toxicity.ORDERS:
+            for k in range(len(low) - order + 1):
+                h = 0
+                for c in low[k:k + order]:
+                    h = (h * int(toxicity.SPREAD) + ord(c)) % (1 << 64)
+                key = (h * (len(toxicity.ORDERS) + 1) + order - min(toxicity.ORDERS)) % (1 << 64)
+                want[r, int(toxicity.mix64(np.array([key], np.uint64))[0] >> np.uint64(64 - toxicity.HASH_BITS))] += 1
+    assert got == want
+
+
+def test_toxicity_counts_and_ratios_by_hand(spark):
+    rows = [(k, ("bad words here " if k % 3 == 0 else "good text there ") + "x" * (k % 5), k % 3 == 0) for k in range(60)]
+    docs = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    marks = spark.createDataFrame([(k, int(y)) for k, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit(docs, marks, F.lit(True))
+    held = {True: Counter(), False: Counter()}
+    for _, t, y in rows:
+        raw, off = toxicity.buffers(pa.array([t]))
+        held[y].update({int(h) for _, hs in toxicity.ngrams(raw, off) for h in hs})
+    size = {y: sum(z == y for _, _, z in rows) for y in held}
+    ratio = {h: math.log((held[True][h] + 1) / (size[True] + 2)) - math.log((held[False][h] + 1) / (size[False] + 2)) for h in held[True] | held[False]}
+    assert {h for h in range(len(model.column)) if model.column[h] >= 0} == set(ratio)
+    sure = [h for h in ratio if held[True][h] == size[True] and not held[False][h]]
+    assert all(model.weight[model.column[h]] > 0 for h in sure) and sure
+    assert [s > 0.5 for s in (r["score"] for r in toxicity.score(docs, model).orderBy("doc_id").collect())] == [y for _, _, y in rows]
+
+
+def test_rejecting_keeps_all_columns(spark, odd, labels):
+    out = toxicity.reject(odd, labels, F.lit(True), cut=2.0)
+    assert out.columns == odd.columns and Counter(map(tuple, out.collect())) == Counter(map(tuple, odd.collect()))
+
+
+def test_mixing_beside_columns_of_its_own_names(spark, odd):
+    docs = odd.select("*", *[F.lit(k).alias(c) for k, c in enumerate(("whole", "c0", "__c0", "c1", "c2", "__g", "__copies", "tokens"))])
+    out = mixing.mix(docs)
+    assert out.columns == [*docs.columns, "epoch", "mix_block", "mix_order"]
+    assert set(map(tuple, out.select(*docs.columns).collect())) == set(map(tuple, docs.collect()))
+
+
+def spot_set(spark, text):
+    return set(spark.createDataFrame([(text,)], "text string").select(fingerprints.spots(F.col("text"))).first()[0])
+
+
+def test_fingerprints_compare_as_their_documents(spark):
+    r = random.Random(6)
+    base = [r.choice(["the", "of", "and", *(f"w{k}" for k in range(300))]) for _ in range(150)]
+    rows = [(k, " ".join(w if r.random() > k / 40 else "other" for w in base)) for k in range(12)] + [(20, ""), (21, "x"), (22, " ".join(base[:8]))]
+    got = {x.doc_id: x for x in fingerprints.fingerprinted(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts, order = dict(rows), sorted((k for k, _ in rows), reverse=True)
+
+    def parsed(hexed):
+        return {int(hexed[i:i + 8], 16) for i in range(0, len(hexed), 8)}
+
+    def jaccard(a, b):
+        return len(a & b) / len(a | b)
+
+    for i, after in zip(order, order[1:] + order[:1]):
+        x = got[i]
+        assert parsed(x.fingerprint) == {s % (1 << 32) for s in spot_set(spark, texts[i])}
+        assert x.near_edited == jaccard(parsed(x.fingerprint), parsed(x.edited_fingerprint))
+        assert x.near_next == jaccard(parsed(x.fingerprint), parsed(got[after].fingerprint))
+
+
+@pytest.mark.parametrize("threshold", [0.8, 0.5])
+def test_links_of_fingerprints_are_all_found(spark, threshold):
+    r = random.Random(8)
+    sets = {}
+    for k in range(40):
+        base = set(r.sample(range(-500, 500), r.randrange(1, 80)))
+        for _ in range(4):
+            sets.setdefault(frozenset(base), f"d{len(sets):03d}")
+            base = (base - set(r.sample(sorted(base), min(len(base) - 1, r.randrange(4))))) | set(r.sample(range(-500, 500), r.randrange(4)))
+    frame = spark.createDataFrame([(d, sorted(s)) for s, d in sets.items()], "digest string, spots array<int>")
+    got = {(x.a, x.b): x.likeness for x in fingerprints.links(frame, threshold).collect()}
+    want = {tuple(sorted((a, b))): len(s & t) / len(s | t) for s, a in sets.items() for t, b in sets.items() if a < b and len(s & t) >= threshold * len(s | t) - 1e-12}
+    assert got == want and len(want) > 60
+
+
+def test_distinct_sets(spark, odd):
+    rows = fingerprints.sets(odd).collect()
+    assert len(rows) == len({frozenset(spot_set(spark, t or "")) for _, t, _ in ODD}) and {r.doc_id for r in rows if r.doc_id} <= {i for i, _, _ in ODD}
+    assert fingerprints.links(fingerprints.sets(odd).limit(0)).count() == 0
+
+
 def test_edits_are_counted_as_a_new_encoding(odd, empty):
     vocabulary = packing.default_vocabulary()
-    splitter, encode, r = token_counts.Splitter(vocabulary), packing.encoder(vocabulary).encode_ordinary, random.Random(3)
-    letters = "ab c  '\n\tre'srel 12é!?#漢"
+    splitter, r = token_counts.Splitter(vocabulary), random.Random(3)
+    encode = lambda t: packing.encoder(vocabulary).encode(t, allowed_special="all")
+    letters = [*"ab c  '\n\tre'srel 12é!?#漢", "<|endoftext|>", "<|endof", "text|>", "<|"]
     for _ in range(60):
         doc = token_counts.Document("".join(r.choice(letters) for _ in range(r.choice([0, 1, 5, 50, 2000]))), splitter)
         for _ in range(15):
@@ -288,7 +427,7 @@ def test_mixing(spark, odd, empty):
 
 
 def test_pipeline_stages(spark, odd):
-    docs = odd.drop("score")
+    docs = odd.withColumn("whole", F.lit(1)).withColumn("c0", F.lit("x")).withColumn("n_dropped", F.lit(2.5))
     for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
         out = stage(spark, docs, SF)
         if k < len(corpus_pipeline.STAGES) - 1:
