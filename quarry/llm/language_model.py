@@ -67,10 +67,11 @@ def spelled(raw: np.ndarray, off: np.ndarray):
     out[at + chars] = LOWER[raw[chars]]
     out[first + size] = SPACE
     length = np.bincount(row, weights=size + 1, minlength=n_rows).astype(np.int64) + CONTEXT + 1
-    runs_ = out.copy()
-    for _ in range(CONTEXT):
-        runs_ = (runs_[:-1] << np.uint64(8)) | out[len(out) - len(runs_) + 1:]
-    # runs_[i] covers out[i : i + CONTEXT + 1]; those that end in a row's padding are not predictions
+    # runs_[i] covers out[i : i + CONTEXT + 1]: the nearest context byte stands highest, the
+    # predicted one lowest; those that end in a row's padding are not predictions
+    runs_ = out[CONTEXT:].copy()
+    for k in range(CONTEXT):
+        runs_ |= out[k:len(out) - CONTEXT + k] << np.uint64(8 * (k + 1))
     owner = np.repeat(np.arange(n_rows), length)
     place = np.arange(len(out)) - np.repeat(np.cumsum(length) - length, length)
     ok = place[CONTEXT:] >= CONTEXT
@@ -93,7 +94,7 @@ class Tally:
     def __init__(self):
         self.keys: list[np.ndarray] = []
         self.counts: list[np.ndarray] = []
-        self.size = 0
+        self.size = self.kept = 0
 
     def add(self, keys: np.ndarray, trains: np.ndarray | None = None) -> None:
         for own, weight in ((keys, 1),) if trains is None else ((keys[trains], 1), (keys[~trains], 0)):
@@ -101,9 +102,9 @@ class Tally:
             self.keys.append(k)
             self.counts.append(n * weight)
             self.size += len(k)
-        if self.size > GATHERED:
+        if self.size > GATHERED + self.kept:
             k, n = _tally(self.keys, self.counts)
-            self.keys, self.counts, self.size = [k], [n], 0
+            self.keys, self.counts, self.size, self.kept = [k], [n], 0, len(k)
 
     def merged(self) -> tuple[np.ndarray, np.ndarray]:
         return _tally(self.keys, self.counts)
@@ -200,15 +201,17 @@ class Lookup:
         return self.values[at]
 
 
-def _mask(k: int) -> np.uint64:
-    return np.uint64((1 << 8 * (k + 1)) - 1)
+def shorter(keys: np.ndarray, context: int, k: int) -> np.ndarray:
+    """Runs with ``context`` bytes of context, with the k nearest of them."""
+    cut = np.uint64(8 * (1 + context - k))
+    return (keys >> cut << np.uint64(8)) | (keys & np.uint64(0xFF))
 
 
-def predictions(levels: list[Level], keys: np.ndarray) -> np.ndarray:
-    """Of runs of as many bytes as there are levels, or more."""
+def predictions(levels: list[Level], keys: np.ndarray, context: int) -> np.ndarray:
+    """Of runs with ``context`` bytes of context, by levels from none on."""
     p = np.full(len(keys), 1 / 256)
     for k, level in enumerate(levels):
-        p = level.predict(keys & _mask(k), p)
+        p = level.predict(shorter(keys, context, k), p)
     return p
 
 
@@ -218,38 +221,38 @@ def _seated(keys: np.ndarray, customers: np.ndarray, levels: list[Level], contex
     Returns the levels, longest context last, and the customers that go on."""
     out = []
     for k in range(context, stop - 1, -1):
-        parent = predictions(levels[:k], keys)
+        parent = predictions(levels[:k], keys, k)
         room, at = np.unique(keys >> np.uint64(8), return_inverse=True)
         tables = seat(customers, parent, at, len(room), DISCOUNTS[k], rng)
         out.append(Level(keys, customers, tables, DISCOUNTS[k]))
         if k:
-            keys, customers = _tally([keys & _mask(k - 1)], [tables])
+            keys, customers = _tally([shorter(keys, k, k - 1)], [tables])
     return out[::-1], keys, customers
 
 
-_STEM = np.uint64(((1 << 8 * (UPPER + 2)) - 1) ^ 0xFF)
+#: The bits of a run below its stem, the UPPER + 1 nearest bytes of context.
+BELOW_STEM = 8 * (CONTEXT - UPPER)
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """The task's runs and counts, which come in the order of their stems, about
-    CHUNK_RUNS at a time and never cut within a stem; sorted by run."""
+    """The task's runs and counts, which come sorted, about CHUNK_RUNS at a time
+    and never cut within a stem."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
-    size = 0
+    size, low = 0, np.uint64(BELOW_STEM)
     for b in batches:
         k, n = b.column(0).to_numpy().view(np.uint64), b.column(1).to_numpy()
         if size >= CHUNK_RUNS and len(k):
-            stem = k & _STEM
-            at = int(np.argmax(stem != held[-1][0][-1] & _STEM)) if (stem != held[-1][0][-1] & _STEM).any() else len(k)
+            at = int(np.searchsorted(k >> low, held[-1][0][-1] >> low, side="right"))
             held.append((k[:at], n[:at]))
             k, n = k[at:], n[at:]
             if len(k):
-                yield _tally([x for x, _ in held], [x for _, x in held])
+                yield np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
                 held, size = [], 0
         if len(k):
             held.append((k, n))
             size += len(k)
     if held:
-        yield _tally([x for x, _ in held], [x for _, x in held])
+        yield np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
 
 
 def _lower(keys: np.ndarray, n: np.ndarray, upper: list[list[Level]]):
@@ -279,7 +282,7 @@ def _predicted(upper):
             total, counted_ = 0.0, 0
             for sweep, (own, _, _) in enumerate(_lower(keys, n, upper.value[:sweeps])):
                 if sweep or sweeps == 1:
-                    total, counted_ = total + predictions([*upper.value[sweep + 1], *own], keys), counted_ + 1
+                    total, counted_ = total + predictions([*upper.value[sweep + 1], *own], keys, CONTEXT), counted_ + 1
             value = np.log10(total / counted_)
             for i in range(0, len(keys), 100_000):
                 yield pa.RecordBatch.from_arrays([pa.array(keys[i:i + 100_000].view(np.int64)), pa.array(value[i:i + 100_000])], ["key", "value"])
@@ -290,8 +293,7 @@ def _predicted(upper):
 def fit(run_counts: DataFrame, sweeps: int = SWEEPS) -> DataFrame:
     """(key, value): log10 of the averaged prediction of every run in ``run_counts`` (key, n)."""
     sc = run_counts.sparkSession.sparkContext
-    stem = F.shiftright(F.col("key").bitwiseAND(F.lit((1 << 8 * (UPPER + 2)) - 1)), 8)
-    dealt = checkpointed(run_counts.repartition(stem).sortWithinPartitions(stem).select("key", "n"))
+    dealt = checkpointed(run_counts.repartition(F.shiftright("key", BELOW_STEM)).sortWithinPartitions("key").select("key", "n"))
     upper: list[list[Level]] = [[]]
     for sweep in range(sweeps):
         shared = sc.broadcast(upper)

@@ -245,10 +245,10 @@ def test_longer_contexts_are_seated_under_their_parents():
         upper.append(levels)
         states.append([*levels, *own])
     for state in states:
-        assert [len(np.unique(s.keys)) for s in state] == [len(np.unique(keys & language_model._mask(k))) for k in range(6)]
+        assert [len(np.unique(s.keys)) for s in state] == [len(np.unique(language_model.shorter(keys, 5, k))) for k in range(6)]
         context = keys[11] >> np.uint64(8)
         every = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert abs(language_model.predictions(state, every).sum() - 1) < 1e-9
+        assert abs(language_model.predictions(state, every, 5).sum() - 1) < 1e-9
     # the parents' chances decide how many tables open: a level seated under uniform ones has fewer
     assert states[1][5].open.sum() > states[0][5].open.sum()
     # a level's customers are the tables of the level above it
@@ -258,13 +258,11 @@ def test_longer_contexts_are_seated_under_their_parents():
 def test_runs_are_seated_whole_stems_at_a_time(monkeypatch):
     monkeypatch.setattr(language_model, "CHUNK_RUNS", 50)
     rng = np.random.default_rng(2)
-    keys = np.unique(rng.integers(0, 1 << 36, 2000).astype(np.uint64) & np.uint64(0xFF_FF_03_03_0F_FF))
-    stem = keys & language_model._STEM
-    keys = keys[np.argsort(stem, kind="stable")]
+    keys = np.unique(rng.integers(0, 1 << 48, 2000).astype(np.uint64) & np.uint64(0x03_03_0F_FF_FF_FF))
     batches = [pa.RecordBatch.from_arrays([pa.array(keys[i:i + 7].view(np.int64)), pa.array(np.ones(len(keys[i:i + 7]), np.int64))], ["key", "n"]) for i in range(0, len(keys), 7)]
     chunks = list(language_model._chunks(iter(batches)))
     assert sorted(np.concatenate([k for k, _ in chunks])) == sorted(keys) and len(chunks) > 5
-    stems = [set((k & language_model._STEM).tolist()) for k, _ in chunks]
+    stems = [set((k >> np.uint64(24)).tolist()) for k, _ in chunks]
     assert all(not a & b for i, a in enumerate(stems) for b in stems[:i])
 
 
@@ -273,7 +271,19 @@ def test_predictions_sum_to_one():
     levels, _, _ = language_model._seated(keys, np.full(len(keys), 3), [], 2, 0, np.random.default_rng(0))
     context = keys[7] >> np.uint64(8)
     every = (context << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-    assert abs(language_model.predictions(levels, every).sum() - 1) < 1e-9
+    assert abs(language_model.predictions(levels, every, 2).sum() - 1) < 1e-9
+
+
+def test_runs_are_spelled_from_the_nearest_byte():
+    text = "Ab é"
+    raw, off = language_model.buffers(pa.array([text, ""]))
+    got, owner, _, _ = language_model.spelled(raw, off)
+    want = []
+    for row, t in enumerate([text, ""]):
+        said = b"\n" * 5 + b"".join(w.encode() + b" " for w in t.lower().split()) + b"\n"
+        want += [(row, int.from_bytes(said[i - 5:i][::-1] + said[i:i + 1], "big")) for i in range(5, len(said))]
+    assert sorted(zip(owner.tolist(), got.tolist())) == sorted(want)
+    assert language_model.shorter(got, 5, 2).tolist() == [((k >> 32) << 8) | (k & 255) for k in got.tolist()]
 
 
 SPECIAL = ["a <|endoftext|> b", "<|endoftext|>", "x!!<|endoftext|><|endoftext|>  <|endoftext|>\n", "<|endoftext", "  <|endoftext|>'s"]
