@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import LOWER, buffers, checkpointed, crc_mod, mix64, runs, table, text_or_empty, words
+from quarry.llm.common import _IS_WHITE, LOWER, buffers, checkpointed, crc_mod, runs, table, text_or_empty, words
 
 CONTEXT = 5
 UPPER = 2
@@ -42,7 +42,7 @@ DISCOUNTS = (0.05, 0.2, 0.3, 0.4, 0.5, 0.6)
 STRENGTH = 1.0
 SWEEPS = 3
 #: Bytes of text in one scoring split, about.
-SPLIT_BYTES = 16_000_000
+SPLIT_BYTES = 20_000_000
 #: Runs that a task seats at a time, about (never less than those that share UPPER + 1 bytes of context).
 CHUNK_RUNS = 500_000
 #: Keys that a task gathers before it merges equal ones.
@@ -63,7 +63,7 @@ def spelled(raw: np.ndarray, off: np.ndarray):
     out = np.full(int(size.sum()) + len(h) + (CONTEXT + 1) * n_rows, END, dtype=np.uint64)
     first = np.cumsum(size) - size + np.arange(len(h)) + (CONTEXT + 1) * row + CONTEXT
     at = np.repeat(first - start, size)
-    chars = np.repeat(start - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
+    chars = np.flatnonzero(~_IS_WHITE[raw])
     out[at + chars] = LOWER[raw[chars]]
     out[first + size] = SPACE
     length = np.bincount(row, weights=size + 1, minlength=n_rows).astype(np.int64) + CONTEXT + 1
@@ -72,10 +72,9 @@ def spelled(raw: np.ndarray, off: np.ndarray):
     runs_ = out[CONTEXT:].copy()
     for k in range(CONTEXT):
         runs_ |= out[k:len(out) - CONTEXT + k] << np.uint64(8 * (k + 1))
-    owner = np.repeat(np.arange(n_rows), length)
-    place = np.arange(len(out)) - np.repeat(np.cumsum(length) - length, length)
-    ok = place[CONTEXT:] >= CONTEXT
-    return runs_[ok], owner[CONTEXT:][ok], h, row
+    ok = np.ones(len(out), dtype=bool)
+    ok[(np.cumsum(length) - length)[:, None] + np.arange(CONTEXT)] = False
+    return runs_[ok[CONTEXT:]], np.repeat(np.arange(n_rows), length - CONTEXT), h, row
 
 
 def _tally(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -180,6 +179,10 @@ def _find(table_: np.ndarray, keys: np.ndarray, values: np.ndarray) -> np.ndarra
     return np.where(table_[at] == keys, values[at], 0.0)
 
 
+#: An odd number whose multiples spread over the highest bits.
+SPREAD = np.uint64(0x9E3779B97F4A7C15)
+
+
 class Lookup:
     """Values by key for many keys in any order.  A key has one slot of a table
     of two to four times their number; the few that share theirs are searched."""
@@ -192,7 +195,7 @@ class Lookup:
         self.at[self._slot(self.keys)] = np.arange(len(keys), dtype=np.int32)
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return (mix64(keys) >> self.shift).astype(np.int64)
+        return (keys * SPREAD >> self.shift).view(np.int64)
 
     def __call__(self, keys: np.ndarray) -> np.ndarray:
         at = self.at[self._slot(keys)]
@@ -357,7 +360,7 @@ def score(docs: DataFrame, train: Column) -> DataFrame:
              .unionByName(counts.filter(F.col("kind") == WORD).select("key", F.col("n").cast("double").alias("value"), "kind")))
     dealt = docs.withColumn("split", F.pmod(F.xxhash64("doc_id", "text"), F.lit(splits)))
     asked = dealt.groupBy("split").applyInArrow(_ask, "split long, kind byte, key long")
-    answers = asked.join(model.hint("merge"), ["kind", "key"], "left").select("split", "kind", "key", "value")
+    answers = asked.join(model.hint("shuffle_hash"), ["kind", "key"], "left").select("split", "kind", "key", "value")
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     return dealt.groupBy("split").cogroup(answers.groupBy("split")).applyInArrow(_score(total["n"] or 0, total["v"] or 0), schema)
 
