@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from quarry.plans.registry import register, t
 from quarry.sources import io
 from quarry.streaming import metrics as M
+from quarry.streaming import policies as P
 from quarry.streaming import streams as ST
 
 
@@ -159,6 +160,34 @@ def t11_alert_policy(spark, d):
     return M.alert_policy(_events(spark, d), POLICY)
 
 
+#: Two conditions in the JSON form of the surveyed policies.
+JSON_POLICY = """{"displayName": "Events", "userLabels": {}, "combiner": "OR", "enabled": true, "severity": "SEVERITY_UNSPECIFIED", "notificationChannels": [],
+ "alertStrategy": {"autoClose": "7200s"},
+ "conditions": [
+  {"displayName": "errors", "conditionThreshold": {"filter": "resource.type = \\"error\\"", "comparison": "COMPARISON_GT", "thresholdValue": 2, "duration": "7200s", "trigger": {"count": 1},
+   "aggregations": [{"alignmentPeriod": "3600s", "crossSeriesReducer": "REDUCE_NONE", "perSeriesAligner": "ALIGN_COUNT"}]}},
+  {"displayName": "many kinds", "conditionThreshold": {"filter": "", "comparison": "COMPARISON_GT", "thresholdValue": 0.02, "duration": "0s", "trigger": {"count": 3},
+   "aggregations": [{"alignmentPeriod": "3600s", "crossSeriesReducer": "REDUCE_NONE", "perSeriesAligner": "ALIGN_RATE"}]}}]}"""
+FIELDS = {"resource.type": "event_type"}
+
+
+def _fired_sql(closed: str = "") -> str:
+    """The windows in which a condition of JSON_POLICY fires."""
+    return f"""(
+  WITH b AS (SELECT * FROM (SELECT {_bucket(3600)}, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1, 2) WHERE n > 2 {closed}),
+  i AS (SELECT *, CAST(epoch(window_start) / 3600 AS BIGINT) - row_number() OVER (ORDER BY window_start) AS island FROM b),
+  r AS (SELECT *, row_number() OVER (PARTITION BY island ORDER BY window_start) AS run_length FROM i)
+  SELECT window_start, window_end FROM r WHERE run_length >= 2
+  UNION
+  SELECT window_start, window_end FROM (SELECT {_bucket(3600)}, event_type, sum(value) / 3600.0 AS rate FROM events GROUP BY 1, 2, event_type) WHERE rate > 0.02 {closed}
+  GROUP BY window_start, window_end HAVING count(*) >= 3)"""
+
+
+@register("t11_policy_two_conditions", _incidents_sql(_fired_sql(), "", 7200))
+def t11_policy_two_conditions(spark, d):
+    return P.policy_incidents(_events(spark, d), P.parse(JSON_POLICY, FIELDS), ["event_type"])
+
+
 # --------------------------------------------------------------------------
 # streams
 # --------------------------------------------------------------------------
@@ -169,10 +198,14 @@ def _slots(spark) -> int:
     return spark.sparkContext.defaultParallelism
 
 
+#: The events come as so many files in time order, in so many batches of data.
+FILES, BATCHES = 12, 3
+
+
 def _event_stream(spark, d):
     ev = _events(spark, d)
-    root = ST.stage_files(spark, ev, "ts", 3)
-    return io.stream_files(spark, root, ev.schema)
+    root = ST.stage_files(spark, ev, "ts", FILES)
+    return io.stream_files(spark, root, ev.schema, max_files_per_trigger=FILES // BATCHES)
 
 
 @register("t2_stream_align_600s", f"""
@@ -215,12 +248,15 @@ def t12_stream_decode_messages(spark, d):
     return spark.read.parquet(out)
 
 
-@register("t13_log_arrivals", "SELECT CAST(count(*) AS BIGINT) AS n_rows FROM events")
+@register("t13_log_arrivals", """
+SELECT 'arrived-' || strftime(ts, '%Y%m%d') || '.parquet' AS file, CAST(count(*) AS BIGINT) AS n_rows FROM events GROUP BY 1""")
 def t13_log_arrivals(spark, d):
     from quarry.session import scratch_path
-    log = ST.log_arrivals(_event_stream(spark, d), scratch_path(spark, "arrivals"))
-    files = spark.read.parquet(log)
-    return files.agg(F.sum("n_rows").cast("bigint").alias("n_rows"))
+    # one file a day, named by it: each is one row of the log
+    ev = _events(spark, d)
+    root = ST.stage_named(spark, ev, F.concat(F.lit("arrived-"), F.date_format("ts", "yyyyMMdd")))
+    log = ST.log_arrivals(io.stream_files(spark, root, ev.schema, max_files_per_trigger=10), scratch_path(spark, "arrivals"))
+    return spark.read.parquet(log).select(F.element_at(F.split("file_path", "/"), -1).alias("file"), F.col("n_rows").cast("bigint").alias("n_rows"))
 
 
 @register("p11_stream_label_filter", """
@@ -248,7 +284,7 @@ def s19_stream_messages(spark, d):
     from pyspark.sql.types import StringType, StructField, StructType, TimestampNTZType, LongType
     msgs = _events(spark, d).select(F.col("event_id").alias("message_id"), F.col("ts").alias("publish_time"),
                                     F.base64(F.encode("props", "UTF-8")).alias("data"))
-    root = ST.stage_files(spark, msgs, "publish_time", 3)
+    root = ST.stage_files(spark, msgs, "publish_time", FILES)
     schema = StructType([StructField("message_id", LongType()), StructField("publish_time", TimestampNTZType()),
                          StructField("data", StringType())])
     s = io.stream_messages(spark, root, schema).select(
@@ -271,3 +307,38 @@ def t7_stream_sustained(spark, d):
     return spark.read.parquet(out).select(
         F.col("window_start").cast("timestamp_ntz").alias("window_start"),
         F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "value", "run_length")
+
+
+MARK = "(SELECT max(ts) - INTERVAL '7200 seconds' FROM events)"
+
+
+def _life_cycle_sql(incidents: str, series: str = "") -> str:
+    """OPEN rows of all incidents, CLOSE rows of those that the watermark has closed."""
+    own = f"{series}, " if series else ""
+    return f"""WITH inc AS ({incidents})
+SELECT {own}'OPEN' AS event, opened_at, opened_at AS at, CAST(0 AS BIGINT) AS n_windows FROM inc
+UNION ALL SELECT {own}'CLOSE', opened_at, closed_at, n_windows FROM inc WHERE closed_at <= {MARK}"""
+
+
+def _plain(life, *series):
+    ntz = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("opened_at", "at")]
+    return life.select(*series, "event", *ntz, "n_windows")
+
+
+CLOSED_BREACHES = f"""(SELECT * FROM (SELECT {_bucket(3600)}, event_type, CAST(count(*) AS DOUBLE) AS value
+                FROM events GROUP BY 1, 2, event_type) WHERE value > 4 AND window_end <= {MARK})"""
+
+
+@register("t10_stream_life_cycle", _life_cycle_sql(_incidents_sql(CLOSED_BREACHES, "event_type", 7200), "event_type"))
+def t10_stream_life_cycle(spark, d):
+    a = ST.stream_align(_event_stream(spark, d), 3600, ["event_type"], "count")
+    fired = a.filter(F.col("value") > 4).withColumn("at", F.window_time("w")).drop("w")
+    out = ST.run_available_now(P.stream_life_cycle(fired, 7200, ["event_type"]), state_partitions=_slots(spark))
+    return _plain(spark.read.parquet(out), "event_type")
+
+
+@register("t11_stream_policy", f"SELECT * FROM {_fired_sql(f'AND window_end <= {MARK}')}")
+def t11_stream_policy(spark, d):
+    fired = P.stream_fired(_event_stream(spark, d), P.parse(JSON_POLICY, FIELDS), ["event_type"])
+    out = ST.run_available_now(fired, state_partitions=_slots(spark))
+    return spark.read.parquet(out).select(F.col("window_start").cast("timestamp_ntz").alias("window_start"), F.col("window_end").cast("timestamp_ntz").alias("window_end"))

@@ -17,15 +17,15 @@ two periods; later rows are dropped.
 
 from __future__ import annotations
 
-import re
-
 import math
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.operators.relational import label_predicate
+from quarry.operators.scans import prefix_scan
 
 
 _UNITS = {"ms": 0.001, "s": 1, "sec": 1, "second": 1, "m": 60, "min": 60, "minute": 60, "h": 3600, "hour": 3600,
@@ -151,23 +151,27 @@ def threshold(aligned: DataFrame, gt: float | None = None, lt: float | None = No
 # --------------------------------------------------------------------------
 
 
+def _duration(value) -> int:
+    """Whole seconds like ``_secs``, or none at all (0, "0s")."""
+    return 0 if re.fullmatch(r"\s*0+(\.0+)?\s*s?\s*", str(value)) else _secs(value)
+
+
 def windows_needed(duration, period) -> int:
-    return max(1, math.ceil(_secs(duration) / _secs(period)))
+    return max(1, math.ceil(_duration(duration) / _secs(period)))
 
 
 def sustained(breaches: DataFrame, duration, period, series: Sequence[str]) -> DataFrame:
     """T7 (batch): breaching windows that complete a run of at least
-    ``windows_needed`` consecutive windows (gaps and islands over the
-    aligned rows of each series: one row per series and period)."""
+    ``windows_needed`` consecutive windows, with ``run_length``.  A run starts at
+    a window whose predecessor doesn't breach; both are found by scans over
+    blocks of windows (``scans.prefix_scan``), so a series, or all rows where
+    there is none, is never sorted as a whole."""
     n = windows_needed(duration, period)
-    p = _secs(period)
-    idx = (F.unix_timestamp(F.col("window_start").cast("timestamp")) / F.lit(p)).cast("long")
-    w = Window.partitionBy(*series).orderBy("_idx")
-    b = breaches.withColumn("_idx", idx)
-    b = b.withColumn("_island", F.col("_idx") - F.row_number().over(w))
-    w2 = Window.partitionBy(*series, "_island").orderBy("_idx")
-    b = b.withColumn("run_length", F.row_number().over(w2))
-    return b.filter(F.col("run_length") >= n).drop("_idx", "_island")
+    idx = F.floor(F.unix_timestamp(F.col("window_start").cast("timestamp")) / F.lit(_secs(period)))
+    b = prefix_scan(breaches.withColumn("_idx", idx), series, "_idx", F.col("_idx"), "max", "_prev", inclusive=False)
+    start = F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col("_idx") - 1), F.col("_idx"))
+    b = prefix_scan(b, series, "_idx", start, "max", "_start")
+    return b.withColumn("run_length", (F.col("_idx") - F.col("_start") + 1).cast("int")).filter(F.col("run_length") >= n).drop("_idx", "_prev", "_start")
 
 
 def trigger(breaches: DataFrame, n: int = 1, series_col: str | Column = "series") -> DataFrame:
@@ -190,19 +194,21 @@ def incidents(breaches: DataFrame, auto_close=None, period=None, series: Sequenc
     """T10 (batch): incident life cycle over breaching windows.  A breach
     starting more than ``auto_close`` seconds after the end of the previous
     one opens a new incident; otherwise it extends the open one.  Returns
-    ``(series..., opened_at, last_breach_end, closed_at, n_windows)``."""
-    gap = _secs(auto_close) if auto_close is not None else _secs(period)
+    ``(series..., incident, opened_at, last_breach_end, n_windows, closed_at)``.
+    Like ``sustained`` it sorts blocks of time only."""
+    gap = _duration(auto_close) if auto_close is not None else _secs(period)
+    series = list(series)
     ws = F.unix_timestamp(F.col("window_start").cast("timestamp"))
     we = F.unix_timestamp(F.col("window_end").cast("timestamp"))
-    w = Window.partitionBy(*series).orderBy("window_start")
     b = breaches.select(*series, "window_start", "window_end", ws.alias("_s"), we.alias("_e"))
-    prev_end = F.max("_e").over(w.rowsBetween(Window.unboundedPreceding, -1))
-    b = b.withColumn("_new", F.when(prev_end.isNull() | (F.col("_s") > prev_end + F.lit(gap)), 1).otherwise(0))
-    b = b.withColumn("incident", F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    g = b.groupBy(*series, "incident").agg(F.min("window_start").alias("opened_at"),
-                                           F.max("window_end").alias("last_breach_end"),
-                                           F.count(F.lit(1)).alias("n_windows"))
-    return g.withColumn("closed_at", F.col("last_breach_end") + F.make_interval(secs=F.lit(gap)))
+    b = prefix_scan(b, series, "_s", F.col("_e"), "max", "_until", inclusive=False)
+    opened = F.when(F.col("_until").isNull() | (F.col("_s") > F.col("_until") + F.lit(gap)), F.col("_s"))
+    b = prefix_scan(b, series, "_s", opened, "max", "_opened")
+    g = b.groupBy(*series, "_opened").agg(F.min("window_start").alias("opened_at"), F.max("window_end").alias("last_breach_end"),
+                                          F.count(F.lit(1)).alias("n_windows"))
+    g = prefix_scan(g, series, "_opened", F.lit(1), "sum", "incident")
+    return g.select(*series, F.col("incident").cast("bigint").alias("incident"), "opened_at", "last_breach_end", "n_windows",
+                    (F.col("last_breach_end") + F.make_interval(secs=F.lit(gap))).alias("closed_at"))
 
 
 # --------------------------------------------------------------------------
@@ -222,12 +228,14 @@ def alert_policy(df: DataFrame, cfg: Mapping) -> DataFrame:
     aligned = align(src, period, cfg.get("series", []), cfg.get("aligner", "sum"), cfg.get("value", "value"))
     reduced = reduce_series(aligned, cfg.get("reducer", "none"), cfg.get("keep", []))
     labels = cfg.get("keep", []) if cfg.get("reducer", "none") != "none" else cfg.get("series", [])
-    br = threshold(reduced, gt=cfg.get("gt"))
+    br = threshold(reduced, gt=cfg.get("gt"), lt=cfg.get("lt"))
     held = sustained(br, cfg.get("duration", 0), period, labels)
-    n = cfg.get("trigger_count", 1)
+    return incidents(fired(held, labels, cfg.get("trigger_count", 1)), cfg.get("auto_close"), period)
+
+
+def fired(held: DataFrame, labels: Sequence[str], n: int = 1) -> DataFrame:
+    """T8 for a condition: the windows in which ``n`` series or more hold
+    (without labels there is one series)."""
     if labels:
-        sk = F.to_json(F.struct(*labels))
-        fired = trigger(held.withColumn("_series", sk), n, "_series")
-    else:
-        fired = held.select("window_start", "window_end")
-    return incidents(fired.select("window_start", "window_end"), cfg.get("auto_close"), period)
+        return trigger(held, n, F.to_json(F.struct(*labels))).select("window_start", "window_end")
+    return held.select("window_start", "window_end").filter(F.lit(n <= 1))

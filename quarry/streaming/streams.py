@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import decode_message
@@ -22,35 +22,40 @@ from quarry.streaming.metrics import _secs, with_watermark
 
 def stage_files(spark: SparkSession, df: DataFrame, ts: str, n: int, root: str | None = None,
                 prefix: str = "part", mtime_base: int = 1_700_000_000_000) -> str:
-    """Test fixture for file streams: split ``df`` into ``n`` time-ordered
-    parts, one file each, with distinct increasing modification times (the
-    file source takes files in modification-time order)."""
+    """Files for a file stream, in time order: ``df`` is ranged by ``ts`` into
+    ``n`` partitions, each of which a task writes as one file (one scan, no rows
+    through a single task; ``n`` grows with the data).  Modification times increase,
+    a minute a file, as the file source takes files in their order."""
     root = root or scratch_path(spark, "stream_in")
-    edges = df.select(F.percentile_approx(F.col(ts).cast("timestamp").cast("double"),
-                                          [i / n for i in range(1, n)], 10000).alias("q")).first()["q"] \
-        if n > 1 else []
+    tmp = scratch_path(spark, "stream_stage")
+    (df.repartitionByRange(n, F.col(ts).asc()) if n > 1 else df.coalesce(1)).write.parquet(tmp)
     jvm = spark._jvm
-    hconf = spark._jsc.hadoopConfiguration()
     dst = jvm.org.apache.hadoop.fs.Path(root)
-    fs = dst.getFileSystem(hconf)
+    fs = dst.getFileSystem(spark._jsc.hadoopConfiguration())
     fs.mkdirs(dst)
-    t = F.col(ts).cast("timestamp").cast("double")
-    bounds = [None] + list(edges) + [None]
-    mtime = mtime_base
-    for i in range(n):
-        cond = F.lit(True)
-        if bounds[i] is not None:
-            cond = cond & (t > F.lit(bounds[i]))
-        if bounds[i + 1] is not None:
-            cond = cond & (t <= F.lit(bounds[i + 1]))
-        tmp = scratch_path(spark, "stream_stage")
-        df.filter(cond).coalesce(1).write.parquet(tmp)
-        for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp)):
-            name = st.getPath().getName()
-            if name.endswith(".parquet"):
-                target = jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}-{i:05d}.parquet")
-                fs.rename(st.getPath(), target)
-                fs.setTimes(target, mtime + i * 60_000, -1)
+    # part files are numbered by partition, and partitions ascend in time
+    files = sorted(st.getPath().getName() for st in fs.listStatus(jvm.org.apache.hadoop.fs.Path(tmp)) if st.getPath().getName().endswith(".parquet"))
+    for i, name in enumerate(files):
+        target = jvm.org.apache.hadoop.fs.Path(f"{root}/{prefix}-{i:05d}.parquet")
+        fs.rename(jvm.org.apache.hadoop.fs.Path(f"{tmp}/{name}"), target)
+        fs.setTimes(target, mtime_base + i * 60_000, -1)
+    return root
+
+
+def stage_named(spark: SparkSession, df: DataFrame, name: Column, mtime_base: int = 1_700_000_000_000) -> str:
+    """Files for a file stream, one for each value of ``name``, with that name;
+    modification times increase with the names."""
+    root, tmp = scratch_path(spark, "stream_in"), scratch_path(spark, "stream_stage")
+    df.withColumn("_name", name).repartition("_name").write.partitionBy("_name").parquet(tmp)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    fs = path(root).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(path(root))
+    folders = sorted(st.getPath().getName() for st in fs.listStatus(path(tmp)) if st.getPath().getName().startswith("_name="))
+    for i, folder in enumerate(folders):
+        own = [st.getPath() for st in fs.listStatus(path(f"{tmp}/{folder}")) if st.getPath().getName().endswith(".parquet")]
+        target = path(f"{root}/{folder.split('=', 1)[1]}.parquet")
+        fs.rename(own[0], target)
+        fs.setTimes(target, mtime_base + i * 60_000, -1)
     return root
 
 
@@ -83,12 +88,12 @@ def run_available_now(stream: DataFrame, out: str | None = None, mode: str = "ap
 
 
 def stream_align(stream: DataFrame, period, series: Sequence[str], aligner: str = "sum", value: str = "value",
-                 ts: str = "ts", delay=None) -> DataFrame:
-    """T2-T4 on a stream: watermark (default two periods), then the same
-    window aggregation as the batch form; append mode emits a window once
-    the watermark passes its end."""
+                 ts: str = "ts", delay=None, watermarked: bool = False) -> DataFrame:
+    """T2-T4 on a stream: watermark (default two periods; ``watermarked``: the
+    stream has one), then the same window aggregation as the batch form; append
+    mode emits a window once the watermark passes its end."""
     p = _secs(period)
-    s = with_watermark(stream, p, ts, delay)
+    s = stream if watermarked else with_watermark(stream, p, ts, delay)
     agg = {"count": F.count(F.lit(1)).cast("double"), "sum": F.sum(value), "mean": F.avg(value),
            "max": F.max(value), "min": F.min(value), "rate": F.sum(value) / F.lit(float(p))}[aligner]
     g = s.groupBy(F.window(ts, f"{p} seconds").alias("w"), *series).agg(agg.alias("value"))
