@@ -15,9 +15,11 @@ one row raises at runtime, before anything is written.
 from __future__ import annotations
 
 import datetime as _dt
+import time
 import uuid
 from collections.abc import Mapping, Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -240,24 +242,185 @@ def deletable(objects: DataFrame, retention_s: int, as_of: str,
 
 
 # --------------------------------------------------------------------------
-# Commit a rewrite
+# Changes committed to a catalog table
 # --------------------------------------------------------------------------
 
 
-def commit_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str | None = None,
-                    partition_by: Sequence[str] | None = None) -> str:
-    """Write ``df`` as a new snapshot and repoint ``table`` at it.  The new
-    files land under the shared folder; the old snapshot stays readable
-    until the swap, so concurrent readers and retried tasks never see a
-    half-written table."""
-    root = root or shared_dir(spark)
-    path = f"{root.rstrip('/')}/snapshots/{table.replace('.', '/')}/{uuid.uuid4().hex}"
-    w = df.write.mode("errorifexists")
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    spark.catalog.createTable(table, path=path, source="parquet")
-    if partition_by:
-        spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
+def _new_path(spark: SparkSession, table: str, root: str | None) -> str:
+    return f"{(root or shared_dir(spark)).rstrip('/')}/snapshots/{table.replace('.', '/')}/{uuid.uuid4().hex}"
+
+
+def create_table(spark: SparkSession, df: DataFrame, table: str, root: str | None = None, partition_by: str | None = None) -> str:
+    """An external table over a first snapshot of ``df`` under the shared folder."""
+    w = df.write.mode("errorifexists").format("parquet").option("path", _new_path(spark, table, root))
+    (w.partitionBy(partition_by) if partition_by else w).saveAsTable(table)
+    return table
+
+
+def commit_snapshot(spark: SparkSession, df: DataFrame, table: str, root: str | None = None) -> str:
+    """Write ``df`` as a new snapshot of an unpartitioned ``table`` and point the
+    table at it.  The location is switched in one catalog call: readers see the old
+    rows or the new ones, at no time no table, and the files of old snapshots (also
+    those of a managed table) stay."""
+    path = _new_path(spark, table, root)
+    df.select(*spark.table(table).columns).write.mode("errorifexists").parquet(path)
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{_sql(path)}'")
+    spark.catalog.refreshTable(table)
     return path
+
+
+def _sql(text: str) -> str:
+    return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def _spec(by: str, value) -> str:
+    return f"`{by}` = " + ("NULL" if value is None else f"'{_sql(str(value))}'")
+
+
+def rewrite_partitions(spark: SparkSession, table: str, by: str, touched: DataFrame, rewrite, root: str | None = None) -> list:
+    """Rewrite the partitions of ``table`` (by one column) whose values ``touched``
+    lists: they alone are read (a partition filter), changed by ``rewrite`` and
+    written to a new place, to which each is then pointed; partitions left empty are
+    dropped from the catalog.  All others keep their files.  A partition is switched
+    by one catalog call, after all of them are written; a failed job has changed
+    nothing.  Returns the values; what reaches the driver is one value a partition."""
+    values = [r[0] for r in touched.select(by).distinct().collect()]
+    if not values:
+        return []
+    known = [v for v in values if v is not None]
+    cond = F.col(by).isin(known) if known else F.lit(False)
+    if None in values:
+        cond = cond | F.col(by).isNull()
+    own = spark.table(table)
+    path = _new_path(spark, table, root)
+    new = rewrite(own.filter(cond)).select(*own.columns)
+    new.write.mode("errorifexists").partitionBy(by).parquet(path)
+    kind = own.schema[by].dataType
+    made = {r[0] for r in spark.read.schema(own.schema).parquet(path).select(F.col(by).cast(kind)).distinct().collect()}
+    for v in sorted(made | set(values), key=lambda x: (x is not None, x)):
+        spec = _spec(by, v)
+        if v not in made:
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+            continue
+        where = f"{path}/{_folder(spark, path, by, v)}"
+        if v in values and spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").take(1):
+            spark.sql(f"ALTER TABLE {table} PARTITION ({spec}) SET LOCATION '{_sql(where)}'")
+        else:
+            if spark.sql(f"SHOW PARTITIONS {table} PARTITION ({spec})").take(1):
+                raise ValueError(f"rows moved to partition {v!r}, which isn't among those to rewrite")
+            spark.sql(f"ALTER TABLE {table} ADD PARTITION ({spec}) LOCATION '{_sql(where)}'")
+    spark.catalog.refreshTable(table)
+    return values
+
+
+def _folder(spark: SparkSession, path: str, by: str, value) -> str:
+    """The folder that the writer gives a partition value."""
+    names = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return names.getPartitionPathString(by, None if value is None else str(value))
+
+
+def update_table(spark: SparkSession, table: str, by: str, source: DataFrame, on, set_cols: Mapping[str, str]) -> list:
+    """D2/D3 on a catalog table: only partitions that hold a matched key are rewritten."""
+    keys = _keys(on)
+    touched = spark.table(table).join(source.select(*keys).distinct(), keys, "left_semi")
+    return rewrite_partitions(spark, table, by, touched, lambda part: update_from(part, source, on, set_cols))
+
+
+def delete_from_table(spark: SparkSession, table: str, by: str, cond: Column) -> list:
+    """D4 on a catalog table: only partitions that hold a row to delete are rewritten."""
+    return rewrite_partitions(spark, table, by, spark.table(table).filter(cond), lambda part: delete_where(part, cond))
+
+
+def upsert_table(spark: SparkSession, table: str, by: str, rows: DataFrame, key) -> list:
+    """D7 on a catalog table; ``rows`` has the partition column.  A row whose key
+    stands in another partition moves: both are rewritten."""
+    keys = _keys(key)
+    target = spark.table(table)
+    touched = target.join(rows.select(*keys).distinct(), keys, "left_semi").select(by).union(rows.select(by))
+    # keys in no touched partition are new, so the touched ones are all that the join needs
+    return rewrite_partitions(spark, table, by, touched, lambda part: upsert(part, rows, key))
+
+
+def insert_if_absent_into(spark: SparkSession, table: str, rows: DataFrame, keys: Sequence[str]) -> None:
+    """D5 on a catalog table: rows whose keys it doesn't hold are appended; nothing is rewritten."""
+    target = spark.table(table)
+    new = rows.dropDuplicates(list(keys)).join(target.select(*keys), list(keys), "left_anti")
+    new.select(*target.columns).write.mode("append").insertInto(table)
+
+
+# --------------------------------------------------------------------------
+# D8 over repeated appends
+# --------------------------------------------------------------------------
+
+
+def _claim(spark: SparkSession, fs, file) -> bool:
+    """Make an empty file; False where there is one already.  Stores make a file
+    without overwriting in one step; for local folders (tests) Java's file API does."""
+    jvm = spark._jvm
+    try:
+        if fs.getScheme() == "file":
+            none = spark.sparkContext._gateway.new_array(jvm.java.nio.file.attribute.FileAttribute, 0)
+            jvm.java.nio.file.Files.createFile(jvm.java.io.File(file.toUri().getPath()).toPath(), none)
+        else:
+            fs.create(file, False).close()
+        return True
+    except Py4JJavaError as e:
+        if "FileAlreadyExists" in e.java_exception.getClass().getName():
+            return False
+        raise
+
+
+def reserve(spark: SparkSession, table: str, n: int, root: str | None = None, patience_s: float = 30.0) -> int:
+    """The first of ``n`` keys that no other append gets.
+
+    A writer claims a first key by making a file of that name, which fails where
+    there is one, and then says in a second file's name where its keys end.  Of two
+    writers that ask at once one gets the claim; the other waits for its end.  Both
+    files stay, and are made before any row is written, so an append that fails
+    leaves a gap and its keys never come back."""
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    folder = path(f"{(root or shared_dir(spark)).rstrip('/')}/serial/{table.replace('.', '/')}")
+    fs = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(folder)
+    until = time.monotonic() + patience_s
+    while True:
+        ends = [int(name.split("-")[1]) for name in (st.getPath().getName() for st in fs.listStatus(folder)) if "-" in name]
+        start = max(ends, default=1)
+        if _claim(spark, fs, path(folder, str(start))):
+            _claim(spark, fs, path(folder, f"{start}-{start + n}"))
+            return start
+        if time.monotonic() > until:
+            raise RuntimeError(f"{folder}/{start} was claimed by a writer that never said where its keys end: add {start}-<end>")
+        time.sleep(0.05)
+
+
+def append_with_serial(spark: SparkSession, table: str, rows: DataFrame, key: str = "id", root: str | None = None) -> int:
+    """Append ``rows`` with keys of their own.  The rows are written to the
+    shared folder first (a retried task must number the same rows), counted, and
+    numbered without gaps from the first key reserved for them.  Columns that the
+    table says are NOT NULL may hold none, and values must fit its types: either
+    fails the job before anything is appended.  Returns the number of rows."""
+    target = spark.table(table)
+    required = set((spark.sql(f"SHOW TBLPROPERTIES {table}").filter("key = 'not_null'").collect() or [("", "")])[0][1].split(","))
+
+    def checked(c: str) -> Column:
+        value = F.col(c).cast(target.schema[c].dataType)
+        return F.coalesce(value, F.raise_error(F.lit(f"NULL in column {c}")).cast(target.schema[c].dataType)) if c in required else value
+
+    path = _new_path(spark, table, root)
+    rows.select(*[checked(c).alias(c) for c in target.columns if c != key]).write.parquet(path)
+    fixed = spark.read.parquet(path)
+    n = fixed.count()
+    if n:
+        start = reserve(spark, table, n, root)
+        with_serial(fixed, key, start, input_is_stable=True).select(*[F.col(c).cast(target.schema[c].dataType) for c in target.columns]).write.mode("append").insertInto(table)
+    return n
+
+
+def create_serial_table(spark: SparkSession, table: str, columns: Mapping[str, str], key: str = "id", root: str | None = None) -> None:
+    """A table with a serial ``key`` and ``columns`` of SQL types; a type that ends
+    in NOT NULL is kept as a rule of the table, which ``append_with_serial`` checks."""
+    types = {c: t.upper().removesuffix("NOT NULL").strip() for c, t in columns.items()}
+    required = ",".join(c for c, t in columns.items() if t.upper().endswith("NOT NULL"))
+    cols = ", ".join([f"`{key}` BIGINT", *(f"`{c}` {t}" for c, t in types.items())])
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({cols}) USING parquet LOCATION '{_sql(_new_path(spark, table, root))}' TBLPROPERTIES ('not_null' = '{required}')")

@@ -329,6 +329,15 @@ def x11_classify_columns(spark, d):
     return c.select("table_name", "column_name", "sensitivity")
 
 
+@register("x11_table_sensitivity", f"""
+SELECT table_name, ['UNKNOWN', 'LOW', 'MODERATE', 'HIGH'][1 + max(CASE WHEN NOT is_text OR n_rows = n_nulls THEN 0 WHEN n_high_findings > 0 THEN 3
+       WHEN n_other_findings > 0 THEN 2 ELSE 1 END)] AS sensitivity
+FROM ({_duck_profile("documents", DOC_COLS)} UNION ALL {_duck_profile("conversations", [("conv_id", "bigint", False), ("turn", "bigint", False), ("role", "string", True), ("text", "string", True)])}
+      UNION ALL {_duck_profile("region", [("r_regionkey", "bigint", False), ("r_name", "string", True)])}) GROUP BY table_name""")
+def x11_table_sensitivity(spark, d):
+    return X.table_sensitivity(X.classify(X.profile_tables({n: t(spark, d, n) for n in ("documents", "conversations", "region")}, distinct=False)))
+
+
 def _doc_levels_sql() -> str:
     high = [n for n in ALL if I.BY_NAME[n].category in I.HIGH_CATEGORIES]
     f = duck_findings_sql("documents", "doc_id", "text", ALL)

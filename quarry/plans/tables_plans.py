@@ -251,14 +251,16 @@ def s14_append_rows(spark, d):
     return spark.table(name)
 
 
-@register("s17_ensure_database", "SELECT CAST(1 AS BIGINT) AS n_databases")
+@register("s17_ensure_database", "SELECT 1 AS n_databases, r_regionkey, r_name FROM region")
 def s17_ensure_database(spark, d):
     name = f"q_s17_{uuid.uuid4().hex[:10]}"
     root = scratch_path(spark, "warehouse", "s17")
     for _ in range(2):  # idempotent
         io.ensure_database(spark, name, root)
     io.materialize(t(spark, d, "region"), f"{name}.region")
-    return spark.sql(f"SHOW DATABASES LIKE '{name}'").select(F.count(F.lit(1)).alias("n_databases"))
+    # what the new namespace holds
+    found = spark.sql(f"SHOW DATABASES LIKE '{name}'").count()
+    return spark.table(f"{name}.region").select(F.lit(found).alias("n_databases"), "r_regionkey", "r_name")
 
 
 # --------------------------------------------------------------------------
@@ -378,6 +380,101 @@ def d8_serial_keys(spark, d):
                    F.count_distinct("id").alias("n_distinct_ids"))
 
 
+# --------------------------------------------------------------------------
+# D1 to D7 as one chain on one catalog table
+# --------------------------------------------------------------------------
+
+CHAIN_SQL = f"""
+WITH u AS {URGENT_AVGS_SQL},
+moved AS (
+  SELECT c.c_custkey, c.c_name, c.c_nationkey, c.c_acctbal,
+         CASE WHEN u.c_custkey IS NOT NULL THEN u.avg_price END AS avg_order, u.n_orders AS stats_n_orders
+  FROM customer c LEFT JOIN (SELECT * FROM u WHERE c_custkey % 4 = 0) u ON u.c_custkey = c.c_custkey AND c.c_nationkey < 10),
+kept AS (SELECT * FROM moved WHERE NOT coalesce(c_acctbal < 0 AND c_nationkey BETWEEN 12 AND 15, false))"""
+
+
+def _chain(spark, d) -> tuple[str, list]:
+    """Customers by nation: columns added, filled from orders (scalar and struct field), rows deleted."""
+    db, root = fresh_db(spark, "chain")
+    name = D.create_table(spark, t(spark, d, "customer").select("c_custkey", "c_name", "c_acctbal", "c_nationkey"), f"{db}.customer", root, "c_nationkey")
+    before = _locations(spark, name)
+    D.alter_add_columns(spark, name, {"avg_order": "DOUBLE", "stats": "STRUCT<n_orders: BIGINT, avg_price: DOUBLE>"})
+    low = spark.table(name).filter("c_nationkey < 10").select("c_custkey")
+    source = _urgent_avgs(spark, d).filter("c_custkey % 4 = 0").join(low, "c_custkey", "left_semi")
+    D.update_table(spark, name, "c_nationkey", source, "c_custkey", {"avg_order": "avg_price"})
+    D.update_table(spark, name, "c_nationkey", source, "c_custkey", {"stats.n_orders": "n_orders"})
+    D.delete_from_table(spark, name, "c_nationkey", (F.col("c_acctbal") < 0) & F.col("c_nationkey").between(12, 15))
+    return name, before
+
+
+def _locations(spark, name: str) -> DataFrame:
+    """The file of every row's partition, by partition."""
+    rows = spark.table(name).select("c_nationkey", F.col("_metadata.file_path").alias("file")).distinct().collect()
+    return spark.createDataFrame([(r.c_nationkey, r.file) for r in rows], "nation long, file string")
+
+
+@register("d4_chain_on_one_table", CHAIN_SQL + """
+SELECT c_custkey, c_name, c_nationkey, round(avg_order, 4) AS avg_order, stats_n_orders, stats_n_orders IS NULL AS no_stats,
+       c_nationkey NOT IN (SELECT c_nationkey FROM moved WHERE stats_n_orders IS NOT NULL OR (c_acctbal < 0 AND c_nationkey BETWEEN 12 AND 15)) AS untouched
+FROM kept""")
+def d4_chain_on_one_table(spark, d):
+    name, before = _chain(spark, d)
+    files = before.withColumnRenamed("nation", "n")
+    rows = spark.table(name).select("*", F.col("_metadata.file_path").alias("now"))
+    same = rows.join(files, (rows["c_nationkey"] == files["n"]) & (rows["now"] == files["file"]), "left")
+    return same.select("c_custkey", "c_name", "c_nationkey", F.round("avg_order", 4).alias("avg_order"), F.col("stats.n_orders").alias("stats_n_orders"),
+                       F.col("stats").isNull().alias("no_stats"), F.col("file").isNotNull().alias("untouched"))
+
+
+@register("d7_chain_on_one_table", CHAIN_SQL + """,
+inserted AS (SELECT c_custkey, c_name, c_nationkey, c_acctbal, avg_order FROM kept
+  UNION ALL SELECT s.s_suppkey, s.s_name, s.s_nationkey, s.s_acctbal, NULL FROM supplier s
+  WHERE NOT EXISTS (SELECT 1 FROM kept k WHERE k.c_custkey = s.s_suppkey)),
+edits AS (SELECT c_custkey, 3 AS c_nationkey, 'moved' AS c_name FROM inserted WHERE c_nationkey IN (3, 20) AND c_custkey % 7 = 0
+          UNION ALL SELECT n_nationkey - 1000, 20, 'new' FROM nation)
+SELECT coalesce(e.c_custkey, i.c_custkey) AS c_custkey, coalesce(e.c_name, i.c_name) AS c_name, coalesce(e.c_nationkey, i.c_nationkey) AS c_nationkey,
+       round(i.avg_order, 4) AS avg_order FROM inserted i FULL JOIN edits e ON e.c_custkey = i.c_custkey""")
+def d7_chain_on_one_table(spark, d):
+    name, _ = _chain(spark, d)
+    new = t(spark, d, "supplier").select(F.col("s_suppkey").alias("c_custkey"), F.col("s_name").alias("c_name"), F.col("s_acctbal").alias("c_acctbal"),
+                                         F.lit(None).cast("double").alias("avg_order"), F.lit(None).cast("struct<n_orders:bigint,avg_price:double>").alias("stats"),
+                                         F.col("s_nationkey").alias("c_nationkey"))
+    D.insert_if_absent_into(spark, name, new, ["c_custkey"])
+    edits = spark.table(name).filter(F.col("c_nationkey").isin(3, 20) & (F.col("c_custkey") % 7 == 0)).select(
+        "c_custkey", F.lit(3).cast("bigint").alias("c_nationkey"), F.lit("moved").alias("c_name"))
+    adds = t(spark, d, "nation").select((F.col("n_nationkey") - 1000).alias("c_custkey"), F.lit(20).cast("bigint").alias("c_nationkey"), F.lit("new").alias("c_name"))
+    path = scratch_path(spark, "edits")  # the edits are read from the table that they change
+    edits.unionByName(adds).write.parquet(path)
+    D.upsert_table(spark, name, "c_nationkey", spark.read.parquet(path), "c_custkey")
+    return spark.table(name).select("c_custkey", "c_name", "c_nationkey", F.round("avg_order", 4).alias("avg_order"))
+
+
+@register("d8_employees", """
+WITH added AS (
+  SELECT 1 AS batch, c_name AS first, c_mktsegment AS last, CAST(c_acctbal AS DECIMAL(10, 2)) AS salary FROM customer WHERE c_nationkey < 8
+  UNION ALL SELECT 2, s_name, 'supplier', CAST(s_acctbal AS DECIMAL(10, 2)) FROM supplier
+  UNION ALL SELECT 3, c_name, c_mktsegment, CAST(c_acctbal AS DECIMAL(10, 2)) FROM customer WHERE c_nationkey BETWEEN 8 AND 12)
+SELECT first, last, CAST(salary AS DOUBLE) AS salary, true AS unique_id,
+       CASE batch WHEN 1 THEN 0 WHEN 2 THEN (SELECT count(*) FROM added WHERE batch = 1) ELSE (SELECT count(*) FROM added WHERE batch < 3) END < (SELECT count(*) FROM added) AS ranged,
+       batch FROM added""")
+def d8_employees(spark, d):
+    # the employees table: serial key, NOT NULL names, decimal salary; three appends, each only of who is absent
+    db, root = fresh_db(spark, "d8")
+    name = f"{db}.employees"
+    D.create_serial_table(spark, name, {"first": "STRING NOT NULL", "last": "STRING NOT NULL", "salary": "DECIMAL(10,2)"}, "id", root)
+    c = t(spark, d, "customer").select(F.col("c_name").alias("first"), F.col("c_mktsegment").alias("last"), F.col("c_acctbal").cast("decimal(10,2)").alias("salary"), "c_nationkey")
+    s = t(spark, d, "supplier").select(F.col("s_name").alias("first"), F.lit("supplier").alias("last"), F.col("s_acctbal").cast("decimal(10,2)").alias("salary"))
+    ends = [0]
+    for rows in (c.filter("c_nationkey < 8").drop("c_nationkey"), s, c.filter("c_nationkey <= 12").drop("c_nationkey")):
+        absent = rows.join(spark.table(name).select("first", "last"), ["first", "last"], "left_anti")
+        ends.append(ends[-1] + D.append_with_serial(spark, name, absent, "id", root))
+    all_ = spark.table(name)
+    counts = all_.groupBy(F.col("id").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    batch = F.when(F.col("id") <= ends[1], 1).when(F.col("id") <= ends[2], 2).otherwise(3)
+    return all_.join(counts, all_["id"] == counts["k"]).select("first", "last", F.col("salary").cast("double").alias("salary"), (F.col("n") == 1).alias("unique_id"),
+                                                               ((F.col("id") >= 1) & (F.col("id") <= ends[3])).alias("ranged"), batch.alias("batch"))
+
+
 @register("d9_deletable_objects", """
 WITH obj AS (
   SELECT o_orderkey, o_orderdate AS created, o_orderstatus = 'P' AS temporary_hold,

@@ -37,7 +37,7 @@ CUSTOMERS_WITH_NULLS_SQL = """
  FROM customer)"""
 
 
-def order_lines(spark: SparkSession, d: str) -> DataFrame:
+def order_lines(spark: SparkSession, d: str, sort: bool = True) -> DataFrame:
     """Per order, its lines as ``array<struct<linenumber, quantity>>``
     (nested, repeated data rebuilt from ``lineitem``).  The group is one
     order's lines: bounded by the order size, never by the table."""
@@ -45,7 +45,7 @@ def order_lines(spark: SparkSession, d: str) -> DataFrame:
     return R.array_agg(li, ["l_orderkey"],
                        F.struct(F.col("l_linenumber").alias("linenumber"),
                                 F.col("l_quantity").alias("quantity")),
-                       "lines", sort=True)
+                       "lines", sort=sort)
 
 
 # --------------------------------------------------------------------------
@@ -292,12 +292,14 @@ def j11_anti_by_keys(spark, d):
 
 
 @register("j12_fanout_join", """
-SELECT c.c_custkey, s.s_suppkey, c.c_nationkey
-FROM customer c JOIN supplier s ON c.c_nationkey = s.s_nationkey""")
+SELECT a.l_orderkey, a.l_linenumber AS line, b.l_linenumber AS other, a.l_partkey, b.l_suppkey
+FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey""")
 def j12_fanout_join(spark, d):
-    c = t(spark, d, "customer").select("c_custkey", "c_nationkey")
-    s = t(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    return R.join_inner(c, s, {"c_nationkey": "s_nationkey"}).select("c_custkey", "s_suppkey", "c_nationkey")
+    # the fan-out is kept as it is; the key's multiplicity is bounded by the lines of an order
+    li = t(spark, d, "lineitem")
+    a = li.select("l_orderkey", F.col("l_linenumber").alias("line"), "l_partkey")
+    b = li.select(F.col("l_orderkey").alias("key"), F.col("l_linenumber").alias("other"), "l_suppkey")
+    return R.join_inner(a, b, {"l_orderkey": "key"}).select("l_orderkey", "line", "other", "l_partkey", "l_suppkey")
 
 
 @register("j13_join_trimmed", """
@@ -404,7 +406,7 @@ SELECT l_orderkey, round(sum(ln.quantity), 2) AS total_qty
 FROM (SELECT l_orderkey, unnest(lines) AS ln FROM {ORDER_LINES_SQL})
 GROUP BY l_orderkey ORDER BY total_qty, l_orderkey""")
 def a7_sum_unnested(spark, d):
-    u = R.unnest(order_lines(spark, d), "lines", "ln", keep=["l_orderkey"])
+    u = R.unnest(order_lines(spark, d, sort=False), "lines", "ln", keep=["l_orderkey"])
     s = u.groupBy("l_orderkey").agg(F.round(F.sum("ln.quantity"), 2).alias("total_qty"))
     return R.sort(s, "total_qty", "l_orderkey")
 
@@ -530,10 +532,13 @@ def o1_sort(spark, d):
     return R.sort(t(spark, d, "nation").select("n_nationkey", "n_name"), F.col("n_name").desc())
 
 
-@register("o2_limit")
+@register("o2_limit", "SELECT CAST(5 AS BIGINT) AS n_rows, CAST(5 AS BIGINT) AS n_of_orders")
 def o2_limit(spark, d):
-    # unordered LIMIT is the feature itself: any 5 rows (rows-only check)
-    return R.limit(t(spark, d, "orders").select("o_orderkey", "o_orderdate"), 5)
+    # unordered LIMIT is the feature itself: any 5 rows, all of them orders
+    orders = t(spark, d, "orders").select("o_orderkey", "o_orderdate")
+    some = R.limit(orders, 5).withColumn("taken", F.lit(1))
+    known = orders.distinct().withColumn("known", F.lit(1))
+    return some.join(known, ["o_orderkey", "o_orderdate"], "left").agg(F.count("taken").alias("n_rows"), F.count("known").alias("n_of_orders"))
 
 
 @register("o3_top_k", """
