@@ -310,75 +310,89 @@ def block_guard(df: DataFrame, col: str, rules: Sequence[tuple[str | re.Pattern,
 # --------------------------------------------------------------------------
 
 
-def _column_stats(df: DataFrame, table: str, distinct: bool) -> tuple[DataFrame, list[str]]:
-    """Rows, NULLs, approximate distinct count and min/max per column, in
-    one aggregation pass (partial aggregates map-side), unpivoted."""
-    fields = list(df.schema.fields)
-    aggs, specs = [F.count(F.lit(1)).alias("_rows")], []
-    for i, f in enumerate(fields):
-        c = F.col(f"`{f.name}`")
-        is_text = isinstance(f.dataType, StringType)
-        orderable = is_text or isinstance(f.dataType, NumericType) or f.dataType.typeName() in (
-            "date", "timestamp", "timestamp_ntz", "boolean")
-        aggs.append(F.count(c).alias(f"_nn{i}"))
-        if distinct:
-            aggs.append(F.approx_count_distinct(c).alias(f"_d{i}"))
-        if orderable:
-            aggs += [F.min(c).cast("string").alias(f"_mn{i}"), F.max(c).cast("string").alias(f"_mx{i}")]
-        specs.append((i, f.name, f.dataType.simpleString(), is_text, orderable))
-    one = df.agg(*aggs)
-    rows = [F.struct(
-        F.lit(table).alias("table_name"), F.lit(name).alias("column_name"), F.lit(dtype).alias("data_type"),
-        F.col("_rows").alias("n_rows"), (F.col("_rows") - F.col(f"_nn{i}")).alias("n_nulls"),
-        (F.col(f"_d{i}") if distinct else F.lit(None).cast("long")).alias("approx_distinct"),
-        (F.col(f"_mn{i}") if orderable else F.lit(None).cast("string")).alias("min_value"),
-        (F.col(f"_mx{i}") if orderable else F.lit(None).cast("string")).alias("max_value"),
-        F.lit(is_text).alias("is_text")) for i, name, dtype, is_text, orderable in specs]
-    return one.select(F.inline(F.array(*rows))), [n for _, n, _, t, _ in specs if t]
+_ORDERED = ("date", "timestamp", "timestamp_ntz", "boolean")
+#: What a stored profile holds of a column beside its names: counts, bounds as text, and sketches.
+STORED = ("n_rows", "n_nulls", "min_value", "max_value", "n_high_findings", "n_other_findings", "distinct_sketch", "quantile_sketch")
 
 
-def profile_tables(tables: Mapping[str, DataFrame], types: Iterable[str] | None = None,
-                   min_likelihood: str = "POSSIBLE", distinct: bool = True) -> DataFrame:
-    """X10 over several tables: one row per (table, column) -- rows, NULLs,
-    approximate distinct count, min/max as text and, for text columns, the
-    number of values with a high-category finding at LIKELY or above and
-    with any other finding at ``min_likelihood`` or above.
-
-    The text columns of all tables are unpivoted into one long
-    ``(table_name, column_name, value)`` stream, so the detectors are one
-    expression evaluated once per value (gated by the shared context-word
-    scan and the necessary-condition signals); flags are then summed per
-    (table, column) with partial aggregation.  The per-column statistics and
-    the finding counts are joined on (table, column): both sides hold one
-    row per column."""
+def profile_parts(tables: Mapping[str, DataFrame], types: Iterable[str] | None = None, min_likelihood: str = "POSSIBLE",
+                  sketches: bool = True) -> DataFrame:
+    """X10 as parts that can be stored and merged: one row per (table, column) with
+    rows, NULLs, smallest and largest value as text, for text columns the number of
+    values with a high-category finding at LIKELY or above and with any other
+    finding at ``min_likelihood`` or above, and (``sketches``) a HyperLogLog sketch
+    of the values and a KLL sketch of numbers.
+
+    Each table is scanned once: the findings of its text columns are flags in the
+    same rows, and one aggregation (partial before its shuffle) has all columns."""
     thr = I.RANK[min_likelihood]
-    ty = _types(types)
-    high = [t for t in ty if I.BY_NAME[t].category in I.HIGH_CATEGORIES]
+    names = type_order(types)
     hi_thr = max(thr, I.RANK["LIKELY"])
-    stats, longs = None, None
-    for name, df in tables.items():
-        st, text_cols = _column_stats(df, name, distinct)
-        stats = st if stats is None else stats.unionByName(st)
-        if text_cols:
-            lg = df.select(F.inline(F.array(*[
-                F.struct(F.lit(name).alias("table_name"), F.lit(c).alias("column_name"),
-                         F.col(f"`{c}`").alias("value")) for c in text_cols])))
-            longs = lg if longs is None else longs.unionByName(lg)
-    if longs is None or not ty:
-        return stats.select("*", *[F.when(F.col("is_text"), F.lit(0)).cast("long").alias(c)
-                                   for c in ("n_high_findings", "n_other_findings")])
-    names = type_order(ty)
-    arr = with_spans(longs, "value", "_f", names, I.LIKELIHOODS[min(thr, hi_thr)])
-    is_high = F.array(*[F.lit(n in high) for n in names])
-    flags = arr.select(
-        "table_name", "column_name",
-        F.exists("_f", lambda x: F.element_at(is_high, x["no"]) & (x["rank"] >= hi_thr)).cast("long").alias("_hf"),
-        F.exists("_f", lambda x: ~F.element_at(is_high, x["no"]) & (x["rank"] >= thr)).cast("long").alias("_of"))
-    counts = flags.groupBy("table_name", "column_name").agg(F.sum("_hf").alias("_h"), F.sum("_of").alias("_o"))
-    out = stats.join(counts, ["table_name", "column_name"], "left")
-    return out.select(*stats.columns,
-                      F.when(F.col("is_text"), F.coalesce("_h", F.lit(0))).cast("long").alias("n_high_findings"),
-                      F.when(F.col("is_text"), F.coalesce("_o", F.lit(0))).cast("long").alias("n_other_findings"))
+    is_high = F.array(*[F.lit(I.BY_NAME[n].category in I.HIGH_CATEGORIES) for n in names] or [F.lit(False)])
+    out = None
+    for table, df in tables.items():
+        fields = list(df.schema.fields)
+        own = df.select(*[F.col(_q(f.name)).alias(f"c{i}") for i, f in enumerate(fields)])
+        aggs, rows = [F.count(F.lit(1)).alias("n")], []
+        for i, f in enumerate(fields):
+            c, kind = F.col(f"c{i}"), f.dataType
+            text, number = isinstance(kind, StringType), isinstance(kind, NumericType)
+            ordered = text or number or kind.typeName() in _ORDERED
+            nothing = F.lit(None).cast("long")
+            aggs += [F.count(c).alias(f"nn{i}"), *([F.min(c).cast("string").alias(f"mn{i}"), F.max(c).cast("string").alias(f"mx{i}")] if ordered else [])]
+            if sketches:
+                aggs += [F.hll_sketch_agg(c.cast("string") if ordered else F.to_json(F.struct(c)), F.lit(12)).alias(f"d{i}")]
+                aggs += [F.kll_sketch_agg_double(c.cast("double")).alias(f"q{i}")] if number else []
+            if text and names:
+                own = with_spans(own, f"c{i}", f"f{i}", names, I.LIKELIHOODS[min(thr, hi_thr)])
+                aggs += [F.count_if(F.exists(f"f{i}", lambda x: F.element_at(is_high, x["no"]) & (x["rank"] >= hi_thr))).alias(f"h{i}"),
+                         F.count_if(F.exists(f"f{i}", lambda x: ~F.element_at(is_high, x["no"]) & (x["rank"] >= thr))).alias(f"o{i}")]
+            found = (F.col(f"h{i}"), F.col(f"o{i}")) if text and names else (F.lit(0).cast("long") if text else nothing,) * 2
+            rows.append(F.struct(F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"), F.lit(kind.simpleString()).alias("data_type"), F.lit(text).alias("is_text"),
+                                 F.col("n").alias("n_rows"), (F.col("n") - F.col(f"nn{i}")).alias("n_nulls"),
+                                 *[(F.col(f"{m}{i}") if ordered else F.lit(None).cast("string")).alias(v) for m, v in (("mn", "min_value"), ("mx", "max_value"))],
+                                 found[0].alias("n_high_findings"), found[1].alias("n_other_findings"),
+                                 (F.col(f"d{i}") if sketches else F.lit(None).cast("binary")).alias("distinct_sketch"),
+                                 (F.col(f"q{i}") if sketches and number else F.lit(None).cast("binary")).alias("quantile_sketch")))
+        part = own.agg(*aggs).select(F.inline(F.array(*rows)))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def merge_profiles(parts: DataFrame) -> DataFrame:
+    """Stored parts of the same tables, however many runs or slices they came from,
+    as one row per (table, column): counts added, bounds and sketches merged.  No
+    table is read again.  A column whose type changed has a row for each type."""
+    # numbers are compared as numbers, all else as text (dates and times are written in order)
+    number = ~F.col("data_type").isin("string", *_ORDERED)
+
+    def place(v: str) -> Column:
+        return F.struct(F.when(number, F.expr(f"try_cast({v} AS DOUBLE)")).alias("rough"), F.when(number, F.expr(f"try_cast({v} AS DECIMAL(38, 9))")).alias("exact"), F.col(v))
+
+    return parts.groupBy("table_name", "column_name", "data_type", "is_text").agg(
+        *[F.sum(c).alias(c) for c in ("n_rows", "n_nulls")],
+        F.min_by("min_value", F.when(F.col("min_value").isNotNull(), place("min_value"))).alias("min_value"),
+        F.max_by("max_value", F.when(F.col("max_value").isNotNull(), place("max_value"))).alias("max_value"),
+        *[F.sum(c).alias(c) for c in ("n_high_findings", "n_other_findings")],
+        F.hll_union_agg("distinct_sketch").alias("distinct_sketch"), F.when(F.count("quantile_sketch") > 0, F.kll_merge_agg_double("quantile_sketch")).alias("quantile_sketch"))
+
+
+def profile_report(parts: DataFrame) -> DataFrame:
+    """A merged profile to read: the sketches as an approximate number of distinct
+    values and, for numbers, the approximate median."""
+    median = F.when(F.col("quantile_sketch").isNotNull() & (F.col("n_rows") > F.col("n_nulls")), F.kll_sketch_get_quantile_double("quantile_sketch", F.lit(0.5)))
+    return parts.select("table_name", "column_name", "data_type", "n_rows", "n_nulls", F.hll_sketch_estimate("distinct_sketch").alias("approx_distinct"),
+                        "min_value", "max_value", "is_text", "n_high_findings", "n_other_findings", median.alias("approx_median"))
+
+
+def profile_tables(tables: Mapping[str, DataFrame], types: Iterable[str] | None = None,
+                   min_likelihood: str = "POSSIBLE", distinct: bool = True) -> DataFrame:
+    """X10 over several tables: ``profile_parts`` to read, without the median."""
+    parts = profile_parts(tables, types, min_likelihood, distinct)
+    if not distinct:
+        return parts.select("table_name", "column_name", "data_type", "n_rows", "n_nulls", F.lit(None).cast("long").alias("approx_distinct"),
+                            "min_value", "max_value", "is_text", "n_high_findings", "n_other_findings")
+    return profile_report(parts).drop("approx_median")
 
 
 def profile(df: DataFrame, table: str, types: Iterable[str] | None = None,

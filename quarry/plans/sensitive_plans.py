@@ -311,12 +311,47 @@ def x10_profile_documents(spark, d):
     return X.profile(t(spark, d, "documents"), "documents", distinct=False)
 
 
-@register("x10_profile_all_tables")
+ALL_TABLES = ("region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations").split()
+#: Columns of the tables without long texts, as DuckDB lists them: the findings of texts are checked on documents.
+COUNTED = f"""SELECT table_name, column_name, n_rows, n_nulls, true AS distinct_near FROM (
+{" UNION ALL ".join(f"SELECT '{n}' AS table_name, * FROM (UNPIVOT (SELECT count(*) - count(COLUMNS(*)) FROM {n}) ON COLUMNS(*) INTO NAME column_name VALUE n_nulls), (SELECT count(*) AS n_rows FROM {n})" for n in ALL_TABLES)})"""
+
+
+def _near(spark, d, report, names):
+    """``report`` with whether each approximate distinct count lies within a twentieth of the exact one."""
+    exact = None
+    for n in names:
+        df = t(spark, d, n)
+        one = df.agg(*[F.count_distinct(F.when(F.col(c).isNotNull(), F.to_json(F.struct(c)))).alias(c) for c in df.columns])
+        rows = one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("tn"), F.lit(c).alias("cn"), F.col(c).alias("exact")) for c in df.columns])))
+        exact = rows if exact is None else exact.unionByName(rows)
+    both = report.join(exact, (report["table_name"] == exact["tn"]) & (report["column_name"] == exact["cn"]))
+    return both.withColumn("distinct_near", F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.05 * F.col("exact"))
+
+
+@register("x10_profile_all_tables", COUNTED)
 def x10_profile_all_tables(spark, d):
-    # every supplied table, with approximate distinct counts (rows-only check)
-    names = ("region nation customer supplier part orders lineitem events documents "
-             "embeddings pages benchmark labels conversations").split()
-    return X.profile_tables({n: t(spark, d, n) for n in names})
+    # every supplied table; approximate distinct counts within a twentieth
+    report = X.profile_tables({n: t(spark, d, n) for n in ALL_TABLES})
+    return _near(spark, d, report, ALL_TABLES).select("table_name", "column_name", "n_rows", "n_nulls", "distinct_near")
+
+
+@register("x10_profile_merged", f"""
+SELECT table_name, column_name, data_type, n_rows, n_nulls, min_value, max_value, is_text, n_high_findings, n_other_findings, true AS distinct_near, true AS median_near
+FROM ({_duck_profile("documents", DOC_COLS)})""")
+def x10_profile_merged(spark, d):
+    # three runs, each over its slice, stored in one table and merged without reading a document again
+    from quarry.plans.tables_plans import fresh_db
+    db, _ = fresh_db(spark, "x10")
+    docs = t(spark, d, "documents")
+    for k in range(3):
+        io.materialize(X.profile_parts({"documents": docs.filter(F.pmod(F.xxhash64("doc_id"), F.lit(3)) == k)}), f"{db}.profiles", "append")
+    report = _near(spark, d, X.profile_report(X.merge_profiles(spark.table(f"{db}.profiles"))), ["documents"])
+    medians = docs.agg(*[F.percentile(c, F.array(F.lit(0.47), F.lit(0.53))).alias(c) for c in ("doc_id", "n_chars")])
+    bounds = medians.select(F.inline(F.array(*[F.struct(F.lit(c).alias("bn"), F.col(c)[0].alias("low"), F.col(c)[1].alias("high")) for c in medians.columns])))
+    near = F.col("approx_median").isNull() | F.col("approx_median").between(F.col("low"), F.col("high"))
+    return report.join(bounds, report["column_name"] == bounds["bn"], "left").select(
+        "table_name", "column_name", "data_type", "n_rows", "n_nulls", "min_value", "max_value", "is_text", "n_high_findings", "n_other_findings", "distinct_near", near.alias("median_near"))
 
 
 @register("x11_classify_columns", f"""
