@@ -3,6 +3,12 @@ then near-duplicates; the sources are mixed and the rest is packed.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame.  All but the
 last return the columns of ``documents``.
+
+Cases: a null text is an empty one; empty texts are near copies of nothing but one
+another.  Repeated rows are near copies, so one stays; mixing repeats rows on
+purpose, and packing places each of them, with the same doc_id and piece.  Columns
+of ``documents`` pass through, whatever their names, up to packing, which returns
+its own.  Of an empty table nothing is returned.
 """
 
 from __future__ import annotations
