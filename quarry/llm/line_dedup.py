@@ -1,14 +1,16 @@
 """Line dedup with two Bloom filters.
 
-The first pass sets, for the hash of every line key of every document, bits in
-a once-seen filter, or in a twice-seen filter where the once-seen bit was set
-before.  The filters of the tasks are merged block by block: a bit is twice
-seen if any task saw it twice or two tasks saw it once.  The merged twice-seen
-filter has a fixed number of bits and is broadcast.  In the second pass only
-lines whose bits are all twice seen are suspected repeats; they alone are
-shuffled, and their 128-bit digests tell exactly which keys stand in two or
-more documents and which document has the smallest id.  More lines than the
-filter can tell apart make more suspects, never another result.
+One scan turns every line key into a 128-bit digest.  A key that two documents
+of the same batch hold is a suspected repeat already; it goes on once a batch
+as twice seen.  All digests are routed by key range to slices, as many as their
+count asks for, so that a slice's filters have a fixed size and are never full.
+A slice sets the bits of a digest in its once-seen filter, or in its twice-seen
+filter where the once-seen bit was set before, and then streams its digests
+past the finished twice-seen filter: those whose bits are all twice seen are
+suspects.  Only suspects are grouped by key, which tells exactly which keys
+stand in two or more documents and which document has the smallest id.  Lines
+and texts aren't routed, nothing is broadcast, and a filter's false alarms make
+more suspects, never another result.
 
 Cases: a null or empty text is one empty line.  Rows that share a ``doc_id``
 are one document (each row is returned, with the same lines dropped).  A null
@@ -23,17 +25,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WHITE, checkpointed, table
+from quarry.llm.common import WHITE, table, written
 
 MIN_CHARS = 10
-#: Bits of each filter (a power of two).  Its broadcast is a byte for eight of them, whatever the input's size.
-FILTER_BITS = 1 << 26
-BLOCK_BITS = 1 << 19
-MERGE_WAYS = 64
+#: Bits of each of a slice's two filters (a power of two up to 2^24).
+FILTER_BITS = 1 << 22
+#: Bits for a routed digest, which set the number of slices: of lines seen once about one in 70 is suspected.
+BITS_PER_KEY = 16
+#: What a row of the digests is: a digest of one document, a digest of several documents of a batch, one of these documents.
+SINGLE, SEVERAL, SUSPECT = 0, 1, 2
 
 
 def line_keys(text: str | None, min_chars: int = MIN_CHARS) -> list[bytes | None]:
@@ -46,79 +49,114 @@ def line_keys(text: str | None, min_chars: int = MIN_CHARS) -> list[bytes | None
     return out
 
 
-def _positions(keys: list[bytes], bits: int) -> np.ndarray:
+def _digests(min_chars: int):
+    """Rows (kind, high, low, doc_id) for the keys of every batch."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, keys = [], []
+            for i, text in enumerate(batch.column(1)):
+                own = {k for k in line_keys(text.as_py(), min_chars) if k}
+                rows += [i] * len(own)
+                keys += own
+            if not keys:
+                continue
+            halves = np.frombuffer(b"".join(keys), dtype=">u8").reshape(-1, 2).astype(np.uint64).view(np.int64)
+            order = np.lexsort((halves[:, 1], halves[:, 0]))
+            halves, row = halves[order], np.array(rows)[order]
+            new = np.ones(len(halves), dtype=bool)
+            new[1:] = (halves[1:] != halves[:-1]).any(axis=1)
+            alone = new & np.append(new[1:], True)
+            several = halves[new & ~alone]
+            ids = batch.column(0).take(pa.array(row))
+            kind = np.concatenate([np.where(alone, SINGLE, SUSPECT), np.full(len(several), SEVERAL)]).astype(np.int8)
+            high, low = np.concatenate([halves, several]).T
+            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(high), pa.array(low), pa.concat_arrays([ids, pa.nulls(len(several), pa.int64())])],
+                                             ["kind", "high", "low", "doc_id"])
+
+    return run
+
+
+def _slices(batch: pa.RecordBatch) -> Iterator[tuple[int, pa.RecordBatch]]:
+    """The runs of rows of a batch that have the same ``slice``."""
+    number = batch.column(0).to_numpy()
+    cuts = np.flatnonzero(np.append(True, number[1:] != number[:-1])).tolist() if len(number) else []
+    for a, b in zip(cuts, [*cuts[1:], len(number)]):
+        yield int(number[a]), batch.slice(a, b - a)
+
+
+def _positions(high: np.ndarray, low: np.ndarray, bits: int) -> np.ndarray:
     """Two filter positions for every digest."""
-    halves = np.frombuffer(b"".join(keys), dtype="<u8").reshape(-1, 2)
-    return (halves & np.uint64(bits - 1)).astype(np.int64)
+    return np.stack([high, low], axis=1) & np.int64(bits - 1)
 
 
-def _build(bits: int, min_chars: int):
+def _build(bits: int):
+    """The twice-seen filter of every slice, of rows (slice, high, low, kind) that come slice by slice."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        once, twice = np.zeros(bits, dtype=bool), np.zeros(bits, dtype=bool)
+        current, once, twice = None, np.zeros(bits, dtype=bool), np.zeros(bits, dtype=bool)
+
+        def told() -> Iterator[pa.RecordBatch]:
+            if twice.any():
+                yield pa.RecordBatch.from_arrays([pa.array([current], pa.int64()), pa.array([np.packbits(twice).tobytes()], pa.binary())], ["slice", "twice"])
+
         for batch in batches:
-            keys: list[bytes] = []
-            for text in batch.column(0):
-                keys += {k for k in line_keys(text.as_py(), min_chars) if k}
-            if keys:
-                at = np.sort(_positions(keys, bits), axis=None)
+            for number, part in _slices(batch):
+                if number != current:
+                    yield from told()
+                    current = number
+                    once[:] = False
+                    twice[:] = False
+                at = _positions(part.column(1).to_numpy(), part.column(2).to_numpy(), bits)
+                twice[at[part.column(3).to_numpy() == SEVERAL]] = True
+                at = np.sort(at, axis=None)
                 new = np.ones(len(at), dtype=bool)
                 new[1:] = at[1:] != at[:-1]
                 twice[at[~new]] = True
                 at = at[new]
                 twice[at[once[at]]] = True
                 once[at] = True
-        pid = TaskContext.get().partitionId() % MERGE_WAYS
-        for block in range(bits // BLOCK_BITS):
-            part = slice(block * BLOCK_BITS, (block + 1) * BLOCK_BITS)
-            if once[part].any():
-                yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "way": pa.array([pid], pa.int32()),
-                                                  "once": [np.packbits(once[part]).tobytes()], "twice": [np.packbits(twice[part]).tobytes()]})
+        yield from told()
 
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    seen: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = {}
-    for batch in batches:
-        for block, way, once, twice in zip(*(c.to_pylist() for c in batch.columns)):
-            o, t = np.frombuffer(once, np.uint8), np.frombuffer(twice, np.uint8)
-            if (block, way) in seen:
-                po, pt = seen[block, way]
-                o, t = o | po, t | pt | (o & po)
-            seen[block, way] = o, t
-    for (block, way), (o, t) in seen.items():
-        yield pa.RecordBatch.from_pydict({"block": pa.array([block], pa.int32()), "way": pa.array([way], pa.int32()), "once": [o.tobytes()], "twice": [t.tobytes()]})
-
-
-def twice_filter(docs: DataFrame, bits: int = FILTER_BITS, min_chars: int = MIN_CHARS) -> np.ndarray:
-    """The merged twice-seen filter, one byte for eight bits."""
-    schema = "block int, way int, once binary, twice binary"
-    own = docs.select("text").mapInArrow(_build(bits, min_chars), schema)
-    ways = own.repartition("block", "way").mapInArrow(_merge, schema).withColumn("way", F.lit(0))
-    whole = ways.repartition("block").mapInArrow(_merge, schema).select("block", "twice")
-    out = np.zeros(bits // 8, dtype=np.uint8)
-    for block, twice in whole.collect():  # bits / 8 bytes at most
-        out[block * BLOCK_BITS // 8:(block + 1) * BLOCK_BITS // 8] = np.frombuffer(twice, np.uint8)
-    return out
-
-
-def _suspects(shared, bits: int, min_chars: int):
+def _test(bits: int):
+    """The digests whose bits are all twice seen, of rows (slice, high, low, doc_id, twice)
+    that come slice by slice, a slice's filter before its digests."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = shared.value
+        current, seen = None, None
         for batch in batches:
-            ids, keys = [], []
-            for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                own = sorted({k for k in line_keys(text.as_py(), min_chars) if k})
-                ids += [doc_id] * len(own)
-                keys += own
-            if keys:
-                at = _positions(keys, bits)
-                hit = ((seen[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], ["doc_id", "key"]).filter(pa.array(hit))
+            for number, part in _slices(batch):
+                if number != current:
+                    current, seen = number, None
+                if part.column(4)[0].is_valid:
+                    seen = np.frombuffer(part.column(4)[0].as_py(), np.uint8)
+                    part = part.slice(1)
+                if seen is not None and len(part):
+                    at = _positions(part.column(1).to_numpy(), part.column(2).to_numpy(), bits)
+                    hit = ((seen[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1).all(axis=1)
+                    yield part.select(["high", "low", "doc_id"]).filter(pa.array(hit))
 
     return run
 
 
+def suspected(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS) -> DataFrame:
+    """(high, low, doc_id) of all keys that stand in two documents, and of a few that the filters take for such."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    digests = written(ids.mapInArrow(_digests(min_chars), "kind byte, high long, low long, doc_id long"))
+    routed = digests.filter(F.col("kind") != SUSPECT)
+    slices = max(1, -(-routed.count() * BITS_PER_KEY // bits))
+    # the positions take the low bits
+    routed = routed.withColumn("slice", F.pmod(F.shiftrightunsigned("high", 24), F.lit(slices)))
+    filters = (routed.select("slice", "high", "low", "kind").repartition("slice").sortWithinPartitions("slice")
+               .mapInArrow(_build(bits), "slice long, twice binary"))
+    none = F.lit(None).cast("long")
+    both = (routed.filter(F.col("kind") == SINGLE).select("slice", "high", "low", "doc_id", F.lit(None).cast("binary").alias("twice"), (F.col("slice") * 2 + 1).alias("place"))
+            .unionByName(written(filters).select("slice", F.lit(0).cast("long").alias("high"), F.lit(0).cast("long").alias("low"), none.alias("doc_id"), "twice", (F.col("slice") * 2).alias("place"))))
+    schema = "high long, low long, doc_id long"
+    hits = both.repartition("slice").sortWithinPartitions("place").drop("place").mapInArrow(_test(bits), schema)
+    return written(hits.unionByName(digests.filter(F.col("kind") == SUSPECT).select("high", "low", "doc_id")))
+
+
 def _drop(min_chars: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -143,18 +181,14 @@ def _drop(min_chars: int):
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = MIN_CHARS, bits: int = FILTER_BITS) -> DataFrame:
     """``docs`` with repeated lines taken from ``text``, and the line counts."""
-    spark = docs.sparkSession
     docs = docs.drop("n_lines", "n_dropped")
-    shared = spark.sparkContext.broadcast(twice_filter(docs, bits, min_chars))
-    suspects = checkpointed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-                            .mapInArrow(_suspects(shared, bits, min_chars), "doc_id long, key binary"))
-    # ordered with null last; the smallest and the largest differ if there are two documents or more
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"))
-    # a table of its own, so that Spark can split a common line's side of the join
-    repeats = checkpointed(suspects.groupBy("key").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-                           .filter(F.col("first") != F.col("last")).select("key", "first"))
-    drops = (suspects.join(repeats, "key").filter(place != F.col("first"))
-             .groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set("key").alias("__drops")))
+    suspects = suspected(docs, min_chars, bits)
+    # a null id is one document, after all others; a table of its own, so that Spark can split a common line's side of the join
+    repeats = written(suspects.groupBy("high", "low").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.bool_or(F.col("doc_id").isNull()).alias("none"))
+                      .filter((F.col("first") != F.col("last")) | (F.col("first").isNotNull() & F.col("none"))).select("high", "low", "first"))
+    digest = F.unhex(F.concat(F.lpad(F.hex("high"), 16, "0"), F.lpad(F.hex("low"), 16, "0")))
+    drops = (suspects.join(repeats, ["high", "low"]).filter(F.col("doc_id").isNull() | (F.col("doc_id") != F.col("first")))
+             .groupBy(F.col("doc_id").alias("__id")).agg(F.collect_set(digest).alias("__drops")))
     joined = docs.join(drops, docs["doc_id"].cast("long").eqNullSafe(drops["__id"]), "left").drop(drops["__id"])
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes) + ", n_lines long, n_dropped long"
     return joined.mapInArrow(_drop(min_chars), schema)

@@ -151,6 +151,23 @@ def test_line_dedup(odd, empty, bits):
     assert line_dedup.drop_repeated_lines(empty).count() == 0
 
 
+@pytest.mark.parametrize("n", [2_000, 40_000])
+def test_line_filters_stay_sparse(spark, n):
+    # one line in a hundred stands in two documents, one line in a third of all
+    docs = spark.range(n // 20).select(F.col("id").alias("doc_id"), F.concat_ws("\n", F.transform(F.sequence(F.lit(0), F.lit(19)), lambda k: F.concat(F.lit("line number "), (
+        F.when((k == 0) & (F.col("id") % 10 < 2), F.col("id").bitwiseAND(-2) * 20).otherwise(F.col("id") * 20 + k)).cast("string"))),
+        F.when(F.col("id") % 3 == 0, "the line of a third")).alias("text"))
+    lines = Counter(x for r in docs.collect() for x in r.text.split("\n"))
+    first = {}
+    for r in sorted(docs.collect(), reverse=True):
+        first.update(dict.fromkeys(r.text.split("\n"), r.doc_id))
+    got = {r.doc_id: r for r in line_dedup.drop_repeated_lines(docs, bits=1 << 12).collect()}
+    assert {r.doc_id: "\n".join(x for x in r.text.split("\n") if first[x] == r.doc_id) for r in docs.collect()} == {i: r.text for i, r in got.items()}
+    repeated = sum(c for c in lines.values() if c > 1)
+    suspects = line_dedup.suspected(docs, bits=1 << 12).count()
+    assert repeated <= suspects <= repeated + 0.05 * sum(c == 1 for c in lines.values())
+
+
 def test_quality_rules_base_counts(spark, odd, empty):
     r = random.Random(2)
     rows = [(100 + i, " ".join(r.choice(["a", "b", "the", "c\n", "#d", "\n"]) for _ in range(r.choice([0, 2, 60, 400]))), "en") for i in range(40)]
