@@ -7,11 +7,18 @@ by descending the tree, splits anew from a little before it until the new
 boundaries meet the old ones again, encodes only those pre-tokens, and
 updates the sums above the leaves it touched.
 
+``count_edited`` counts texts before and after edits.  ``plant`` gives the trees
+as a table, one row a document: its text and its leaves with their sums.
+``follow`` takes such a table and edits, and returns the table after them with
+the counts; it encodes what the edits touch, reads the pairs of touched leaves
+only, and its result, once written, is the input of the next edits.
+
 Cases: a null or empty text has no tokens; edits of it insert.  Null edits, or
 a null list, change nothing.  Offsets are code points of the text as the edits
 before have left it, and are clipped to it; a replacement may be empty or
 null.  Rows that share a ``doc_id`` are counted one by one.  Other columns are
-ignored.  An empty table gives no rows.
+ignored.  An empty table gives no rows.  A tree whose characters aren't as many
+as its text's is an error; a tree without leaves is that of an empty text.
 """
 
 from __future__ import annotations
@@ -31,6 +38,7 @@ LEAF = 64
 LOOKAHEAD = 3
 #: Distinct pre-tokens whose counts a task remembers.
 REMEMBERED = 500_000
+LEAVES = "array<struct<n_chars: int, n_tokens: int, chars: array<int>, tokens: array<int>>>"
 
 
 class Splitter:
@@ -77,18 +85,39 @@ class Document:
         self._plant([(len(p), known[p] if p in known else count(p)) for p in pieces])
         self.encoded = len(pieces)
 
+    @classmethod
+    def restored(cls, text: str, leaves: list[np.ndarray], sums: np.ndarray, splitter: Splitter) -> "Document":
+        """A text whose leaves, rows of (characters, tokens), and their sums are known."""
+        doc = cls.__new__(cls)
+        if int(sums[:, 0].sum()) != len(text):
+            raise ValueError("the tree is of another text")
+        doc.text, doc.splitter, doc.encoded = text, splitter, 0
+        doc.leaves = leaves or [[]]
+        doc._grow(sums)
+        return doc
+
     def _plant(self, pieces: list[tuple[int, int]]) -> None:
         self.leaves = [pieces[i:i + LEAF] for i in range(0, len(pieces), LEAF)] or [[]]
+        self._grow(np.add.reduceat(np.array(pieces, dtype=np.int64), np.arange(0, len(pieces), LEAF)) if pieces else np.zeros((0, 2), np.int64))
+
+    def _grow(self, of_leaves: np.ndarray) -> None:
+        """The sums of all nodes above the leaves."""
         self.width = 1 << (len(self.leaves) - 1).bit_length()
         sums = np.zeros((2 * self.width, 2), dtype=np.int64)
-        if pieces:
-            sums[self.width:self.width + len(self.leaves)] = np.add.reduceat(np.array(pieces, dtype=np.int64), np.arange(0, len(pieces), LEAF))
+        sums[self.width:self.width + len(of_leaves)] = of_leaves
         level = self.width
         while level > 1:
             sums[level // 2:level] = sums[level:2 * level].reshape(-1, 2, 2).sum(axis=1)
             level //= 2
         self.sums = sums.tolist()
 
+    def _leaf(self, leaf: int) -> list[tuple[int, int]]:
+        """The pre-tokens of a leaf; a restored one is read when it is first touched."""
+        pieces = self.leaves[leaf]
+        if isinstance(pieces, np.ndarray):
+            pieces = self.leaves[leaf] = list(map(tuple, pieces.tolist()))
+        return pieces
+
     @property
     def tokens(self) -> int:
         return self.sums[1][1]
@@ -106,7 +135,7 @@ class Document:
                 start += self.sums[node][0]
                 node += 1
         leaf = node - self.width
-        pieces = self.leaves[leaf] if leaf < len(self.leaves) else []
+        pieces = self._leaf(leaf) if leaf < len(self.leaves) else []
         for i, (size, _) in enumerate(pieces):
             if char < start + size:
                 return leaf, i, start
@@ -115,7 +144,7 @@ class Document:
 
     def _after(self, leaf: int, at: int, start: int) -> tuple[int, int, int]:
         """The place after a pre-token, in the next leaf that has one where its own ends."""
-        start += self.leaves[leaf][at][0]
+        start += self._leaf(leaf)[at][0]
         at += 1
         while at >= len(self.leaves[leaf]) and leaf + 1 < len(self.leaves):
             leaf, at = leaf + 1, 0
@@ -150,11 +179,11 @@ class Document:
             while old[1] < len(self.leaves[old[0]]):
                 old = self._after(*old)
         last_leaf, last_at, _ = old
-        rest = self.leaves[last_leaf][last_at:]
+        head, rest = self._leaf(first_leaf)[:first_at], self._leaf(last_leaf)[last_at:]
         if first_leaf == last_leaf:
-            self.leaves[first_leaf] = self.leaves[first_leaf][:first_at] + found + rest
+            self.leaves[first_leaf] = head + found + rest
         else:
-            self.leaves[first_leaf] = self.leaves[first_leaf][:first_at] + found
+            self.leaves[first_leaf] = head + found
             self.leaves[last_leaf] = rest
             for leaf in range(first_leaf + 1, last_leaf):
                 self.leaves[leaf] = []
@@ -162,34 +191,102 @@ class Document:
             self._summed(leaf)
         self.text = text
         if len(self.leaves[first_leaf]) > 4 * LEAF:
-            self._plant([p for leaf in self.leaves for p in leaf])
+            self._plant([p for leaf in range(len(self.leaves)) for p in self._leaf(leaf)])
         return len(found)
 
 
+def _edited(doc: Document, edits: pa.Scalar) -> tuple[int, int, int, int, int]:
+    """Tokens before and after, pre-tokens before, pre-tokens encoded anew, characters after."""
+    before, pieces, anew = doc.tokens, doc.n_pieces, 0
+    for e in edits.as_py() or ():
+        if e is not None:
+            at = e["start"] or 0
+            anew += doc.edit(at, at if e["stop"] is None else e["stop"], e["text"] or "")
+    return before, doc.tokens, pieces, anew, len(doc.text)
+
+
+COUNTS = ["n_tokens", "n_tokens_edited", "n_pieces", "n_reencoded", "n_chars_edited"]
+
+
+def _counts(rows: list[tuple[int, ...]]) -> list[pa.Array]:
+    return [pa.array([r[i] for r in rows], pa.int64()) for i in range(len(COUNTS))]
+
+
+def _count(vocabulary: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter = Splitter(vocabulary)
+        for batch in batches:
+            rows = [_edited(Document(text.as_py() or "", splitter), edits) for text, edits in zip(batch.column(1), batch.column(2))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *_counts(rows)], ["doc_id", *COUNTS])
+
+    return run
+
+
+def _stored(docs: list[Document]) -> pa.Array:
+    """The leaves of documents with their sums, empty ones left out."""
+    leaves = [np.asarray(leaf, dtype=np.int32) for d in docs for leaf in d.leaves if len(leaf)]
+    pairs = np.concatenate([np.zeros((0, 2), np.int32), *leaves])
+    ends = pa.array(np.cumsum([0, *map(len, leaves)]), pa.int32())
+    sums = np.add.reduceat(pairs, ends.to_numpy()[:-1]) if leaves else pairs
+    lists = [pa.ListArray.from_arrays(ends, pa.array(pairs[:, i])) for i in (0, 1)]
+    rows = pa.StructArray.from_arrays([pa.array(sums[:, 0], pa.int32()), pa.array(sums[:, 1], pa.int32()), *lists], ["n_chars", "n_tokens", "chars", "tokens"])
+    return pa.ListArray.from_arrays(pa.array(np.cumsum([0, *(sum(1 for x in d.leaves if len(x)) for d in docs)]), pa.int32()), rows)
+
+
+def _restored(texts: pa.Array, leaves: pa.Array, splitter: Splitter) -> Iterator[Document]:
+    chars, tokens, sizes, counts = leaves.flatten().flatten()
+    sums = np.stack([chars.to_numpy(), tokens.to_numpy()], axis=1)
+    pairs = np.stack([sizes.flatten().to_numpy(), counts.flatten().to_numpy()], axis=1)
+    ends = np.cumsum([0, *sizes.value_lengths().to_pylist()])
+    at = 0
+    for text, n in zip(texts, leaves.value_lengths().to_pylist()):
+        own = range(at, at + (n or 0))
+        yield Document.restored(text.as_py() or "", [pairs[ends[i]:ends[i + 1]] for i in own], sums[own.start:own.stop], splitter)
+        at = own.stop
+
+
+def _plant_all(vocabulary: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter = Splitter(vocabulary)
+        for batch in batches:
+            docs = [Document(text.as_py() or "", splitter) for text in batch.column(1)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), _stored(docs)], ["doc_id", "text", "leaves"])
+
+    return run
+
+
 def _follow(vocabulary: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         splitter = Splitter(vocabulary)
         for batch in batches:
-            rows = []
-            for text, edits in zip(batch.column(1), batch.column(2)):
-                doc = Document(text.as_py() or "", splitter)
-                before, pieces, anew = doc.tokens, doc.n_pieces, 0
-                for e in edits.as_py() or ():
-                    if e is not None:
-                        at = e["start"] or 0
-                        anew += doc.edit(at, at if e["stop"] is None else e["stop"], e["text"] or "")
-                rows.append((before, doc.tokens, pieces, anew, len(doc.text)))
-            cols = [batch.column(0), *(pa.array(c, pa.int64()) for c in zip(*rows))] if rows else [batch.column(0), *[pa.array([], pa.int64())] * 5]
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_tokens", "n_tokens_edited", "n_pieces", "n_reencoded", "n_chars_edited"])
+            docs, rows = [], []
+            for doc, edits in zip(_restored(batch.column(1), batch.column(2), splitter), batch.column(3)):
+                rows.append(_edited(doc, edits))
+                docs.append(doc)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([d.text for d in docs], pa.string()), _stored(docs), *_counts(rows)],
+                                             ["doc_id", "text", "leaves", *COUNTS])
 
     return run
 
 
+def plant(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """(doc_id, text, leaves): the segment tree of every row."""
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"))
+    return own.mapInArrow(_plant_all(vocabulary), f"doc_id long, text string, leaves {LEAVES}")
+
+
+def follow(trees: DataFrame, vocabulary: str, edits: Column) -> DataFrame:
+    """``trees``, as ``plant`` or ``follow`` gave them for the same vocabulary, after
+    edits like those of ``count_edited``, with the counts."""
+    own = trees.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), "leaves", edits.alias("edits"))
+    return own.mapInArrow(_follow(vocabulary), f"doc_id long, text string, leaves {LEAVES}, " + ", ".join(f"{c} long" for c in COUNTS))
+
+
 def count_edited(docs: DataFrame, vocabulary: str, edits: Column) -> DataFrame:
     """Token counts of every row before and after its edits, an array of
     struct<start: int, stop: int, text: string> applied in order."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_or_empty().alias("text"), edits.alias("edits"))
-    return own.mapInArrow(_follow(vocabulary), "doc_id long, n_tokens long, n_tokens_edited long, n_pieces long, n_reencoded long, n_chars_edited long")
+    return own.mapInArrow(_count(vocabulary), "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS))
 
 
 def sample_edits() -> Column:

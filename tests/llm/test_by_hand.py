@@ -130,6 +130,50 @@ def test_edited_counts_of_the_query(spark, documents):
     assert sum(r.n_reencoded for r in rows) < sum(r.n_pieces for r in rows)
 
 
+def test_kept_trees_follow_later_edits(spark, tmp_path):
+    vocabulary = packing.default_vocabulary()
+    encode = packing.encoder(vocabulary)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").unionAll(
+        spark.createDataFrame([(-1, None), (-2, ""), (None, "a <|endoftext|> b"), (-3, "twice"), (-3, "twice"), (-4, "x \u00e9\n" * 9000)], "doc_id long, text string"))
+    told = Counter((r.doc_id, r.text or "") for r in docs.collect())
+    token_counts.plant(docs, vocabulary).write.parquet(f"{tmp_path}/0")
+    for step in range(3):
+        trees = spark.read.parquet(f"{tmp_path}/{step}")
+        assert Counter((r.doc_id, r.text) for r in trees.collect()) == told
+        wanted = trees.select("doc_id", "text", token_counts.sample_edits().alias("e")).collect()
+        told = Counter()
+        for r in wanted:
+            text = r.text
+            for e in r.e:
+                start = min(max(e.start, 0), len(text))
+                text = text[:start] + e.text + text[min(max(e.stop, start), len(text)):]
+            told[r.doc_id, text] += 1
+        token_counts.follow(trees, vocabulary, token_counts.sample_edits()).write.parquet(f"{tmp_path}/{step + 1}")
+        for r in spark.read.parquet(f"{tmp_path}/{step + 1}").collect():
+            assert r.n_tokens_edited == len(encode.encode(r.text, allowed_special="all")) == sum(x.n_tokens for x in r.leaves)
+            assert all((x.n_chars, x.n_tokens) == (sum(x.chars), sum(x.tokens)) for x in r.leaves) and r.n_chars_edited == len(r.text)
+            if r.doc_id == -4:
+                assert r.n_pieces > 10_000 and r.n_reencoded < 200
+    nothing = token_counts.plant(docs.limit(0), vocabulary)
+    assert nothing.count() == 0 and token_counts.follow(nothing, vocabulary, token_counts.sample_edits()).count() == 0
+
+
+def test_a_kept_tree_counts_only_what_an_edit_touches():
+    splitter = token_counts.Splitter(packing.default_vocabulary())
+    planted = token_counts.Document("some words, and others " * 3000, splitter)
+    stored = token_counts._stored([planted])
+    doc, = token_counts._restored(pa.array([planted.text]), stored, splitter)
+    assert doc.tokens == planted.tokens and doc.n_pieces == planted.n_pieces
+    asked = []
+    count = splitter.count
+    splitter.count = lambda piece: asked.append(piece) or count(piece)
+    n = doc.edit(30_000, 30_010, "new text")
+    assert n == len(asked) < 20 and sum(not isinstance(x, np.ndarray) for x in doc.leaves) <= 2
+    assert doc.tokens == token_counts.Document(doc.text, splitter).tokens
+    with pytest.raises(ValueError, match="another text"):
+        list(token_counts._restored(pa.array(["short"]), stored, splitter))
+
+
 def test_null_edits_change_nothing(spark):
     docs = spark.createDataFrame([(1, "one two", None), (2, "one two", [None]), (3, None, [(0, 0, "new")]), (4, "ab", [(None, None, None), (1, None, "x")])],
                                  "doc_id long, text string, e array<struct<start: int, stop: int, text: string>>")
