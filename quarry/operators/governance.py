@@ -1,4 +1,4 @@
-"""Governance, quality and finding rules (Q1-Q9).
+"""Governance, quality and finding rules (Q1-Q5, Q7-Q9).
 
 Quality scans are one aggregation pass; finding rules are joins against
 small rule tables whose size is checked before they are broadcast.
@@ -6,10 +6,9 @@ small rule tables whose size is checked before they are broadcast.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.scalar import policy_members
@@ -53,7 +52,7 @@ def missing_keys(df: DataFrame, key: str, attrs: Sequence[str], order: bool = Tr
 
 
 # --------------------------------------------------------------------------
-# Q4-Q6: column aspects and discovery
+# Q4-Q5: column aspects
 # --------------------------------------------------------------------------
 
 
@@ -84,35 +83,6 @@ def project_unprotected(df: DataFrame, mode: str = "drop", tag: str = "protected
     return df.select(*[F.lit(value).alias(c) if c in prot else F.col(f"`{c}`") for c in df.columns])
 
 
-def discover(spark: SparkSession, zone_dir: str) -> DataFrame:
-    """Q6: list the assets of a zone (one sub-folder per asset, format from
-    the file extension), infer each schema and return one row per column.
-
-    The listing is a DataFrame over the ``binaryFile`` source that selects
-    only paths (file contents are never read), reduced to one row per
-    (asset, format) before it reaches the driver; schemas are metadata."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(zone_dir) \
-        .select(F.col("path"))
-    root = zone_dir.rstrip("/").split(":", 1)[-1].lstrip("/")
-    rel = F.regexp_extract("path", r"^[a-z0-9]+:/*" + re.escape(root) + r"/([^/]+)/(.+)$", 1)
-    ext = F.lower(F.regexp_extract("path", r"/[^/_.][^/]*\.([A-Za-z0-9]+)$", 1))
-    assets = files.select(rel.alias("asset"), ext.alias("ext")).filter(
-        (F.col("asset") != "") & F.col("ext").isin("parquet", "json", "csv", "orc")).distinct().collect()
-    by_asset: dict[str, str] = {}
-    for r in sorted(assets, key=lambda r: (r.asset, ("parquet", "json", "csv", "orc").index(r.ext))):
-        by_asset.setdefault(r.asset, r.ext)
-    rows = []
-    for asset, fmt in sorted(by_asset.items()):
-        reader = spark.read
-        if fmt == "csv":
-            reader = reader.option("header", "true").option("inferSchema", "true")
-        schema = reader.format(fmt).load(f"{zone_dir.rstrip('/')}/{asset}").schema
-        for pos, f in enumerate(schema.fields):
-            rows.append((asset, fmt, pos, f.name, f.dataType.simpleString(), f.nullable))
-    return spark.createDataFrame(rows, "asset string, format string, position int, column_name string, "
-                                       "data_type string, nullable boolean")
-
-
 # --------------------------------------------------------------------------
 # Q7-Q9: finding rules and policies
 # --------------------------------------------------------------------------

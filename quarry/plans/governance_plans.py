@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quarry.operators import governance as G
+from quarry.operators.discovery import discover
 from quarry.plans.registry import register, t
 from quarry.plans.warehouse import CUSTOMERS_WITH_NULLS_SQL, MISSING_KEYS_SQL, customers_with_nulls
 from quarry.session import scratch_path
@@ -60,14 +61,35 @@ def q5_redact_protected(spark, d):
     return G.project_unprotected(c, "redact")
 
 
-@register("q6_discover_zone")
+@register("q6_discover_zone", """
+WITH told AS (
+  SELECT DISTINCT table_name AS asset, column_name, CAST(ordinal_position - 1 AS INTEGER) AS place, data_type AS kind
+  FROM information_schema.columns WHERE table_name IN ('nation', 'orders', 'supplier')),
+keys AS (SELECT max(s_suppkey) <= 2147483647 AS small FROM supplier)
+SELECT asset, 'parquet' AS format, place AS position, column_name,
+       CASE WHEN column_name = 'n_regionkey' OR kind = 'BIGINT' THEN 'bigint' WHEN kind = 'INTEGER' THEN 'int' ELSE 'string' END AS data_type, true AS nullable
+FROM told WHERE asset = 'nation'
+UNION ALL SELECT 'nation', 'parquet', 3, 'n_note', 'string', true
+UNION ALL
+SELECT asset, 'json', CAST(row_number() OVER (ORDER BY column_name) - 1 AS INTEGER), column_name,
+       CASE WHEN column_name = 'o_custkey' THEN 'string' WHEN kind IN ('BIGINT', 'INTEGER') THEN 'bigint' WHEN kind = 'DOUBLE' THEN 'double' ELSE 'string' END, true
+FROM told WHERE asset = 'orders'
+UNION ALL
+SELECT asset, 'csv', place, column_name,
+       CASE WHEN kind = 'DOUBLE' THEN 'double' WHEN kind = 'VARCHAR' THEN 'string' WHEN kind = 'INTEGER' OR small THEN 'int' ELSE 'bigint' END, true
+FROM told CROSS JOIN keys WHERE asset = 'supplier'""")
 def q6_discover_zone(spark, d):
-    # a RAW zone holding supplied tables in three formats (rows-only check)
+    # a RAW zone of three formats; the files of two assets differ in their types
     zone = scratch_path(spark, "zones", "raw")
-    t(spark, d, "region").write.parquet(f"{zone}/region")
-    t(spark, d, "nation").write.json(f"{zone}/nation")
+    n, o = t(spark, d, "nation"), t(spark, d, "orders")
+    n.write.parquet(f"{zone}/nation")
+    (n.withColumn("n_regionkey", F.col("n_regionkey").cast("long")).withColumn("n_note", F.lit("x"))
+     .write.mode("append").parquet(f"{zone}/nation"))
+    even = F.col("o_orderkey") % 2 == 0
+    o.filter(even).withColumn("o_totalprice", F.col("o_totalprice").cast("long")).write.json(f"{zone}/orders")
+    o.filter(~even).withColumn("o_custkey", F.concat(F.lit("c"), "o_custkey")).write.mode("append").json(f"{zone}/orders")
     t(spark, d, "supplier").write.option("header", "true").csv(f"{zone}/supplier")
-    return G.discover(spark, zone)
+    return discover(spark, zone)
 
 
 def _event_findings(spark, d):

@@ -58,7 +58,7 @@ ARROW = pa.schema([("path", pa.string()), ("kind", pa.string()), ("start", pa.in
 DETAIL = pa.schema([("path", pa.string()), ("field", pa.string()), ("info_type", pa.string()), ("n_transformed", pa.int64())])
 
 
-def _opened(root: str) -> tuple[pafs.FileSystem, str]:
+def opened(root: str) -> tuple[pafs.FileSystem, str]:
     """A file system, and the root as it names it."""
     if "://" in root or root.startswith("file:"):
         fs, path = pafs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", root))
@@ -82,7 +82,7 @@ def list_files(root: str, include: Iterable[str] = (), exclude: Iterable[str] =
     ``include`` (any, if it names none) and none of ``exclude``, of the given kinds,
     and of them the share of ``percent`` that their paths' hashes choose.  Names
     that begin with _ or . are left out."""
-    fs, base = _opened(root)
+    fs, base = opened(root)
     include, exclude, kinds = list(include), list(exclude), list(kinds)
     out = []
     for f in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
@@ -192,7 +192,7 @@ class FilesReader(DataSourceReader):
 
     def read(self, partition: Ranges | None) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 31)
-        fs, base = _opened(self.root)
+        fs, base = opened(self.root)
         held: list[pa.RecordBatch] = []
         for part in getattr(partition, "parts", ()):
             for batch in self._read(fs, base, part):
@@ -252,7 +252,7 @@ class FilesWriter(DataSourceArrowWriter):
         self.job = uuid.uuid4().hex
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
-        fs, base = _opened(self.root)
+        fs, base = opened(self.root)
         attempt = f"{base}/{JOBS}/{self.job}/{uuid.uuid4().hex}"
         fs.create_dir(attempt, recursive=True)
         parts, counts, now, out = [], {}, None, None
@@ -286,7 +286,7 @@ class FilesWriter(DataSourceArrowWriter):
         return Written(parts, kept)
 
     def commit(self, messages: list[Written | None]) -> None:
-        fs, base = _opened(self.root)
+        fs, base = opened(self.root)
         own = [m for m in messages if m]
         files: dict[str, list[tuple[int, str]]] = {}
         for m in own:
@@ -301,7 +301,7 @@ class FilesWriter(DataSourceArrowWriter):
             for k, (_, name) in enumerate(sorted(parts)):
                 fs.move(name, to if k == 0 else f"{to}.part-{k:05d}")
         if self.details:
-            to_fs, to = _opened(self.details)
+            to_fs, to = opened(self.details)
             to_fs.create_dir(to, recursive=True)
             for m in own:
                 if m.details:
@@ -309,7 +309,7 @@ class FilesWriter(DataSourceArrowWriter):
         fs.delete_dir(f"{base}/{JOBS}/{self.job}") if own else None
 
     def abort(self, messages: list[Written | None]) -> None:
-        fs, base = _opened(self.root)
+        fs, base = opened(self.root)
         job = f"{base}/{JOBS}/{self.job}"
         if fs.get_file_info(job).type == pafs.FileType.Directory:
             fs.delete_dir(job)
