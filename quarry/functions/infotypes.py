@@ -22,6 +22,7 @@ being the detector's place in the given list.
 from __future__ import annotations
 
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -280,24 +281,25 @@ assert sorted(BY_NAME) == INFO_TYPES, "detector catalog must cover exactly the 8
 # Necessary conditions (exact, never lossy): a detector's shape cannot match
 # a text unless these hold, so the regex only runs where they do.
 #   digit  -- the text holds a digit
+#   run    -- the text holds a run of three digits
 #   caps   -- the text holds a run of six capitals or digits
 #   any    -- one of these literals occurs
 NEEDS: dict[str, dict] = {
-    "CREDIT_CARD_NUMBER": {"digit": True},
-    "IMEI_HARDWARE_ID": {"digit": True},
+    "CREDIT_CARD_NUMBER": {"run": True},
+    "IMEI_HARDWARE_ID": {"run": True},
     "IBAN_CODE": {"digit": True},
     "VEHICLE_IDENTIFICATION_NUMBER": {"caps": True},
-    "US_BANK_ROUTING_MICR": {"digit": True},
-    "US_HEALTHCARE_NPI": {"digit": True},
-    "CANADA_SOCIAL_INSURANCE_NUMBER": {"digit": True},
+    "US_BANK_ROUTING_MICR": {"run": True},
+    "US_HEALTHCARE_NPI": {"run": True},
+    "CANADA_SOCIAL_INSURANCE_NUMBER": {"run": True},
     "EMAIL_ADDRESS": {"any": ("@",)},
-    "PHONE_NUMBER": {"digit": True},
+    "PHONE_NUMBER": {"run": True},
     "MAC_ADDRESS": {"any": (":", "-")},
     "SWIFT_CODE": {"caps": True},
-    "CREDIT_CARD_TRACK_NUMBER": {"digit": True, "any": ("%B", "=")},
-    "US_SOCIAL_SECURITY_NUMBER": {"digit": True, "any": ("-",)},
-    "US_EMPLOYER_IDENTIFICATION_NUMBER": {"digit": True, "any": ("-",)},
-    "US_INDIVIDUAL_TAXPAYER_IDENTIFICATION_NUMBER": {"digit": True, "any": ("-",)},
+    "CREDIT_CARD_TRACK_NUMBER": {"run": True, "any": ("%B", "=")},
+    "US_SOCIAL_SECURITY_NUMBER": {"run": True, "any": ("-",)},
+    "US_EMPLOYER_IDENTIFICATION_NUMBER": {"run": True, "any": ("-",)},
+    "US_INDIVIDUAL_TAXPAYER_IDENTIFICATION_NUMBER": {"run": True, "any": ("-",)},
     "ADVERTISING_ID": {"any": ("-",)},
     "STORAGE_SIGNED_URL": {"any": ("X-Goog-Signature=",)},
     "WEAK_PASSWORD_HASH": {"any": ("$1$", "$apr1$")},
@@ -320,16 +322,23 @@ for _d in DETECTORS:
         NEEDS.setdefault(_d.name, {"digit": True})
 
 
-def signals(text: Column) -> dict[str, Column]:
-    """What the gates read, to be computed once per text."""
-    return {"digit": text.rlike("[0-9]"), "caps": text.rlike("[A-Z0-9]{6}")}
+SIGNALS = {"digit": "[0-9]", "run": "[0-9]{3}", "caps": "[A-Z0-9]{6}"}
+
+
+def signals(text: Column, detectors: list[Detector]) -> dict[str, Column]:
+    """What the gates read, to be computed once per text; ``maybe``: whether the
+    needs of any of ``detectors`` may hold at all, most short values' don't."""
+    out = {k: text.rlike(v) for k, v in SIGNALS.items()}
+    literals = {x for d in detectors if not any(k in NEEDS[d.name] for k in SIGNALS) for x in NEEDS[d.name]["any"]}
+    least = [text.contains(x) for x in sorted(literals) if not any(y != x and y in x for y in literals)]
+    return out | {"maybe": reduce(lambda a, b: a | b, [out["digit"], out["caps"], *least])}
 
 
 def gate_sql(text: str, det: Detector, sig: dict[str, str]) -> str:
     """The necessary condition of ``det`` as SQL over the text column and
     the signal columns."""
     need = NEEDS[det.name]
-    out = [sig[k] for k in ("digit", "caps") if need.get(k)]
+    out = [sig[k] for k in SIGNALS if need.get(k)]
     if need.get("any"):
         out.append("(" + " OR ".join(f"contains({text}, {sql_str(x)})" for x in need["any"]) + ")")
     return " AND ".join(out)
@@ -371,12 +380,17 @@ def findings_sql(raw: str, text: str, detectors: list[Detector], ctx: str, sig:
     """array<struct<start, end, no, rank>> of all matches of ``detectors``, as
     one SQL text.  ``raw`` is the text, ``text`` its searchable form, ``ctx``
     the column of ``context_words_found``, ``sig`` those of ``signals``."""
-    hits = []
+    hits, spoken = [], []
     for no, d in enumerate(detectors, 1):
         gate = gate_sql(raw, d, sig)
         if d.tier == 3:
             gate += f" AND arrays_overlap({ctx}, {_words_sql(d, detectors)})"
-        hits.append(f"CASE WHEN {gate} THEN named_struct('no', {no}, 'parts', {spans.parts(text, sql_str('(' + d.shape + ')'))}) END")
+        hit = f"CASE WHEN {gate} AND {text} RLIKE {sql_str(d.shape)} THEN named_struct('no', {no}, 'parts', {spans.parts(text, sql_str('(' + d.shape + ')'))}) END"
+        (spoken if d.tier == 3 else hits).append(hit)
+    nothing = "CAST(array() AS array<struct<no:int,parts:array<string>>>)"
+    hits = f"array({', '.join(hits)})" if hits else nothing
+    if spoken:  # none of them without a context word
+        hits = f"concat({hits}, CASE WHEN size({ctx}) > 0 THEN array({', '.join(spoken)}) ELSE {nothing} END)"
     quote = f"substring({raw}, _v.start + 1, _v.end - _v.start)"
     near = (f"((_w.end <= _v.start AND _v.start - _w.end <= {CONTEXT_WINDOW} AND NOT contains(substring({raw}, _w.end + 1, _v.start - _w.end), '\n'))"
             f" OR (_w.start >= _v.end AND _w.start - _v.end <= {CONTEXT_WINDOW} AND NOT contains(substring({raw}, _v.end + 1, _w.start - _v.end), '\n')))")
@@ -394,4 +408,4 @@ def findings_sql(raw: str, text: str, detectors: list[Detector], ctx: str, sig:
         found = spans.let("_kind", kind, found)
     none = "CAST(array() AS array<struct<start:int,end:int>>)"
     found = spans.let("_base", base, spans.let("_c", f"CASE WHEN {words} IS NULL THEN {none} ELSE {spans.of_pattern(text, words)} END", found))
-    return f"filter(flatten(transform(filter(array({', '.join(hits)}), _h -> size(_h.parts) > 1), _h -> {found})), _f -> _f.rank >= 0)"
+    return f"CASE WHEN {sig['maybe']} THEN filter(flatten(transform(filter({hits}, _h -> size(_h.parts) > 1), _h -> {found})), _f -> _f.rank >= 0) END"

@@ -68,12 +68,12 @@ def with_spans(df: DataFrame, text_col: str, out: str, types: Iterable[str] | No
     if not names:
         return df.withColumn(out, F.expr("CAST(array() AS array<struct<start:int,end:int,no:int,rank:int>>)"))
     dets = [I.BY_NAME[n] for n in names]
-    safe, digit, caps, ctx = _unused(df, "_safe", "_digit", "_caps", "_ctx")
-    sig = {"digit": digit, "caps": caps}
-    own = I.signals(F.col(_q(text_col)))
+    safe, ctx, *flags = _unused(df, "_safe", "_ctx", "_digit", "_run", "_caps", "_maybe")
+    sig = dict(zip(("digit", "run", "caps", "maybe"), flags))
+    own = I.signals(F.col(_q(text_col)), dets)
     pre = df.select("*", F.expr(spans.searchable(_q(text_col))).alias(safe), *[own[k].alias(v) for k, v in sig.items()])
     words = I.context_words_found(F.col(safe), [d for d in dets if d.tier == 3])
-    pre = pre.select("*", F.when(F.col(digit) | F.col(caps), words).otherwise(F.array().cast("array<string>")).alias(ctx))
+    pre = pre.select("*", F.when(F.col(sig["digit"]) | F.col(sig["caps"]), words).otherwise(F.array().cast("array<string>")).alias(ctx))
     found = F.expr(I.findings_sql(_q(text_col), _q(safe), dets, _q(ctx), {k: _q(v) for k, v in sig.items()}))
     thresholds = [I.RANK[(overrides or {}).get(n, min_likelihood)] for n in names]
     if len(set(thresholds)) == 1:

@@ -12,7 +12,9 @@ DuckDB list expressions.
 from __future__ import annotations
 
 import re
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions import infotypes as I
@@ -317,15 +319,29 @@ COUNTED = f"""SELECT table_name, column_name, n_rows, n_nulls, true AS distinct_
 {" UNION ALL ".join(f"SELECT '{n}' AS table_name, * FROM (UNPIVOT (SELECT count(*) - count(COLUMNS(*)) FROM {n}) ON COLUMNS(*) INTO NAME column_name VALUE n_nulls), (SELECT count(*) AS n_rows FROM {n})" for n in ALL_TABLES)})"""
 
 
+def _identity(field):
+    """A column's values by what tells them apart: numbers, dates and times as they
+    are (zeros by their sign), texts and nested values over 64 characters by their SHA-256."""
+    c, kind = F.col(field.name), field.dataType.typeName()
+    if kind in ("float", "double"):
+        return F.struct(c.alias("v"), F.when(c == 0, c.cast("string")).alias("zero"))
+    if kind in ("byte", "short", "integer", "long", "decimal", "boolean", "date", "timestamp", "timestamp_ntz"):
+        return c
+    text = c if kind == "string" else F.to_json(F.struct(c))
+    return F.when(F.length(text) > 64, F.concat(F.lit("#"), F.sha2(text, 256))).otherwise(text)
+
+
 def _near(spark, d, report, names):
-    """``report`` with whether each approximate distinct count lies within a twentieth of the exact one."""
-    exact = None
+    """``report`` with whether each approximate distinct count lies within a twentieth
+    of the exact one.  Each column is read and grouped alone, in its own type."""
+    each = []
     for n in names:
         df = t(spark, d, n)
-        one = df.agg(*[F.count_distinct(F.when(F.col(c).isNotNull(), F.to_json(F.struct(c)))).alias(c) for c in df.columns])
-        rows = one.select(F.inline(F.array(*[F.struct(F.lit(n).alias("tn"), F.lit(c).alias("cn"), F.col(c).alias("exact")) for c in df.columns])))
-        exact = rows if exact is None else exact.unionByName(rows)
-    both = report.join(exact, (report["table_name"] == exact["tn"]) & (report["column_name"] == exact["cn"]))
+        for f in df.schema.fields:
+            values = df.filter(F.col(f.name).isNotNull()).select(_identity(f).alias("v")).distinct()
+            each.append(values.select(F.lit(n).alias("tn"), F.lit(f.name).alias("cn")))
+    exact = reduce(DataFrame.unionByName, each).groupBy("tn", "cn").agg(F.count(F.lit(1)).alias("n"))
+    both = report.join(exact, (report["table_name"] == exact["tn"]) & (report["column_name"] == exact["cn"]), "left").withColumn("exact", F.coalesce("n", F.lit(0)))
     return both.withColumn("distinct_near", F.abs(F.col("approx_distinct") - F.col("exact")) <= 0.05 * F.col("exact"))
 
 
