@@ -6,7 +6,9 @@ are known, and the oracles state for every file what it must hold.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import sensitive as X
@@ -27,20 +29,25 @@ LINES = rf"""(SELECT doc_id * 1000000 + i AS rid, doc_id, i AS line, kind, sourc
               unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS i FROM documents))"""
 
 
-def _lines(spark: SparkSession, d: str) -> DataFrame:
+def _places(spark: SparkSession, d: str) -> DataFrame:
+    """The documents with the kind and the path of the file that each stands in."""
     kind = F.element_at(F.array(*[F.lit(k) for k in KINDS]), (1 + F.col("doc_id") % 3).cast("int"))
-    own = t(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("none")).alias("source"), kind.alias("kind"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "message"))
+    own = t(spark, d, "documents").select("doc_id", F.coalesce("source", F.lit("none")).alias("source"), kind.alias("kind"), "text")
     end = F.when(F.col("kind") == "text", "txt").otherwise(F.col("kind"))
     return own.withColumn("path", F.concat("source", F.lit("/batch-"), F.floor(F.col("doc_id") / 60), F.lit("."), end))
 
 
+def _lines(spark: SparkSession, d: str) -> DataFrame:
+    return _places(spark, d).select("doc_id", "source", "kind", "path", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "message"))
+
+
 def file_set(spark: SparkSession, d: str, binary: bool = False) -> str:
     """The folder that holds the files."""
     own = _lines(spark, d)
     fields = F.array(F.col("doc_id").cast("string"), F.col("line").cast("string"), F.regexp_extract("message", MAIL, 0), "message")
     body = own.select("path", "doc_id", "line", F.when(F.col("kind") == "text", F.col("message")).otherwise(FS.encoded(fields)).alias("record"))
-    heads = own.filter(F.col("kind") != "text").select("path", F.lit(-1).cast("bigint").alias("doc_id"), F.lit(0).alias("line"),
-                                                       FS.encoded(F.array(*[F.lit(h) for h in HEADER])).alias("record"), "kind").distinct().drop("kind")
+    heads = _places(spark, d).filter(F.col("kind") != "text").select("path", "kind").distinct().select(
+        "path", F.lit(-1).cast("bigint").alias("doc_id"), F.lit(0).alias("line"), FS.encoded(F.array(*[F.lit(h) for h in HEADER])).alias("record"))
     rows = body.unionByName(heads).withColumn("content", F.lit(None).cast("binary"))
     if binary:
         rows = rows.unionByName(t(spark, d, "pages").select(F.concat(F.lit("pages/"), F.col("page_id"), F.lit(".bin")).alias("path"), F.col("page_id").alias("doc_id"),
@@ -51,10 +58,10 @@ def file_set(spark: SparkSession, d: str, binary: bool = False) -> str:
     return root
 
 
-def _sums(files: DataFrame, *keys: str) -> DataFrame:
-    """Records, characters and an order-free checksum by ``keys``."""
+def _sums(files: DataFrame, *keys: str, more: Sequence[Column] = ()) -> DataFrame:
+    """Records, characters and an order-free checksum by ``keys``, and ``more``."""
     digest = F.conv(F.substring(F.md5(F.coalesce("record", F.lit(""))), 1, 8), 16, 10).cast("bigint")
-    return files.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"), F.coalesce(F.sum(F.length("record")), F.lit(0)).cast("bigint").alias("n_chars"), F.sum(digest).alias("checksum"))
+    return files.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_records"), F.coalesce(F.sum(F.length("record")), F.lit(0)).cast("bigint").alias("n_chars"), F.sum(digest).alias("checksum"), *more)
 
 
 def _duck_sums(rows: str, *keys: str) -> str:
@@ -86,9 +93,7 @@ SELECT * FROM (SELECT 'pages/' || page_id || '.bin' AS path, 'binary' AS kind, 1
                       octet_length(encode(coalesce(html, ''))) AS n_bytes FROM pages) WHERE {CHOSEN}""")
 def s15_scan_files(spark, d):
     files = FS.read_files(spark, file_set(spark, d, binary=True), include=["^src", "^pages/"], exclude=[r"^src1[0-9]/"], percent=70, split_bytes=1 << 22)
-    sizes = files.groupBy(F.col("path").alias("p")).agg(F.sum(F.octet_length("content")).alias("n_bytes"))
-    sums = _sums(files, "path", "kind")
-    return sums.join(sizes, sums["path"] == sizes["p"]).drop("p")
+    return _sums(files, "path", "kind", more=[F.sum(F.octet_length("content")).alias("n_bytes")])  # the files are read once
 
 
 REDACTED = f"(SELECT l.*, m.r FROM {LINES} l JOIN ({duck_redacted_sql(LINES, 'rid', 'text', ALL)}) m ON m.rid = l.rid)"
