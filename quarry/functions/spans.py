@@ -15,6 +15,7 @@ from __future__ import annotations
 
 OPEN, CLOSE, OTHER = "\ue000", "\ue001", "\ufffd"
 BLOCK = 32
+PAGE = 512
 
 
 def sql_str(v: str) -> str:
@@ -67,6 +68,12 @@ def of_parts(split: str) -> str:
     return f"CASE WHEN size({split}) > 1 THEN {body} ELSE CAST(array() AS array<struct<start:int,end:int>>) END"
 
 
+def block_starts(split: str, block: int) -> str:
+    """array<int>: where each ``block`` elements of what ``parts`` returns start."""
+    own = f"transform(sequence(0, {_div(f'size({split}) - 1', block)}), _b -> length(array_join(slice({split}, _b * {block} + 1, {block}), '')))"
+    return let("_l", own, let("_s", _blocks("_l", _SUM), f"transform(_l, (_x, _k) -> {_before('_l', '_k', _SUM, '_s', _PLUS)})"))
+
+
 def of_pattern(text: str, pattern: str) -> str:
     """The spans of a pattern in a text."""
     return let("_p", parts(text, pattern), of_parts("_p"))
@@ -81,12 +88,16 @@ def clusters(spans: str, key: str) -> str:
     group = "slice(_o, _h, (CASE WHEN _j + 1 < size(_hs) THEN _hs[_j + 1] ELSE size(_o) + 1 END) - _h)"
     item = let("_g", group, f"named_struct('start', _g[0].start, 'end', array_max(transform(_g, _x -> _x.end)), 'best', array_max(transform(_g, _x -> {key})))")
     body = let("_e", "transform(_o, _x -> _x.end)", let("_m", _blocks("_e", _MAX), let("_hs", heads, f"transform(_hs, (_h, _j) -> {item})")))
-    return let("_o", f"array_sort({spans})", f"CASE WHEN size(_o) > 0 THEN {body} ELSE filter(transform(_o, _x -> named_struct('start', _x.start, 'end', _x.end, 'best', {key})), _x -> false) END")
+    return let("_o", f"sort_array({spans})", f"CASE WHEN size(_o) > 0 THEN {body} ELSE filter(transform(_o, _x -> named_struct('start', _x.start, 'end', _x.end, 'best', {key})), _x -> false) END")
 
 
 def replaced(text: str, clustered: str, label: str) -> str:
     """The text with each cluster replaced by ``label`` (SQL over a cluster ``_c``)."""
     end = "(CASE WHEN _n > 0 THEN _cs[_n - 1].end ELSE 0 END)"
-    pieces = f"transform(_cs, (_c, _n) -> concat(substring({text}, {end} + 1, _c.start - {end}), {label}))"
+    # a substring is looked for from the start of its string, so a long text is cut into pages first
+    pages = f"CASE WHEN length({text}) > {PAGE} THEN regexp_extract_all({text}, '(?s).{{1,{PAGE}}}', 0) ELSE array({text}) END"
+    first = _div(end, PAGE)
+    between = f"substring(array_join(slice(_ps, {first} + 1, {_div('_c.start', PAGE)} - {first} + 1), ''), {end} % {PAGE} + 1, _c.start - {end})"
+    pieces = f"transform(_cs, (_c, _n) -> concat({between}, {label}))"
     tail = f"substring({text}, element_at(_cs, -1).end + 1)"
-    return let("_cs", clustered, f"CASE WHEN size(_cs) > 0 THEN concat(array_join({pieces}, ''), {tail}) ELSE {text} END")
+    return let("_cs", clustered, f"CASE WHEN size(_cs) > 0 THEN concat({let('_ps', pages, f"array_join({pieces}, '')")}, {tail}) ELSE {text} END")

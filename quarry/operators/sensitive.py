@@ -122,6 +122,7 @@ def findings_summary(findings: DataFrame) -> DataFrame:
 
 
 TOKEN = r"[\p{L}\p{N}]+"
+TERM_BLOCK = 16  # words
 
 
 def dictionary_findings(df: DataFrame, id_cols: str | Sequence[str], text_col: str,
@@ -129,33 +130,35 @@ def dictionary_findings(df: DataFrame, id_cols: str | Sequence[str], text_col: s
     """Tier 4: terms ``(info_type, term)`` of any number of words, matched word by
     word (letters and digits, in lower case; what stands between doesn't count).
 
-    A term is looked up by its first word: every word of a text, with as many
-    after it as the longest term has, is joined on it, so only texts' words that
-    begin a term go on.  Spark chooses the join by the size of the terms (AQE
-    splits a hot word's side).  Of matches that lie in a longer one of the same
-    text only the longer is reported; a term of two types is reported as both."""
+    A text's words are dealt by blocks of TERM_BLOCK, each with the few words after
+    it that the longest term has; every word is joined on the first words of the
+    terms, and only what begins a term is compared further and placed in the text.
+    Spark chooses the join by the size of the terms (AQE splits a hot word's side).
+    Of matches that lie in a longer one of the same text only the longer is
+    reported; a term of two types is reported as both."""
     ids = [id_cols] if isinstance(id_cols, str) else list(id_cols)
     split = F.filter(F.split(F.lower(F.col("term")), rf"[^\p{{L}}\p{{N}}]+"), lambda w: w != "")
-    known = (terms.select("info_type", split.alias("_words")).filter(F.size("_words") > 0).distinct()
-             .select("info_type", "_words", F.col("_words")[0].alias("_first")))
+    known = (terms.select("info_type", split.alias("_words")).filter(F.size("_words") > 0)
+             .groupBy("_words").agg(F.array_sort(F.collect_set("info_type")).alias("_types")).withColumn("_first", F.col("_words")[0]))
     longest = known.agg(F.max(F.size("_words")).alias("n")).first()["n"]  # one number
     if longest is None:
         return df.select(*ids, F.lit("").alias("field"), F.lit("").alias("info_type"), F.lit("").alias("likelihood"), F.lit("").alias("quote"),
                                              F.lit(0).alias("start"), F.lit(0).alias("length")).limit(0)
     safe = df.filter(F.col(text_col).isNotNull()).select(*ids, F.monotonically_increasing_id().alias("_row"), F.expr(spans.searchable(_q(text_col))).alias("_text"))
+    # outside, word, outside, .., so a word's place in its block is odd; outer, or Spark
+    # would take the arrays apart once more to see whether they are empty
     parted = safe.select(*ids, "_row", F.expr(spans.parts("_text", spans.sql_str(f"({TOKEN})"))).alias("_parts"))
-    placed = parted.select(*ids, "_row", "_parts", F.expr(spans.of_parts("_parts")).alias("_spans"),
-                           F.expr("transform(filter(_parts, (x, i) -> i % 2 = 1), x -> lower(x))").alias("_all"))
+    placed = parted.select(*ids, "_row", "_parts", F.expr(spans.block_starts("_parts", 2 * TERM_BLOCK)).alias("_starts"))
+    block = F.slice("_parts", F.col("_b") * (2 * TERM_BLOCK) + 1, F.lit(2 * (TERM_BLOCK + longest - 1)))
+    blocks = placed.select(*ids, "_row", "_parts", F.posexplode_outer("_starts").alias("_b", "_from")).select(*ids, "_row", "_from", block.alias("_block"))
+    words = blocks.select(*ids, "_row", "_from", "_block", F.posexplode_outer(F.slice("_block", 1, 2 * TERM_BLOCK)).alias("_at", "_word")).filter(F.col("_at") % 2 == 1)
     # what a row carries is a word and the few after it, never the text
-    window = F.transform(F.sequence(F.lit(1), F.size("_all")), lambda i: F.struct(
-        F.slice("_all", i, F.lit(longest)).alias("said"), F.slice("_spans", i, F.lit(longest)).alias("at"),
-        F.array_join(F.slice("_parts", 2 * i, F.lit(2 * longest - 1)), "").alias("raw")))
-    each = placed.filter(F.size("_all") > 0).select(*ids, "_row", F.inline(window)).withColumn("_first", F.col("said")[0])
-    hits = each.join(known, "_first").filter(F.slice("said", F.lit(1), F.size("_words")) == F.col("_words"))
-    start = F.col("at")[0]["start"]
-    length = F.element_at("at", F.size("_words"))["end"] - start
-    found = (hits.select(*ids, "_row", "info_type", start.alias("start"), length.alias("length"), F.substring("raw", F.lit(1), length).alias("quote"))
-             .groupBy(*ids, "_row", "start", "length", "quote").agg(F.array_sort(F.collect_set("info_type")).alias("_types")))
+    each = words.select(*ids, "_row", F.lower("_word").alias("_first"), F.slice("_block", F.col("_at") + 1, F.lit(2 * longest - 1)).alias("_said"),
+                        (F.col("_from") + F.length(F.array_join(F.slice("_block", F.lit(1), F.col("_at")), ""))).alias("start"))
+    n = F.size("_words")
+    spoken = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.lower(F.get("_said", 2 * j)))
+    hits = each.join(known, "_first").filter((n == 1) | (spoken == F.col("_words")))
+    found = hits.select(*ids, "_row", "_types", "start", F.array_join(F.slice("_said", F.lit(1), 2 * n - 1), "").alias("quote")).withColumn("length", F.length("quote"))
     end = F.col("start") + F.col("length")
     earlier = Window.partitionBy(*ids, "_row").orderBy("start", F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
     kept = found.withColumn("_reach", F.max(end).over(earlier)).filter(F.col("_reach").isNull() | (F.col("_reach") < end))
