@@ -157,7 +157,8 @@ def dictionary_findings(df: DataFrame, id_cols: str | Sequence[str], text_col: s
                         (F.col("_from") + F.length(F.array_join(F.slice("_block", F.lit(1), F.col("_at")), ""))).alias("start"))
     n = F.size("_words")
     spoken = F.transform(F.sequence(F.lit(0), n - 1), lambda j: F.lower(F.get("_said", 2 * j)))
-    hits = each.join(known, "_first").filter((n == 1) | (spoken == F.col("_words")))
+    second = F.lower(F.get("_said", F.lit(2))) == F.get("_words", F.lit(1))  # most end here
+    hits = each.join(known, "_first").filter((n == 1) | (second & (spoken == F.col("_words"))))
     found = hits.select(*ids, "_row", "_types", "start", F.array_join(F.slice("_said", F.lit(1), 2 * n - 1), "").alias("quote")).withColumn("length", F.length("quote"))
     end = F.col("start") + F.col("length")
     earlier = Window.partitionBy(*ids, "_row").orderBy("start", F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)
