@@ -359,7 +359,10 @@ def context_words_found(text: Column, detectors: list[Detector]) -> Column:
     words = sorted({w for d in detectors for w in d.context}, key=lambda w: (-len(w), w))
     if not words:
         return F.array().cast("array<string>")
-    alt = "|".join(w.replace(" ", "[ \\t]+") for w in words)
+    begun: dict[str, list[str]] = {}
+    for w in words:  # by first letter, so that a letter is held against few words; longest first within each
+        begun.setdefault(w[0], []).append(w[1:].replace(" ", "[ \\t]+"))
+    alt = "|".join(f"[{c}{c.upper()}](?:{'|'.join(rest)})" for c, rest in sorted(begun.items()))
     found = F.regexp_extract_all(text, F.lit(rf"\b((?i:{alt}))\b"), 1)
     return F.array_distinct(F.transform(found, lambda w: F.regexp_replace(F.lower(w), r"[ \t]+", " ")))
 

@@ -1,5 +1,6 @@
 """Exact distinct counts beside the approximate ones, and gates that spare values without findings."""
 import datetime as dt
+import re
 
 from pyspark.sql import functions as F
 
@@ -30,3 +31,14 @@ def test_findings_in_values_without_digits(spark):
     # a value with nothing that any shape needs isn't handed to the detectors
     maybe = I.signals(F.col("text"), [I.BY_NAME[n] for n in X.type_order()])["maybe"]
     assert sorted(r.text for r in rows.filter(~maybe).collect()) == ["", "N", "plain words only"]
+
+
+def test_context_words_found_as_listed(spark):
+    """The words are looked for by first letter: the longest that fits, in either case, as if all were listed."""
+    dets = [d for d in I.DETECTORS if d.tier == 3]
+    words = sorted({w for d in dets for w in d.context})
+    texts = [*words, *[w.upper().replace(" ", " \t") for w in words], "aged age ages", "tax  file tfn", "cedula de identidad cedula de cedula", "Rut,RUN;run_ dniX", ""]
+    got = [r.w for r in spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "i int, x string").select("i", I.context_words_found(F.col("x"), dets).alias("w")).orderBy("i").collect()]
+    alt = "|".join(w.replace(" ", "[ \\t]+") for w in sorted(words, key=lambda w: (-len(w), w)))
+    assert got == [list(dict.fromkeys(re.sub(r"[ \t]+", " ", m.lower()) for m in re.findall(rf"\b({alt})\b", x, re.I | re.A))) for x in texts]
+    assert got[:len(words)] == [[w] for w in words]
