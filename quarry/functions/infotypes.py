@@ -325,13 +325,33 @@ for _d in DETECTORS:
 SIGNALS = {"digit": "[0-9]", "run": "[0-9]{3}", "caps": "[A-Z0-9]{6}"}
 
 
+def maybe_holds(text: Column, detectors: list[Detector]) -> Column:
+    """Whether a text may hold a digit, six capitals or a literal that one of
+    ``detectors`` can't do without: by a class of the characters (one of a literal's
+    that is no letter), by a capital after a capital (or after a letter that one
+    follows in a literal), and by the literals in small letters."""
+    literals = sorted({x for d in detectors if not any(k in NEEDS[d.name] for k in SIGNALS) for x in NEEDS[d.name]["any"]})
+    chars, before, small = set(), set(), []
+    for x in literals:
+        other = [c for c in x if not (c.isalpha() or c.isdigit())]
+        capital = [i for i in range(1, len(x)) if "A" <= x[i] <= "Z"]
+        if other:
+            chars.add(max(other))
+        elif capital:
+            before.add(x[capital[0] - 1])
+        else:
+            small.append(x)
+    single = "".join(f"\\{c}" for c in sorted(chars))
+    pair = "".join(sorted(c for c in before if not "A" <= c <= "Z"))
+    return reduce(lambda a, b: a | b, [text.rlike(f"[0-9{single}]"), text.rlike(f"[A-Z{pair}][A-Z]"), *map(text.contains, small)])
+
+
 def signals(text: Column, detectors: list[Detector]) -> dict[str, Column]:
     """What the gates read, to be computed once per text; ``maybe``: whether the
-    needs of any of ``detectors`` may hold at all, most short values' don't."""
-    out = {k: text.rlike(v) for k, v in SIGNALS.items()}
-    literals = {x for d in detectors if not any(k in NEEDS[d.name] for k in SIGNALS) for x in NEEDS[d.name]["any"]}
-    least = [text.contains(x) for x in sorted(literals) if not any(y != x and y in x for y in literals)]
-    return out | {"maybe": reduce(lambda a, b: a | b, [out["digit"], out["caps"], *least])}
+    needs of any of ``detectors`` may hold at all, most short values' don't, and
+    nothing else is looked for in those."""
+    maybe = maybe_holds(text, detectors)
+    return {k: F.when(maybe, text.rlike(v)).otherwise(False) for k, v in SIGNALS.items()} | {"maybe": maybe}
 
 
 def gate_sql(text: str, det: Detector, sig: dict[str, str]) -> str:

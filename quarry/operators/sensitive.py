@@ -71,7 +71,8 @@ def with_spans(df: DataFrame, text_col: str, out: str, types: Iterable[str] | No
     safe, ctx, *flags = _unused(df, "_safe", "_ctx", "_digit", "_run", "_caps", "_maybe")
     sig = dict(zip(("digit", "run", "caps", "maybe"), flags))
     own = I.signals(F.col(_q(text_col)), dets)
-    pre = df.select("*", F.expr(spans.searchable(_q(text_col))).alias(safe), *[own[k].alias(v) for k, v in sig.items()])
+    searched = F.when(own["maybe"], F.expr(spans.searchable(_q(text_col))))
+    pre = df.select("*", searched.alias(safe), *[own[k].alias(v) for k, v in sig.items()])
     words = I.context_words_found(F.col(safe), [d for d in dets if d.tier == 3])
     pre = pre.select("*", F.when(F.col(sig["digit"]) | F.col(sig["caps"]), words).otherwise(F.array().cast("array<string>")).alias(ctx))
     found = F.expr(I.findings_sql(_q(text_col), _q(safe), dets, _q(ctx), {k: _q(v) for k, v in sig.items()}))
