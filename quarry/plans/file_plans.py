@@ -41,10 +41,15 @@ def _lines(spark: SparkSession, d: str) -> DataFrame:
     return _places(spark, d).select("doc_id", "source", "kind", "path", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n")).alias("line", "message"))
 
 
+def _mail(text: Column) -> Column:
+    """The first address in a text, else ''; the pattern is only searched for where there is an @."""
+    return F.when(text.contains("@"), F.regexp_extract(text, MAIL, 0)).otherwise("")
+
+
 def file_set(spark: SparkSession, d: str, binary: bool = False) -> str:
     """The folder that holds the files."""
     own = _lines(spark, d)
-    fields = F.array(F.col("doc_id").cast("string"), F.col("line").cast("string"), F.regexp_extract("message", MAIL, 0), "message")
+    fields = F.array(F.col("doc_id").cast("string"), F.col("line").cast("string"), _mail(F.col("message")), "message")
     body = own.select("path", "doc_id", "line", F.when(F.col("kind") == "text", F.col("message")).otherwise(FS.encoded(fields)).alias("record"))
     heads = _places(spark, d).filter(F.col("kind") != "text").select("path", "kind").distinct().select(
         "path", F.lit(-1).cast("bigint").alias("doc_id"), F.lit(0).alias("line"), FS.encoded(F.array(*[F.lit(h) for h in HEADER])).alias("record"))
