@@ -179,7 +179,12 @@ def _text(raw: bytes) -> tuple[str, str]:
     return raw[:len(raw) - len(ending)].decode("utf-8", "replace"), ending
 
 
+PLAIN = re.compile(r'[^"\r\n]+')
+
+
 def cells(record: str, kind: str) -> list[str]:
+    if PLAIN.fullmatch(record):  # nothing that the csv module reads otherwise
+        return record.split(SEPARATORS[kind])
     return next(csv.reader(io.StringIO(record, newline=""), delimiter=SEPARATORS[kind]), [])
 
 
@@ -243,8 +248,9 @@ class Files(DataSource):
 
 @dataclass
 class Written(WriterCommitMessage):
-    """What a task wrote: (path, start, file) of each range, and its details' file."""
-    parts: list[tuple[str, int, str]]
+    """What a task wrote: its folder, (path, start) of each range, whose place names its file, and its details' file."""
+    folder: str
+    parts: list[tuple[str, int]]
     details: str | None
 
 
@@ -268,9 +274,8 @@ class FilesWriter(DataSourceArrowWriter):
                     if now != (p, s):
                         if out:
                             out.close()
-                        name = f"{attempt}/{len(parts)}"
-                        now, out = (p, s), fs.open_output_stream(name)
-                        parts.append((p, s, name))
+                        now, out = (p, s), fs.open_output_stream(f"{attempt}/{len(parts)}")
+                        parts.append(now)
                     out.write(raw if raw is not None else ((text or "") + (end or "")).encode())
                     for d in counted or ():
                         key = (p, d["field"], d["info_type"])
@@ -278,22 +283,22 @@ class FilesWriter(DataSourceArrowWriter):
         finally:
             if out:
                 out.close()
-        if len({x[:2] for x in parts}) < len(parts):
+        if len(set(parts)) < len(parts):
             raise ValueError("rows of a range must stand together, as they were read")
         kept = None
         if counts and self.details:
             kept = f"{attempt}/details.parquet"
             rows = [(*k, n) for k, n in sorted(counts.items())]
             pq.write_table(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), DETAIL)], schema=DETAIL), kept, filesystem=fs)
-        return Written(parts, kept)
+        return Written(attempt, parts, kept)
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, base = opened(self.root)
         own = [m for m in messages if m]
         files: dict[str, list[tuple[int, str]]] = {}
         for m in own:
-            for path, start, name in m.parts:
-                files.setdefault(path, []).append((start, name))
+            for k, (path, start) in enumerate(m.parts):
+                files.setdefault(path, []).append((start, f"{m.folder}/{k}"))
         if any(len({s for s, _ in p}) < len(p) for p in files.values()):
             self.abort(messages)
             raise ValueError("a range came from two tasks: write rows as they were read")
