@@ -227,8 +227,8 @@ def _counts(replacements: str) -> Column:
                        lambda x: F.struct(x.alias("info_type"), F.size(F.filter(labels, lambda y: y == x)).alias("n_transformed")))
 
 
-def _detail(field: str, replacements: str) -> Column:
-    return F.transform(_counts(replacements), lambda x: F.struct(F.lit(field).alias("field"), x["info_type"].alias("info_type"), x["n_transformed"].alias("n_transformed")))
+def _detail(field: Column, replacements: str) -> Column:
+    return F.transform(_counts(replacements), lambda x: F.struct(field.alias("field"), x["info_type"].alias("info_type"), x["n_transformed"].alias("n_transformed")))
 
 
 def redaction_log(df: DataFrame, id_cols: str | Sequence[str], fields: Sequence[str], types: Iterable[str] | None = None,
@@ -241,7 +241,7 @@ def redaction_log(df: DataFrame, id_cols: str | Sequence[str], fields: Sequence[
     reps = _unused(own, *[f"_replaced{k}" for k in range(len(fields))])
     for f, rep in zip(fields, reps):
         own = with_replacements(own, f, rep, types, min_likelihood, overrides, terms, ids)
-    return own.select(*ids, F.inline(F.concat(*[_detail(f, rep) for f, rep in zip(fields, reps)])))
+    return own.select(*ids, F.inline(F.concat(*[_detail(F.lit(f), rep) for f, rep in zip(fields, reps)])))
 
 
 def redact_records(files: DataFrame, columns: Iterable[str] = (), text_columns: Iterable[str] = (), types: Iterable[str] | None = None,
@@ -251,20 +251,22 @@ def redact_records(files: DataFrame, columns: Iterable[str] = (), text_columns:
     ``text_columns`` their names (X6); in lines of text files all findings do.
     Headers stay, and rows without a change are as they were read."""
     text_columns = list(text_columns)
-    fields = ["line", *text_columns]
-    own = files.withColumns({"_new": F.col("cells"), "_v0": F.when(F.col("kind") == "text", F.col("record"))})
-    for k, c in enumerate(text_columns, 1):
-        own = own.withColumn(f"_v{k}", FS.cell(c))
+    is_line = F.col("kind") == "text"
+    # a row is a line or has fields, so lines are searched with the first of the columns, in one run of the detectors
+    own = files.withColumn("_new", F.col("cells"))
+    for k, c in enumerate(text_columns or [None]):
+        text = F.lit(None).cast("string") if c is None else FS.cell(c)
+        own = own.withColumn(f"_v{k}", text if k else F.when(is_line, F.col("record")).otherwise(text))
     logs = []
-    for k, name in enumerate(fields):
+    for k, c in enumerate(text_columns or [None]):
         own = with_replacements(own, f"_v{k}", f"_r{k}", types, min_likelihood)
-        logs.append(_detail(name, f"_r{k}"))
-        if k:
-            own = own.withColumn("_new", FS.with_cell(F.col("_new"), name, _rebuilt(f"_v{k}", f"_r{k}")))
+        logs.append(_detail(F.lit(c) if k else F.when(is_line, "line").otherwise(F.lit(c)), f"_r{k}"))
+        if c is not None:
+            own = own.withColumn("_new", FS.with_cell(F.col("_new"), c, _rebuilt(f"_v{k}", f"_r{k}")))
     for c in columns:
         own = own.withColumn("_new", FS.with_cell(F.col("_new"), c, F.lit(value)))
         logs.append(F.when(FS.cell(c).isNotNull(), F.array(F.struct(F.lit(c).alias("field"), F.lit("REDACTED").alias("info_type"), F.lit(1).alias("n_transformed")))))
-    record = (F.when(F.col("kind") == "text", _rebuilt("_v0", "_r0"))
+    record = (F.when(is_line, _rebuilt("_v0", "_r0"))
               .when(F.col("cells").isNotNull() & ~F.col("_new").eqNullSafe(F.col("cells")), FS.encoded(F.col("_new"))).otherwise(F.col("record")))
     none = F.array().cast("array<struct<field:string,info_type:string,n_transformed:int>>")
     return own.select(*[record.alias(c) if c == "record" else F.col(c) for c in files.columns],
