@@ -142,14 +142,12 @@ SELECT split_part(path, '/', 1) AS source, kind, CAST(count(*) AS BIGINT) AS n_r
        CAST(sum(('0x' || substr(md5(r), 1, 8))::BIGINT) AS BIGINT) AS messages
 FROM {REDACTED} WHERE kind <> 'text' AND {KEPT} GROUP BY 1, 2""")
 def x8_redact_csv_files(spark, d):
-    # what another CSV reader finds in the files that were written
-    out = _job(spark, d)[0]
-    found = None
-    for kind, sep in FS.SEPARATORS.items():
-        rows = (spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{kind}").option("header", "true").option("sep", sep).option("escape", '"')
-                .option("ignoreLeadingWhiteSpace", "false").option("ignoreTrailingWhiteSpace", "false")
-                .schema("doc_id long, line int, email string, message string").csv(out)
-                .select(F.regexp_extract(F.col("_metadata.file_path"), r"/([^/]+)/[^/]+$", 1).alias("source"), F.lit(kind).alias("kind"), "email", F.coalesce("message", F.lit("")).alias("message")))
-        found = rows if found is None else found.unionByName(rows)
-    return found.groupBy("source", "kind").agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("email") == "[redacted]", 1)).alias("n_email_redacted"),
-                                               F.sum(F.conv(F.substring(F.md5("message"), 1, 8), 16, 10).cast("bigint")).alias("messages"))
+    # what another CSV reader, Spark's, finds in the files that were written: its parser runs
+    # over their rows, as its file scan would hold every file's status on the driver
+    rows = FS.read_files(spark, _job(spark, d)[0], kinds=list(FS.SEPARATORS), fields=False).filter(~F.col("header"))
+    read = {kind: F.from_csv("record", "doc_id long, line int, email string, message string",
+                             {"sep": sep, "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}) for kind, sep in FS.SEPARATORS.items()}
+    found = rows.select(F.split_part("path", F.lit("/"), F.lit(1)).alias("source"), "kind", F.when(F.col("kind") == "tsv", read["tsv"]).otherwise(read["csv"]).alias("row"))
+    message = F.coalesce("row.message", F.lit(""))
+    return found.groupBy("source", "kind").agg(F.count(F.lit(1)).alias("n_rows"), F.count(F.when(F.col("row.email") == "[redacted]", 1)).alias("n_email_redacted"),
+                                               F.sum(F.conv(F.substring(F.md5(message), 1, 8), 16, 10).cast("bigint")).alias("messages"))

@@ -8,12 +8,14 @@ in it, so one large file is read by many tasks and none holds more than a record
 CSV files that have line ends within quotes are read with ``multiline``, a file to
 a task, as their records can't be found from the middle.  Listing and the header
 line of each CSV file (read again by every range of it) are all that is read
-beside the ranges.
+beside the ranges.  The driver lists block by block and writes which ranges a task
+reads to a plan's file, of which the task gets its place, so that it holds nothing
+for each file.
 
 ``write_files`` writes such rows under the same relative names.  Each task writes
 the ranges it holds to files of its own under ``_jobs``; when all tasks have ended
-the driver renames them, and a job that fails leaves nothing but what stood there
-before.  A file that was read in one range comes out as one file; of a larger one
+the driver renames them, SLICE at a time, by the lists that the tasks left beside
+them, and a job that fails leaves nothing but what stood there before.  A file that was read in one range comes out as one file; of a larger one
 the ranges come out as ``name``, ``name.part-00001``, .. which put together in the
 order of their names are the file, so that no task has to write it whole.  Rows of
 a range must come as they were read (projections and filters keep that).  What
@@ -29,11 +31,16 @@ from __future__ import annotations
 import csv
 import hashlib
 import io
+import json
+import os
 import re
 import uuid
+import zlib
 from collections.abc import Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import ExitStack
 from dataclasses import dataclass
+from itertools import islice
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -42,13 +49,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, InputPartition, WriterCommitMessage
 
+from quarry.session import scratch_path
+
 SOURCE, SINK = "quarry_files", "quarry_files_out"
 SPLIT_BYTES = 64 << 20
 BATCH_BYTES = 1 << 20
 BATCH_ROWS = 10_000
 OPEN_BYTES = 1 << 14
+LISTED = 20_000  # names of a folder sorted at a time
+SLICE, MOST_SLICES = 20_000, 512  # ranges that a commit holds at a time; slices are open together
 MOVES = 16
-JOBS = "_jobs"
+JOBS, PARTS = "_jobs", "parts"
 
 # The kinds of files, by extension; any other is binary.
 KINDS = {"csv": "csv", "tsv": "tsv", "txt": "text", "text": "text", "md": "text", "log": "text", "json": "text", "jsonl": "text", "ndjson": "text",
@@ -80,23 +91,54 @@ def bucket(path: str) -> int:
     return int(hashlib.md5(path.encode()).hexdigest()[:8], 16) % 100
 
 
-def list_files(root: str, include: Iterable[str] = (), exclude: Iterable[str] = (), kinds: Iterable[str] = (), percent: int = 100) -> list[tuple[str, int]]:
+def entries(fs: pafs.FileSystem, folder: str) -> Iterator[tuple[str, int]]:
+    """(name, bytes) of what a folder holds, a folder's name with a / at its end."""
+    if isinstance(fs, pafs.LocalFileSystem):  # one by one; others give a folder's names at once
+        with os.scandir(folder) as found:
+            for e in found:
+                if e.is_dir():
+                    yield e.name + "/", 0
+                elif e.is_file():
+                    yield e.name, e.stat().st_size
+        return
+    for f in fs.get_file_info(pafs.FileSelector(folder)):
+        if f.type == pafs.FileType.Directory:
+            yield f.base_name + "/", 0
+        elif f.type == pafs.FileType.File:
+            yield f.base_name, f.size
+
+
+def below(fs: pafs.FileSystem, base: str, folder: str = "") -> Iterator[tuple[str, int]]:
+    """(relative path, bytes) of the files under ``base``, of which only LISTED
+    names are held for each level of folders (in order, in folders of no more)."""
+    names = entries(fs, f"{base}/{folder}".rstrip("/") or "/")
+    while block := sorted(islice(names, LISTED)):
+        for name, size in block:
+            if name[0] in "_.":
+                continue
+            if name.endswith("/"):
+                yield from below(fs, base, folder + name)
+            else:
+                yield folder + name, size
+
+
+def chosen(root: str, include: Iterable[str] = (), exclude: Iterable[str] = (), kinds: Iterable[str] = (), percent: int = 100) -> Iterator[tuple[str, int]]:
     """(relative path, bytes) of the files under ``root``: those that match one of
     ``include`` (any, if it names none) and none of ``exclude``, of the given kinds,
     and of them the share of ``percent`` that their paths' hashes choose.  Names
     that begin with _ or . are left out."""
     fs, base = opened(root)
     include, exclude, kinds = list(include), list(exclude), list(kinds)
-    out = []
-    for f in fs.get_file_info(pafs.FileSelector(base, recursive=True)):
-        path = f.path[len(base):].lstrip("/")
-        if f.type != pafs.FileType.File or any(p[:1] in "_." for p in path.split("/")):
-            continue
+    for path, size in below(fs, base):
         if include and not any(re.search(p, path) for p in include) or any(re.search(p, path) for p in exclude):
             continue
         if (not kinds or kind_of(path) in kinds) and bucket(path) < percent:
-            out.append((path, f.size))
-    return sorted(out)
+            yield path, size
+
+
+def list_files(root: str, include: Iterable[str] = (), exclude: Iterable[str] = (), kinds: Iterable[str] = (), percent: int = 100) -> list[tuple[str, int]]:
+    """What ``chosen`` gives, as a whole and in order."""
+    return sorted(chosen(root, include, exclude, kinds, percent))
 
 
 @dataclass
@@ -113,27 +155,34 @@ class Ranges(InputPartition):
     parts: list[Range]
 
 
-def packed(parts: list[Range], split_bytes: int) -> list[Ranges]:
+@dataclass
+class Planned(InputPartition):
+    """Where a task's ranges stand: a file of the plan, and bytes of it."""
+    name: str
+    at: int
+    size: int
+
+
+def packed(parts: Iterable[Range], split_bytes: int) -> Iterator[Ranges]:
     """Ranges put together, in order, to about ``split_bytes``; opening one counts as OPEN_BYTES."""
-    out: list[Ranges] = []
-    size = 0
+    now, size = Ranges([]), 0
     for r in parts:
         cost = r.stop - r.start + OPEN_BYTES
-        if not out or size + cost > split_bytes + OPEN_BYTES:
-            out.append(Ranges([]))
-            size = 0
-        out[-1].parts.append(r)
+        if now.parts and size + cost > split_bytes + OPEN_BYTES:
+            yield now
+            now, size = Ranges([]), 0
+        now.parts.append(r)
         size += cost
-    return out
+    if now.parts:
+        yield now
 
 
-def ranges(files: list[tuple[str, int]], split_bytes: int, multiline: bool) -> list[Range]:
-    out = []
+def ranges(files: Iterable[tuple[str, int]], split_bytes: int, multiline: bool) -> Iterator[Range]:
     for path, size in files:
         kind = kind_of(path)
         step = max(1, split_bytes) if kind == "text" or (kind in SEPARATORS and not multiline) else max(1, size)
-        out += [Range(path, kind, a, min(a + step, size)) for a in range(0, max(1, size), step)]
-    return out
+        for a in range(0, max(1, size), step):
+            yield Range(path, kind, a, min(a + step, size))
 
 
 def lines(f: pa.NativeFile, start: int, stop: int) -> Iterator[bytes]:
@@ -194,15 +243,36 @@ class FilesReader(DataSourceReader):
         self.split = int(options.get("split_bytes", SPLIT_BYTES))
         self.choice = [[p for p in options.get(k, "").split("\n") if p] for k in ("include", "exclude", "kinds")]
         self.percent = int(options.get("percent", 100))
-
-    def partitions(self) -> list[Ranges]:
-        return packed(ranges(list_files(self.root, *self.choice, self.percent), self.split, self.multiline), self.split)
-
-    def read(self, partition: Ranges | None) -> Iterator[pa.RecordBatch]:
+        self.fields, self.plan = options.get("fields", "true") == "true", options.get("plan")
+
+    def partitions(self) -> list[InputPartition]:
+        tasks = packed(ranges(chosen(self.root, *self.choice, self.percent), self.split, self.multiline), self.split)
+        if not self.plan:
+            return list(tasks)
+        fs, base = opened(self.plan)
+        fs.create_dir(base, recursive=True)
+        out, at = [], 0
+        with fs.open_output_stream(f"{base}/{(name := uuid.uuid4().hex)}", buffer_size=BATCH_BYTES) as f:
+            for task in tasks:
+                raw = json.dumps([(r.path, r.kind, r.start, r.stop) for r in task.parts]).encode()
+                f.write(raw)
+                out.append(Planned(name, at, len(raw)))
+                at += len(raw)
+        return out
+
+    def _parts(self, partition: InputPartition | None) -> list[Range]:
+        if not isinstance(partition, Planned):
+            return getattr(partition, "parts", [])
+        fs, base = opened(self.plan)
+        with fs.open_input_file(f"{base}/{partition.name}") as f:
+            f.seek(partition.at)
+            return [Range(*r) for r in json.loads(f.read(partition.size))]
+
+    def read(self, partition: InputPartition | None) -> Iterator[pa.RecordBatch]:
         csv.field_size_limit(1 << 31)
         fs, base = opened(self.root)
         held, size = [], 0  # rows, of many files where they are small
-        for part in getattr(partition, "parts", ()):
+        for part in self._parts(partition):
             for row, own in self._read(fs, base, part):
                 held.append(row)
                 size += own
@@ -223,17 +293,18 @@ class FilesReader(DataSourceReader):
                 content = f.read()
                 yield (part.path, part.kind, 0, 0, False, None, None, None, None, content), len(content)
                 return
-            many, names = self.multiline and part.kind in SEPARATORS, None
-            if part.kind in SEPARATORS:
+            table, names = part.kind in SEPARATORS, None
+            many = self.multiline and table
+            if table and self.fields:
                 first = next(records(lines(f, 0, 1 if not many else part.stop), many), ("", ""))
                 names = cells(first[0], part.kind)
             for n, (record, ending) in enumerate(records(lines(f, part.start, part.stop), many)):
-                header = names is not None and part.start == 0 and n == 0
+                header = table and part.start == 0 and n == 0
                 yield (part.path, part.kind, part.start, n, header, record, ending, names, None if names is None or header else cells(record, part.kind), None), len(record)
 
 
 class Files(DataSource):
-    """The source: options path, include, exclude, kinds (lines), percent, split_bytes, multiline."""
+    """The source: options path, include, exclude, kinds (lines), percent, split_bytes, multiline, fields, plan (a folder)."""
 
     @classmethod
     def name(cls) -> str:
@@ -248,9 +319,10 @@ class Files(DataSource):
 
 @dataclass
 class Written(WriterCommitMessage):
-    """What a task wrote: its folder, (path, start) of each range, whose place names its file, and its details' file."""
+    """What a task wrote: its folder, the number of ranges, and its details' file.  The
+    folder's PARTS has (path, start) of each range, a line each, whose place names its file."""
     folder: str
-    parts: list[tuple[str, int]]
+    n: int
     details: str | None
 
 
@@ -285,29 +357,56 @@ class FilesWriter(DataSourceArrowWriter):
                 out.close()
         if len(set(parts)) < len(parts):
             raise ValueError("rows of a range must stand together, as they were read")
+        with fs.open_output_stream(f"{attempt}/{PARTS}", buffer_size=BATCH_BYTES) as f:
+            for part in parts:
+                f.write(json.dumps(part).encode() + b"\n")
         kept = None
         if counts and self.details:
             kept = f"{attempt}/details.parquet"
             rows = [(*k, n) for k, n in sorted(counts.items())]
             pq.write_table(pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), DETAIL)], schema=DETAIL), kept, filesystem=fs)
-        return Written(attempt, parts, kept)
+        return Written(attempt, len(parts), kept)
+
+    @staticmethod
+    def _dealt(fs: pafs.FileSystem, job: str, own: list[Written]) -> list[str]:
+        """The tasks' ranges dealt by their paths to files of about SLICE each: (path, start, task, place) a line."""
+        n = min(MOST_SLICES, -(-sum(m.n for m in own) // SLICE))
+        names = [f"{job}/slice-{k}" for k in range(n)]
+        with ExitStack() as stack:
+            outs = [stack.enter_context(fs.open_output_stream(x, buffer_size=1 << 16)) for x in names]
+            for i, m in enumerate(own):
+                with fs.open_input_file(f"{m.folder}/{PARTS}") as f:
+                    for k, line in enumerate(lines(f, 0, f.size())):
+                        path, start = json.loads(line)
+                        outs[zlib.crc32(path.encode()) % n].write(json.dumps((path, start, i, k)).encode() + b"\n")
+        return names
+
+    @staticmethod
+    def _slice(fs: pafs.FileSystem, name: str, own: list[Written]) -> dict[str, list[tuple[int, str]]]:
+        """(start, file) of every range of the paths in a slice."""
+        files: dict[str, list[tuple[int, str]]] = {}
+        with fs.open_input_file(name) as f:
+            for line in lines(f, 0, f.size()):
+                path, start, i, k = json.loads(line)
+                files.setdefault(path, []).append((start, f"{own[i].folder}/{k}"))
+        return files
 
     def commit(self, messages: list[Written | None]) -> None:
         fs, base = opened(self.root)
         own = [m for m in messages if m]
-        files: dict[str, list[tuple[int, str]]] = {}
-        for m in own:
-            for k, (path, start) in enumerate(m.parts):
-                files.setdefault(path, []).append((start, f"{m.folder}/{k}"))
-        if any(len({s for s, _ in p}) < len(p) for p in files.values()):
-            self.abort(messages)
-            raise ValueError("a range came from two tasks: write rows as they were read")
+        slices = self._dealt(fs, f"{base}/{JOBS}/{self.job}", own)
+        for name in slices:  # all, before anything is moved
+            if any(len({s for s, _ in p}) < len(p) for p in self._slice(fs, name, own).values()):
+                self.abort(messages)
+                raise ValueError("a range came from two tasks: write rows as they were read")
         with ThreadPoolExecutor(MOVES) as pool:
-            for _ in pool.map(lambda folder: fs.create_dir(folder, recursive=True), sorted({f"{base}/{path}".rsplit("/", 1)[0] for path in files})):
-                pass
-            moves = [(name, f"{base}/{path}" + (f".part-{k:05d}" if k else "")) for path, parts in files.items() for k, (_, name) in enumerate(sorted(parts))]
-            for _ in pool.map(lambda some: [fs.move(*m) for m in some], [moves[i:i + 1000] for i in range(0, len(moves), 1000)]):
-                pass
+            for name in slices:
+                files = self._slice(fs, name, own)
+                for _ in pool.map(lambda folder: fs.create_dir(folder, recursive=True), sorted({f"{base}/{path}".rsplit("/", 1)[0] for path in files})):
+                    pass
+                moves = [(name, f"{base}/{path}" + (f".part-{k:05d}" if k else "")) for path, parts in files.items() for k, (_, name) in enumerate(sorted(parts))]
+                for _ in pool.map(lambda some: [fs.move(*m) for m in some], [moves[i:i + 1000] for i in range(0, len(moves), 1000)]):
+                    pass
         if self.details:
             to_fs, to = opened(self.details)
             to_fs.create_dir(to, recursive=True)
@@ -335,13 +434,14 @@ class FilesOut(DataSource):
 
 
 def read_files(spark: SparkSession, root: str, include: Iterable[str] = (), exclude: Iterable[str] = (), kinds: Iterable[str] = (),
-               percent: int = 100, split_bytes: int = SPLIT_BYTES, multiline: bool = False) -> DataFrame:
-    """The records of a file set (see SCHEMA and ``list_files``).  ``record``
+               percent: int = 100, split_bytes: int = SPLIT_BYTES, multiline: bool = False, fields: bool = True) -> DataFrame:
+    """The records of a file set (see SCHEMA and ``chosen``).  ``record``
     is the text of a line or CSV row, ``cells`` and ``columns`` a CSV row's fields
-    and their names, ``content`` a binary file's bytes."""
+    and their names (NULL without ``fields``), ``content`` a binary file's bytes."""
     spark.dataSource.register(Files)
-    options = {"include": "\n".join(include), "exclude": "\n".join(exclude), "kinds": "\n".join(kinds)}
-    return spark.read.format(SOURCE).options(**options, percent=percent, split_bytes=split_bytes, multiline=str(multiline).lower()).load(root)
+    options = {"include": "\n".join(include), "exclude": "\n".join(exclude), "kinds": "\n".join(kinds), "plan": scratch_path(spark, "files", "plan")}
+    return (spark.read.format(SOURCE).options(**options, percent=percent, split_bytes=split_bytes, multiline=str(multiline).lower(), fields=str(fields).lower())
+            .load(root))
 
 
 def write_files(df: DataFrame, root: str, details: str | None = None) -> None:
